@@ -75,7 +75,7 @@ def column_rules(policy: Policy) -> list[Rule]:
     is_id = name.rlike(policy.id_pattern) & unique.isNotNull()
 
     def nulls(text: str) -> Column:
-        return F.format_string(f"%.2f%%%% null values - {text}", null_pct)
+        return F.format_string(f"%.2f%% null values - {text}", null_pct)
 
     return [
         Rule(ALERT, "empty_table", rows == 0, F.lit("No data found"), "CRITICAL", actual=rows),

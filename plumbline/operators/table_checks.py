@@ -98,7 +98,11 @@ def _no_rules(df: DataFrame, table: str, check_type: str, by: str | None) -> Dat
 
 
 def pattern_checks(
-    df: DataFrame, table: str, patterns: Mapping[str, str], by: str | None = None
+    df: DataFrame,
+    table: str,
+    patterns: Mapping[str, str],
+    tolerance_pct: float = 0.0,
+    by: str | None = None,
 ) -> DataFrame:
     """Non-null values that do not match the regular expression of their column."""
     rules = {
@@ -106,7 +110,8 @@ def pattern_checks(
         for column, pattern in patterns.items()
     }
     checked = _violations(df, table, "pattern", rules, by)
-    return checked.withColumn("status", F.when(F.col("violations") == 0, PASS).otherwise(FAIL))
+    passed = F.col("violation_pct") <= tolerance_pct
+    return checked.withColumn("status", F.when(passed, PASS).otherwise(FAIL))
 
 
 def castable_checks(

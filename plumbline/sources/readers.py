@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +32,7 @@ def load_table(spark: SparkSession, ref: str, table_format: str | None = None) -
     if table_format:
         try:
             return spark.read.format(table_format).load(ref)
-        except PySparkException:
+        except (PySparkException, Py4JJavaError):  # a missing format is raised by the JVM as it is
             pass
     return spark.read.parquet(ref)
 
