@@ -61,10 +61,6 @@ def kind_of(data_type: T.DataType) -> str:
     return OTHER
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def business_columns(df: DataFrame, metadata: Iterable[str] = METADATA_COLUMNS) -> DataFrame:
     """The table without the columns a snapshot added."""
     return df.drop(*metadata)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions import text
 from plumbline.functions.scalars import grouped_number
 from plumbline.functions.schema import NUMERIC, STRING
 from plumbline.plans.policy import (
@@ -33,169 +34,170 @@ FINDING = (
 
 @dataclass(frozen=True)
 class Rule:
-    """A finding that a profile row gives when the condition holds."""
+    """A finding that a profile row gives when the condition holds; conditions are SQL text."""
 
     record: str
     check_type: str
-    applies: Column
-    message: Column
+    applies: str
+    message: str
     severity: str | None = None
-    status: Column | None = None
+    status: str | None = None
     threshold: str | None = None
-    actual: Column | None = None
+    actual: str = "NULL"
 
-    def finding(self) -> Column:
-        nothing = F.lit(None)
-        values = F.struct(
-            F.lit(self.record).alias("record"),
-            F.lit(self.check_type).alias("check_type"),
-            F.lit(self.severity).alias("severity"),
-            (nothing if self.status is None else self.status).alias("status"),
-            F.lit(self.threshold).alias("threshold"),
-            (nothing if self.actual is None else self.actual.cast("double")).alias("actual"),
-            self.message.alias("message"),
-        ).cast(FINDING)
-        return F.when(self.applies, values)
+    def finding(self) -> str:
+        values = ", ".join(
+            (
+                text.literal(self.record),
+                text.literal(self.check_type),
+                text.literal(self.severity),
+                self.status or "NULL",
+                text.literal(self.threshold),
+                self.actual,
+                self.message,
+            )
+        )
+        return f"CASE WHEN {self.applies} THEN CAST(struct({values}) AS {FINDING}) END"
 
 
-def _pass_if(condition: Column) -> Column:
-    return F.when(condition, PASS).otherwise(FAIL)
+def _pass_if(condition: str) -> str:
+    return f"CASE WHEN {condition} THEN '{PASS}' ELSE '{FAIL}' END"
 
 
 def column_rules(policy: Policy) -> list[Rule]:
     """The alerts and checks of a column, in the order they are reported."""
-    rows, null_pct = F.col("total_rows"), F.col("null_pct")
-    unique = F.col("uniqueness_pct")
-    low, high, span = F.col("min_num"), F.col("max_num"), F.col("range_span")
-    name = F.col("column_name")
-    has_rows = rows > 0
-    valued = F.col("non_null_count") > 0
-    numeric = (F.col("kind") == NUMERIC) & valued
-    string = (F.col("kind") == STRING) & valued
-    is_id = name.rlike(policy.id_pattern) & unique.isNotNull()
-
-    def nulls(text: str) -> Column:
-        return F.format_string(f"%.2f%% null values - {text}", null_pct)
 
-    return [
-        Rule(ALERT, "empty_table", rows == 0, F.lit("No data found"), "CRITICAL", actual=rows),
-        Rule(
-            ALERT,
-            "null_band",
-            has_rows & (null_pct > policy.null_critical_pct),
-            nulls("data integrity issue"),
-            "CRITICAL",
-            actual=null_pct,
-        ),
-        Rule(
-            ALERT,
-            "null_band",
-            has_rows & (null_pct > policy.null_warning_pct) & (null_pct <= policy.null_critical_pct),
-            nulls("high null rate"),
+    def named(pattern: str) -> str:
+        return f"column_name RLIKE {text.literal(pattern)}"
+
+    p = policy
+    has_rows = "total_rows > 0"
+    numeric = f"kind = '{NUMERIC}' AND non_null_count > 0"
+    string = f"kind = '{STRING}' AND non_null_count > 0"
+    is_id = f"{named(p.id_pattern)} AND uniqueness_pct IS NOT NULL"
+    bands = [
+        ("CRITICAL", f"null_pct > {p.null_critical_pct}", "data integrity issue"),
+        (
             "WARNING",
-            actual=null_pct,
+            f"null_pct > {p.null_warning_pct} AND null_pct <= {p.null_critical_pct}",
+            "high null rate",
         ),
-        Rule(
-            ALERT,
-            "null_band",
-            has_rows & (null_pct > policy.null_info_pct) & (null_pct <= policy.null_warning_pct),
-            nulls("moderate null rate"),
+        (
             "INFO",
-            actual=null_pct,
+            f"null_pct > {p.null_info_pct} AND null_pct <= {p.null_warning_pct}",
+            "moderate null rate",
         ),
+    ]
+    return [
+        Rule(ALERT, "empty_table", "total_rows = 0", "'No data found'", "CRITICAL", actual="0"),
+        *[
+            Rule(
+                ALERT,
+                "null_band",
+                f"{has_rows} AND {band}",
+                f"format_string('%.2f%% null values - {words}', null_pct)",
+                severity,
+                actual="null_pct",
+            )
+            for severity, band, words in bands
+        ],
         Rule(
             CHECK,
             "null_validation",
             has_rows,
-            F.format_string("%.2f%% null values", null_pct),
-            status=_pass_if(null_pct <= policy.null_fail_pct),
-            threshold=f"<={policy.null_fail_pct:g}%",
-            actual=null_pct,
+            "format_string('%.2f%% null values', null_pct)",
+            status=_pass_if(f"null_pct <= {p.null_fail_pct}"),
+            threshold=f"<={p.null_fail_pct:g}%",
+            actual="null_pct",
         ),
         Rule(
             ALERT,
             "id_uniqueness",
-            is_id & (unique < policy.id_uniqueness_pct),
-            F.format_string("ID column uniqueness only %.2f%%", unique),
+            f"{is_id} AND uniqueness_pct < {p.id_uniqueness_pct}",
+            "format_string('ID column uniqueness only %.2f%%', uniqueness_pct)",
             "WARNING",
-            actual=unique,
+            actual="uniqueness_pct",
         ),
         Rule(
             CHECK,
             "id_uniqueness",
             is_id,
-            F.format_string("%.2f%% unique", unique),
-            status=_pass_if(unique >= policy.id_uniqueness_pct),
-            threshold=f">={policy.id_uniqueness_pct:g}%",
-            actual=unique,
+            "format_string('%.2f%% unique', uniqueness_pct)",
+            status=_pass_if(f"uniqueness_pct >= {p.id_uniqueness_pct}"),
+            threshold=f">={p.id_uniqueness_pct:g}%",
+            actual="uniqueness_pct",
         ),
         Rule(
             ALERT,
             "binary_domain",
-            numeric & name.rlike(policy.binary_pattern) & ((low < 0) | (high > 1)),
-            F.format_string("values outside [0,1]: %.2f to %.2f", low, high),
+            f"{numeric} AND {named(p.binary_pattern)} AND (min_num < 0 OR max_num > 1)",
+            "format_string('values outside [0,1]: %.2f to %.2f', min_num, max_num)",
             "ERROR",
-            actual=F.when(high > 1, high).otherwise(low),
+            actual="CASE WHEN max_num > 1 THEN max_num ELSE min_num END",
         ),
         Rule(
             ALERT,
             "non_positive",
-            numeric & name.rlike(policy.non_positive_pattern) & (high > 0),
-            F.format_string("positive values: max=%.2f", high),
+            f"{numeric} AND {named(p.non_positive_pattern)} AND max_num > 0",
+            "format_string('positive values: max=%.2f', max_num)",
             "WARNING",
-            actual=high,
+            actual="max_num",
         ),
         Rule(
             ALERT,
             "non_negative",
-            numeric & name.rlike(policy.non_negative_pattern) & (low < 0),
-            F.format_string("negative amounts: min=%.2f", low),
+            f"{numeric} AND {named(p.non_negative_pattern)} AND min_num < 0",
+            "format_string('negative amounts: min=%.2f', min_num)",
             "WARNING",
-            actual=low,
+            actual="min_num",
         ),
         Rule(
             ALERT,
             "constant",
-            numeric & (span == 0),
-            F.format_string("constant value: %.2f", low),
+            f"{numeric} AND range_span = 0",
+            "format_string('constant value: %.2f', min_num)",
             "INFO",
-            actual=low,
+            actual="min_num",
         ),
         Rule(
             CHECK,
             "numeric_range_validation",
             numeric,
-            F.format_string("%.2f to %.2f, mean %.2f", low, high, F.col("mean")),
-            status=F.lit(PASS),
-            actual=span,
+            "format_string('%.2f to %.2f, mean %.2f', min_num, max_num, mean)",
+            status=f"'{PASS}'",
+            actual="range_span",
         ),
         Rule(
             ALERT,
             "empty_string",
-            string & (F.col("min_len") == 0),
-            F.lit("contains empty strings"),
+            f"{string} AND min_len = 0",
+            "'contains empty strings'",
             "WARNING",
-            actual=F.col("min_len"),
+            actual="min_len",
         ),
         Rule(
             ALERT,
             "long_string",
-            string & (F.col("max_len") > policy.long_string),
-            F.format_string("very long strings (max: %d)", F.col("max_len")),
+            f"{string} AND max_len > {p.long_string}",
+            "format_string('very long strings (max: %d)', max_len)",
             "INFO",
-            actual=F.col("max_len"),
+            actual="max_len",
         ),
         Rule(
             CHECK,
             "string_length_validation",
             string,
-            F.format_string("%d to %d characters", F.col("min_len"), F.col("max_len")),
-            status=F.lit(PASS),
-            actual=F.col("max_len"),
+            "format_string('%d to %d characters', min_len, max_len)",
+            status=f"'{PASS}'",
+            actual="max_len",
         ),
     ]
 
 
+def _findings_text(rules: Iterable[Rule]) -> str:
+    return "filter(array(" + ", ".join(r.finding() for r in rules) + "), f -> f IS NOT NULL)"
+
+
 def _run_key(df: DataFrame) -> list[str]:
     return ["run_id"] if "run_id" in df.columns else []
 
@@ -206,23 +208,19 @@ def column_findings(
     """Alerts and checks as rows; ``only`` keeps some check types."""
     wanted = None if only is None else set(only)
     rules = [r for r in column_rules(policy) if wanted is None or r.check_type in wanted]
-    found = F.filter(F.array(*[r.finding() for r in rules]), lambda f: f.isNotNull())
-    return profile.select(*_run_key(profile), "table_name", "column_name", F.inline(found))
+    return profile.selectExpr(
+        *_run_key(profile), "table_name", "column_name", f"inline({_findings_text(rules)})"
+    )
 
 
 def with_findings(profile: DataFrame, policy: Policy = Policy()) -> DataFrame:
     """The profile with its findings as one array per column, and their counts."""
-    found = F.filter(F.array(*[r.finding() for r in column_rules(policy)]), lambda f: f.isNotNull())
-
-    def counted(test) -> Column:
-        return F.size(F.filter("findings", test))
-
-    return profile.withColumn("findings", found).withColumns(
-        {
-            "critical_alerts": counted(lambda f: f.severity == "CRITICAL"),
-            "warning_alerts": counted(lambda f: f.severity == "WARNING"),
-            "failed_checks": counted(lambda f: f.status == FAIL),
-        }
+    found = profile.withColumn("findings", F.expr(_findings_text(column_rules(policy))))
+    return found.selectExpr(
+        "*",
+        "size(filter(findings, f -> f.severity = 'CRITICAL')) AS critical_alerts",
+        "size(filter(findings, f -> f.severity = 'WARNING')) AS warning_alerts",
+        f"size(filter(findings, f -> f.status = '{FAIL}')) AS failed_checks",
     )
 
 
@@ -259,8 +257,8 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     """A few configured rows as a table inside the plan."""
     names = [part.split()[0] for part in schema.split(",")]
     kind = "array<struct<" + ",".join(":".join(p.split(None, 1)) for p in schema.split(",")) + ">>"
-    values = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*values).cast(kind)))
+    values = text.structs([{n: text.literal(v) for n, v in zip(names, row)} for row in rows])
+    return spark.range(1).selectExpr(f"inline(CAST({values} AS {kind}))")
 
 
 def null_limit_checks(profile: DataFrame, limits: DataFrame) -> DataFrame:
@@ -275,7 +273,7 @@ def null_limit_checks(profile: DataFrame, limits: DataFrame) -> DataFrame:
         "null_pct",
         "limit_pct",
         "is_critical",
-        _pass_if(F.col("null_pct") <= F.col("limit_pct")).alias("status"),
+        F.expr(_pass_if("null_pct <= limit_pct")).alias("status"),
     )
 
 
@@ -304,7 +302,7 @@ def volume_checks(
         "record_count",
         "min_threshold",
         "max_threshold",
-        _pass_if(n.between(lo, hi)).alias("status"),
+        F.expr(_pass_if("record_count BETWEEN min_threshold AND max_threshold")).alias("status"),
         F.when(n < lo, below).when(n > hi, above).otherwise(within).alias("message"),
     )
 

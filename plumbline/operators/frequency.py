@@ -7,8 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.functions import text
 from plumbline.functions.scalars import percent
-from plumbline.functions.schema import STRING, column_specs, quoted
+from plumbline.functions.schema import STRING, column_specs
 
 # Fixed value: how a null is shown among the frequent values.
 NULL_TEXT = "None"
@@ -24,15 +25,14 @@ def value_frequencies(
     """
     if columns is None:
         columns = [s.name for s in column_specs(df) if s.kind == STRING]
-    names = list(columns)
-    cells = F.array(
-        *[
-            F.struct(F.lit(name).alias("column_name"), F.col(quoted(name)).cast("string").alias("value"))
-            for name in names
+    cells = text.structs(
+        [
+            {"column_name": text.literal(n), "value": f"CAST({text.name(n)} AS STRING)"}
+            for n in columns
         ]
     )
     counts = (
-        df.select(F.inline(cells))
+        df.selectExpr(f"inline({cells})")
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("value_count"))
     )
@@ -64,7 +64,7 @@ def most_frequent(frequencies: DataFrame) -> DataFrame:
 
 def word_count(df: DataFrame, column: str) -> DataFrame:
     """Occurrences of each word; words are separated by blanks, tabs and line ends."""
-    words = F.explode(F.split(F.col(quoted(column)), r"[ \t\n\r\f]+"))
+    words = F.explode(F.split(F.col(text.name(column)), r"[ \t\n\r\f]+"))
     return (
         df.select(words.alias("word"))
         .where(F.col("word") != "")

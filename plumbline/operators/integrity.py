@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import percent
-from plumbline.functions.schema import quoted
+from plumbline.functions.text import name as quoted
 from plumbline.operators.checks import FAIL, PASS
 from plumbline.operators.skew import salted_join
 

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.schema import NUMERIC, column_specs, quoted
+from plumbline.functions import text
+from plumbline.functions.schema import NUMERIC, column_specs
 
 
 def _numeric_columns(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
@@ -18,11 +19,11 @@ def _numeric_columns(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
 
 def _spread(df: DataFrame, names: list[str]) -> Column:
     """Mean and sample deviation of the columns, as one row that the second scan reads as a constant."""
-    fields = []
-    for i, name in enumerate(names):
-        cell = F.col(quoted(name)).cast("double")
-        fields += [F.avg(cell).alias(f"mean_{i}"), F.stddev(cell).alias(f"sd_{i}")]
-    return df.agg(F.struct(*fields).alias("spread")).scalar()
+    fields = ", ".join(
+        f"'mean_{i}', avg(CAST({text.name(n)} AS DOUBLE)), 'sd_{i}', stddev(CAST({text.name(n)} AS DOUBLE))"
+        for i, n in enumerate(names)
+    )
+    return df.agg(F.expr(f"named_struct({fields}) AS spread")).scalar()
 
 
 def outlier_counts(
@@ -31,33 +32,31 @@ def outlier_counts(
     """Rows per numeric column beyond ``k`` sample deviations from the mean."""
     names = _numeric_columns(df, columns)
     spread = _spread(df, names)
-    cells = [F.col(quoted(n)).cast("double").alias(f"cell_{i}") for i, n in enumerate(names)]
-    counts = [
-        F.count_if(
-            F.abs(F.col(f"cell_{i}") - F.col(f"spread.mean_{i}")) > k * F.col(f"spread.sd_{i}")
-        ).alias(f"outliers_{i}")
-        for i in range(len(names))
-    ]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col(f"spread.mean_{i}").alias("mean"),
-                F.col(f"spread.sd_{i}").alias("stddev"),
-                F.col(f"outliers_{i}").alias("outlier_count"),
-            )
-            for i, name in enumerate(names)
-        ]
+    counts = ", ".join(
+        f"'{i}', count_if(abs(CAST({text.name(n)} AS DOUBLE) - spread.mean_{i}) > {k!r}D * spread.sd_{i})"
+        for i, n in enumerate(names)
     )
-    counted = df.select(*cells, spread.alias("spread")).agg(*counts).withColumn("spread", spread)
-    return counted.select(F.lit(table).alias("table_name"), F.inline(rows))
+    counted = (
+        df.select(*[F.expr(text.name(n)) for n in names], spread.alias("spread"))
+        .agg(F.expr(f"named_struct({counts}) AS beyond"))
+        .withColumn("spread", spread)
+    )
+    rows = [
+        {
+            "column_name": text.literal(n),
+            "mean": f"spread.mean_{i}",
+            "stddev": f"spread.sd_{i}",
+            "outlier_count": f"beyond.`{i}`",
+        }
+        for i, n in enumerate(names)
+    ]
+    return counted.selectExpr(f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})")
 
 
 def zscore_rows(df: DataFrame, column: str, k: float = 3.0) -> DataFrame:
     """The rows whose value lies more than ``k`` deviations from the mean, with their z-score."""
-    cell = F.col(quoted(column)).cast("double")
     known = df.withColumn("spread", _spread(df, [column]))
     # No deviation at all: no row has a z-score.
-    z_score = F.try_divide(cell - F.col("spread.mean_0"), F.col("spread.sd_0"))
-    scored = known.withColumn("z_score", z_score).drop("spread")
+    z_score = f"try_divide(CAST({text.name(column)} AS DOUBLE) - spread.mean_0, spread.sd_0)"
+    scored = known.withColumn("z_score", F.expr(z_score)).drop("spread")
     return scored.where(F.abs(F.col("z_score")) > k)

@@ -1,32 +1,25 @@
-"""Column profiles: one long row per column (and per group, if asked), from one scan.
+"""Column profiles: one long row per column (and per run, if asked), from one scan per table.
 
 Two plans give the same figures:
 
-* ``distinct="exact"``: the cells of all columns become rows ``(column, value)`` and are counted
-  per value. The map side already collapses repeated values, so a value that fills a third of the
-  table reaches the shuffle once per task, and rows stay four fields wide however wide the table
-  is. All statistics but the standard deviation follow from the counted values.
-* ``distinct="approx"`` or ``"none"``: one aggregate over the table with a fixed-size buffer per
-  column. Only one row per task (and group) is shuffled.
+* ``distinct="exact"``: the cells of all columns of all tables become rows ``(column, value)`` and
+  are counted per value, in one shuffle. The map side already collapses repeated values, so a value
+  that fills a third of a table reaches the shuffle once per task, and rows stay a few fields wide
+  however wide the table is. All statistics but the standard deviation follow from the counts.
+* ``distinct="approx"`` or ``"none"``: one aggregate per table with a fixed-size buffer per column.
+  Only one row per task (and run) is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.scalars import percent, plain_zero
-from plumbline.functions.schema import (
-    METADATA_COLUMNS,
-    NUMERIC,
-    STRING,
-    ColumnSpec,
-    column_specs,
-    quoted,
-)
+from plumbline.functions import text
+from plumbline.functions.schema import METADATA_COLUMNS, NUMERIC, STRING, ColumnSpec, column_specs
 
 # Texts longer than this are counted by digest, so that the shuffle carries 65 characters instead.
 DIGEST_ABOVE = 64
@@ -59,12 +52,16 @@ PROFILE_FIELDS = (
 RANGE, SIGNS, SPREAD, LENGTHS, BLANKS = "range", "signs", "spread", "lengths", "blanks"
 ALL_STATS = (RANGE, SIGNS, SPREAD, LENGTHS, BLANKS)
 # What counts as a blank string.
-BLANK_VALUES = ("", " ")
+BLANKS_SQL = "('', ' ')"
+
 
+def column_profile(df: DataFrame, table: str, **options) -> DataFrame:
+    """Profile every business column of a table; see ``profile_tables`` for the options."""
+    return profile_tables({table: df}, **options)
 
-def column_profile(
-    df: DataFrame,
-    table: str,
+
+def profile_tables(
+    tables: Mapping[str, DataFrame],
     *,
     by: str | None = None,
     distinct: str = "exact",
@@ -72,275 +69,277 @@ def column_profile(
     max_columns: int | None = None,
     skip: Iterable[str] = METADATA_COLUMNS,
 ) -> DataFrame:
-    """Profile every business column of a table.
+    """Profile every business column of several tables, as one plan.
 
-    ``by`` names a column that splits the table into groups, such as runs or days: each group is
-    profiled on its own, in the same job.
+    ``by`` names a column that splits the tables into runs: each run is profiled on its own, in the
+    same job. ``stats`` limits the statistics of the aggregate plan, ``max_columns`` the columns.
     """
-    specs = column_specs(df, skip=[*skip, *([by] if by else [])], max_columns=max_columns)
+    hidden = [*skip, *([by] if by else [])]
+    specs = {t: column_specs(df, skip=hidden, max_columns=max_columns) for t, df in tables.items()}
     if distinct == "exact":
-        long = _from_value_counts(df, specs, by)
+        long = _from_value_counts(tables, specs, by)
     elif distinct in ("approx", "none"):
-        long = _from_aggregate(df, specs, by, distinct == "approx", frozenset(stats))
+        long = _from_aggregates(tables, specs, by, distinct == "approx", frozenset(stats))
     else:
         raise ValueError(f"unknown distinct mode: {distinct}")
-    return _finish(long, table, by)
+    derived = {
+        "null_pct": text.percent("null_count", "total_rows"),
+        "non_null_count": "total_rows - null_count",
+        # A column without any value is not judged for uniqueness.
+        "distinct_count": "CASE WHEN total_rows > null_count THEN distinct_count END",
+        "uniqueness_pct": "CASE WHEN total_rows > null_count THEN "
+        + text.percent("distinct_count", "total_rows")
+        + " END",
+        # Adding zero turns -0.0 into 0.0.
+        "min_num": "min_num + 0D",
+        "max_num": "max_num + 0D",
+        "mean": "mean + 0D",
+        "range_span": "max_num - min_num",
+    }
+    keys = ["run_id"] if by else []
+    return long.selectExpr(*keys, *[f"{derived.get(f, f)} AS {f}" for f in PROFILE_FIELDS])
 
 
-def profile_tables(tables: dict[str, DataFrame], **options) -> DataFrame:
-    """Profiles of several tables as one plan."""
-    profiles = [column_profile(df, name, **options) for name, df in tables.items()]
-    result = profiles[0]
-    for other in profiles[1:]:
-        result = result.unionByName(other)
+def _union(parts: list[DataFrame]) -> DataFrame:
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
     return result
 
 
-def column_rows(df: DataFrame, specs: list[ColumnSpec]) -> DataFrame:
-    """The profiled columns as rows of a table."""
-    fields = "array<struct<ordinal:int,column_name:string,data_type:string,kind:string,countable:boolean>>"
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(s.ordinal).alias("ordinal"),
-                F.lit(s.name).alias("column_name"),
-                F.lit(s.type_name).alias("data_type"),
-                F.lit(s.kind).alias("kind"),
-                F.lit(s.countable).alias("countable"),
-            )
-            for s in specs
-        ]
-    ).cast(fields)
-    return df.sparkSession.range(1).select(F.inline(rows))
-
-
 # --- counted values -------------------------------------------------------------------------
 
+_NO_LONG, _NO_DOUBLE, _NO_TEXT = (
+    "CAST(NULL AS BIGINT)",
+    "CAST(NULL AS DOUBLE)",
+    "CAST(NULL AS STRING)",
+)
+
 
-def _lanes(spec: ColumnSpec) -> tuple[Column, Column, Column]:
+def _lanes(spec: ColumnSpec) -> tuple[str, str, str]:
     """A cell as (long, double, text); all three are null only for a null cell.
 
     The three fields together identify the value. A text carries its length in the first field.
     """
-    cell = F.col(quoted(spec.name))
-    none = {t: F.lit(None).cast(t) for t in ("bigint", "double", "string")}
-    data_type = spec.data_type
+    cell, data_type = text.name(spec.name), spec.data_type
     if isinstance(data_type, T.IntegralType):
-        return cell.cast("bigint"), none["double"], none["string"]
-    if isinstance(data_type, T.FractionalType) and not isinstance(data_type, T.DecimalType):
-        return none["bigint"], cell.cast("double"), none["string"]
+        return f"CAST({cell} AS BIGINT)", _NO_DOUBLE, _NO_TEXT
+    if isinstance(data_type, T.DecimalType):
+        return _NO_LONG, f"CAST({cell} AS DOUBLE)", f"CAST({cell} AS STRING)"
+    if isinstance(data_type, T.FractionalType):
+        return _NO_LONG, f"CAST({cell} AS DOUBLE)", _NO_TEXT
     if isinstance(data_type, T.BooleanType):
-        return cell.cast("int").cast("bigint"), none["double"], none["string"]
+        return f"CAST(CAST({cell} AS INT) AS BIGINT)", _NO_DOUBLE, _NO_TEXT
     if isinstance(data_type, T.DateType):
-        return F.unix_date(cell).cast("bigint"), none["double"], none["string"]
+        return f"CAST(unix_date({cell}) AS BIGINT)", _NO_DOUBLE, _NO_TEXT
     if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(cell), none["double"], none["string"]
-    if isinstance(data_type, T.DecimalType):
-        return none["bigint"], cell.cast("double"), cell.cast("string")
+        return f"unix_micros({cell})", _NO_DOUBLE, _NO_TEXT
     if spec.kind == STRING:
-        length = F.length(cell)
-        return length.cast("bigint"), none["double"], _digest(cell, length)
+        return f"CAST(length({cell}) AS BIGINT)", _NO_DOUBLE, _digest(cell)
     if not spec.countable:
-        return F.when(cell.isNotNull(), F.lit(1).cast("bigint")), none["double"], none["string"]
+        return f"CASE WHEN {cell} IS NOT NULL THEN 1L END", _NO_DOUBLE, _NO_TEXT
     if isinstance(data_type, T.BinaryType):
-        text = F.hex(cell)
-    elif isinstance(data_type, (T.ArrayType, T.StructType)):
-        text = F.when(cell.isNotNull(), F.to_json(F.struct(cell.alias("v"))))
-    else:
-        return none["bigint"], none["double"], cell.cast("string")
-    return none["bigint"], none["double"], _digest(text, F.length(text))
+        return _NO_LONG, _NO_DOUBLE, _digest(f"hex({cell})")
+    if isinstance(data_type, (T.ArrayType, T.StructType)):
+        return _NO_LONG, _NO_DOUBLE, _digest(_json(cell))
+    return _NO_LONG, _NO_DOUBLE, f"CAST({cell} AS STRING)"
 
 
-def _digest(text: Column, length: Column) -> Column:
-    return F.when(length > DIGEST_ABOVE, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+def _json(cell: str) -> str:
+    return f"CASE WHEN {cell} IS NOT NULL THEN to_json(struct({cell} AS v)) END"
 
 
-def _value_counts(df: DataFrame, specs: list[ColumnSpec], by: str | None) -> DataFrame:
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(spec.ordinal).alias("ordinal"),
-                *[lane.alias(n) for lane, n in zip(_lanes(spec), ("v_long", "v_double", "v_text"))],
-            )
-            for spec in specs
-        ]
-    )
-    keys = [F.col(quoted(by)).alias("group_key")] if by else []
-    return (
-        df.select(*keys, F.inline(cells))
-        .groupBy(*(["group_key"] if by else []), "ordinal", "v_long", "v_double", "v_text")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+def _digest(value: str) -> str:
+    return f"CASE WHEN length({value}) > {DIGEST_ABOVE} THEN concat('#', sha2({value}, 256)) ELSE {value} END"
 
 
-def _from_value_counts(df: DataFrame, specs: list[ColumnSpec], by: str | None) -> DataFrame:
-    n = F.col("n")
-    v_long, v_double, v_text = F.col("v_long"), F.col("v_double"), F.col("v_text")
-    is_null = v_long.isNull() & v_double.isNull() & v_text.isNull()
-    number = F.coalesce(v_double, v_long.cast("double"))
-    keys = ["group_key"] if by else []
-    per_column = (
-        _value_counts(df, specs, by)
-        .groupBy(*keys, "ordinal")
-        .agg(
-            F.sum(n).alias("total_rows"),
-            F.sum(F.when(is_null, n).otherwise(0)).alias("null_count"),
-            F.count(F.lit(1)).alias("distinct_values"),
-            F.min(v_long).alias("min_long"),
-            F.max(v_long).alias("max_long"),
-            F.min(v_double).alias("min_double"),
-            F.max(v_double).alias("max_double"),
-            F.sum(number * n).alias("weighted_sum"),
-            F.sum(F.when(number < 0, n).otherwise(0)).alias("negatives"),
-            F.sum(F.when(v_text.isin(*BLANK_VALUES), n).otherwise(0)).alias("blanks"),
-        )
+def _column_names(df: DataFrame, specs: dict[str, list[ColumnSpec]]) -> DataFrame:
+    """The profiled columns as rows of a table."""
+    rows = [
+        {
+            "table_id": str(table_id),
+            "ordinal": str(s.ordinal),
+            "table_name": text.literal(table),
+            "column_name": text.literal(s.name),
+            "data_type": text.literal(s.type_name),
+            "kind": text.literal(s.kind),
+            "countable": text.literal(s.countable),
+        }
+        for table_id, (table, found) in enumerate(specs.items())
+        for s in found
+    ]
+    return df.sparkSession.range(1).selectExpr(f"inline({text.structs(rows)})")
+
+
+def _cells(df: DataFrame, table_id: int, specs: list[ColumnSpec], by: str | None) -> DataFrame:
+    rows = [
+        {"ordinal": str(s.ordinal)} | dict(zip(("v_long", "v_double", "v_text"), _lanes(s)))
+        for s in specs
+    ]
+    keys = [f"{text.name(by)} AS run_id"] if by else []
+    return df.selectExpr(*keys, f"{table_id} AS table_id", f"inline({text.structs(rows)})")
+
+
+_NUMBER = "coalesce(v_double, CAST(v_long AS DOUBLE))"
+_PER_COLUMN = {
+    "total_rows": "sum(n)",
+    "null_count": "sum(CASE WHEN v_long IS NULL AND v_double IS NULL AND v_text IS NULL THEN n ELSE 0 END)",
+    "distinct_values": "count(1)",
+    "min_long": "min(v_long)",
+    "max_long": "max(v_long)",
+    "min_double": "min(v_double)",
+    "max_double": "max(v_double)",
+    "weighted_sum": f"sum({_NUMBER} * n)",
+    "negatives": f"sum(CASE WHEN {_NUMBER} < 0 THEN n ELSE 0 END)",
+    "blanks": f"sum(CASE WHEN v_text IN {BLANKS_SQL} THEN n ELSE 0 END)",
+}
+_MEAN = "try_divide(weighted_sum, total_rows - null_count)"
+_FROM_COUNTS = {
+    "distinct_count": "CASE WHEN countable THEN coalesce(distinct_values, 0) END",
+    "min_num": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(min_double, CAST(min_long AS DOUBLE)) END",
+    "max_num": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(max_double, CAST(max_long AS DOUBLE)) END",
+    "mean": f"CASE WHEN kind = '{NUMERIC}' THEN {_MEAN} END",
+    "stddev": "CAST(NULL AS DOUBLE)",
+    "negative_count": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(negatives, 0) END",
+    "min_len": f"CASE WHEN kind = '{STRING}' THEN CAST(min_long AS INT) END",
+    "max_len": f"CASE WHEN kind = '{STRING}' THEN CAST(max_long AS INT) END",
+    "avg_len": f"CASE WHEN kind = '{STRING}' THEN {_MEAN} END",
+    "blank_count": f"CASE WHEN kind = '{STRING}' THEN coalesce(blanks, 0) END",
+}
+
+
+def _from_value_counts(
+    tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None
+) -> DataFrame:
+    cells = _union(
+        [_cells(df, i, specs[table], by) for i, (table, df) in enumerate(tables.items()) if specs[table]]
     )
-    # A table without rows has no values to count: the column list keeps its columns in the result.
-    names = column_rows(df, specs)
-    joined = (
-        per_column.join(names, "ordinal")
-        if by
-        else names.join(per_column, "ordinal", "left").na.fill(0, ["total_rows", "null_count"])
+    keys = ["run_id"] if by else []
+    per_column = (
+        cells.groupBy(*keys, "table_id", "ordinal", "v_long", "v_double", "v_text")
+        .agg(F.expr("count(1) AS n"))
+        .groupBy(*keys, "table_id", "ordinal")
+        .agg(*[F.expr(f"{e} AS {f}") for f, e in _PER_COLUMN.items()])
     )
-    non_null = F.col("total_rows") - F.col("null_count")
-    numeric, string = F.col("kind") == NUMERIC, F.col("kind") == STRING
-    mean = F.try_divide(F.col("weighted_sum"), non_null)
-    return joined.select(
+    # A table without rows has no values to count: the list of columns keeps it in the result.
+    names = _column_names(cells, specs)
+    joined = names.join(per_column, ["table_id", "ordinal"], "inner" if by else "left")
+    return joined.na.fill(0, ["total_rows", "null_count"]).selectExpr(
         *keys,
-        "ordinal",
+        "table_name",
         "column_name",
+        "ordinal",
         "data_type",
         "kind",
         "total_rows",
         "null_count",
-        F.when(F.col("countable"), F.coalesce("distinct_values", F.lit(0))).alias("distinct_count"),
-        F.when(numeric, F.coalesce("min_double", F.col("min_long").cast("double"))).alias("min_num"),
-        F.when(numeric, F.coalesce("max_double", F.col("max_long").cast("double"))).alias("max_num"),
-        F.when(numeric, mean).alias("mean"),
-        F.lit(None).cast("double").alias("stddev"),
-        F.when(numeric, F.coalesce("negatives", F.lit(0))).alias("negative_count"),
-        F.when(string, F.col("min_long").cast("int")).alias("min_len"),
-        F.when(string, F.col("max_long").cast("int")).alias("max_len"),
-        F.when(string, mean).alias("avg_len"),
-        F.when(string, F.coalesce("blanks", F.lit(0))).alias("blank_count"),
+        *[f"{e} AS {f}" for f, e in _FROM_COUNTS.items()],
     )
 
 
 # --- one aggregate --------------------------------------------------------------------------
 
 _STAT_TYPES = {
-    "non_null": "bigint",
-    "distinct_count": "bigint",
-    "min_num": "double",
-    "max_num": "double",
-    "mean": "double",
-    "stddev": "double",
-    "negative_count": "bigint",
-    "min_len": "int",
-    "max_len": "int",
-    "avg_len": "double",
-    "blank_count": "bigint",
+    "non_null": "BIGINT",
+    "distinct_count": "BIGINT",
+    "min_num": "DOUBLE",
+    "max_num": "DOUBLE",
+    "mean": "DOUBLE",
+    "stddev": "DOUBLE",
+    "negative_count": "BIGINT",
+    "min_len": "INT",
+    "max_len": "INT",
+    "avg_len": "DOUBLE",
+    "blank_count": "BIGINT",
 }
 
 
-def _column_aggregates(spec: ColumnSpec, approx: bool, stats: frozenset[str]) -> dict[str, Column]:
-    cell = F.col(quoted(spec.name))
-    found = {"non_null": F.count(cell)}
+def _aggregates(spec: ColumnSpec, approx: bool, stats: frozenset[str]) -> dict[str, str]:
+    cell = text.name(spec.name)
+    found = {"non_null": f"count({cell})"}
     if approx and spec.countable:
-        has_null = F.max(F.when(cell.isNull(), 1).otherwise(0))
-        found["distinct_count"] = F.approx_count_distinct(_hashable(spec, cell), 0.02) + F.coalesce(has_null, F.lit(0))
+        nested = isinstance(spec.data_type, (T.ArrayType, T.StructType))
+        estimate = f"approx_count_distinct({_json(cell) if nested else cell}, 0.02)"
+        found["distinct_count"] = f"{estimate} + coalesce(max(CASE WHEN {cell} IS NULL THEN 1 ELSE 0 END), 0)"
     if spec.kind == NUMERIC:
         if RANGE in stats:
-            found |= {"min_num": F.min(cell), "max_num": F.max(cell), "mean": F.avg(cell)}
+            found |= {"min_num": f"min({cell})", "max_num": f"max({cell})", "mean": f"avg({cell})"}
         if SPREAD in stats:
-            found["stddev"] = F.stddev(cell)
+            found["stddev"] = f"stddev({cell})"
         if SIGNS in stats:
-            found["negative_count"] = F.count_if(cell < 0)
+            found["negative_count"] = f"count_if({cell} < 0)"
     elif spec.kind == STRING:
         if LENGTHS in stats:
-            length = F.length(cell)
-            found |= {"min_len": F.min(length), "max_len": F.max(length), "avg_len": F.avg(length)}
+            length = f"length({cell})"
+            found |= {"min_len": f"min({length})", "max_len": f"max({length})", "avg_len": f"avg({length})"}
         if BLANKS in stats:
-            found["blank_count"] = F.count_if(cell.isin(*BLANK_VALUES))
+            found["blank_count"] = f"count_if({cell} IN {BLANKS_SQL})"
     return found
 
 
-def _hashable(spec: ColumnSpec, cell: Column) -> Column:
-    nested = isinstance(spec.data_type, (T.ArrayType, T.StructType))
-    return F.to_json(F.struct(cell.alias("v"))) if nested else cell
+def _from_aggregates(
+    tables: Mapping[str, DataFrame],
+    specs: dict[str, list[ColumnSpec]],
+    by: str | None,
+    approx: bool,
+    stats: frozenset[str],
+) -> DataFrame:
+    parts = [_aggregated(df, t, specs[t], by, approx, stats) for t, df in tables.items() if specs[t]]
+    return _union(parts).withColumn("null_count", F.expr("total_rows - non_null"))
 
 
-def _from_aggregate(
-    df: DataFrame, specs: list[ColumnSpec], by: str | None, approx: bool, stats: frozenset[str]
+def _aggregated(
+    df: DataFrame, table: str, specs: list[ColumnSpec], by: str | None, approx: bool, stats: frozenset[str]
 ) -> DataFrame:
-    wanted = {spec: _column_aggregates(spec, approx, stats) for spec in specs}
-    aggregates = [F.count(F.lit(1)).alias("total_rows")]
-    aggregates += [
-        expr.alias(f"{spec.ordinal}_{stat}") for spec, found in wanted.items() for stat, expr in found.items()
-    ]
-    groups = [F.col(quoted(by)).alias("group_key")] if by else []
-    wide = df.groupBy(*groups).agg(*aggregates)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(spec.ordinal).alias("ordinal"),
-                F.lit(spec.name).alias("column_name"),
-                F.lit(spec.type_name).alias("data_type"),
-                F.lit(spec.kind).alias("kind"),
-                *[
-                    (F.col(quoted(f"{spec.ordinal}_{stat}")) if stat in found else F.lit(None))
-                    .cast(kind)
-                    .alias(stat)
-                    for stat, kind in _STAT_TYPES.items()
-                ],
-            )
-            for spec, found in wanted.items()
-        ]
+    wanted = {spec: _aggregates(spec, approx, stats) for spec in specs}
+    # All statistics are fields of one struct, so that a wide table is one expression to build.
+    fields = {f"{spec.ordinal}_{s}": e for spec, found in wanted.items() for s, e in found.items()}
+    figures = ", ".join(f"{text.literal(f)}, {e}" for f, e in fields.items())
+    groups = [F.expr(f"{text.name(by)} AS run_id")] if by else []
+    wide = df.groupBy(*groups).agg(
+        F.expr("count(1) AS total_rows"), F.expr(f"named_struct({figures}) AS figures")
     )
-    keys = ["group_key"] if by else []
-    return (
-        wide.select(*keys, "total_rows", F.inline(rows))
-        .withColumn("null_count", F.col("total_rows") - F.col("non_null"))
-        .drop("non_null")
+    rows = [
+        {
+            "column_name": text.literal(spec.name),
+            "ordinal": str(spec.ordinal),
+            "data_type": text.literal(spec.type_name),
+            "kind": text.literal(spec.kind),
+        }
+        | {
+            s: f"CAST({f'figures.`{spec.ordinal}_{s}`' if s in found else 'NULL'} AS {kind})"
+            for s, kind in _STAT_TYPES.items()
+        }
+        for spec, found in wanted.items()
+    ]
+    keys = ["run_id"] if by else []
+    return wide.selectExpr(
+        *keys, f"{text.literal(table)} AS table_name", "total_rows", f"inline({text.structs(rows)})"
     )
 
 
-def _finish(long: DataFrame, table: str, by: str | None) -> DataFrame:
-    non_null = F.col("total_rows") - F.col("null_count")
-    derived = {
-        "table_name": F.lit(table),
-        "non_null_count": non_null,
-        "null_pct": percent(F.col("null_count"), F.col("total_rows")),
-        # A column without any value is not judged for uniqueness.
-        "distinct_count": F.when(non_null > 0, F.col("distinct_count")),
-        "uniqueness_pct": F.when(non_null > 0, percent(F.col("distinct_count"), F.col("total_rows"))),
-        "min_num": plain_zero(F.col("min_num")),
-        "max_num": plain_zero(F.col("max_num")),
-        "mean": plain_zero(F.col("mean")),
-        "range_span": F.col("max_num") - F.col("min_num"),
-    }
-    keys = [F.col("group_key").alias("run_id")] if by else []
-    return long.withColumns(derived).select(*keys, *PROFILE_FIELDS)
+# --- long form ------------------------------------------------------------------------------
+
+LONG_STATS = (
+    "total_rows",
+    "null_count",
+    "null_pct",
+    "non_null_count",
+    "distinct_count",
+    "uniqueness_pct",
+    "min_num",
+    "max_num",
+    "mean",
+    "range_span",
+    "min_len",
+    "max_len",
+    "avg_len",
+    "data_quality_score",
+)
 
 
 def profile_long(profile: DataFrame, keys: Iterable[str] = ("table_name", "column_name")) -> DataFrame:
     """Numeric statistics of a profile as rows ``(keys…, stat, value)``; missing ones are left out."""
-    stats = [
-        "total_rows",
-        "null_count",
-        "null_pct",
-        "non_null_count",
-        "distinct_count",
-        "uniqueness_pct",
-        "min_num",
-        "max_num",
-        "mean",
-        "range_span",
-        "min_len",
-        "max_len",
-        "avg_len",
-        "data_quality_score",
-    ]
-    present = [s for s in stats if s in profile.columns]
-    wide = profile.select(*keys, *[F.col(s).cast("double").alias(s) for s in present])
-    return wide.unpivot(list(keys), present, "stat", "value").where(F.col("value").isNotNull())
+    present = [s for s in LONG_STATS if s in profile.columns]
+    wide = profile.selectExpr(*keys, *[f"CAST({s} AS DOUBLE) AS {s}" for s in present])
+    return wide.unpivot(list(keys), present, "stat", "value").where("value IS NOT NULL")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import hash_unit, in_hash_sample, percent
-from plumbline.functions.schema import quoted
+from plumbline.functions.text import name as quoted
 
 # Share of each loan table in a daily snapshot.
 LOAN_SAMPLE_RATES = {

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.scalars import age_hours, percent
-from plumbline.functions.schema import column_specs, quoted
+from plumbline.functions.schema import column_specs
+from plumbline.functions.text import name as quoted
 from plumbline.operators.checks import FAIL, PASS, SKIP
 from plumbline.plans.policy import FRESHNESS_HOURS, RANGE_TOLERANCE_PCT, Range
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from plumbline.functions.scalars import percent
-from plumbline.functions.schema import quoted
+from plumbline.functions.text import name as quoted
 from plumbline.plans.policy import RANGE_TOLERANCE_PCT, Range
 
 
