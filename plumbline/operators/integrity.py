@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,25 +87,24 @@ def date_order_check(
     later: str,
     earlier: str,
     table: str,
+    spread_by: Iterable[str] = (),
 ) -> DataFrame:
-    """Child rows whose date lies before the date of their parent row.
+    """Child rows whose date lies before the date of their parent row, whose key is unique.
 
-    Rows with the same key and date are counted first; a key that still has many dates is salted.
-    The parent's key is unique.
+    The rows of a key that fills a large part of the child are salted by their date and by the
+    columns in ``spread_by``: name some that differ within such a key.
     """
-    dates = (
-        child.select(F.col(quoted(on[0])).alias("key_value"), F.col(quoted(later)).alias("later"))
-        .groupBy("key_value", "later")
-        .agg(F.count(F.lit(1)).alias("n"))
+    spread = [F.col(quoted(c)).alias(f"spread_{i}") for i, c in enumerate(spread_by)]
+    dates = child.select(
+        F.col(quoted(on[0])).alias("key_value"), F.col(quoted(later)).alias("later"), *spread
     )
     starts = parent.select(
         F.col(quoted(on[1])).alias("key_value"), F.col(quoted(earlier)).alias("earlier")
     )
-    joined = salted_join(dates, starts, ["key_value"], ["later"])
-    broken = F.col("later") < F.col("earlier")
+    joined = salted_join(dates, starts, ["key_value"], dates.columns[1:])
     found = joined.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("checked_rows"),
-        F.coalesce(F.sum(F.when(broken, F.col("n"))), F.lit(0)).alias("violations"),
+        F.count(F.lit(1)).alias("checked_rows"),
+        F.count_if(F.col("later") < F.col("earlier")).alias("violations"),
     )
     return found.select(
         F.lit(table).alias("table_name"),

@@ -207,6 +207,7 @@ def check_date_order(spark, sf_dir):
         "l_shipdate",
         "o_orderdate",
         "lineitem",
+        spread_by=["l_linenumber", "l_partkey"],
     )
     return rounded(found, 2, "violation_pct").drop("check_type")
 

@@ -14,8 +14,9 @@ from plumbline.queries.sql import pct, r
 _NULLS = f"({sql.profile(ASSESSED, distinct=False)})"
 
 
-def _findings(spark, sf_dir, only, distinct="none", stats=()):
-    found = profile.profile_tables(sources(spark, sf_dir, ASSESSED), distinct=distinct, stats=stats)
+def _findings(spark, sf_dir, only, distinct="none", stats=(), named=""):
+    tables = sources(spark, sf_dir, ASSESSED)
+    found = profile.profile_tables(tables, distinct=distinct, stats=stats, named=named)
     return rounded(checks.column_findings(found, POLICY, only), 2, "actual")
 
 
@@ -122,7 +123,7 @@ _IS_ID = "regexp_matches(column_name, '(key|_id)$') AND uniqueness_pct IS NOT NU
         FROM {_EXACT} WHERE {_IS_ID} AND uniqueness_pct < 95""",
 )
 def check_id_uniqueness(spark, sf_dir):
-    found = _findings(spark, sf_dir, ["id_uniqueness"], distinct="exact")
+    found = _findings(spark, sf_dir, ["id_uniqueness"], distinct="exact", named=POLICY.id_pattern)
     return found.select(
         "table_name", "column_name", "record", "severity", "status", "threshold", "actual"
     )
@@ -140,7 +141,7 @@ _NUMERIC = "kind = 'n' AND non_null_count > 0"
           AND (min_num < 0 OR max_num > 1)""",
 )
 def check_domain_01(spark, sf_dir):
-    found = _findings(spark, sf_dir, ["binary_domain"], stats=["range"])
+    found = _findings(spark, sf_dir, ["binary_domain"], stats=["range"], named=POLICY.binary_pattern)
     return found.select("table_name", "column_name", "severity", "message")
 
 

@@ -64,7 +64,7 @@ def export_tables(spark: SparkSession, sources: Mapping[str, str], target: str)
 
 def write_csv(df: DataFrame, path: str) -> None:
     """A report of a few rows per column, as one CSV file with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_documents(df: DataFrame, path: str) -> None:
@@ -74,4 +74,5 @@ def write_documents(df: DataFrame, path: str) -> None:
 
 def write_lines(df: DataFrame, path: str) -> None:
     """Lines of a summary, in the order of ``line_no``, as one text file."""
-    df.coalesce(1).sortWithinPartitions("line_no").select("line").write.mode("overwrite").text(path)
+    ordered = df.repartition(1).sortWithinPartitions("line_no")
+    ordered.select("line").write.mode("overwrite").text(path)
