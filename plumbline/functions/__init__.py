@@ -1,10 +1,10 @@
 from plumbline.functions.scalars import (
     age_hours,
     grouped_number,
+    half_up,
     hash_unit,
     in_hash_sample,
     percent,
-    plain_zero,
 )
 from plumbline.functions.schema import ColumnSpec, METADATA_COLUMNS, business_columns, column_specs
 
@@ -15,8 +15,8 @@ __all__ = [
     "business_columns",
     "column_specs",
     "grouped_number",
+    "half_up",
     "hash_unit",
     "in_hash_sample",
     "percent",
-    "plain_zero",
 ]

@@ -11,9 +11,9 @@ def percent(part: Column, whole: Column) -> Column:
     return F.coalesce(F.try_divide(part, whole) * 100, F.lit(0.0))
 
 
-def plain_zero(value: Column) -> Column:
-    """Turn -0.0 into 0.0 so that both zeros print and compare alike."""
-    return value + F.lit(0.0)
+def half_up(value: Column | str, digits: int) -> Column:
+    """Round half up. The noise of floating point goes first: 3.125 may come as 3.12499999999."""
+    return F.round(F.round(value, 9), digits)
 
 
 def age_hours(latest: Column, as_of: Column) -> Column:

@@ -27,6 +27,11 @@ def percent(part: str, whole: str) -> str:
     return f"coalesce(try_divide({part}, {whole}) * 100, 0D)"
 
 
+def half_up(value: str, digits: int) -> str:
+    """Round half up, past the noise of floating point."""
+    return f"round(round({value}, 9), {digits})"
+
+
 def structs(rows: list[dict[str, str]]) -> str:
     """An array of structs, from rows of ``field: expression``."""
     texts = (

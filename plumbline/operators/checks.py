@@ -64,6 +64,11 @@ def _pass_if(condition: str) -> str:
     return f"CASE WHEN {condition} THEN '{PASS}' ELSE '{FAIL}' END"
 
 
+def _shown(template: str, *figures: str) -> str:
+    """A message with figures of two digits."""
+    return f"format_string('{template}', {', '.join(text.half_up(f, 2) for f in figures)})"
+
+
 def column_rules(policy: Policy) -> list[Rule]:
     """The alerts and checks of a column, in the order they are reported."""
 
@@ -95,7 +100,7 @@ def column_rules(policy: Policy) -> list[Rule]:
                 ALERT,
                 "null_band",
                 f"{has_rows} AND {band}",
-                f"format_string('%.2f%% null values - {words}', null_pct)",
+                _shown(f"%.2f%% null values - {words}", "null_pct"),
                 severity,
                 actual="null_pct",
             )
@@ -105,7 +110,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             CHECK,
             "null_validation",
             has_rows,
-            "format_string('%.2f%% null values', null_pct)",
+            _shown("%.2f%% null values", "null_pct"),
             status=_pass_if(f"null_pct <= {p.null_fail_pct}"),
             threshold=f"<={p.null_fail_pct:g}%",
             actual="null_pct",
@@ -114,7 +119,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             ALERT,
             "id_uniqueness",
             f"{is_id} AND uniqueness_pct < {p.id_uniqueness_pct}",
-            "format_string('ID column uniqueness only %.2f%%', uniqueness_pct)",
+            _shown("ID column uniqueness only %.2f%%", "uniqueness_pct"),
             "WARNING",
             actual="uniqueness_pct",
         ),
@@ -122,7 +127,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             CHECK,
             "id_uniqueness",
             is_id,
-            "format_string('%.2f%% unique', uniqueness_pct)",
+            _shown("%.2f%% unique", "uniqueness_pct"),
             status=_pass_if(f"uniqueness_pct >= {p.id_uniqueness_pct}"),
             threshold=f">={p.id_uniqueness_pct:g}%",
             actual="uniqueness_pct",
@@ -131,7 +136,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             ALERT,
             "binary_domain",
             f"{numeric} AND {named(p.binary_pattern)} AND (min_num < 0 OR max_num > 1)",
-            "format_string('values outside [0,1]: %.2f to %.2f', min_num, max_num)",
+            _shown("values outside [0,1]: %.2f to %.2f", "min_num", "max_num"),
             "ERROR",
             actual="CASE WHEN max_num > 1 THEN max_num ELSE min_num END",
         ),
@@ -139,7 +144,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             ALERT,
             "non_positive",
             f"{numeric} AND {named(p.non_positive_pattern)} AND max_num > 0",
-            "format_string('positive values: max=%.2f', max_num)",
+            _shown("positive values: max=%.2f", "max_num"),
             "WARNING",
             actual="max_num",
         ),
@@ -147,7 +152,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             ALERT,
             "non_negative",
             f"{numeric} AND {named(p.non_negative_pattern)} AND min_num < 0",
-            "format_string('negative amounts: min=%.2f', min_num)",
+            _shown("negative amounts: min=%.2f", "min_num"),
             "WARNING",
             actual="min_num",
         ),
@@ -155,7 +160,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             ALERT,
             "constant",
             f"{numeric} AND range_span = 0",
-            "format_string('constant value: %.2f', min_num)",
+            _shown("constant value: %.2f", "min_num"),
             "INFO",
             actual="min_num",
         ),
@@ -163,7 +168,7 @@ def column_rules(policy: Policy) -> list[Rule]:
             CHECK,
             "numeric_range_validation",
             numeric,
-            "format_string('%.2f to %.2f, mean %.2f', min_num, max_num, mean)",
+            _shown("%.2f to %.2f, mean %.2f", "min_num", "max_num", "mean"),
             status=f"'{PASS}'",
             actual="range_span",
         ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalars import grouped_number
+from plumbline.functions.scalars import grouped_number, half_up
 from plumbline.functions.schema import NUMERIC
 from plumbline.operators.frequency import shown_value, top_values
 from plumbline.plans.policy import Policy
@@ -65,16 +65,16 @@ def report_detail(
         "data_type",
         "total_rows",
         "null_count",
-        F.round("null_pct", 2).alias("null_percentage"),
+        half_up("null_pct", 2).alias("null_percentage"),
         "distinct_count",
-        F.round("uniqueness_pct", 2).alias("unique_percentage"),
+        half_up("uniqueness_pct", 2).alias("unique_percentage"),
         F.col("min_num").alias("min_value"),
         F.col("max_num").alias("max_value"),
-        F.round("mean", 2).alias("mean_value"),
+        half_up("mean", 2).alias("mean_value"),
         frequent.alias("most_frequent_value"),
         F.when(
             (F.col("kind") == NUMERIC) & has_range,
-            F.format_string("%.2f - %.2f", F.col("min_num"), F.col("max_num")),
+            F.format_string("%.2f - %.2f", half_up("min_num", 2), half_up("max_num", 2)),
         )
         .otherwise(values)
         .alias("range_or_values"),
@@ -130,18 +130,18 @@ def run_document(assessed: DataFrame, run_id: str, generated_at: str) -> DataFra
         "data_type",
         "total_rows",
         "null_count",
-        F.round("null_pct", 2).alias("null_percentage"),
+        half_up("null_pct", 2).alias("null_percentage"),
         "non_null_count",
         F.struct(
             "distinct_count",
-            F.round("uniqueness_pct", 2).alias("uniqueness_percentage"),
+            half_up("uniqueness_pct", 2).alias("uniqueness_percentage"),
             F.col("min_num").alias("min_value"),
             F.col("max_num").alias("max_value"),
-            F.round("mean", 2).alias("average_value"),
+            half_up("mean", 2).alias("average_value"),
             "range_span",
             F.col("min_len").alias("min_length"),
             F.col("max_len").alias("max_length"),
-            F.round("avg_len", 2).alias("avg_length"),
+            half_up("avg_len", 2).alias("avg_length"),
         ).alias("statistics"),
         F.filter("findings", lambda f: f.record == "check").alias("dq_checks"),
         F.filter("findings", lambda f: f.record == "alert").alias("alerts"),

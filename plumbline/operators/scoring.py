@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.scalars import half_up
 from plumbline.plans.policy import Policy
 
 # Points of the scores.
@@ -16,7 +17,7 @@ GOOD_FROM, FAIR_FROM = 80, 60
 
 
 def _bounded(score: Column) -> Column:
-    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), F.round(score, 1)))
+    return F.greatest(F.lit(0.0), F.least(F.lit(100.0), half_up(score, 1)))
 
 
 def alert_score(null_pct: Column, critical: Column, warning: Column, failed: Column) -> Column:
@@ -27,11 +28,11 @@ def alert_score(null_pct: Column, critical: Column, warning: Column, failed: Col
         + failed * FAILED_POINTS
         + F.least(null_pct / 2, F.lit(MAX_NULL_POINTS_HALVED))
     )
-    return F.greatest(F.round(F.lit(100.0) - lost, 1), F.lit(0.0))
+    return F.greatest(half_up(F.lit(100.0) - lost, 1), F.lit(0.0))
 
 
 def _id_bonus(policy: Policy) -> Column:
-    unique = F.round(F.col("uniqueness_pct"), 2) > ID_BONUS_ABOVE
+    unique = half_up(F.col("uniqueness_pct"), 2) > ID_BONUS_ABOVE
     return F.when(F.col("column_name").rlike(policy.id_pattern) & unique, ID_BONUS).otherwise(0)
 
 
@@ -89,7 +90,7 @@ def score_signs(profile: DataFrame, policy: Policy = Policy()) -> DataFrame:
 
 def score_nulls(profile: DataFrame) -> DataFrame:
     """Model D: 100 less the null percentage."""
-    return profile.withColumn("data_quality_score", F.round(F.lit(100.0) - F.col("null_pct"), 1))
+    return profile.withColumn("data_quality_score", half_up(F.lit(100.0) - F.col("null_pct"), 1))
 
 
 def score_band(score: Column) -> Column:

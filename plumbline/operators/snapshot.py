@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.scalars import hash_unit, in_hash_sample, percent
+from plumbline.functions.scalars import half_up, hash_unit, in_hash_sample, percent
 from plumbline.functions.text import name as quoted
 
 # Share of each loan table in a daily snapshot.
@@ -167,5 +167,5 @@ def snapshot_summary(results: DataFrame) -> DataFrame:
         F.count_if(ok).alias("successful_tables"),
         F.count(F.lit(1)).alias("total_tables"),
     ).withColumn(
-        "success_rate", F.round(percent(F.col("successful_tables"), F.col("total_tables")), 1)
+        "success_rate", half_up(percent(F.col("successful_tables"), F.col("total_tables")), 1)
     )

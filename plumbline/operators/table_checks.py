@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.scalars import age_hours, percent
+from plumbline.functions.scalars import age_hours, half_up, percent
 from plumbline.functions.schema import column_specs
 from plumbline.functions.text import name as quoted
 from plumbline.operators.checks import FAIL, PASS, SKIP
@@ -193,7 +193,7 @@ def freshness_check(
         .otherwise(FAIL)
         .alias("status"),
         F.when(hours.isNull(), "No valid timestamps found")
-        .otherwise(F.format_string("Data is %.1f hours old", hours))
+        .otherwise(F.format_string("Data is %.1f hours old", half_up(hours, 1)))
         .alias("message"),
     )
 

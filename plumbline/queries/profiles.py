@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions import half_up
 from plumbline.operators import frequency, outliers, profile, table_checks
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
@@ -51,10 +52,10 @@ def profile_numeric(spark, sf_dir):
         "table_name",
         "column_name",
         "non_null_count",
-        F.round("min_num", 4).alias("min_value"),
-        F.round("max_num", 4).alias("max_value"),
-        F.round("mean", 2).alias("average_value"),
-        F.round("range_span", 4).alias("range_span"),
+        half_up("min_num", 4).alias("min_value"),
+        half_up("max_num", 4).alias("max_value"),
+        half_up("mean", 2).alias("average_value"),
+        half_up("range_span", 4).alias("range_span"),
         F.lit("PASS").alias("status"),
     )
 
@@ -88,7 +89,7 @@ def string_lengths(spark, sf_dir):
         "column_name",
         F.col("min_len").alias("min_length"),
         F.col("max_len").alias("max_length"),
-        F.round("avg_len", 2).alias("avg_length"),
+        half_up("avg_len", 2).alias("avg_length"),
     )
 
 
@@ -279,7 +280,7 @@ def outliers_by_deviation(spark, sf_dir):
 )
 def zscore(spark, sf_dir):
     flagged = outliers.zscore_rows(table(spark, sf_dir, "events"), "value", 3.0)
-    return flagged.select("event_id", "event_type", "value", F.round("z_score", 4).alias("z_score"))
+    return flagged.select("event_id", "event_type", "value", half_up("z_score", 4).alias("z_score"))
 
 
 _FREQUENT = ["patchy_orders", "lineitem", "part", "events", "labelled_documents"]

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from plumbline.functions import half_up
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: half_up(c, digits) for c in columns})
 
 
 def union(parts: list[DataFrame]) -> DataFrame:

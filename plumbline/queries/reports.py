@@ -41,7 +41,7 @@ def _issues_sql() -> str:
           {r("p.uniqueness_pct", 2)} AS unique_percentage, {r("p.min_num", 4)} AS min_value,
           {r("p.max_num", 4)} AS max_value, {r("p.mean", 2)} AS mean_value, s.most_frequent_value,
           CASE WHEN p.kind = 'n' AND p.min_num IS NOT NULL
-            THEN printf('%.2f', p.min_num) || ' - ' || printf('%.2f', p.max_num)
+            THEN printf('%.2f', {r("p.min_num", 2)}) || ' - ' || printf('%.2f', {r("p.max_num", 2)})
             ELSE coalesce(s.top_values, '') END AS range_or_values,
           p.data_quality_score, {_issues_sql()} AS issues
         FROM scored p LEFT JOIN shown s

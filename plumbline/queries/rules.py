@@ -35,7 +35,7 @@ _BAND = (
     "WHEN null_pct > 20 THEN 'INFO' END"
 )
 _BAND_TEXT = (
-    "printf('%.2f', null_pct) || '% null values - ' || CASE WHEN null_pct > 95 THEN "
+    f"printf('%.2f', {r('null_pct', 2)}) || '% null values - ' || CASE WHEN null_pct > 95 THEN "
     "'data integrity issue' WHEN null_pct > 50 THEN 'high null rate' ELSE 'moderate null rate' END"
 )
 
@@ -135,7 +135,7 @@ _NUMERIC = "kind = 'n' AND non_null_count > 0"
 @query(
     "check_domain_01",
     f"""SELECT table_name, column_name, 'ERROR' AS severity,
-          'values outside [0,1]: ' || printf('%.2f', min_num) || ' to ' || printf('%.2f', max_num)
+          'values outside [0,1]: ' || printf('%.2f', {r("min_num", 2)}) || ' to ' || printf('%.2f', {r("max_num", 2)})
             AS message
         FROM {_NULLS} WHERE {_NUMERIC} AND regexp_matches(column_name, '^(quality|toxic|label)$')
           AND (min_num < 0 OR max_num > 1)""",
@@ -163,7 +163,7 @@ def check_sign_rules(spark, sf_dir):
 @query(
     "check_constant",
     f"""SELECT table_name, column_name, 'INFO' AS severity,
-          'constant value: ' || printf('%.2f', min_num) AS message
+          'constant value: ' || printf('%.2f', {r("min_num", 2)}) AS message
         FROM {_NULLS} WHERE {_NUMERIC} AND range_span = 0""",
 )
 def check_constant(spark, sf_dir):
@@ -335,7 +335,7 @@ def _freshness_sql(table_name: str, column: str, as_of: str, expr: str | None =
           CASE WHEN max({expr or column}) IS NULL THEN 'SKIP' WHEN {hours} <= 24 THEN 'PASS'
             ELSE 'FAIL' END AS status,
           CASE WHEN max({expr or column}) IS NULL THEN 'No valid timestamps found'
-            ELSE printf('Data is %.1f hours old', {hours}) END AS message
+            ELSE printf('Data is %.1f hours old', {r(hours, 1)}) END AS message
         FROM {table_name}"""
 
 

@@ -47,7 +47,7 @@ def score_model_a(spark, sf_dir):
 
 
 _AMOUNT = "regexp_matches(column_name, '(acctbal|price|quantity|size)$')"
-_ID = "regexp_matches(column_name, '(key|_id)$') AND round(coalesce(uniqueness_pct, 0), 2) > 95"
+_ID = "regexp_matches(column_name, '(key|_id)$') AND round(CAST(coalesce(uniqueness_pct, 0) AS DECIMAL(38,9)), 2) > 95"
 
 
 def _clamped(points: str) -> str:

@@ -7,7 +7,7 @@ from plumbline.queries.inputs import DERIVED, SCHEMAS
 
 def r(expression: str, digits: int) -> str:
     """Round half up from the decimal value, as Spark does."""
-    return f"CAST(round(CAST({expression} AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST({expression} AS DECIMAL(38,9)), {digits}) AS DOUBLE)"
 
 
 def pct(part: str, whole: str) -> str:
