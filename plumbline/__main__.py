@@ -1,4 +1,4 @@
-"""Command line: ``python -m plumbline daily|drift|export …``."""
+"""Command line: ``python -m plumbline daily|check|drift|export …``."""
 
 from __future__ import annotations
 
@@ -7,8 +7,11 @@ import datetime
 
 from pyspark.sql import SparkSession
 
+from plumbline.operators.rollup import ERROR_FIRST, FAIL_FIRST
+from plumbline.plans.checking import run_checks
 from plumbline.plans.daily import batch_drift, run_daily, take_snapshots
 from plumbline.plans.policy import Policy
+from plumbline.plans.rules import read_rules
 from plumbline.sources import export_tables, load_table, read_csv, write_documents
 
 
@@ -30,6 +33,12 @@ def main(arguments: list[str] | None = None) -> None:
     daily.add_argument("--date", default=datetime.date.today().isoformat())
     daily.add_argument("--distinct", choices=["exact", "approx", "none"], default="exact")
     daily.add_argument("--max-columns", type=int)
+    check = commands.add_parser("check", help="evaluate the rules of a configuration")
+    check.add_argument("tables", nargs="+", metavar="name=path")
+    check.add_argument("--rules", required=True, help="JSON file")
+    check.add_argument("--out", required=True)
+    check.add_argument("--as-of", help="time that freshness is measured from; now if left out")
+    check.add_argument("--error-first", action="store_true", help="an error outranks a failure")
     drift = commands.add_parser("drift", help="compare consecutive runs below a folder")
     drift.add_argument("--out", required=True)
     export = commands.add_parser("export", help="copy tables to Parquet")
@@ -56,6 +65,17 @@ def main(arguments: list[str] | None = None) -> None:
             options.max_columns,
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
+    elif options.command == "check":
+        paths = run_checks(
+            spark,
+            _named(options.tables),
+            read_rules(spark, options.rules),
+            options.out,
+            f"{now:%Y%m%d_%H%M%S}",
+            options.as_of or now.isoformat(sep=" ", timespec="seconds"),
+            ERROR_FIRST if options.error_first else FAIL_FIRST,
+        )
+        print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "drift":
         target = f"{options.out.rstrip('/')}/drift/{now:%Y%m%d_%H%M%S}"
         write_documents(batch_drift(spark, options.out), target)

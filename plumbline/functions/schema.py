@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -21,6 +22,8 @@ METADATA_COLUMNS = (
 NUMERIC = "numeric"
 STRING = "string"
 OTHER = "other"
+# Types without equality, by their name or that of a part.
+UNCOUNTABLE = r"map<|variant"
 
 
 @dataclass(frozen=True)
@@ -39,18 +42,8 @@ class ColumnSpec:
 
     @property
     def countable(self) -> bool:
-        """Whether distinct values can be counted (a map has no equality)."""
-        return not _holds_map(self.data_type)
-
-
-def _holds_map(data_type: T.DataType) -> bool:
-    if isinstance(data_type, T.MapType):
-        return True
-    if isinstance(data_type, T.ArrayType):
-        return _holds_map(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return any(_holds_map(f.dataType) for f in data_type.fields)
-    return False
+        """Whether distinct values can be counted; maps and variants have no equality."""
+        return not re.search(UNCOUNTABLE, self.type_name)
 
 
 def kind_of(data_type: T.DataType) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text
 from plumbline.functions.scalars import grouped_number
-from plumbline.functions.schema import NUMERIC, STRING
+from plumbline.functions.schema import NUMERIC, STRING, UNCOUNTABLE
 from plumbline.plans.policy import (
     CRITICAL_NULL_PCT,
     DEFAULT_VOLUME,
@@ -115,6 +115,13 @@ def column_rules(policy: Policy) -> list[Rule]:
             threshold=f"<={p.null_fail_pct:g}%",
             actual="null_pct",
         ),
+        Rule(
+            ALERT,
+            "distinctness",
+            f"data_type RLIKE {text.literal(UNCOUNTABLE)} AND non_null_count > 0",
+            "'Could not calculate distinctness'",
+            "INFO",
+        ),
         Rule(
             ALERT,
             "id_uniqueness",

@@ -33,30 +33,38 @@ class Range:
     high: float
 
 
+# Limits that apply where a configuration names none.
+DEFAULT_VOLUME = Range(100, 1_000_000)
+CRITICAL_NULL_PCT = 5.0
+WATCHED_NULL_PCT = 20.0
+RANGE_TOLERANCE_PCT = 5.0
+FRESHNESS_HOURS = 24.0
+FAILED_CHECKS_PCT = 25.0
+CONSECUTIVE_FAILURES = 3
+RETENTION_DAYS = 30
+
+
 @dataclass(frozen=True)
 class TableRules:
     """Rules of one table, as a configuration names them."""
 
     volume: Range | None = None
     critical: tuple[str, ...] = ()
+    max_null_pct: float = CRITICAL_NULL_PCT
     watched: tuple[str, ...] = ()
+    max_watched_null_pct: float = WATCHED_NULL_PCT
     ranges: dict[str, Range] = field(default_factory=dict)
+    range_tolerance_pct: float = RANGE_TOLERANCE_PCT
     patterns: dict[str, str] = field(default_factory=dict)
+    pattern_tolerance_pct: float = 0.0
     primary_key: tuple[str, ...] = ()
-    freshness_hours: float = 24.0
+    # None checks no freshness. Without a column the first one of a timestamp type is taken.
+    freshness_hours: float | None = FRESHNESS_HOURS
     timestamp_column: str | None = None
+    no_timestamp_status: str = "SKIP"
+    no_value_status: str = "SKIP"
 
 
-# Limits that apply where a configuration names none.
-DEFAULT_VOLUME = Range(100, 1_000_000)
-CRITICAL_NULL_PCT = 5.0
-WATCHED_NULL_PCT = 20.0
-RANGE_TOLERANCE_PCT = 5.0
-FRESHNESS_HOURS = 24.0
-FAILED_CHECKS_PCT = 25.0
-CONSECUTIVE_FAILURES = 3
-RETENTION_DAYS = 30
-
 # Bounds of the loan columns.
 LOAN_RANGES = {
     "AMT_INCOME_TOTAL": Range(0, 10_000_000),
@@ -91,3 +99,52 @@ LOAN_CRITICAL = {
     "POS_CASH_balance_daily": ("SK_ID_CURR", "SK_ID_PREV"),
     "previous_application_daily": ("SK_ID_CURR", "SK_ID_PREV"),
 }
+
+# Further columns whose nulls are watched where a table has them.
+LOAN_WATCHED = ("AMT_INCOME_TOTAL", "AMT_CREDIT", "AMT_ANNUITY", "AMT_GOODS_PRICE")
+
+# The shorter lists of the strict rule set.
+LOAN_STRICT_CRITICAL = {
+    "application_train_daily": ("SK_ID_CURR", "AMT_INCOME_TOTAL"),
+    "application_test_daily": ("SK_ID_CURR",),
+    "bureau_daily": ("SK_ID_CURR", "SK_ID_BUREAU"),
+    "bureau_balance_daily": ("SK_ID_BUREAU",),
+    "credit_card_balance_daily": ("SK_ID_PREV",),
+    "installments_payments_daily": ("SK_ID_PREV",),
+    "POS_CASH_balance_daily": ("SK_ID_PREV",),
+    "previous_application_daily": ("SK_ID_PREV",),
+}
+LOAN_STRICT_RANGES = {
+    "application_train_daily": ("AMT_INCOME_TOTAL", "AMT_CREDIT"),
+    "application_test_daily": ("AMT_INCOME_TOTAL", "AMT_CREDIT"),
+    "previous_application_daily": ("AMT_CREDIT",),
+}
+
+
+def loan_rules() -> dict[str, TableRules]:
+    """The tolerant rule set: some nulls and some values out of range are let through."""
+    return {
+        table: TableRules(
+            volume=volume,
+            critical=LOAN_CRITICAL[table],
+            watched=LOAN_WATCHED,
+            ranges=LOAN_RANGES,
+            timestamp_column="ingestion_timestamp",
+        )
+        for table, volume in LOAN_VOLUMES.items()
+    }
+
+
+def strict_loan_rules() -> dict[str, TableRules]:
+    """The strict rule set: no value out of range, and a table without time stamps counts as fresh."""
+    return {
+        table: TableRules(
+            volume=volume,
+            critical=LOAN_STRICT_CRITICAL[table],
+            ranges={c: LOAN_RANGES[c] for c in LOAN_STRICT_RANGES.get(table, ())},
+            range_tolerance_pct=0.0,
+            no_timestamp_status="PASS",
+            no_value_status="FAIL",
+        )
+        for table, volume in LOAN_VOLUMES.items()
+    }

@@ -1,30 +1,31 @@
-"""Rules from a JSON configuration, evaluated table by table."""
+"""Rules from a JSON configuration, compiled to one aggregate per table."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping
+from dataclasses import dataclass
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plumbline.operators import checks, integrity, profile, table_checks
-from plumbline.plans.policy import FRESHNESS_HOURS, RANGE_TOLERANCE_PCT, Range, TableRules
-
-RESULT = ("table_name", "column_name", "check_type", "status", "threshold", "actual")
+from plumbline.functions import text
+from plumbline.operators.integrity import primary_key_check
+from plumbline.operators.table_checks import timestamp_column
+from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, TableRules
 
 
 def read_rules(spark: SparkSession, path: str) -> dict[str, TableRules]:
     """Rules from a file on any file system Spark reads: one small file, parsed on the driver."""
-    text = spark.read.text(path, wholetext=True).first()["value"]
-    return parse_rules(json.loads(text))
+    return parse_rules(json.loads(spark.read.text(path, wholetext=True).first()["value"]))
 
 
 def packaged_rules(name: str) -> dict[str, TableRules]:
     """Rules that come with the package."""
-    text = resources.files("plumbline.plans").joinpath(f"{name}.json").read_text("utf-8")
-    return parse_rules(json.loads(text))
+    found = resources.files("plumbline.plans").joinpath(f"{name}.json").read_text("utf-8")
+    return parse_rules(json.loads(found))
 
 
 def parse_rules(config: Mapping) -> dict[str, TableRules]:
@@ -38,9 +39,8 @@ def parse_rules(config: Mapping) -> dict[str, TableRules]:
         found = general.get(name, {})
         return found if found.get("enabled", True) else {}
 
-    volume, nulls, ranges = rule("volume"), rule("null_checks"), rule("range_checks")
-    bounds = {c: Range(r["min"], r["max"]) for c, r in ranges.get("numeric_ranges", {}).items()}
-    patterns = dict(rule("pattern_checks").get("patterns", {}))
+    volume, nulls, fresh = rule("volume"), rule("null_checks"), rule("freshness")
+    bounds = rule("range_checks").get("numeric_ranges", {})
     result = {}
     for source in config.get("data_sources", {}).values():
         for table, entry in source["tables"].items():
@@ -54,83 +54,152 @@ def parse_rules(config: Mapping) -> dict[str, TableRules]:
             result[table] = TableRules(
                 volume=limits,
                 critical=tuple(nulls.get("critical_columns", ())),
-                ranges=bounds,
-                patterns=patterns,
+                max_null_pct=float(nulls.get("max_null_percentage", CRITICAL_NULL_PCT)),
+                ranges={c: Range(r["min"], r["max"]) for c, r in bounds.items()},
+                patterns=dict(rule("pattern_checks").get("patterns", {})),
                 primary_key=(key,) if isinstance(key, str) else tuple(key),
-                freshness_hours=entry.get(
-                    "freshness_threshold_hours", rule("freshness").get("max_age_hours", FRESHNESS_HOURS)
-                ),
+                freshness_hours=float(
+                    entry.get("freshness_threshold_hours", fresh.get("max_age_hours", FRESHNESS_HOURS))
+                )
+                if fresh
+                else None,
                 timestamp_column=entry.get("timestamp_column"),
             )
     return result
 
 
-def evaluate_rules(
-    tables: Mapping[str, DataFrame],
-    rules: Mapping[str, TableRules],
-    as_of: str,
-    max_null_pct: float = 5.0,
-    tolerance_pct: float = RANGE_TOLERANCE_PCT,
-) -> DataFrame:
-    """All configured checks of all tables, as one plan of result rows."""
-    parts = []
-    for name, rule in rules.items():
-        if name in tables:
-            parts += _table_parts(tables[name], name, rule, as_of, max_null_pct, tolerance_pct)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+@dataclass(frozen=True)
+class _Check:
+    """A rule as an aggregate, the figure reported from it, and the condition to pass, as SQL text.
+
+    In figure and condition ``$`` stands for the aggregate.
+    """
+
+    check_type: str
+    column: str | None
+    aggregate: str
+    actual: str
+    passed: str
+    threshold: str
+    status_of_none: str = "SKIP"
+
+    def result(self, figure: str) -> dict[str, str]:
+        passed, actual = self.passed.replace("$", figure), self.actual.replace("$", figure)
+        return {
+            "column_name": f"CAST({text.literal(self.column)} AS STRING)",
+            "check_type": text.literal(self.check_type),
+            # Without any time stamp the aggregate is null.
+            "status": f"CASE WHEN {figure} IS NULL THEN '{self.status_of_none}' "
+            f"WHEN {passed} THEN 'PASS' ELSE 'FAIL' END",
+            "threshold": text.literal(self.threshold),
+            "actual": f"CAST({actual} AS DOUBLE)",
+        }
+
+
+def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]:
+    """The checks of a table; rules for columns that it does not have are left out."""
+    checks = []
+    share = text.percent("$", "total_rows")
+    if rule.volume:
+        low, high = int(rule.volume.low), int(rule.volume.high)
+        checks.append(
+            _Check("volume", None, "count(1)", "$", f"$ BETWEEN {low}L AND {high}L", f"{low}..{high}")
+        )
+    watched = [c for c in rule.watched if c not in rule.critical]
+    limits = [(c, rule.max_null_pct) for c in rule.critical]
+    limits += [(c, rule.max_watched_null_pct) for c in watched]
+    for column, limit in limits:
+        if column in df.columns:
+            missing = f"count_if({text.name(column)} IS NULL)"
+            checks.append(
+                _Check("null_checks", column, missing, share, f"{share} <= {limit}", f"<={limit:g}%")
+            )
+    for column, bounds in rule.ranges.items():
+        if column in df.columns:
+            cell, limit = text.name(column), rule.range_tolerance_pct
+            outside = f"count_if({cell} < {bounds.low} OR {cell} > {bounds.high})"
+            checks.append(
+                _Check("range_checks", column, outside, share, f"{share} <= {limit}", f"<={limit:g}%")
+            )
+    for column, pattern in rule.patterns.items():
+        if column in df.columns:
+            broken = f"count_if(NOT {text.name(column)} RLIKE {text.literal(pattern)})"
+            limit = rule.pattern_tolerance_pct
+            checks.append(
+                _Check("pattern", column, broken, share, f"{share} <= {limit}", f"<={limit:g}%")
+            )
+    if rule.freshness_hours is not None and as_of is not None:
+        checks.append(_compile_freshness(df, rule, as_of))
+    return checks
+
+
+def _compile_freshness(df: DataFrame, rule: TableRules, as_of: str) -> _Check:
+    limit = rule.freshness_hours
+    column = rule.timestamp_column or timestamp_column(df)
+    threshold = f"<={limit:g}h"
+    if column is None or column not in df.columns:
+        status = rule.no_timestamp_status
+        return _Check("freshness", None, "CAST(any_value(NULL) AS BIGINT)", "$", "true", threshold, status)
+    cell = text.name(column)
+    if isinstance(df.schema[column].dataType, T.StringType):
+        cell = f"try_to_timestamp({cell})"
+    latest = f"unix_micros(CAST(max({cell}) AS TIMESTAMP))"
+    age = f"((unix_micros(CAST({text.literal(as_of)} AS TIMESTAMP)) - $) / 3.6e9D)"
+    return _Check(
+        "freshness", column, latest, age, f"{age} <= {limit}", threshold, rule.no_value_status
+    )
 
 
-def _table_parts(
-    df: DataFrame, name: str, rule: TableRules, as_of: str, max_null_pct: float, tolerance_pct: float
+def _evaluate(
+    df: DataFrame, table: str, rule: TableRules, as_of: str | None, by: str | None
 ) -> list[DataFrame]:
     parts = []
-    if rule.volume:
-        volume = checks.volume_checks(table_checks.row_counts(df, name), {name: rule.volume})
-        limit = f"{int(rule.volume.low)}..{int(rule.volume.high)}"
-        parts.append(_result(volume, None, limit, F.col("record_count")))
-    critical = [c for c in rule.critical if c in df.columns]
-    if critical:
-        narrow = profile.column_profile(df.select(*critical), name, distinct="none", stats=())
-        judged = narrow.withColumns(
-            {
-                "check_type": F.lit("null_checks"),
-                "status": F.when(F.col("null_pct") <= max_null_pct, "PASS").otherwise("FAIL"),
-            }
+    checks = _compile(df, rule, as_of)
+    keys = ["run_id"] if by else []
+    if checks:
+        figures = ", ".join(f"'{i}', {c.aggregate}" for i, c in enumerate(checks))
+        rows = [c.result(f"figures.`{i}`") for i, c in enumerate(checks)]
+        groups = [F.expr(f"{text.name(by)} AS run_id")] if by else []
+        wide = df.groupBy(*groups).agg(
+            F.expr("count(1) AS total_rows"), F.expr(f"named_struct({figures}) AS figures")
         )
-        parts.append(_result(judged, F.col("column_name"), f"<={max_null_pct:g}%", F.col("null_pct")))
-    ranges = {c: r for c, r in rule.ranges.items() if c in df.columns}
-    if ranges:
-        ranged = table_checks.range_checks(df, name, ranges, tolerance_pct)
         parts.append(
-            _result(ranged, F.col("column_name"), f"<={tolerance_pct:g}%", F.col("violation_pct"))
+            wide.selectExpr(
+                *keys, f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})"
+            )
         )
-    patterns = {c: p for c, p in rule.patterns.items() if c in df.columns}
-    if patterns:
-        matched = table_checks.pattern_checks(df, name, patterns)
-        parts.append(_result(matched, F.col("column_name"), "0 violations", F.col("violations")))
     key = [c for c in rule.primary_key if c in df.columns]
-    if key:
-        unique = integrity.primary_key_check(df, name, key)
-        parts.append(_result(unique, F.col("key_columns"), "0 duplicates", F.col("duplicate_keys")))
-    if rule.timestamp_column:
-        fresh = table_checks.freshness_check(
-            df, name, as_of, rule.freshness_hours, rule.timestamp_column
-        )
+    if key and not by:
+        unique = primary_key_check(df, table, key)
         parts.append(
-            _result(fresh, F.col("column_name"), f"<={rule.freshness_hours:g}h", F.col("hours_old"))
+            unique.selectExpr(
+                "table_name",
+                "key_columns AS column_name",
+                "check_type",
+                "status",
+                "'0 duplicates' AS threshold",
+                "CAST(duplicate_keys AS DOUBLE) AS actual",
+            )
         )
     return parts
 
 
-def _result(rows: DataFrame, column, threshold: str, actual) -> DataFrame:
-    return rows.select(
-        "table_name",
-        (F.lit(None) if column is None else column).cast("string").alias("column_name"),
-        "check_type",
-        "status",
-        F.lit(threshold).alias("threshold"),
-        actual.cast("double").alias("actual"),
-    )
+def evaluate_rules(
+    tables: Mapping[str, DataFrame],
+    rules: Mapping[str, TableRules],
+    as_of: str | None = None,
+    by: str | None = None,
+) -> DataFrame:
+    """All configured checks of all tables, as one plan of result rows.
+
+    A table is scanned once for all its rules, and once more for its key if it has one. ``by``
+    names a column that splits the tables into runs; each run is judged on its own, without the key.
+    """
+    parts = []
+    for name, rule in rules.items():
+        if name in tables:
+            parts += _evaluate(tables[name], name, rule, as_of, by)
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result

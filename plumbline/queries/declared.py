@@ -58,8 +58,8 @@ def _config_sql() -> str:
         ("customer", "c_name", "^Customer#[0-9]{9}$"),
         ("events", "event_type", "^[a-z]+$"),
     ):
-        broken = f"count(*) FILTER (NOT regexp_matches({c}, '{pattern}'))"
-        rows.append(_row(t, c, "pattern", f"{broken} = 0", "0 violations", broken))
+        broken = pct(f"count(*) FILTER (NOT regexp_matches({c}, '{pattern}'))", "count(*)")
+        rows.append(_row(t, c, "pattern", f"{broken} = 0", "<=0%", r(broken, 2)))
     for t, key in (
         ("orders", "o_orderkey"),
         ("lineitem", "l_orderkey, l_linenumber"),
@@ -71,7 +71,11 @@ def _config_sql() -> str:
               '0 duplicates', CAST(count(*) AS DOUBLE)
             FROM (SELECT {key} FROM {t} GROUP BY {key} HAVING count(*) > 1)"""
         )
-    for t, c, limit in (("orders", "o_orderdate", 24), ("events", "ts", 168)):
+    rows.append(
+        "SELECT 'customer', NULL, 'freshness', 'SKIP', '<=24h', CAST(NULL AS DOUBLE) "
+        "FROM (SELECT count(*) FROM customer)"
+    )
+    for t, c, limit in (("orders", "o_orderdate", 24), ("events", "ts", 168), ("lineitem", "l_shipdate", 24)):
         hours = f"(epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(max({c}))) / 3.6e9"
         rows.append(_row(t, c, "freshness", f"{hours} <= {limit}", f"<={limit}h", r(hours, 2)))
     return " UNION ALL ".join(rows)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.operators import checks, profile, rollup, table_checks
-from plumbline.plans.policy import Range
+from plumbline.plans.policy import Range, TableRules
+from plumbline.plans.rules import evaluate_rules
 from plumbline.queries import sql
 from plumbline.queries.inputs import ASSESSED, POLICY, event_runs, sources
 from plumbline.queries.registry import query, rounded, table, union
@@ -392,29 +393,20 @@ def freshness_iso(spark, sf_dir):
 
 # --- results per run ----------------------------------------------------------------------
 
-_DAY_VOLUME = Range(320, 345)
-_DAY_VALUE = {"value": Range(0, 100)}
-_DAY_TOLERANCE = 12.5
-_NO_ERROR = {"event_type": "^(?:click|view|signup|purchase)$"}
-_ERROR_TOLERANCE = 20.0
+_DAY_RULES = TableRules(
+    volume=Range(320, 345),
+    ranges={"value": Range(0, 100)},
+    range_tolerance_pct=12.5,
+    patterns={"event_type": "^(?:click|view|signup|purchase)$"},
+    pattern_tolerance_pct=20.0,
+)
 
 
 def run_results(spark, sf_dir):
     """Volume, range and event type checks of each day of events."""
     runs = event_runs(spark, sf_dir)
-    keys = ["run_id", "table_name", "check_type", "status"]
-    counts = table_checks.row_counts(runs, "events", by="run_id")
-    return union(
-        [
-            checks.volume_checks(counts, {"events": _DAY_VOLUME}).select(*keys),
-            table_checks.range_checks(
-                runs, "events", _DAY_VALUE, _DAY_TOLERANCE, by="run_id"
-            ).select(*keys),
-            table_checks.pattern_checks(
-                runs, "events", _NO_ERROR, _ERROR_TOLERANCE, by="run_id"
-            ).select(*keys),
-        ]
-    )
+    found = evaluate_rules({"events": runs}, {"events": _DAY_RULES}, by="run_id")
+    return found.select("run_id", "table_name", "check_type", "status")
 
 
 def _status(condition: str) -> str:

@@ -1,7 +1,8 @@
 import pytest
 
 from plumbline.operators import rollup
-from plumbline.operators.checks import volume_change_checks, volume_checks
+from plumbline.operators.checks import column_findings, volume_change_checks, volume_checks
+from plumbline.operators.profile import column_profile
 from plumbline.operators.table_checks import (
     castable_checks,
     freshness_check,
@@ -9,8 +10,8 @@ from plumbline.operators.table_checks import (
     row_counts,
     split_quarantine,
 )
-from plumbline.plans.policy import Range
-from plumbline.plans.rules import parse_rules
+from plumbline.plans.policy import Range, TableRules
+from plumbline.plans.rules import evaluate_rules, parse_rules
 
 
 def test_range_tolerance(spark):
@@ -145,3 +146,40 @@ def test_rules_can_be_switched_off():
     rule = parse_rules(config)["t"]
     assert rule.volume == Range(5, 9) and rule.critical == () and rule.ranges == {"v": Range(0, 1)}
     assert rule.primary_key == ("id",) and rule.freshness_hours == 12
+
+
+def test_rules_are_evaluated_per_run(spark):
+    rows = [("a", 1, 5.0), ("a", 2, 50.0), ("b", None, 5.0)]
+    df = spark.createDataFrame(rows, "run string, id int, v double")
+    rule = TableRules(
+        volume=Range(2, 9),
+        critical=("id", "absent"),
+        ranges={"v": Range(0, 10), "absent": Range(0, 1)},
+        range_tolerance_pct=50.0,
+        primary_key=("id",),
+    )
+    found = {
+        (r.run_id, r.check_type): (r.status, r.actual)
+        for r in evaluate_rules({"t": df}, {"t": rule}, by="run").collect()
+    }
+    assert found == {
+        ("a", "volume"): ("PASS", 2.0),
+        ("b", "volume"): ("FAIL", 1.0),
+        ("a", "null_checks"): ("PASS", 0.0),
+        ("b", "null_checks"): ("FAIL", 100.0),
+        ("a", "range_checks"): ("PASS", 50.0),
+        ("b", "range_checks"): ("PASS", 0.0),
+    }
+
+
+def test_rules_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "id int, at timestamp")
+    rule = TableRules(Range(0, 1), ("id",), primary_key=("id",), timestamp_column="at")
+    found = {r.check_type: r.status for r in evaluate_rules({"t": df}, {"t": rule}, "2024-01-01").collect()}
+    assert found == {"volume": "PASS", "null_checks": "PASS", "freshness": "SKIP", "primary_key": "PASS"}
+
+
+def test_map_column_is_noted(spark):
+    df = spark.sql("SELECT map('a', 1) AS m")
+    alerts = column_findings(column_profile(df, "t")).where("record = 'alert'").collect()
+    assert [(a.check_type, a.severity) for a in alerts] == [("distinctness", "INFO")]
