@@ -25,10 +25,22 @@ def drift_pair(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def drift_between(long: DataFrame, old_run: str, new_run: str) -> DataFrame:
-    """Drift between two runs of a stored profile."""
-    old, new = (long.where(F.col("run_id") == run) for run in (old_run, new_run))
-    return drift_pair(old, new).select(
-        F.lit(old_run).alias("old_run"), F.lit(new_run).alias("new_run"), "*"
+    """Drift between two runs of a stored profile, side by side in one grouping."""
+    run = F.col("run_id")
+    both = (
+        long.where(run.isin(old_run, new_run))
+        .groupBy(*STAT_KEYS)
+        .agg(
+            F.max(F.when(run == old_run, F.col("value"))).alias("old_value"),
+            F.max(F.when(run == new_run, F.col("value"))).alias("new_value"),
+        )
+        .where("old_value IS NOT NULL AND new_value IS NOT NULL")
+    )
+    return both.select(
+        F.lit(old_run).alias("old_run"),
+        F.lit(new_run).alias("new_run"),
+        "*",
+        percent_change(F.col("old_value"), F.col("new_value")).alias("percent_change"),
     )
 
 

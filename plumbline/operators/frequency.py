@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import text
+from plumbline.functions.frames import union_all
 from plumbline.functions.scalars import percent
 from plumbline.functions.schema import STRING, column_specs
 
@@ -16,30 +17,38 @@ NULL_TEXT = "None"
 
 
 def value_frequencies(
-    df: DataFrame, table: str, columns: Iterable[str] | None = None, share: bool = True
+    tables: Mapping[str, DataFrame],
+    columns: Mapping[str, Iterable[str]] | None = None,
+    share: bool = True,
 ) -> DataFrame:
     """Rows per value of each string column, null included, with the share of all rows.
 
-    All columns are counted in one job: a frequent value is summed on the map side before the
-    shuffle. The shares need the row count, which a scan without columns gives.
+    All columns of all tables are counted in one shuffle, and a frequent value is summed on the map
+    side before it. ``columns`` names other columns to count. The shares need the row counts, which
+    scans without columns give.
     """
-    if columns is None:
-        columns = [s.name for s in column_specs(df) if s.kind == STRING]
-    cells = text.structs(
-        [
-            {"column_name": text.literal(n), "value": f"CAST({text.name(n)} AS STRING)"}
-            for n in columns
+    cells, totals = [], []
+    for table, df in tables.items():
+        names = (columns or {}).get(table) or [s.name for s in column_specs(df) if s.kind == STRING]
+        if not names:
+            continue
+        rows = [
+            {"column_name": text.literal(n), "value": f"CAST({text.name(n)} AS STRING)"} for n in names
         ]
-    )
+        label = f"{text.literal(table)} AS table_name"
+        cells.append(df.selectExpr(label, f"inline({text.structs(rows)})"))
+        totals.append(df.agg(F.expr("count(1) AS total_rows")).selectExpr(label, "total_rows"))
     counts = (
-        df.selectExpr(f"inline({cells})")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("value_count"))
+        union_all(cells)
+        .groupBy("table_name", "column_name", "value")
+        .agg(F.expr("count(1) AS value_count"))
     )
-    if share:
-        total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-        counts = counts.withColumn("value_pct", percent(F.col("value_count"), total))
-    return counts.select(F.lit(table).alias("table_name"), "*")
+    if not share:
+        return counts
+    known = counts.join(union_all(totals), "table_name")
+    return known.withColumn(
+        "value_pct", percent(F.col("value_count"), F.col("total_rows"))
+    ).drop("total_rows")
 
 
 def top_values(frequencies: DataFrame, k: int) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import text
+from plumbline.functions.frames import union_all
 from plumbline.functions.schema import METADATA_COLUMNS, NUMERIC, STRING, ColumnSpec, column_specs
 
 # Texts longer than this are counted by digest, so that the shuffle carries 65 characters instead.
@@ -107,13 +108,6 @@ def profile_tables(
     return long.selectExpr(*keys, *[f"{derived.get(f, f)} AS {f}" for f in PROFILE_FIELDS])
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 # --- counted values -------------------------------------------------------------------------
 
 _NO_LONG, _NO_DOUBLE, _NO_TEXT = (
@@ -229,7 +223,7 @@ _FROM_COUNTS = {
 def _from_value_counts(
     tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None
 ) -> DataFrame:
-    cells = _union(
+    cells = union_all(
         [_cells(df, i, specs[table], by) for i, (table, df) in enumerate(tables.items()) if specs[table]]
     )
     keys = ["run_id"] if by else []
@@ -303,7 +297,7 @@ def _from_aggregates(
     stats: frozenset[str],
 ) -> DataFrame:
     parts = [_aggregated(df, t, specs[t], by, approx, stats) for t, df in tables.items() if specs[t]]
-    return _union(parts).withColumn("null_count", F.expr("total_rows - non_null"))
+    return union_all(parts).withColumn("null_count", F.expr("total_rows - non_null"))
 
 
 def _aggregated(

@@ -105,12 +105,6 @@ def detail_with_values(
     tables: Mapping[str, DataFrame], policy: Policy = Policy(), distinct: str = "exact"
 ) -> DataFrame:
     """The column detail with the frequent values of string columns."""
-    parts = []
-    for name, df in tables.items():
-        scored = scoring.score_signs(profile.column_profile(df, name, distinct=distinct), policy)
-        values = frequency.value_frequencies(df, name, share=False)
-        parts.append(report.report_detail(scored, values, policy))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    scored = scoring.score_signs(profile.profile_tables(tables, distinct=distinct), policy)
+    values = frequency.value_frequencies(tables, share=False)
+    return report.report_detail(scored, values, policy)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions import text
+from plumbline.functions.frames import union_all
 from plumbline.operators.integrity import primary_key_check
 from plumbline.operators.table_checks import timestamp_column
 from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, TableRules
@@ -199,7 +200,4 @@ def evaluate_rules(
     for name, rule in rules.items():
         if name in tables:
             parts += _evaluate(tables[name], name, rule, as_of, by)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return union_all(parts)

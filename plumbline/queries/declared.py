@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.operators import checks, integrity, rollup, table_checks
 from plumbline.plans.policy import Range
 from plumbline.plans.rules import evaluate_rules, packaged_rules
 from plumbline.queries.inputs import PATCHY_ORDERS, event_runs, source, sources
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.rules import RUN_RESULTS_SQL, run_results
 from plumbline.queries.sql import pct, r
 from plumbline.sources import work_dir
@@ -121,7 +122,7 @@ def check_foreign_key(spark, sf_dir):
         )
         for child, column, parent, key in _REFERENCES
     ]
-    return rounded(union(found), 2, "orphan_pct")
+    return rounded(union_all(found), 2, "orphan_pct")
 
 
 @query(
@@ -151,7 +152,7 @@ def check_lookup(spark, sf_dir):
         customer.groupBy("c_mktsegment").agg(F.avg("c_acctbal").alias("mean")).where("mean > 4450")
     )
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    found = union(
+    found = union_all(
         [
             integrity.reference_check(
                 customer, "c_nationkey", nation, "n_nationkey", "customer", "nation", "lookup"
@@ -192,7 +193,7 @@ def check_pattern(spark, sf_dir):
         table_checks.pattern_checks(table(spark, sf_dir, t), t, patterns)
         for t, patterns in _PATTERNS.items()
     ]
-    return rounded(union(found), 2, "violation_pct").drop("check_type")
+    return rounded(union_all(found), 2, "violation_pct").drop("check_type")
 
 
 @query(
@@ -237,7 +238,7 @@ def _gaps_sql(name: str, position: str, group: str) -> str:
 def check_sequence_gaps(spark, sf_dir):
     lineitem, events = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "events")
     turns = table(spark, sf_dir, "conversations")
-    return union(
+    return union_all(
         [
             integrity.sequence_check(lineitem, "lineitem", "l_linenumber", "l_orderkey"),
             integrity.sequence_check(turns, "conversations", "turn", "conv_id"),
@@ -271,7 +272,7 @@ def check_primary_key(spark, sf_dir):
         integrity.primary_key_check(table(spark, sf_dir, name), name, key)
         for name, key in _KEYS.items()
     ]
-    return union(found).drop("check_type")
+    return union_all(found).drop("check_type")
 
 
 _NUMBERS = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
@@ -296,7 +297,7 @@ _NUMBERS = "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events"
 def check_castable(spark, sf_dir):
     events = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k"))
     patchy = source(spark, sf_dir, "patchy_orders")
-    found = union(
+    found = union_all(
         [
             table_checks.castable_checks(events, "events", {"k": "int", "event_type": "double"}),
             table_checks.castable_checks(

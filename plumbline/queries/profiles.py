@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.functions import half_up
 from plumbline.operators import frequency, outliers, profile, table_checks
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
 from plumbline.queries.inputs import PROFILED, SCHEMAS, event_runs, source, sources
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
 
 
@@ -183,7 +184,7 @@ _RANGES = {
     ),
 )
 def range_violations(spark, sf_dir):
-    found = union(
+    found = union_all(
         [
             table_checks.range_checks(table(spark, sf_dir, t), t, ranges)
             for t, ranges in _RANGES.items()
@@ -209,7 +210,7 @@ _AMOUNTS = {
     + ")",
 )
 def negative_amounts(spark, sf_dir):
-    found = union(
+    found = union_all(
         [
             table_checks.sign_counts(table(spark, sf_dir, t), t, names)
             for t, names in _AMOUNTS.items()
@@ -240,7 +241,7 @@ _TEXTS = {
     _union_counts([(t, c, f"{c} IN ('', ' ')") for t, names in _TEXTS.items() for c in names], "blank"),
 )
 def blank_strings(spark, sf_dir):
-    found = union(
+    found = union_all(
         [
             table_checks.blank_counts(source(spark, sf_dir, t), t, names)
             for t, names in _TEXTS.items()
@@ -268,7 +269,7 @@ def outliers_by_deviation(spark, sf_dir):
     found = [
         outliers.outlier_counts(table(spark, sf_dir, t), t, _DEVIATIONS) for t in _SPREAD_TABLES
     ]
-    return union(found).select("table_name", "column_name", "outlier_count")
+    return union_all(found).select("table_name", "column_name", "outlier_count")
 
 
 @query(
@@ -299,12 +300,7 @@ def frequency_sql(tables: list[str]) -> str:
 
 
 def _frequencies(spark, sf_dir, share: bool = True):
-    return union(
-        [
-            frequency.value_frequencies(df, name, share=share)
-            for name, df in sources(spark, sf_dir, _FREQUENT).items()
-        ]
-    )
+    return frequency.value_frequencies(sources(spark, sf_dir, _FREQUENT), share=share)
 
 
 @query(

@@ -33,9 +33,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: half_up(c, digits) for c in columns})
 
-
-def union(parts: list[DataFrame]) -> DataFrame:
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.operators import checks, profile, report, table_checks
 from plumbline.plans.daily import assess, detail_with_values
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
 from plumbline.queries.inputs import ASSESSED, POLICY, SCHEMAS, sources
 from plumbline.queries.profiles import top_sql
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.rules import FINDINGS_SQL
 from plumbline.queries.scores import SCORE_A_SQL, SCORE_C
 from plumbline.queries.sql import pct, r
@@ -72,7 +73,7 @@ def report_detail(spark, sf_dir):
 )
 def report_by_check(spark, sf_dir):
     names = ["orders", "lineitem"]
-    counts = union([table_checks.row_counts(table(spark, sf_dir, t), t) for t in names])
+    counts = union_all([table_checks.row_counts(table(spark, sf_dir, t), t) for t in names])
     limits = {t: Range(100, 50_000) for t in names}
     volume = checks.volume_checks(counts, limits).select(
         "check_type",
@@ -90,7 +91,7 @@ def report_by_check(spark, sf_dir):
     ).select(
         "check_type", "table_name", "column_name", F.col("violation_pct").alias("actual"), "status"
     )
-    return rounded(union([volume, nulls, ranged]), 2, "actual")
+    return rounded(union_all([volume, nulls, ranged]), 2, "actual")
 
 
 _TOTALS = [(t, len(SCHEMAS[t])) for t in ASSESSED]
@@ -129,7 +130,7 @@ _LINE_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" f
         UNION ALL SELECT t || format(': {{:,}} rows', n) FROM c""",
 )
 def summary_lines(spark, sf_dir):
-    counts = union([table_checks.row_counts(table(spark, sf_dir, t), t) for t in _LINES])
+    counts = union_all([table_checks.row_counts(table(spark, sf_dir, t), t) for t in _LINES])
     widths = F.create_map(*[F.lit(x) for t in _LINES for x in (t, len(SCHEMAS[t]))])
     tables = counts.select(
         "table_name",

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.operators import checks, profile, rollup, table_checks
 from plumbline.plans.policy import Range, TableRules
 from plumbline.plans.rules import evaluate_rules
 from plumbline.queries import sql
 from plumbline.queries.inputs import ASSESSED, POLICY, event_runs, sources
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
 
 _NULLS = f"({sql.profile(ASSESSED, distinct=False)})"
@@ -274,7 +275,7 @@ def _volume_sql() -> str:
 
 @query("check_volume", _volume_sql())
 def check_volume(spark, sf_dir):
-    counts = union([table_checks.row_counts(table(spark, sf_dir, t), t) for t in _COUNTED])
+    counts = union_all([table_checks.row_counts(table(spark, sf_dir, t), t) for t in _COUNTED])
     return checks.volume_checks(counts, _VOLUMES)
 
 
@@ -310,7 +311,7 @@ def _range_sql(tolerance: float) -> str:
 
 
 def _range_checks(spark, sf_dir, tolerance):
-    found = union(
+    found = union_all(
         [
             table_checks.range_checks(table(spark, sf_dir, t), t, ranges, tolerance)
             for t, ranges in _RANGES.items()
@@ -357,7 +358,7 @@ def _without_column(table_name: str, status: str) -> str:
     ),
 )
 def freshness(spark, sf_dir):
-    found = union(
+    found = union_all(
         [
             table_checks.freshness_check(
                 table(spark, sf_dir, "events"), "events", "2024-01-31 00:00:00"
@@ -439,7 +440,7 @@ def _table_results(spark, sf_dir):
     keys = ["table_name", "check_type", "status"]
     names = ["orders", "lineitem", "customer", "events", "part"]
     tables = sources(spark, sf_dir, names)
-    counts = union([table_checks.row_counts(df, name) for name, df in tables.items()])
+    counts = union_all([table_checks.row_counts(df, name) for name, df in tables.items()])
     ranged = [
         table_checks.range_checks(tables[t], t, ranges, 5.0).select(*keys)
         for t, ranges in _RANGES.items()
@@ -448,7 +449,7 @@ def _table_results(spark, sf_dir):
         table_checks.freshness_check(df, name, "2024-02-02 00:00:00").select(*keys)
         for name, df in tables.items()
     ]
-    return union([checks.volume_checks(counts, _VOLUMES).select(*keys), *ranged, *fresh])
+    return union_all([checks.volume_checks(counts, _VOLUMES).select(*keys), *ranged, *fresh])
 
 
 def _latest(name: str, column: str) -> str:

@@ -6,11 +6,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.functions import column_specs
 from plumbline.operators import table_checks
 from plumbline.operators.snapshot import stamp_metadata
 from plumbline.queries.inputs import SCHEMAS, TABLES, source
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
 from plumbline.sources import (
     append_table,
@@ -74,7 +75,7 @@ def scan_csv_roundtrip(spark, sf_dir):
 )
 def table_volumes(spark, sf_dir):
     tables = load_tables(spark, sf_dir, TABLES)
-    return union([table_checks.row_counts(df, name) for name, df in tables.items()])
+    return union_all([table_checks.row_counts(df, name) for name, df in tables.items()])
 
 
 @query(
@@ -112,7 +113,7 @@ def table_shape(spark, sf_dir):
                 F.lit(len(column_specs(daily))).alias("business_columns"),
             )
         )
-    return union(parts)
+    return union_all(parts)
 
 
 @query("view_roundtrip", "SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY ALL")
@@ -244,6 +245,6 @@ def schema_report(spark, sf_dir):
         )
         counted = df.agg(F.count(F.lit(1)).alias("total_rows"))
         parts.append(counted.select(F.lit(name).alias("table_name"), F.inline(fields), "total_rows"))
-    return union(parts)
+    return union_all(parts)
 
 

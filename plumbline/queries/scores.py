@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.operators import outliers, profile, scoring
 from plumbline.plans.daily import assess
 from plumbline.queries import sql
 from plumbline.queries.inputs import ASSESSED, POLICY, SCHEMAS, sources
-from plumbline.queries.registry import query, union
+from plumbline.queries.registry import query
 from plumbline.queries.rules import FINDINGS_SQL
 from plumbline.queries.sql import relation, r
 
@@ -89,7 +90,7 @@ _ISSUES = (
 )
 def score_model_b(spark, sf_dir):
     tables = sources(spark, sf_dir, ASSESSED)
-    far = union([outliers.outlier_counts(df, name, _DEVIATIONS) for name, df in tables.items()])
+    far = union_all([outliers.outlier_counts(df, name, _DEVIATIONS) for name, df in tables.items()])
     scored = scoring.score_issues(profile.profile_tables(tables), far, POLICY)
     return scored.select("table_name", "column_name", "issue_count", "data_quality_score")
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import union_all
 from plumbline.operators import snapshot
-from plumbline.queries.registry import query, rounded, table, union
+from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
 from plumbline.sources import overwrite_partitions, work_dir
 
@@ -61,7 +62,7 @@ def sample_rates(spark, sf_dir):
                 F.lit(name).alias("table_name"), F.lit(rate).alias("sample_rate"), "sampled_count"
             )
         )
-    return union(parts)
+    return union_all(parts)
 
 
 @query(
@@ -79,7 +80,7 @@ def sample_ratio(spark, sf_dir):
         snapshot.sample_counts(table(spark, sf_dir, name), name, key, DAY, rate)
         for name, (key, rate) in RATES.items()
     ]
-    return rounded(union(counted), 2, "sampled_pct")
+    return rounded(union_all(counted), 2, "sampled_pct")
 
 
 @query(

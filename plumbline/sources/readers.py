@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.frames import union_all
+
 
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
     """Types of a CSV with a header, inferred from every row. Infer once and keep the result."""
@@ -72,14 +74,6 @@ def table_inventory(spark: SparkSession, refs: Mapping[str, str]) -> DataFrame:
     return union_all(parts)
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    """One plan for several inputs, so that their scans run side by side."""
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
 def read_documents(spark: SparkSession, pattern: str, schema: T.StructType | str) -> DataFrame:
     """Stored run documents; the run id is the time stamp in the file or folder name."""
     return spark.read.schema(schema).json(pattern).withColumn(

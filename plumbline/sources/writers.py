@@ -8,7 +8,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.sources.readers import load_table, union_all
+from plumbline.functions.frames import union_all
+from plumbline.sources.readers import load_table
 
 
 def ensure_namespace(spark: SparkSession, name: str) -> None:
