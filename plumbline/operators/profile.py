@@ -1,19 +1,22 @@
 """Column profiles: one long row per column (and per run, if asked), from one scan per table.
 
-Two plans give the same figures:
-
-* ``distinct="exact"``: the cells of all columns of all tables become rows ``(column, value)`` and
-  are counted per value, in one shuffle. The map side already collapses repeated values, so a value
-  that fills a third of a table reaches the shuffle once per task, and rows stay a few fields wide
-  however wide the table is. All statistics but the standard deviation follow from the counts.
-* ``distinct="approx"`` or ``"none"``: one aggregate per table with a fixed-size buffer per column.
-  Only one row per task (and run) is shuffled.
+Three plans give the same figures:
+
+* Counted values (``distinct="exact"``): the cells of all columns of all tables become rows
+  ``(column, value)`` and are counted per value, in one shuffle. The map side already collapses
+  repeated values, so a value that fills a third of a table reaches the shuffle once per task, and
+  rows stay a few fields wide however wide the table is. All statistics but the standard deviation
+  follow from the counts.
+* Grouped cells (``distinct="approx"``, and wide tables): the cells become rows as above, but are
+  grouped per column straight away, with buffers of fixed size. A task shuffles a row per column.
+* One aggregate (other tables): a task shuffles one row. Fastest for a few dozen columns; beyond that
+  the aggregate grows too large to be compiled well.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +28,8 @@ from plumbline.functions.schema import METADATA_COLUMNS, NUMERIC, STRING, Column
 
 # Texts longer than this are counted by digest, so that the shuffle carries 65 characters instead.
 DIGEST_ABOVE = 64
+# An aggregate of more figures than this takes longer than grouping the cells.
+WIDEST_AGGREGATE = 300
 
 PROFILE_FIELDS = (
     "table_name",
@@ -86,8 +91,10 @@ def profile_tables(
     }
     if distinct == "exact":
         long = _from_value_counts(tables, specs, by)
-    elif distinct in ("approx", "none"):
-        long = _from_aggregates(tables, specs, by, distinct == "approx", frozenset(stats))
+    elif distinct == "approx":
+        long = _from_grouped_cells(tables, specs, by, frozenset(stats), estimate=True)
+    elif distinct == "none":
+        long = _from_aggregates(tables, specs, by, frozenset(stats))
     else:
         raise ValueError(f"unknown distinct mode: {distinct}")
     derived = {
@@ -183,13 +190,41 @@ def _column_names(df: DataFrame, specs: dict[str, list[ColumnSpec]]) -> DataFram
     return df.sparkSession.range(1).selectExpr(f"inline({text.structs(rows)})")
 
 
-def _cells(df: DataFrame, table_id: int, specs: list[ColumnSpec], by: str | None) -> DataFrame:
-    rows = [
-        {"ordinal": str(s.ordinal)} | dict(zip(("v_long", "v_double", "v_text"), _lanes(s)))
-        for s in specs
-    ]
-    keys = [f"{text.name(by)} AS run_id"] if by else []
-    return df.selectExpr(*keys, f"{table_id} AS table_id", f"inline({text.structs(rows)})")
+def _cells(
+    tables: Mapping[str, DataFrame],
+    specs: dict[str, list[ColumnSpec]],
+    by: str | None,
+    fields: Callable[[ColumnSpec], dict[str, str]],
+) -> DataFrame:
+    """A row per cell of the tables, with the number of its table and column and the given fields."""
+    parts = []
+    for table_id, (table, df) in enumerate(tables.items()):
+        rows = [{"ordinal": str(s.ordinal)} | fields(s) for s in specs[table]]
+        if rows:
+            keys = [f"{text.name(by)} AS run_id"] if by else []
+            parts.append(
+                df.selectExpr(*keys, f"{table_id} AS table_id", f"inline({text.structs(rows)})")
+            )
+    return union_all(parts)
+
+
+def _with_names(
+    per_column: DataFrame, specs: dict[str, list[ColumnSpec]], by: str | None, figures: dict[str, str]
+) -> DataFrame:
+    # A table without rows has no cells to group: the list of columns keeps it in the result.
+    names = _column_names(per_column, specs)
+    joined = names.join(per_column, ["table_id", "ordinal"], "inner" if by else "left")
+    return joined.na.fill(0, ["total_rows", "null_count"]).selectExpr(
+        *(["run_id"] if by else []),
+        "table_name",
+        "column_name",
+        "ordinal",
+        "data_type",
+        "kind",
+        "total_rows",
+        "null_count",
+        *[f"{e} AS {f}" for f, e in figures.items()],
+    )
 
 
 _NUMBER = "coalesce(v_double, CAST(v_long AS DOUBLE))"
@@ -223,30 +258,76 @@ _FROM_COUNTS = {
 def _from_value_counts(
     tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None
 ) -> DataFrame:
-    cells = union_all(
-        [_cells(df, i, specs[table], by) for i, (table, df) in enumerate(tables.items()) if specs[table]]
-    )
-    keys = ["run_id"] if by else []
+    lanes = ("v_long", "v_double", "v_text")
+    cells = _cells(tables, specs, by, lambda spec: dict(zip(lanes, _lanes(spec))))
+    keys = [*(["run_id"] if by else []), "table_id", "ordinal"]
     per_column = (
-        cells.groupBy(*keys, "table_id", "ordinal", "v_long", "v_double", "v_text")
+        cells.groupBy(*keys, *lanes)
         .agg(F.expr("count(1) AS n"))
-        .groupBy(*keys, "table_id", "ordinal")
+        .groupBy(*keys)
         .agg(*[F.expr(f"{e} AS {f}") for f, e in _PER_COLUMN.items()])
     )
-    # A table without rows has no values to count: the list of columns keeps it in the result.
-    names = _column_names(cells, specs)
-    joined = names.join(per_column, ["table_id", "ordinal"], "inner" if by else "left")
-    return joined.na.fill(0, ["total_rows", "null_count"]).selectExpr(
-        *keys,
-        "table_name",
-        "column_name",
-        "ordinal",
-        "data_type",
-        "kind",
-        "total_rows",
-        "null_count",
-        *[f"{e} AS {f}" for f, e in _FROM_COUNTS.items()],
+    return _with_names(per_column, specs, by, _FROM_COUNTS)
+
+
+# --- grouped cells --------------------------------------------------------------------------
+
+# Statistic: its group, the kind of column that has it, its type and its aggregate.
+_GROUPED = {
+    "min_num": (RANGE, NUMERIC, "DOUBLE", "min(number)"),
+    "max_num": (RANGE, NUMERIC, "DOUBLE", "max(number)"),
+    "mean": (RANGE, NUMERIC, "DOUBLE", "avg(number)"),
+    "stddev": (SPREAD, NUMERIC, "DOUBLE", "stddev(number)"),
+    "negative_count": (SIGNS, NUMERIC, "BIGINT", "count_if(number < 0)"),
+    "min_len": (LENGTHS, STRING, "INT", "min(length)"),
+    "max_len": (LENGTHS, STRING, "INT", "max(length)"),
+    "avg_len": (LENGTHS, STRING, "DOUBLE", "avg(length)"),
+    "blank_count": (BLANKS, STRING, "BIGINT", "count_if(blank)"),
+}
+
+
+def _from_grouped_cells(
+    tables: Mapping[str, DataFrame],
+    specs: dict[str, list[ColumnSpec]],
+    by: str | None,
+    stats: frozenset[str],
+    estimate: bool,
+) -> DataFrame:
+    def fields(spec: ColumnSpec) -> dict[str, str]:
+        cell = text.name(spec.name)
+        numeric, string = spec.kind == NUMERIC, spec.kind == STRING
+        found = {"missing": f"{cell} IS NULL"}
+        if stats & {RANGE, SPREAD, SIGNS}:
+            found["number"] = f"CAST({cell} AS DOUBLE)" if numeric else _NO_DOUBLE
+        if LENGTHS in stats:
+            found["length"] = f"length({cell})" if string else "CAST(NULL AS INT)"
+        if BLANKS in stats:
+            found["blank"] = f"{cell} IN {BLANKS_SQL}" if string else "CAST(NULL AS BOOLEAN)"
+        if estimate:
+            # Null counts as one value. An empty array alone would hash like null.
+            found["hash"] = f"xxhash64({cell}, {cell} IS NULL)" if spec.countable else _NO_LONG
+        return found
+
+    wanted = {f: e for f, (group, _, _, e) in _GROUPED.items() if group in stats}
+    if estimate:
+        wanted["distinct_values"] = "approx_count_distinct(hash, 0.02)"
+    per_column = (
+        _cells(tables, specs, by, fields)
+        .groupBy(*(["run_id"] if by else []), "table_id", "ordinal")
+        .agg(
+            F.expr("count(1) AS total_rows"),
+            F.expr("count_if(missing) AS null_count"),
+            *[F.expr(f"{e} AS {f}") for f, e in wanted.items()],
+        )
     )
+    distinct = "CASE WHEN countable THEN coalesce(distinct_values, 0) END" if estimate else _NO_LONG
+    figures = {"distinct_count": distinct}
+    for field, (_, kind, type_name, _) in _GROUPED.items():
+        value = field if field in wanted else f"CAST(NULL AS {type_name})"
+        if field in ("negative_count", "blank_count") and field in wanted:
+            value = f"coalesce({field}, 0)"
+        figures[field] = f"CASE WHEN kind = '{kind}' THEN {value} END"
+    return _with_names(per_column, specs, by, figures)
 
 
 # --- one aggregate --------------------------------------------------------------------------
@@ -266,13 +347,9 @@ _STAT_TYPES = {
 }
 
 
-def _aggregates(spec: ColumnSpec, approx: bool, stats: frozenset[str]) -> dict[str, str]:
+def _aggregates(spec: ColumnSpec, stats: frozenset[str]) -> dict[str, str]:
     cell = text.name(spec.name)
     found = {"non_null": f"count({cell})"}
-    if approx and spec.countable:
-        nested = isinstance(spec.data_type, (T.ArrayType, T.StructType))
-        estimate = f"approx_count_distinct({_json(cell) if nested else cell}, 0.02)"
-        found["distinct_count"] = f"{estimate} + coalesce(max(CASE WHEN {cell} IS NULL THEN 1 ELSE 0 END), 0)"
     if spec.kind == NUMERIC:
         if RANGE in stats:
             found |= {"min_num": f"min({cell})", "max_num": f"max({cell})", "mean": f"avg({cell})"}
@@ -293,22 +370,26 @@ def _from_aggregates(
     tables: Mapping[str, DataFrame],
     specs: dict[str, list[ColumnSpec]],
     by: str | None,
-    approx: bool,
     stats: frozenset[str],
 ) -> DataFrame:
-    parts = [_aggregated(df, t, specs[t], by, approx, stats) for t, df in tables.items() if specs[t]]
-    return union_all(parts).withColumn("null_count", F.expr("total_rows - non_null"))
+    wanted = {t: {s: _aggregates(s, stats) for s in found} for t, found in specs.items()}
+    wide = {t for t, found in wanted.items() if sum(map(len, found.values())) > WIDEST_AGGREGATE}
+    parts = [_aggregated(df, t, wanted[t], by) for t, df in tables.items() if t not in wide and specs[t]]
+    if wide:
+        chosen = {t: df for t, df in tables.items() if t in wide}
+        grouped = _from_grouped_cells(chosen, {t: specs[t] for t in chosen}, by, stats, estimate=False)
+        parts.append(grouped)
+    return union_all(parts)
 
 
 def _aggregated(
-    df: DataFrame, table: str, specs: list[ColumnSpec], by: str | None, approx: bool, stats: frozenset[str]
+    df: DataFrame, table: str, wanted: dict[ColumnSpec, dict[str, str]], by: str | None
 ) -> DataFrame:
-    wanted = {spec: _aggregates(spec, approx, stats) for spec in specs}
-    # All statistics are fields of one struct, so that a wide table is one expression to build.
+    # All statistics are fields of one struct, so that they are one expression to build.
     fields = {f"{spec.ordinal}_{s}": e for spec, found in wanted.items() for s, e in found.items()}
     figures = ", ".join(f"{text.literal(f)}, {e}" for f, e in fields.items())
     groups = [F.expr(f"{text.name(by)} AS run_id")] if by else []
-    wide = df.groupBy(*groups).agg(
+    one_row = df.groupBy(*groups).agg(
         F.expr("count(1) AS total_rows"), F.expr(f"named_struct({figures}) AS figures")
     )
     rows = [
@@ -324,10 +405,13 @@ def _aggregated(
         }
         for spec, found in wanted.items()
     ]
-    keys = ["run_id"] if by else []
-    return wide.selectExpr(
-        *keys, f"{text.literal(table)} AS table_name", "total_rows", f"inline({text.structs(rows)})"
+    long = one_row.selectExpr(
+        *(["run_id"] if by else []),
+        f"{text.literal(table)} AS table_name",
+        "total_rows",
+        f"inline({text.structs(rows)})",
     )
+    return long.withColumn("null_count", F.expr("total_rows - non_null")).drop("non_null")
 
 
 # --- long form ------------------------------------------------------------------------------

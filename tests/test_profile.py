@@ -4,6 +4,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.operators import profile as profile_module
 from plumbline.operators.outliers import outlier_counts, zscore_rows
 from plumbline.operators.profile import column_profile, profile_long, profile_tables
 
@@ -74,8 +75,9 @@ def test_only_numeric_types_have_figures(odd):
     assert found["at"].min_num is None
 
 
-@pytest.mark.parametrize("distinct", ["approx", "none"])
-def test_both_plans_agree(odd, distinct):
+@pytest.mark.parametrize("distinct, widest", [("approx", 300), ("none", 300), ("none", 0)])
+def test_all_plans_agree(odd, monkeypatch, distinct, widest):
+    monkeypatch.setattr(profile_module, "WIDEST_AGGREGATE", widest)
     exact = by_column(column_profile(odd, "odd"))
     other = by_column(column_profile(odd, "odd", distinct=distinct))
     skipped = {"stddev", "distinct_count", "uniqueness_pct"} if distinct == "none" else {"stddev"}
@@ -131,7 +133,7 @@ def test_awkward_column_names(spark):
 
 def test_runs_are_profiled_apart(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("b", 4)], "run string, v int")
-    for distinct in ("exact", "none"):
+    for distinct in ("exact", "approx", "none"):
         rows = {r.run_id: r for r in column_profile(df, "t", by="run", distinct=distinct).collect()}
         assert (rows["a"].total_rows, rows["a"].null_count, rows["a"].mean) == (3, 1, 1.0)
         assert (rows["b"].total_rows, rows["b"].null_count, rows["b"].mean) == (1, 0, 4.0)
@@ -148,6 +150,14 @@ def test_wide_table(spark):
     assert column_profile(df, "wide", named="^c1$").count() == 1
 
 
+def test_spread_agrees_between_plans(spark, monkeypatch):
+    df = spark.createDataFrame([(1.0, 5), (2.0, None), (4.0, 9)], "d double, i int")
+    one = {c: r.stddev for c, r in by_column(column_profile(df, "t", distinct="none")).items()}
+    monkeypatch.setattr(profile_module, "WIDEST_AGGREGATE", 0)
+    other = {c: r.stddev for c, r in by_column(column_profile(df, "t", distinct="none")).items()}
+    assert one == pytest.approx(other) and one["i"] == pytest.approx(8**0.5)
+
+
 def test_several_tables_keep_apart(spark):
     one = spark.createDataFrame([(1,), (2,)], "v int")
     two = spark.createDataFrame([(2,), (2,), (None,)], "v int")
