@@ -29,7 +29,7 @@ def main(arguments: list[str] | None = None) -> None:
     daily = commands.add_parser("daily", help="snapshot the tables and assess every column")
     daily.add_argument("tables", nargs="+", metavar="name=path")
     daily.add_argument("--out", required=True)
-    daily.add_argument("--key", nargs="*", default=[], metavar="name=column", help="sample by this key")
+    daily.add_argument("--key", nargs="*", default=[], metavar="name=column,…", help="sample by this key")
     daily.add_argument("--date", default=datetime.date.today().isoformat())
     daily.add_argument("--distinct", choices=["exact", "approx", "none"], default="exact")
     daily.add_argument("--max-columns", type=int)
@@ -50,7 +50,7 @@ def main(arguments: list[str] | None = None) -> None:
     now = datetime.datetime.now()
     if options.command == "daily":
         tables = {name: _load(spark, ref) for name, ref in _named(options.tables).items()}
-        keys = _named(options.key)
+        keys = {name: key.split(",") for name, key in _named(options.key).items()}
         run_id = f"{options.date.replace('-', '')}_{now:%H%M%S}"
         sampled = {name: df for name, df in tables.items() if name in keys}
         whole = {name: df for name, df in tables.items() if name not in keys}

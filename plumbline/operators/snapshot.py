@@ -53,15 +53,26 @@ def bernoulli_sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
     return df.sample(withReplacement=False, fraction=fraction, seed=seed)
 
 
+def _key(key: str | list[str]) -> list[Column]:
+    """The key columns; a null is written out, so that rows without part of the key are not alike."""
+    names = [key] if isinstance(key, str) else key
+    return [F.coalesce(F.col(quoted(n)).cast("string"), F.lit("null")) for n in names]
+
+
 def hash_sample(df: DataFrame, key: str | list[str], run_date: str, fraction: float) -> DataFrame:
-    """Rows whose key and date hash below the fraction: the same rows on every run of that day."""
-    keys = [key] if isinstance(key, str) else key
-    return df.where(in_hash_sample(fraction, *[F.col(quoted(k)) for k in keys], F.lit(run_date)))
+    """Rows whose key and date hash below the fraction: the same rows on every run of that day.
+
+    Rows with the same key are taken or left together, so the key should identify a row: a key that
+    fills a third of the table would be in the sample as a whole or not at all.
+    """
+    return df.where(in_hash_sample(fraction, *_key(key), F.lit(run_date)))
 
 
-def sample_counts(df: DataFrame, table: str, key: str, run_date: str, fraction: float) -> DataFrame:
+def sample_counts(
+    df: DataFrame, table: str, key: str | list[str], run_date: str, fraction: float
+) -> DataFrame:
     """Original and sampled rows of a table, counted in one scan."""
-    taken = in_hash_sample(fraction, F.col(quoted(key)), F.lit(run_date))
+    taken = in_hash_sample(fraction, *_key(key), F.lit(run_date))
     return df.agg(
         F.count(F.lit(1)).alias("original_count"), F.count_if(taken).alias("sampled_count")
     ).select(
@@ -117,7 +128,10 @@ def stamp_run(df: DataFrame, run_date: str, simulation_id: str, as_of: str | Non
 
 
 def jitter(
-    df: DataFrame, widths: Mapping[str, float], key: str | None = None, seed: int | str = 0
+    df: DataFrame,
+    widths: Mapping[str, float],
+    key: str | list[str] | None = None,
+    seed: int | str = 0,
 ) -> DataFrame:
     """Multiply columns by a factor within ± width / 2 around 1; absent columns are passed over.
 
@@ -129,13 +143,18 @@ def jitter(
             if key is None:
                 unit = F.rand(seed if isinstance(seed, int) else run_seed(seed))
             else:
-                unit = hash_unit(F.col(quoted(key)), F.lit(column), F.lit(str(seed)))
+                unit = hash_unit(*_key(key), F.lit(column), F.lit(str(seed)))
             changed[column] = F.col(quoted(column)) * (1 + (unit - 0.5) * width)
     return df.withColumns(changed) if changed else df
 
 
 def backfill(
-    df: DataFrame, table: str, key: str, as_of: str, days: int = 7, fraction: float = 0.01
+    df: DataFrame,
+    table: str,
+    key: str | list[str],
+    as_of: str,
+    days: int = 7,
+    fraction: float = 0.01,
 ) -> DataFrame:
     """Snapshots of the ``days`` days before ``as_of``, in one job.
 
@@ -145,7 +164,7 @@ def backfill(
     first = F.date_sub(F.lit(as_of).cast("date"), days)
     chosen = F.filter(
         F.transform(F.sequence(first, last), lambda d: d.cast("string")),
-        lambda d: in_hash_sample(fraction, F.col(quoted(key)), d),
+        lambda d: in_hash_sample(fraction, *_key(key), d),
     )
     exploded = df.withColumn("snapshot_date", F.explode(chosen))
     stamped = stamp_metadata(

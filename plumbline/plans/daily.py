@@ -28,7 +28,7 @@ def assess(
 
 def take_snapshots(
     sources: Mapping[str, DataFrame],
-    keys: Mapping[str, str],
+    keys: Mapping[str, str | list[str]],
     run_date: str,
     run_id: str,
     rates: Mapping[str, float] | None = None,

@@ -16,17 +16,19 @@ AS_OF = "2024-01-31 00:00:00"
 RATES = {
     "customer": ("c_custkey", 0.02),
     "orders": ("o_orderkey", 0.01),
-    "lineitem": ("l_orderkey", 0.005),
+    "lineitem": (["l_orderkey", "l_linenumber", "l_partkey"], 0.005),
     "part": ("p_partkey", 0.003),
     "events": ("event_id", 0.002),
 }
 
 
-def _prefix(key: str, day: str) -> str:
-    return f"substr(md5(CAST({key} AS VARCHAR) || '|' || {day}), 1, 8)"
+def _prefix(key: str | list[str], day: str) -> str:
+    names = [key] if isinstance(key, str) else key
+    parts = " || '|' || ".join(f"CAST({name} AS VARCHAR)" for name in names)
+    return f"substr(md5({parts} || '|' || {day}), 1, 8)"
 
 
-def _sampled(key: str, rate: float, day: str = f"'{DAY}'") -> str:
+def _sampled(key: str | list[str], rate: float, day: str = f"'{DAY}'") -> str:
     return f"{_prefix(key, day)} < '{int(rate * 4294967296):08x}'"
 
 

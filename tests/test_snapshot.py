@@ -84,3 +84,9 @@ def test_summary(spark):
 def test_fixed_tables_cover_the_loan_tables():
     assert len(snapshot.LOAN_SAMPLE_RATES) == 8
     assert snapshot.JITTER_WIDTHS["credit_card"] == {"AMT_BALANCE": 0.15}
+
+
+def test_rows_without_part_of_the_key_are_told_apart(spark):
+    df = spark.range(4000).selectExpr("id", "CAST(NULL AS INT) AS part")
+    taken = snapshot.hash_sample(df, ["part", "id"], "2024-01-01", 0.1).count()
+    assert 300 < taken < 500
