@@ -1,4 +1,4 @@
-"""Command line: ``python -m plumbline daily|check|drift|export …``."""
+"""Command line: ``python -m plumbline daily|snapshot|check|drift|export …``."""
 
 from __future__ import annotations
 
@@ -8,21 +8,19 @@ import datetime
 from pyspark.sql import SparkSession
 
 from plumbline.operators.rollup import ERROR_FIRST, FAIL_FIRST
+from plumbline.operators.snapshot import JITTER_WIDTHS, snapshot_summary
 from plumbline.plans.checking import run_checks
 from plumbline.plans.daily import batch_drift, run_daily, take_snapshots
 from plumbline.plans.policy import Policy
 from plumbline.plans.rules import read_rules
-from plumbline.sources import export_tables, load_table, read_csv, write_documents
+from plumbline.plans.simulate import write_snapshots
+from plumbline.sources import export_tables, load_source, write_documents
 
 
 def _named(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
 
 
-def _load(spark: SparkSession, ref: str):
-    return read_csv(spark, ref) if ref.endswith(".csv") else load_table(spark, ref)
-
-
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="plumbline", description=__doc__)
     commands = parser.add_subparsers(dest="command", required=True)
@@ -33,6 +31,14 @@ def main(arguments: list[str] | None = None) -> None:
     daily.add_argument("--date", default=datetime.date.today().isoformat())
     daily.add_argument("--distinct", choices=["exact", "approx", "none"], default="exact")
     daily.add_argument("--max-columns", type=int)
+    taken = commands.add_parser("snapshot", help="store a sample of each table by day")
+    taken.add_argument("tables", nargs="+", metavar="name=path")
+    taken.add_argument("--out", required=True)
+    taken.add_argument("--key", nargs="+", required=True, metavar="name=column,…")
+    taken.add_argument("--rate", nargs="*", default=[], metavar="name=share")
+    taken.add_argument("--jitter", nargs="*", default=[], metavar="name=family")
+    taken.add_argument("--date", default=datetime.date.today().isoformat())
+    taken.add_argument("--days", type=int, help="store this many days before the date instead")
     check = commands.add_parser("check", help="evaluate the rules of a configuration")
     check.add_argument("tables", nargs="+", metavar="name=path")
     check.add_argument("--rules", required=True, help="JSON file")
@@ -49,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"plumbline-{options.command}").getOrCreate()
     now = datetime.datetime.now()
     if options.command == "daily":
-        tables = {name: _load(spark, ref) for name, ref in _named(options.tables).items()}
+        tables = {name: load_source(spark, ref) for name, ref in _named(options.tables).items()}
         keys = {name: key.split(",") for name, key in _named(options.key).items()}
         run_id = f"{options.date.replace('-', '')}_{now:%H%M%S}"
         sampled = {name: df for name, df in tables.items() if name in keys}
@@ -65,6 +71,19 @@ def main(arguments: list[str] | None = None) -> None:
             options.max_columns,
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
+    elif options.command == "snapshot":
+        results = write_snapshots(
+            spark,
+            _named(options.tables),
+            {name: key.split(",") for name, key in _named(options.key).items()},
+            options.date,
+            options.out,
+            {name: float(rate) for name, rate in _named(options.rate).items()},
+            {name: JITTER_WIDTHS[family] for name, family in _named(options.jitter).items()},
+            days=options.days,
+        )
+        results.show(truncate=False)
+        snapshot_summary(results).show(truncate=False)
     elif options.command == "check":
         paths = run_checks(
             spark,

@@ -26,11 +26,17 @@ def _spread(df: DataFrame, names: list[str]) -> Column:
     return df.agg(F.expr(f"named_struct({fields}) AS spread")).scalar()
 
 
+# With more columns than this the two aggregates grow too large to be compiled well.
+WIDEST_SPREAD = 100
+
+
 def outlier_counts(
     df: DataFrame, table: str, k: float = 3.0, columns: Iterable[str] | None = None
 ) -> DataFrame:
     """Rows per numeric column beyond ``k`` sample deviations from the mean."""
     names = _numeric_columns(df, columns)
+    if len(names) > WIDEST_SPREAD:
+        return _grouped_outliers(df, table, k, names)
     spread = _spread(df, names)
     counts = ", ".join(
         f"'{i}', count_if(abs(CAST({text.name(n)} AS DOUBLE) - spread.mean_{i}) > {k!r}D * spread.sd_{i})"
@@ -53,6 +59,23 @@ def outlier_counts(
     return counted.selectExpr(f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})")
 
 
+def _grouped_outliers(df: DataFrame, table: str, k: float, names: list[str]) -> DataFrame:
+    """The same for wide tables: cells become rows, and meet the one row of their column."""
+    rows = [
+        {"column_name": text.literal(n), "number": f"CAST({text.name(n)} AS DOUBLE)"} for n in names
+    ]
+    cells = df.selectExpr(f"inline({text.structs(rows)})")
+    spread = cells.groupBy("column_name").agg(
+        F.avg("number").alias("mean"), F.stddev("number").alias("stddev")
+    )
+    # A row per column of the table.
+    return (
+        cells.join(F.broadcast(spread), "column_name")
+        .groupBy(F.lit(table).alias("table_name"), "column_name", "mean", "stddev")
+        .agg(F.expr(f"count_if(abs(number - mean) > {k!r}D * stddev) AS outlier_count"))
+    )
+
+
 def zscore_rows(df: DataFrame, column: str, k: float = 3.0) -> DataFrame:
     """The rows whose value lies more than ``k`` deviations from the mean, with their z-score."""
     known = df.withColumn("spread", _spread(df, [column]))

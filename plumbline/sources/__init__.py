@@ -1,5 +1,6 @@
 from plumbline.sources.readers import (
     csv_schema,
+    load_source,
     load_table,
     load_tables,
     read_csv,
@@ -23,6 +24,7 @@ __all__ = [
     "csv_schema",
     "ensure_namespace",
     "export_tables",
+    "load_source",
     "load_table",
     "load_tables",
     "overwrite_partitions",

@@ -39,6 +39,11 @@ def load_table(spark: SparkSession, ref: str, table_format: str | None = None) -
     return spark.read.parquet(ref)
 
 
+def load_source(spark: SparkSession, ref: str) -> DataFrame:
+    """A source by path or catalog name; a path that ends in ``.csv`` is read as CSV."""
+    return read_csv(spark, ref) if ref.endswith(".csv") else load_table(spark, ref)
+
+
 def load_tables(
     spark: SparkSession, folder: str, names: Iterable[str], suffix: str = ".parquet"
 ) -> dict[str, DataFrame]:

@@ -4,6 +4,7 @@ import decimal
 import pytest
 from pyspark.sql import functions as F
 
+from plumbline.operators import outliers as outliers_module
 from plumbline.operators import profile as profile_module
 from plumbline.operators.outliers import outlier_counts, zscore_rows
 from plumbline.operators.profile import column_profile, profile_long, profile_tables
@@ -184,6 +185,15 @@ def test_outliers_also_around_a_mean_of_zero(spark):
     assert {r.v for r in zscore_rows(df, "v").collect()} == {50.0, -50.0}
 
 
+def test_outliers_of_wide_tables(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id", "CASE WHEN id = 7 THEN 1e6 END AS one", "pow(id, 6) AS far", "'x' AS s")
+    narrow = sorted(map(tuple, outlier_counts(df, "t", 2.0).collect()))
+    monkeypatch.setattr(outliers_module, "WIDEST_SPREAD", 0)
+    wide = sorted(map(tuple, outlier_counts(df, "t", 2.0).collect()))
+    assert [(r[1], r[4]) for r in wide] == [(r[1], r[4]) for r in narrow]
+    assert dict((r[1], r[4]) for r in wide)["far"] > 0 and len(wide) == 3
+
+
 def test_constant_column_has_no_outliers(spark):
     df = spark.createDataFrame([(1.0,)] * 5, "v double")
     assert outlier_counts(df, "t").first().outlier_count == 0
