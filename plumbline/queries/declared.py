@@ -412,7 +412,7 @@ _DAY_VOLUME = Range(320, 345)
 
 @query(
     "stream_daily_checks",
-    f"""SELECT CAST(ts AS DATE) AS day, count(*) AS record_count,
+    f"""SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS record_count,
           count(*) FILTER (value IS NULL) AS null_count,
           count(*) FILTER (value < 0 OR value > 100) AS violations,
           min(value) AS min_value, max(value) AS max_value,
@@ -427,4 +427,5 @@ def stream_daily_checks(spark, sf_dir):
     stream = arrivals(spark.readStream.schema(schema), f"{sf_dir}/events.parquet")
     out, state = work_dir(spark, "arrivals"), work_dir(spark, "arrivals-state")
     figures = monitor_arrivals(stream, out, state, "ts", "value", Range(0, 100))
-    return judge_days(figures, _DAY_VOLUME, 12.5)
+    days = judge_days(figures, _DAY_VOLUME, 12.5)
+    return days.withColumn("day", F.col("day").cast("string"))

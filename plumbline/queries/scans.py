@@ -53,7 +53,7 @@ def scan_parquet(spark, sf_dir):
     f"""SELECT o_orderstatus, o_orderpriority, count(*) AS order_count,
           count(DISTINCT o_custkey) AS customers, min(o_orderkey) AS first_key,
           {r("sum(CAST(o_totalprice AS DECIMAL(18,2)))", 2)} AS sum_price,
-          CAST(max(o_orderdate) AS DATE) AS last_date
+          CAST(CAST(max(o_orderdate) AS DATE) AS VARCHAR) AS last_date
         FROM orders GROUP BY ALL""",
 )
 def scan_csv_roundtrip(spark, sf_dir):
@@ -65,7 +65,7 @@ def scan_csv_roundtrip(spark, sf_dir):
         F.count_distinct("o_custkey").alias("customers"),
         F.min(F.col("o_orderkey").cast("bigint")).alias("first_key"),
         F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("sum_price"),
-        F.max(F.col("o_orderdate").cast("date")).alias("last_date"),
+        F.max(F.col("o_orderdate").cast("date")).cast("string").alias("last_date"),
     )
 
 

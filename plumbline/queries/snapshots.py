@@ -88,19 +88,19 @@ def sample_ratio(spark, sf_dir):
 @query(
     "stamp_metadata",
     f"""SELECT c_custkey, c_name, '{DAY}' AS ingestion_date,
-          TIMESTAMP '{AS_OF}' AS ingestion_timestamp, 'run_1' AS simulation_id,
+          '{AS_OF}' AS ingestion_timestamp, 'run_1' AS simulation_id,
           'daily_simulation' AS data_source, 'customer_batch_{DAY}' AS batch_id
         FROM customer""",
 )
 def stamped(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     daily = snapshot.stamp_metadata(customers, "customer", DAY, as_of=AS_OF, simulation_id="run_1")
-    return daily.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("timestamp_ntz"))
+    return daily.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("string"))
 
 
 @query(
     "row_ids",
-    "SELECT count(*) AS total_rows, count(*) AS distinct_ids, 0 AS negative_ids FROM lineitem",
+    "SELECT count(*) AS total_rows, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS negative_ids FROM lineitem",
 )
 def numbered(spark, sf_dir):
     rows = snapshot.row_ids(table(spark, sf_dir, "lineitem").select("l_orderkey"))
@@ -133,7 +133,7 @@ def jitter_values(spark, sf_dir):
 
 @query(
     "jitter_bounds",
-    "SELECT count(*) AS total_rows, 0 AS beyond_bounds FROM orders",
+    "SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS beyond_bounds FROM orders",
 )
 def jitter_bounds(spark, sf_dir):
     """Spark's random factor stays within half the width on either side."""
