@@ -290,9 +290,15 @@ def null_limit_checks(profile: DataFrame, limits: DataFrame) -> DataFrame:
 
 
 def volume_checks(
-    counts: DataFrame, limits: Mapping[str, Range], default: Range = DEFAULT_VOLUME
+    counts: DataFrame,
+    limits: Mapping[str, Range],
+    default: Range = DEFAULT_VOLUME,
+    name_limits: bool = False,
 ) -> DataFrame:
-    """Row counts against the inclusive limits of each table."""
+    """Row counts against the inclusive limits of each table.
+
+    The message of a failure tells on which side it lies, or with ``name_limits`` both limits.
+    """
     low, high = F.lit(int(default.low)), F.lit(int(default.high))
     for table, limit in limits.items():
         low = F.when(F.col("table_name") == table, int(limit.low)).otherwise(low)
@@ -304,6 +310,16 @@ def volume_checks(
     above = F.concat(
         F.lit("Record count "), grouped_number(n), F.lit(" above maximum "), grouped_number(hi)
     )
+    if name_limits:
+        below = above = F.concat(
+            F.lit("Record count "),
+            grouped_number(n),
+            F.lit(" outside range ("),
+            grouped_number(lo),
+            F.lit("-"),
+            grouped_number(hi),
+            F.lit(")"),
+        )
     within = F.concat(F.lit("Record count "), grouped_number(n), F.lit(" within acceptable range"))
     return counts.withColumns(
         {"min_threshold": low.cast("bigint"), "max_threshold": high.cast("bigint")}

@@ -45,7 +45,8 @@ def value_frequencies(
     )
     if not share:
         return counts
-    known = counts.join(union_all(totals), "table_name")
+    # One row per table.
+    known = counts.join(F.broadcast(union_all(totals)), "table_name")
     return known.withColumn(
         "value_pct", percent(F.col("value_count"), F.col("total_rows"))
     ).drop("total_rows")

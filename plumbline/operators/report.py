@@ -113,6 +113,7 @@ def run_totals(tables: DataFrame) -> DataFrame:
     rows, columns = F.coalesce("total_rows", F.lit(0)), F.coalesce("business_columns", F.lit(0))
     return tables.agg(
         F.count(F.lit(1)).alias("total_tables"),
+        F.count("total_rows").alias("successful_tables"),
         F.sum(rows).alias("total_rows"),
         F.sum(columns).alias("total_columns"),
         F.avg(columns).alias("avg_columns_per_table"),
@@ -211,6 +212,13 @@ def run_metrics(assessed: DataFrame, elapsed_seconds: float | None = None) -> Da
 def summary_lines(tables: DataFrame, title: str, run_id: str) -> DataFrame:
     """Lines of the text summary: a head with totals, then one line per table."""
     totals = run_totals(tables)
+    counted = F.concat(
+        grouped_number(F.col("total_rows")),
+        F.lit(" rows, "),
+        F.col("business_columns").cast("string"),
+        F.lit(" columns"),
+    )
+    failed = F.col("total_tables") - F.col("successful_tables")
     head = totals.select(
         F.inline(
             F.array(
@@ -218,17 +226,16 @@ def summary_lines(tables: DataFrame, title: str, run_id: str) -> DataFrame:
                 _line(2, F.lit("=" * 50)),
                 _line(3, F.lit(f"Simulation ID: {run_id}")),
                 _line(4, F.concat(F.lit("Total Tables: "), F.col("total_tables").cast("string"))),
-                _line(5, F.concat(F.lit("Total Rows: "), grouped_number(F.col("total_rows")))),
+                _line(5, F.concat(F.lit("Successful: "), F.col("successful_tables").cast("string"))),
+                _line(6, F.concat(F.lit("Failed: "), failed.cast("string"))),
+                _line(7, F.concat(F.lit("Total Rows: "), grouped_number(F.col("total_rows")))),
+                _line(8, F.concat(F.lit("Total Business Columns: "), F.col("total_columns").cast("string"))),
             )
         )
     )
     body = tables.select(
-        F.lit(6).alias("line_no"),
-        F.concat(
-            F.col("table_name"),
-            F.lit(": "),
-            F.coalesce(F.concat(grouped_number(F.col("total_rows")), F.lit(" rows")), F.lit("ERROR")),
-        ).alias("line"),
+        F.lit(9).alias("line_no"),
+        F.concat(F.col("table_name"), F.lit(": "), F.coalesce(counted, F.lit("ERROR"))).alias("line"),
     )
     return head.unionByName(body)
 

@@ -93,5 +93,11 @@ def score_nulls(profile: DataFrame) -> DataFrame:
     return profile.withColumn("data_quality_score", half_up(F.lit(100.0) - F.col("null_pct"), 1))
 
 
-def score_band(score: Column) -> Column:
-    return F.when(score >= GOOD_FROM, "good").when(score >= FAIR_FROM, "warning").otherwise("error")
+# The names of the bands in the one report and in the other.
+STATUS_BANDS = ("good", "warning", "error")
+GRADE_BANDS = ("excellent", "good", "poor")
+
+
+def score_band(score: Column, names: tuple[str, str, str] = STATUS_BANDS) -> Column:
+    best, middle, worst = names
+    return F.when(score >= GOOD_FROM, best).when(score >= FAIR_FROM, middle).otherwise(worst)

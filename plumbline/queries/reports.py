@@ -99,12 +99,12 @@ _TOTALS = [(t, len(SCHEMAS[t])) for t in ASSESSED]
 
 @query(
     "run_totals",
-    "SELECT count(*) AS total_tables, CAST(sum(n) AS BIGINT) AS total_rows, "
+    "SELECT count(*) AS total_tables, count(n) AS successful_tables, CAST(sum(n) AS BIGINT) AS total_rows, "
     f"CAST(sum(c) AS BIGINT) AS total_columns, {r('avg(c)', 2)} AS avg_columns_per_table FROM ("
     + " UNION ALL ".join(
         f"SELECT count(*) AS n, {width} AS c FROM {sql.relation(t)}" for t, width in _TOTALS
     )
-    + " UNION ALL SELECT 0, 0)",
+    + " UNION ALL SELECT NULL, 0)",
 )
 def run_totals(spark, sf_dir):
     """Totals over the tables, one of which could not be analysed."""
@@ -116,7 +116,7 @@ def run_totals(spark, sf_dir):
 
 
 _LINES = ["orders", "lineitem", "customer", "events"]
-_LINE_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" for t in _LINES)
+_LINE_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n, {len(SCHEMAS[t])} AS w FROM {t}" for t in _LINES)
 
 
 @query(
@@ -126,8 +126,11 @@ _LINE_COUNTS = " UNION ALL ".join(f"SELECT '{t}' AS t, count(*) AS n FROM {t}" f
         UNION ALL SELECT repeat('=', 50)
         UNION ALL SELECT 'Simulation ID: 20240131_000000'
         UNION ALL SELECT 'Total Tables: ' || count(*) FROM c
+        UNION ALL SELECT 'Successful: ' || count(*) FROM c
+        UNION ALL SELECT 'Failed: 0'
         UNION ALL SELECT format('Total Rows: {{:,}}', CAST(sum(n) AS BIGINT)) FROM c
-        UNION ALL SELECT t || format(': {{:,}} rows', n) FROM c""",
+        UNION ALL SELECT 'Total Business Columns: ' || sum(w) FROM c
+        UNION ALL SELECT t || format(': {{:,}} rows, ', n) || w || ' columns' FROM c""",
 )
 def summary_lines(spark, sf_dir):
     counts = union_all([table_checks.row_counts(table(spark, sf_dir, t), t) for t in _LINES])

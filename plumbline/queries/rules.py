@@ -387,7 +387,7 @@ def freshness_iso(spark, sf_dir):
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     stamp = F.when(F.col("event_type") == "error", "n/a").otherwise(iso)
     found = table_checks.freshness_check(
-        events.select(stamp.alias("stamp")), "events", "2024-02-02 00:00:00", column="stamp"
+        events.select(stamp.alias("stamp")), "events", "2024-02-02T00:00:00Z", column="stamp"
     )
     return rounded(found, 2, "hours_old").drop("check_type")
 

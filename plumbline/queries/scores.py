@@ -125,10 +125,14 @@ def score_model_d(spark, sf_dir):
     "score_bands",
     SCORE_A_SQL
     + """SELECT table_name, CASE WHEN data_quality_score >= 80 THEN 'good'
-           WHEN data_quality_score >= 60 THEN 'warning' ELSE 'error' END AS band, count(*) AS columns
+           WHEN data_quality_score >= 60 THEN 'warning' ELSE 'error' END AS band,
+           CASE WHEN data_quality_score >= 80 THEN 'excellent' WHEN data_quality_score >= 60 THEN 'good'
+             ELSE 'poor' END AS grade, count(*) AS columns
          FROM score_a GROUP BY ALL""",
 )
 def score_bands(spark, sf_dir):
     assessed = assess(sources(spark, sf_dir, ASSESSED), POLICY)
-    band = scoring.score_band(F.col("data_quality_score")).alias("band")
-    return assessed.groupBy("table_name", band).agg(F.count(F.lit(1)).alias("columns"))
+    score = F.col("data_quality_score")
+    band = scoring.score_band(score).alias("band")
+    grade = scoring.score_band(score, scoring.GRADE_BANDS).alias("grade")
+    return assessed.groupBy("table_name", band, grade).agg(F.count(F.lit(1)).alias("columns"))

@@ -48,6 +48,8 @@ def test_volume_messages(spark):
     low = volume_checks(counts, {"t": Range(2000, 3000)}).first()
     assert low.message == "Record count 1,234 below minimum 2,000"
     assert volume_checks(counts, {"u": Range(1, 2)}).first().max_threshold == 1_000_000
+    both = volume_checks(counts, {"t": Range(2000, 3000)}, name_limits=True).first()
+    assert both.message == "Record count 1,234 outside range (2,000-3,000)"
 
 
 @pytest.mark.parametrize("rows, status", [(0, "CRITICAL"), (49, "WARNING"), (50, "PASS")])
