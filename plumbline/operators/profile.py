@@ -149,9 +149,10 @@ def _lanes(spec: ColumnSpec) -> tuple[str, str, str]:
     if not spec.countable:
         return f"CASE WHEN {cell} IS NOT NULL THEN 1L END", _NO_DOUBLE, _NO_TEXT
     if isinstance(data_type, T.BinaryType):
-        return _NO_LONG, _NO_DOUBLE, _digest(f"hex({cell})")
+        return _NO_LONG, _NO_DOUBLE, f"sha2({cell}, 256)"
     if isinstance(data_type, (T.ArrayType, T.StructType)):
-        return _NO_LONG, _NO_DOUBLE, _digest(_json(cell))
+        digest = f"sha2(to_json(struct({cell} AS v)), 256)"
+        return _NO_LONG, _NO_DOUBLE, f"CASE WHEN {cell} IS NOT NULL THEN {digest} END"
     return _NO_LONG, _NO_DOUBLE, f"CAST({cell} AS STRING)"
 
 
@@ -164,12 +165,9 @@ def _micros(cell: str) -> str:
     )
 
 
-def _json(cell: str) -> str:
-    return f"CASE WHEN {cell} IS NOT NULL THEN to_json(struct({cell} AS v)) END"
-
-
-def _digest(value: str) -> str:
-    return f"CASE WHEN length({value}) > {DIGEST_ABOVE} THEN concat('#', sha2({value}, 256)) ELSE {value} END"
+def _digest(cell: str) -> str:
+    """A short text as it is, a long one by digest; the mark keeps digests and texts apart."""
+    return f"CASE WHEN length({cell}) > {DIGEST_ABOVE} THEN concat('#', sha2({cell}, 256)) ELSE {cell} END"
 
 
 def _column_names(df: DataFrame, specs: dict[str, list[ColumnSpec]]) -> DataFrame:

@@ -2,6 +2,8 @@ import datetime
 import decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plumbline.operators import outliers as outliers_module
@@ -200,3 +202,36 @@ def test_constant_column_has_no_outliers(spark):
     assert zscore_rows(df, "v").count() == 0
 
 
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(
+            st.one_of(st.none(), st.integers(-3, 3), st.integers(-(2**62), 2**62)),
+            st.one_of(st.none(), st.floats(-5, 5), st.sampled_from([0.0, -0.0, 1.5])),
+            st.one_of(st.none(), st.text("ab #", max_size=3), st.text("xyz", min_size=66, max_size=70)),
+        ),
+        min_size=1,
+        max_size=30,
+    )
+)
+def test_profile_equals_brute_force(spark, rows):
+    found = by_column(column_profile(spark.createDataFrame(rows, "i bigint, d double, s string"), "t"))
+    for name, values in zip("ids", zip(*rows)):
+        present = [v for v in values if v is not None]
+        row = found[name]
+        assert (row.total_rows, row.null_count) == (len(values), len(values) - len(present))
+        if not present:
+            assert row.distinct_count is None and row.min_num is None and row.max_len is None
+            continue
+        assert row.distinct_count == len(set(values))
+        if name == "s":
+            lengths = [len(v) for v in present]
+            assert (row.min_len, row.max_len) == (min(lengths), max(lengths))
+            assert row.avg_len == pytest.approx(sum(lengths) / len(lengths))
+            assert row.blank_count == sum(v in ("", " ") for v in present)
+        else:
+            assert (row.min_num, row.max_num) == (float(min(present)), float(max(present)))
+            assert row.mean == pytest.approx(sum(present) / len(present), abs=1e-6, rel=1e-9)
+            assert row.negative_count == sum(v < 0 for v in present)
