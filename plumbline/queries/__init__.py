@@ -4,6 +4,7 @@ from plumbline.queries import (  # noqa: F401  (each module registers its querie
     profiles,
     reports,
     rules,
+    runs,
     scans,
     scores,
     snapshots,

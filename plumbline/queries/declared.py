@@ -16,7 +16,7 @@ from plumbline.sources import work_dir
 from plumbline.streaming import judge_days, monitor_arrivals
 from plumbline.streaming.monitor import arrivals
 
-_AS_OF = "2024-02-02 00:00:00"
+AS_OF = "2024-02-02 00:00:00"
 
 
 # --- rules from the configuration -----------------------------------------------------------
@@ -77,15 +77,18 @@ def _config_sql() -> str:
         "FROM (SELECT count(*) FROM customer)"
     )
     for t, c, limit in (("orders", "o_orderdate", 24), ("events", "ts", 168), ("lineitem", "l_shipdate", 24)):
-        hours = f"(epoch_us(TIMESTAMP '{_AS_OF}') - epoch_us(max({c}))) / 3.6e9"
+        hours = f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max({c}))) / 3.6e9"
         rows.append(_row(t, c, "freshness", f"{hours} <= {limit}", f"<={limit}h", r(hours, 2)))
     return " UNION ALL ".join(rows)
 
 
-@query("rules_from_config", _config_sql())
+CONFIG_SQL = _config_sql()
+
+
+@query("rules_from_config", CONFIG_SQL)
 def rules_from_config(spark, sf_dir):
     rules = packaged_rules("tpch")
-    found = evaluate_rules(sources(spark, sf_dir, list(rules)), rules, _AS_OF)
+    found = evaluate_rules(sources(spark, sf_dir, list(rules)), rules, AS_OF)
     return rounded(found, 2, "actual")
 
 

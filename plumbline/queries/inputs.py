@@ -111,10 +111,13 @@ LABELLED_DOCUMENTS = """
 # No order has a negative price.
 NO_ORDERS = "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_totalprice < 0"
 
+FUNDED_CUSTOMERS = "SELECT * FROM customer WHERE c_acctbal > 0"
+
 DERIVED = {
     "patchy_orders": PATCHY_ORDERS,
     "labelled_documents": LABELLED_DOCUMENTS,
     "no_orders": NO_ORDERS,
+    "funded_customers": FUNDED_CUSTOMERS,
 }
 SCHEMAS |= {
     "patchy_orders": [
@@ -131,11 +134,13 @@ SCHEMAS |= {
     ],
     "labelled_documents": [*SCHEMAS["documents"], ("quality", "int", "n"), ("toxic", "int", "n")],
     "no_orders": [("o_orderkey", "bigint", "n"), ("o_orderstatus", "string", "s")],
+    "funded_customers": SCHEMAS["customer"],
 }
 _NEEDS = {
     "patchy_orders": ["orders"],
     "labelled_documents": ["documents", "labels"],
     "no_orders": ["orders"],
+    "funded_customers": ["customer"],
 }
 
 # What the profile and check queries look at.

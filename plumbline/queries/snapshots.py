@@ -28,7 +28,7 @@ def _prefix(key: str | list[str], day: str) -> str:
     return f"substr(md5({parts} || '|' || {day}), 1, 8)"
 
 
-def _sampled(key: str | list[str], rate: float, day: str = f"'{DAY}'") -> str:
+def sampled(key: str | list[str], rate: float, day: str = f"'{DAY}'") -> str:
     return f"{_prefix(key, day)} < '{int(rate * 4294967296):08x}'"
 
 
@@ -40,7 +40,7 @@ def sample_bernoulli(spark, sf_dir):
 
 @query(
     "sample_hash",
-    f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {_sampled('o_orderkey', 0.01)}",
+    f"SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE {sampled('o_orderkey', 0.01)}",
 )
 def sample_hash(spark, sf_dir):
     sampled = snapshot.hash_sample(table(spark, sf_dir, "orders"), "o_orderkey", DAY, 0.01)
@@ -51,7 +51,7 @@ def sample_hash(spark, sf_dir):
     "sample_rates",
     " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST({rate} AS DOUBLE) AS sample_rate, count(*) AS sampled_count "
-        f"FROM {t} WHERE {_sampled(key, rate)}"
+        f"FROM {t} WHERE {sampled(key, rate)}"
         for t, (key, rate) in RATES.items()
     ),
 )
@@ -72,7 +72,7 @@ def sample_rates(spark, sf_dir):
     f"SELECT *, {r(pct('sampled_count', 'original_count'), 2)} AS sampled_pct FROM ("
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, CAST({rate} AS DOUBLE) AS sample_rate, "
-        f"count(*) AS original_count, count(*) FILTER ({_sampled(key, rate)}) AS sampled_count FROM {t}"
+        f"count(*) AS original_count, count(*) FILTER ({sampled(key, rate)}) AS sampled_count FROM {t}"
         for t, (key, rate) in RATES.items()
     )
     + ")",
@@ -154,7 +154,7 @@ _DAYS = [f"2024-01-{day}" for day in range(24, 31)]
     " UNION ALL ".join(
         f"SELECT '{day}' AS ingestion_date, 'orders_batch_{day}' AS batch_id, count(*) AS record_count, "
         f"min(o_orderkey) AS first_key, max(o_orderkey) AS last_key "
-        "FROM orders WHERE " + _sampled("o_orderkey", 0.01, f"'{day}'")
+        "FROM orders WHERE " + sampled("o_orderkey", 0.01, f"'{day}'")
         for day in _DAYS
     ),
 )
@@ -175,7 +175,7 @@ def backfill(spark, sf_dir):
     "SELECT CAST(sum(n) AS BIGINT) AS total_records, count(*) FILTER (n > 0) AS successful_tables, "
     f"count(*) AS total_tables, {r(pct('count(*) FILTER (n > 0)', 'count(*)'), 1)} AS success_rate FROM ("
     + " UNION ALL ".join(
-        f"SELECT count(*) AS n FROM {t} WHERE {_sampled(key, rate)}" for t, (key, rate) in RATES.items()
+        f"SELECT count(*) AS n FROM {t} WHERE {sampled(key, rate)}" for t, (key, rate) in RATES.items()
     )
     + ")",
 )
