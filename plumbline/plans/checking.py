@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.jobs import side_by_side
 from plumbline.operators.checks import literal_rows
 from plumbline.operators.rollup import FAIL_FIRST, rollup_checks, rollup_run, rollup_tables
 from plumbline.plans.policy import TableRules
@@ -37,34 +38,35 @@ def run_checks(
     """
     parts = ("results", "checks", "tables", "run", "by_check")
     paths = {part: f"{out.rstrip('/')}/{part}/run_id={run_id}" for part in parts}
-    missing, broken, stored = [], [], []
-    for name, rule in rules.items():
-        target = f"{paths['results']}/source={name}"
+    targets, tables, missing = {}, {}, []
+    for name in rules:
         try:
-            table = load_table(spark, refs[name])
+            tables[name] = load_table(spark, refs[name])
+            targets[name] = f"{paths['results']}/source={name}"
         except (AnalysisException, KeyError):
             missing.append(name)
-            continue
-        try:
-            found = evaluate_rules({name: table}, {name: rule}, as_of)
-            found.withColumn("message", F.lit(None).cast("string")).write.mode("overwrite").parquet(target)
-            stored.append(target)
-        except (PySparkException, Py4JJavaError) as error:
-            condition = error.getCondition() if isinstance(error, PySparkException) else None
-            broken.append((name, None, "evaluation", "ERROR", None, None, condition or type(error).__name__))
+
+    def store(name: str) -> None:
+        found = evaluate_rules({name: tables[name]}, {name: rules[name]}, as_of)
+        found = found.withColumn("message", F.lit(None).cast("string"))
+        found.write.mode("overwrite").parquet(targets[name])
+
+    errors = side_by_side({name: partial(store, name) for name in tables})
+    stored = [targets[name] for name in tables if name not in errors]
+    broken = [(name, None, "evaluation", "ERROR", None, None, e) for name, e in errors.items()]
     results = _results(spark, stored, broken)
     checks = rollup_checks(results)
-    tables = rollup_tables(checks, precedence)
+    statuses = rollup_tables(checks, precedence)
     if missing:
         skipped = literal_rows(
             spark,
             [(name, 0, "SKIPPED") for name in missing],
             "table_name string, checks bigint, overall_status string",
         )
-        tables = tables.unionByName(skipped)
+        statuses = statuses.unionByName(skipped)
     write_csv(checks, paths["checks"])
-    write_csv(tables, paths["tables"])
-    write_documents(rollup_run(tables), paths["run"])
+    write_csv(statuses, paths["tables"])
+    write_documents(rollup_run(statuses), paths["run"])
     results.repartition("check_type").write.mode("overwrite").option("header", True).partitionBy(
         "check_type"
     ).csv(paths["by_check"])

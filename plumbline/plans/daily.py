@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from functools import partial
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.jobs import side_by_side
 from plumbline.operators import checks, frequency, profile, report, scoring, snapshot
 from plumbline.operators.drift import drift_consecutive
 from plumbline.plans.policy import Policy
@@ -64,32 +65,40 @@ def run_daily(
         part: f"{out.rstrip('/')}/{part}/run_id={run_id}"
         for part in ("assessment", "documents", "detail", "findings", "summary", "metrics")
     }
-    errors = []
-    for name, df in tables.items():
-        target = f"{paths['assessment']}/source={name}"
-        try:
-            assess({name: df}, policy, distinct, max_columns).write.mode("overwrite").parquet(target)
-        except PySparkException as error:
-            errors.append((name, error.getCondition() or type(error).__name__))
-    failed = {name for name, _ in errors}
-    good = [name for name in tables if name not in failed]
-    failures = (
-        checks.literal_rows(spark, errors, "table_name string, message string") if errors else None
+    targets = {name: f"{paths['assessment']}/source={name}" for name in tables}
+
+    def store(name: str) -> None:
+        assessed = assess({name: tables[name]}, policy, distinct, max_columns)
+        assessed.write.mode("overwrite").parquet(targets[name])
+
+    errors = side_by_side({name: partial(store, name) for name in tables})
+    good = [targets[name] for name in tables if name not in errors]
+    if not good:
+        raise RuntimeError(f"no table could be analysed: {errors}")
+    stored = spark.read.parquet(*good)
+    detail = report.report_detail(stored, policy=policy)
+    totals = report.table_results(stored)
+    if errors:
+        schema = "table_name string, message string"
+        failures = checks.literal_rows(spark, list(errors.items()), schema)
+        detail = report.with_error_rows(detail, failures)
+        totals = totals.unionByName(failures.select("table_name"), allowMissingColumns=True)
+    found = stored.select("table_name", "column_name", F.inline("findings"))
+    lines = report.summary_lines(totals, "DAILY DATA QUALITY ANALYSIS", run_id)
+    metrics = report.run_metrics(stored, time.monotonic() - started)
+    unwritten = side_by_side(
+        {
+            "documents": lambda: write_documents(
+                report.run_document(stored, run_id, generated_at), paths["documents"]
+            ),
+            "detail": lambda: write_csv(detail, paths["detail"]),
+            "findings": lambda: found.write.mode("overwrite").parquet(paths["findings"]),
+            "summary": lambda: write_lines(lines, paths["summary"]),
+            "metrics": lambda: write_documents(metrics, paths["metrics"]),
+        }
     )
-    if good:
-        stored = spark.read.parquet(*[f"{paths['assessment']}/source={name}" for name in good])
-        detail = report.report_detail(stored, policy=policy)
-        totals = report.table_results(stored)
-        if failures is not None:
-            detail = report.with_error_rows(detail, failures)
-            totals = totals.unionByName(failures.select("table_name"), allowMissingColumns=True)
-        write_documents(report.run_document(stored, run_id, generated_at), paths["documents"])
-        write_csv(detail, paths["detail"])
-        found = stored.select("table_name", "column_name", F.inline("findings"))
-        found.write.mode("overwrite").parquet(paths["findings"])
-        write_lines(report.summary_lines(totals, "DAILY DATA QUALITY ANALYSIS", run_id), paths["summary"])
-        metrics = report.run_metrics(stored, time.monotonic() - started)
-        write_documents(metrics, paths["metrics"])
+    if unwritten:
+        raise RuntimeError(f"reports could not be written: {unwritten}")
     return paths
 
 

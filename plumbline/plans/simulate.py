@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
+from plumbline.functions.jobs import error_name
 from plumbline.operators import snapshot
 from plumbline.sources import load_source, overwrite_partitions
 
@@ -54,8 +55,7 @@ def write_snapshots(
             counted, status, message = stored.agg(F.expr("count(1) AS record_count")), "success", None
         except (PySparkException, Py4JJavaError) as error:
             counted = spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS record_count")
-            condition = error.getCondition() if isinstance(error, PySparkException) else None
-            status, message = "error", condition or type(error).__name__
+            status, message = "error", error_name(error)
         results.append(
             counted.select(
                 F.lit(target).alias("table_name"),

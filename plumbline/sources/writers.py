@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
+from plumbline.functions.jobs import error_name
 from plumbline.sources.readers import load_table
 
 
@@ -51,7 +52,7 @@ def export_tables(spark: SparkSession, sources: Mapping[str, str], target: str)
             status, message = "EXPORTED", ""
         except PySparkException as error:
             copied = spark.range(1).select(F.lit(0).cast("long").alias("record_count"))
-            status, message = "ERROR", error.getCondition() or type(error).__name__
+            status, message = "ERROR", error_name(error)
         parts.append(
             copied.select(
                 F.lit(name).alias("table_name"),
