@@ -7,9 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
-from plumbline.functions import column_specs
+from plumbline.functions import business_columns, column_specs
 from plumbline.operators import table_checks
 from plumbline.operators.snapshot import stamp_metadata
+from plumbline.plans.policy import Range
 from plumbline.queries.inputs import SCHEMAS, TABLES, source
 from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
@@ -183,8 +184,6 @@ def export(spark, sf_dir):
           FROM lineitem)""",
 )
 def export_check_csv(spark, sf_dir):
-    from plumbline.plans.policy import Range
-
     lineitem = table(spark, sf_dir, "lineitem")
     checked = table_checks.range_checks(
         lineitem, "lineitem", {"l_quantity": Range(1, 48), "l_discount": Range(0, 0.08)}
@@ -204,8 +203,6 @@ def export_check_csv(spark, sf_dir):
     "FROM orders GROUP BY ALL",
 )
 def kept_columns(spark, sf_dir):
-    from plumbline.functions import business_columns
-
     daily = stamp_metadata(table(spark, sf_dir, "orders"), "orders", "2024-01-31", as_of=AS_OF)
     business = business_columns(daily)
     return business.groupBy("o_orderstatus").agg(

@@ -38,7 +38,8 @@ def overwrite_partitions(df: DataFrame, path: str, partition: str = "ingestion_d
         .partitionBy(partition)
         .parquet(path)
     )
-    return df.sparkSession.read.parquet(path)
+    # With its schema, since a day without rows leaves no file to take it from.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def export_tables(spark: SparkSession, sources: Mapping[str, str], target: str) -> DataFrame:

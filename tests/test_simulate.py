@@ -56,3 +56,10 @@ def test_command_line(spark, tmp_path, capsys):
         + ["loans=credit_card", "--date", DAY, "--out", out]
     )
     assert "success" in capsys.readouterr().out and list(by_day(spark, f"{out}/loans_daily")) == [DAY]
+
+
+def test_sample_without_rows_is_a_success(spark, tmp_path):
+    refs, out = {"loans": source(spark, tmp_path)}, str(tmp_path / "out")
+    for days in (None, 2):
+        row = write_snapshots(spark, refs, {"loans": "id"}, DAY, out, {"loans": 0.0}, days=days).first()
+        assert (row.status, row.record_count) == ("success", 0)
