@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import lines, neardup, pieces
+from plumbline.llm import licences, lines, neardup, pieces, pii, quality
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -69,3 +69,92 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without the lines that an earlier one has."""
     kept = lines.deduplicated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of plain and disguised identifiers of every document."""
+    return pii.counted(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+def _licences_sql() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(f"({quote(n)}, {quote(t)})" for n, t in licences.KNOWN)
+    bare = r"""regexp_replace(regexp_replace(lower(coalesce(text, '')),
+      '(?m)^[^\p{L}\p{N}\n©(]*(copyright[ \t]*(\(c\)|©|[0-9])|\(c\)|©)[^\n]*', '', 'g'),
+      '[^\p{L}\p{N}\n]+', ' ', 'g')"""
+    for old, new in licences.SPELLINGS:
+        bare = f"replace({bare}, {quote(old)}, {quote(new)})"
+    whole = "sha256(trim(regexp_replace(lines, '[ \\n]+', ' ', 'g'), ' '))"
+    return f"""
+WITH known AS (
+  SELECT digest, min(licence) AS licence FROM (
+    SELECT licence, {whole} AS digest
+    FROM (SELECT licence, {bare} AS lines FROM (VALUES {values}) AS k(licence, text)))
+  GROUP BY digest
+), forms AS (SELECT doc_id, {bare} AS lines FROM documents
+), parts AS (
+  SELECT doc_id, trim(unnest(string_split(lines, chr(10))), ' ') AS line FROM forms
+), notices AS (
+  SELECT doc_id, count(*) AS n, string_agg(DISTINCT licence, ',' ORDER BY licence) AS names
+  FROM (SELECT doc_id, sha256(line) AS digest FROM parts WHERE line <> '') p
+  JOIN known USING (digest) GROUP BY doc_id
+), whole AS (SELECT doc_id, {whole} AS digest FROM forms)
+SELECT w.doc_id, w.digest, k.licence, coalesce(n.n, 0) AS n_notices, coalesce(n.names, '') AS licences
+FROM whole w LEFT JOIN known k ON k.digest = w.digest LEFT JOIN notices n ON n.doc_id = w.doc_id
+"""
+
+
+@query("op7_licence_scan", _licences_sql())
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known licences that equal a document or one of its lines."""
+    return licences.scanned(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
+_QUALITY_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    list_filter(string_split(translate(coalesce(text, ''),
+      ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '      '), ' '), lambda w: w <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x,
+      ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '') AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, words[i:i+4] AS part
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM texts WHERE len(words) >= 5)
+), twice AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, part) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, sum(least(5, coalesce(later - i, 5))) AS n FROM (
+    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS later FROM twice)
+  GROUP BY doc_id
+), stutters AS (
+  SELECT doc_id, count(*) AS n FROM (
+    SELECT doc_id, words, unnest(range(2, len(words) + 1)) AS i FROM texts) WHERE words[i] = words[i - 1]
+  GROUP BY doc_id
+), measures AS (
+  SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(length(translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(len(lines) AS BIGINT) AS n_lines,
+    CAST(length(regexp_replace(text, '\P{Lu}', '', 'g')) AS BIGINT) AS n_upper,
+    CAST(length(regexp_replace(text, '\P{L}', '', 'g')) AS BIGINT) AS n_letters,
+    CAST(coalesce(s.n, 0) AS BIGINT) AS n_stutter
+  FROM texts t LEFT JOIN covered c ON c.doc_id = t.doc_id LEFT JOIN stutters s ON s.doc_id = t.doc_id
+), book AS (SELECT *, CAST(FAILED AS BIGINT) AS failed FROM measures)
+SELECT *, failed & 3 <> 0 AS base_failed, failed = 0 AS kept FROM book
+"""
+_QUALITY_SQL = _QUALITY_SQL.replace(
+    "FAILED AS BIGINT",
+    " + ".join(f"CASE WHEN {c} THEN {1 << r} ELSE 0 END" for r, c in enumerate(quality.RULES.values()))
+    + " AS BIGINT",
+)
+
+
+@query("op8_quality_rules", _QUALITY_SQL)
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rule ledger of every document and the verdict of the latest policy."""
+    return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))

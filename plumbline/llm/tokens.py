@@ -55,16 +55,16 @@ class Powers:
         return self.up, self.down
 
 
-def words(texts: list[bytes | None], powers: Powers) -> Words:
-    """Words between ASCII white space; A-Z count as a-z, other characters as they are.
+def words(texts: list[bytes | None], powers: Powers, blank: np.ndarray = _BLANK) -> Words:
+    """Words between ASCII white space, or between the bytes that ``blank`` marks; it must mark the
+    line feed. A-Z count as a-z, other characters as they are.
 
     The hash of a word is a polynomial over random codes of its bytes, so all words of a batch
     come from one running sum.
     """
     joined = b"\n".join(t or b"" for t in texts) + b"\n"
     data = _LOWER[np.frombuffer(joined, dtype=np.uint8)]
-    blank = _BLANK[data]
-    edges = np.flatnonzero(np.diff(blank, prepend=True))
+    edges = np.flatnonzero(np.diff(blank[data], prepend=True))
     starts, ends = edges[::2], edges[1::2]
     up, down = powers.upto(len(data) + 1)
     running = np.empty(len(data) + 1, dtype=np.uint64)
