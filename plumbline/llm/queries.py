@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import licences, lines, neardup, pieces, pii, quality
+from plumbline.llm import decontam, langid, licences, lines, neardup, pieces, pii, quality
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -158,3 +158,17 @@ _QUALITY_SQL = _QUALITY_SQL.replace(
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every document and the verdict of the latest policy."""
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    found = decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "question_overlap", "answer_overlap")
+
+
+@query("op10_language_id")
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, and whether it has one."""
+    found = langid.identified(langid.document_evidence(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "declared", "language", "posterior", "n_grams", "kept")
