@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontam, langid, licences, lines, neardup, pieces, pii, quality
+from plumbline.llm import decontam, langid, licences, lines, neardup, pagetext, pieces, pii, quality
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -172,3 +172,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, and whether it has one."""
     found = langid.identified(langid.document_evidence(table(spark, sf_dir, "documents")))
     return found.select("doc_id", "declared", "language", "posterior", "n_grams", "kept")
+
+
+@query("op9_page_text")
+def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return pagetext.main_texts(table(spark, sf_dir, "pages"))
