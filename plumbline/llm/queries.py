@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontam, langid, licences, lines, neardup, pagetext, pieces, pii, quality
+from plumbline.llm import decontam, langid, licences, lines, neardup, pagetext, pieces, pii, quality, scoring
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -178,3 +178,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return pagetext.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op4_model_scores")
+def op4_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The context-mixing score of every document beside its unigram score."""
+    return scoring.scored(table(spark, sf_dir, "documents"))
