@@ -5,9 +5,10 @@ predictor counts zeros and ones after a context, hashed into a table of fixed si
 two and three bytes before, and the word so far. Contexts begin with the word, so the length of a
 word's code is the same wherever it stands and is computed once.
 
-The predictors' log odds are combined by weights which a gate (place of the byte in the word, place
-of the bit) selects; weights are learned online, block by block, each word left out of its own
-counts. A last table refines the mixed probability by what followed it before.
+The predictors' log odds are combined by weights which a gate (place of the byte in the word, how
+often the word so far was seen) selects; weights are learned online, block by block, one occurrence
+of each word left out of the counts. A last table refines the mixed probability by what followed it
+before.
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from plumbline.llm.tokens import Powers, mixed
 BITS = (8, 16, 18, 20, 20)
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in BITS])))
 SLOTS = int(OFFSETS[-1])
-GATES, STEPS = 32, 33
-PRIOR, RATE, TOGETHER = 0.4, 0.02, 512
+TRUST = 8
+GATES, STEPS = 4 * TRUST, 33
+PRIOR, RATE, TOGETHER = 0.1, 0.5, 64
 
 END = b"\n"
 
@@ -33,7 +35,7 @@ class Events:
 
     slots: np.ndarray
     bit: np.ndarray
-    gate: np.ndarray
+    place: np.ndarray
     word: np.ndarray
 
 
@@ -67,11 +69,10 @@ def events(words: list[bytes], powers: Powers) -> Events:
         hashed = mixed(mixed(context)[:, None] + node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         slots[i] = (hashed >> np.uint64(64 - BITS[i])).astype(np.int64)
     slots += OFFSETS[: len(BITS), None, None]
-    gate = np.minimum(place, 3)[:, None] * 8 + bits
     return Events(
         slots.reshape(len(BITS), -1),
         ((value >> (7 - bits)) & 1).reshape(-1),
-        gate.reshape(-1),
+        np.repeat(np.minimum(place, 3), 8),
         np.repeat(word, 8),
     )
 
@@ -87,6 +88,11 @@ def counted(words: list[bytes], counts: np.ndarray, tables: np.ndarray, powers:
             tables[x, a:b] += np.bincount(found.slots[i][own] - a, weight[own], b - a)
 
 
+def _trust(seen: np.ndarray) -> np.ndarray:
+    """Steps of the logarithm of how often a context was seen."""
+    return np.minimum(np.log2(seen + 1), TRUST - 1).astype(np.int64)
+
+
 def _squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -12, 12)))
 
@@ -95,8 +101,10 @@ class Mixer:
     """Weights by gate and the refining table, over fixed predictors."""
 
     def __init__(self):
-        self.weights = np.full((GATES, len(BITS) + 1), 1 / len(BITS))
-        self.weights[:, -1] = 0
+        # The more often the word so far was seen, the more its own predictor counts at first.
+        own = np.tile(np.linspace(0.2, 1, TRUST), 4)[:, None]
+        others = np.array([0, 0.1, 0.4, 0.5])
+        self.weights = np.concatenate(((1 - own) * others, own, 0 * own), axis=1)
         grid = _squash(np.linspace(-8, 8, STEPS))
         self.ones = np.tile(grid * 4, (GATES, 1))
         self.total = np.full((GATES, STEPS), 4.0)
@@ -124,31 +132,37 @@ class Mixer:
         """One pass over words, online; each is judged by the counts without one of its occurrences."""
         for first in range(0, len(words), TOGETHER):
             found = events(words[first : first + TOGETHER], powers)
-            weight = np.log1p(counts[first : first + TOGETHER].astype(np.float64))[found.word]
+            weight = np.sqrt(counts[first : first + TOGETHER].astype(np.float64))[found.word]
             zeros = tables[0][found.slots] - (found.bit == 0)
             ones = tables[1][found.slots] - (found.bit == 1)
-            odds = np.log((np.maximum(ones, 0) + PRIOR) / (np.maximum(zeros, 0) + PRIOR))
-            mix = self._mixed(odds, found.gate)
+            zeros, ones = np.maximum(zeros, 0), np.maximum(ones, 0)
+            odds = np.log((ones + PRIOR) / (zeros + PRIOR))
+            gate = found.place * TRUST + _trust(zeros[-1] + ones[-1])
+            mix = self._mixed(odds, gate)
             error = (found.bit - _squash(mix)) * weight
             inputs = self._inputs(odds)
-            norm = np.bincount(found.gate, weight, GATES) + 1e-9
             for i in range(len(inputs)):
-                step = np.bincount(found.gate, error * inputs[i], GATES) / norm
-                self.weights[:, i] += RATE * step
+                norm = np.bincount(gate, weight * inputs[i] ** 2, GATES) + 1
+                step = np.bincount(gate, error * inputs[i], GATES) / norm
+                self.weights[:, i] += RATE / (1 + first / 10_000) * step
             near = np.rint((np.clip(mix, -8, 8) + 8) * (STEPS - 1) / 16).astype(np.int64)
-            cell = found.gate * STEPS + near
+            cell = gate * STEPS + near
             self.total += np.bincount(cell, weight, GATES * STEPS).reshape(GATES, STEPS)
             self.ones += np.bincount(cell, weight * found.bit, GATES * STEPS).reshape(GATES, STEPS)
 
-    def lengths(self, words: list[bytes], odds: np.ndarray, powers: Powers) -> np.ndarray:
-        """Bits of each word's code; ``odds`` are the predictors' log odds by slot."""
+    def lengths(self, words: list[bytes], odds: np.ndarray, trust: np.ndarray, powers: Powers) -> np.ndarray:
+        """Bits of each word's code; ``odds`` are the predictors' log odds by slot, ``trust`` the
+        steps of the last predictor's counts."""
         if not words:
             return np.zeros(0)
         found = events(words, powers)
-        p = self._refined(self._mixed(odds[found.slots], found.gate), found.gate)
+        gate = found.place * TRUST + trust[found.slots[-1] - OFFSETS[-2]]
+        p = self._refined(self._mixed(odds[found.slots], gate), gate)
         cost = -np.log2(np.where(found.bit == 1, p, 1 - p))
         return np.bincount(found.word, cost, len(words))
 
 
-def log_odds(tables: np.ndarray) -> np.ndarray:
-    return np.log((tables[1] + PRIOR) / (tables[0] + PRIOR)).astype(np.float32)
+def log_odds(tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What :meth:`Mixer.lengths` needs to know of the counts."""
+    odds = np.log((tables[1] + PRIOR) / (tables[0] + PRIOR)).astype(np.float32)
+    return odds, _trust(tables[:, OFFSETS[-2] :].sum(axis=0)).astype(np.int8)

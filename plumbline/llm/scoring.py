@@ -122,12 +122,12 @@ def learned(vocabulary: DataFrame, tables: np.ndarray, sample: int = SAMPLE) ->
     return mixer
 
 
-def _coded(batches: Iterator[pa.RecordBatch], mixer: Mixer, odds: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _coded(batches: Iterator[pa.RecordBatch], mixer: Mixer, odds: tuple) -> Iterator[pa.RecordBatch]:
     powers = Powers()
     for batch in batches:
         spelled = batch.column(1).to_pylist()
         bits = [
-            mixer.lengths(spelled[a:b], odds, powers) for a, b in chunks([len(w) for w in spelled], CODED)
+            mixer.lengths(spelled[a:b], *odds, powers) for a, b in chunks([len(w) for w in spelled], CODED)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), pa.array(np.concatenate(bits or [np.zeros(0)]))],
