@@ -40,8 +40,8 @@ _FOLDED[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 
 def _buckets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the trigrams of all texts, and where each text's begin; most are letters."""
-    joined = b"   ".join(t or b"" for t in texts) + b"  "
+    """Buckets of the trigrams with a letter in the middle of all texts, and where each text's begin."""
+    joined = b" " + b"   ".join(t or b"" for t in texts) + b"   "
     data = _FOLDED[np.frombuffer(joined, dtype=np.uint8)].astype(np.uint32)
     code = data[:-2] | data[1:-1] << np.uint32(8) | data[2:] << np.uint32(16)
     blank = data == 32
