@@ -88,14 +88,6 @@ def _units_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
 
-def _beside(rows: DataFrame, single: DataFrame) -> DataFrame:
-    return (
-        rows.withColumn("_one", F.lit(1))
-        .join(F.broadcast(single.withColumn("_one", F.lit(1))), "_one")
-        .drop("_one")
-    )
-
-
 def index(items: DataFrame, text: str = "text") -> DataFrame:
     """Postings ``(item_id, unit, term, share)``: a term's part of the unit's own BM25 score."""
     rows = stored(
@@ -106,11 +98,11 @@ def index(items: DataFrame, text: str = "text") -> DataFrame:
         "units",
     )
     units = rows.select("item_id", "unit", "length").distinct()
-    frame = units.agg(F.count("*").alias("units"), F.avg("length").alias("mean"))
+    number, mean = units.agg(F.count("*"), F.coalesce(F.avg("length"), F.lit(1.0))).first()
     held = rows.groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1 + (F.col("units") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    weighted = _beside(rows.join(held, "term"), frame).withColumn("weight", idf * saturation)
+    idf = F.log(1 + (F.lit(number) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    saturation = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(mean)))
+    weighted = rows.join(held, "term").withColumn("weight", idf * saturation)
     own = weighted.groupBy("item_id", "unit").agg(F.sum("weight").alias("own"))
     return weighted.join(own, ["item_id", "unit"]).select(
         "item_id", "unit", "term", (F.col("weight") / F.col("own")).alias("share")

@@ -157,18 +157,12 @@ def _counts(rows: DataFrame, key: str, languages: tuple[str, ...]) -> DataFrame:
 def _emission(rows: DataFrame, key: str, languages: tuple[str, ...]) -> DataFrame:
     """Per value of a column the logarithms of its probability under each language."""
     counts = _counts(rows.where(F.col(key).isNotNull()), key, languages)
-    totals = counts.agg(F.count("*").alias("values"), *[F.sum(x).alias(f"all_{x}") for x in languages])
+    # One row of totals; values and languages are few numbers whatever the size of the table.
+    totals = counts.agg(F.count("*"), *[F.coalesce(F.sum(x), F.lit(0)) for x in languages]).first()
     logs = [
-        F.log((F.col(x) + 0.5) / (F.col(f"all_{x}") + 0.5 * (F.col("values") + 1))) for x in languages
+        F.log((F.col(x) + 0.5) / F.lit(total + 0.5 * (totals[0] + 1))) for x, total in zip(languages, totals[1:])
     ]
-    return _beside(counts, totals).select(key, F.array(*logs).alias(f"{key}_logs"))
-
-
-def _beside(rows: DataFrame, single: DataFrame) -> DataFrame:
-    """Rows with the columns of a table of one row, which is an aggregate without keys."""
-    return rows.withColumn("_one", F.lit(1)).join(
-        F.broadcast(single.withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one")
+    return stored(counts.select(key, F.array(*logs).alias(f"{key}_logs")), "evidence")
 
 
 def _priors(rows: DataFrame, languages: tuple[str, ...]) -> DataFrame:
@@ -177,18 +171,20 @@ def _priors(rows: DataFrame, languages: tuple[str, ...]) -> DataFrame:
         "domain", F.substring_index("host", ".", -2)
     )
     domains = hosts.groupBy("domain").agg(*[F.sum(x).alias(f"d_{x}") for x in languages])
-    totals = rows.agg(*[F.count_if(F.col("suggested") == x).alias(f"all_{x}") for x in languages])
-    joined = _beside(hosts.join(domains, "domain"), totals)
+    totals = rows.agg(*[F.count_if(F.col("suggested") == x) for x in languages]).first()
 
     def total(prefix: str) -> Column:
         return reduce(lambda a, b: a + b, [F.col(f"{prefix}{x}") for x in languages])
 
-    def share(x: str) -> Column:
-        everywhere = (F.col(f"all_{x}") + 1) / (total("all_") + len(languages))
-        domain = (F.col(f"d_{x}") + LENT * everywhere) / (total("d_") + LENT)
+    def share(x: str, count: int) -> Column:
+        everywhere = (count + 1) / (sum(totals) + len(languages))
+        domain = (F.col(f"d_{x}") + F.lit(LENT * everywhere)) / (total("d_") + LENT)
         return (F.col(x) + LENT * domain) / (total("") + LENT)
 
-    return joined.select("host", F.array(*[F.log(share(x)) for x in languages]).alias("host_logs"))
+    logs = [F.log(share(x, count)) for x, count in zip(languages, totals)]
+    joined = hosts.join(domains, "domain").select("host", F.array(*logs).alias("host_logs"))
+    # Written, its size is known to the planner: a small table is joined without dealing the documents.
+    return stored(joined, "priors")
 
 
 def identified(
