@@ -49,6 +49,10 @@ HEADLINE = [
     "report_detail",
     "run_document",
     "stream_daily_checks",
+    "daily_run",
+    "check_run",
+    "snapshot_run",
+    "drift_documents",
 ]
 
 

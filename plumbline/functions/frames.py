@@ -8,6 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 
+class NothingToDo(ValueError):
+    """There is no column, rule or table to work on."""
+
+
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     """One plan for several inputs, so that their scans run side by side."""
-    return reduce(DataFrame.unionByName, parts)
+    found = list(parts)
+    if not found:
+        raise NothingToDo("nothing to combine")
+    return reduce(DataFrame.unionByName, found)

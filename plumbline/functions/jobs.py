@@ -8,6 +8,17 @@ from concurrent.futures import ThreadPoolExecutor
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 
+from plumbline.functions.frames import NothingToDo
+
+# What a table that cannot be read or analysed raises; a broken file is raised by the JVM as it is.
+FAILURES = (PySparkException, Py4JJavaError, NothingToDo)
+_MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
+
+
+def is_missing(error: Exception) -> bool:
+    """Whether the error says that there is no such table or path."""
+    return isinstance(error, PySparkException) and (error.getCondition() or "").startswith(_MISSING)
+
 
 def error_name(error: Exception) -> str:
     """The condition that Spark names, or else the kind of error."""
@@ -24,7 +35,7 @@ def side_by_side(jobs: Mapping[str, Callable[[], object]], at_once: int = 8) ->
     def attempt(job: Callable[[], object]) -> str | None:
         try:
             job()
-        except (PySparkException, Py4JJavaError) as error:
+        except FAILURES as error:
             return error_name(error)
         return None
 

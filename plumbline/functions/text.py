@@ -22,6 +22,15 @@ def literal(value: str | int | float | bool | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Texts longer than this are grouped by digest, so that a shuffle carries 65 characters instead.
+DIGEST_ABOVE = 64
+
+
+def digest(cell: str) -> str:
+    """A short text as it is, a long one by digest; the mark keeps digests and texts apart."""
+    return f"CASE WHEN length({cell}) > {DIGEST_ABOVE} THEN concat('#', sha2({cell}, 256)) ELSE {cell} END"
+
+
 def percent(part: str, whole: str) -> str:
     """100 * part / whole, and 0 where the whole is 0."""
     return f"coalesce(try_divide({part}, {whole}) * 100, 0D)"

@@ -6,16 +6,24 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.scalars import percent
 from plumbline.functions.text import name as quoted
+from plumbline.functions.text import digest
 from plumbline.operators.checks import FAIL, PASS
 from plumbline.operators.skew import salted_join
 
 
+def key_of(cell: str, data_type: T.DataType) -> str:
+    return digest(cell) if isinstance(data_type, T.StringType) else cell
+
+
 def primary_key_check(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    """Keys that occur more than once, and the rows they hold."""
-    counts = df.groupBy(*[F.col(quoted(k)) for k in key]).agg(F.count(F.lit(1)).alias("n"))
+    """Keys that occur more than once, and the rows they hold. Long texts are grouped by digest."""
+    cells = [F.expr(key_of(quoted(k), df.schema[k].dataType)) for k in key]
+    parts = [cell.alias(f"key_{i}") for i, cell in enumerate(cells)]
+    counts = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("n"))
     found = counts.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_keys"),

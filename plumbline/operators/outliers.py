@@ -69,11 +69,19 @@ def _grouped_outliers(df: DataFrame, table: str, k: float, names: list[str]) ->
         F.avg("number").alias("mean"), F.stddev("number").alias("stddev")
     )
     # A row per column of the table.
-    return (
+    counted = (
         cells.join(F.broadcast(spread), "column_name")
-        .groupBy(F.lit(table).alias("table_name"), "column_name", "mean", "stddev")
+        .groupBy("column_name", "mean", "stddev")
         .agg(F.expr(f"count_if(abs(number - mean) > {k!r}D * stddev) AS outlier_count"))
     )
+    # A table without rows has no cells: the list of columns keeps them in the result.
+    listed = text.structs([{"column_name": text.literal(n)} for n in names])
+    columns = df.sparkSession.range(1).selectExpr(f"inline({listed})")
+    return (
+        columns.join(counted, "column_name", "left")
+        .na.fill(0, ["outlier_count"])
+        .selectExpr(f"{text.literal(table)} AS table_name", "column_name", "mean", "stddev", "outlier_count")
+    )
 
 
 def zscore_rows(df: DataFrame, column: str, k: float = 3.0) -> DataFrame:

@@ -5,8 +5,8 @@ Three plans give the same figures:
 * Counted values (``distinct="exact"``): the cells of all columns of all tables become rows
   ``(column, value)`` and are counted per value, in one shuffle. The map side already collapses
   repeated values, so a value that fills a third of a table reaches the shuffle once per task, and
-  rows stay a few fields wide however wide the table is. All statistics but the standard deviation
-  follow from the counts.
+  rows stay a few fields wide however wide the table is. All statistics follow from the counts; the
+  deviation reads them a second time, around the mean.
 * Grouped cells (``distinct="approx"``, and wide tables): the cells become rows as above, but are
   grouped per column straight away, with buffers of fixed size. A task shuffles a row per column.
 * One aggregate (other tables): a task shuffles one row. Fastest for a few dozen columns; beyond that
@@ -26,8 +26,6 @@ from plumbline.functions import text
 from plumbline.functions.frames import union_all
 from plumbline.functions.schema import METADATA_COLUMNS, NUMERIC, STRING, ColumnSpec, column_specs
 
-# Texts longer than this are counted by digest, so that the shuffle carries 65 characters instead.
-DIGEST_ABOVE = 64
 # An aggregate of more figures than this takes longer than grouping the cells.
 WIDEST_AGGREGATE = 300
 
@@ -58,6 +56,8 @@ PROFILE_FIELDS = (
 # Statistic groups of the aggregate plan.
 RANGE, SIGNS, SPREAD, LENGTHS, BLANKS = "range", "signs", "spread", "lengths", "blanks"
 ALL_STATS = (RANGE, SIGNS, SPREAD, LENGTHS, BLANKS)
+# What scores and findings are made of.
+WITHOUT_SPREAD = (RANGE, SIGNS, LENGTHS, BLANKS)
 # What counts as a blank string.
 BLANKS_SQL = "('', ' ')"
 
@@ -80,8 +80,8 @@ def profile_tables(
     """Profile every business column of several tables, as one plan.
 
     ``by`` names a column that splits the tables into runs: each run is profiled on its own, in the
-    same job. ``stats`` limits the statistics of the aggregate plan; ``max_columns`` keeps the first
-    columns, and ``named`` those whose name matches a regular expression. Columns left out are not
+    same job. ``stats`` limits the statistics of the aggregate plan, and leaves the deviation out of the
+    exact one, which then reads its counts once only; ``max_columns`` keeps the first columns, and ``named`` those whose name matches a regular expression. Columns left out are not
     read.
     """
     hidden = [*skip, *([by] if by else [])]
@@ -90,7 +90,7 @@ def profile_tables(
         for t, df in tables.items()
     }
     if distinct == "exact":
-        long = _from_value_counts(tables, specs, by)
+        long = _from_value_counts(tables, specs, by, SPREAD in frozenset(stats))
     elif distinct == "approx":
         long = _from_grouped_cells(tables, specs, by, frozenset(stats), estimate=True)
     elif distinct == "none":
@@ -145,17 +145,51 @@ def _lanes(spec: ColumnSpec) -> tuple[str, str, str]:
     if isinstance(data_type, T.TimestampNTZType):
         return _micros(cell), _NO_DOUBLE, _NO_TEXT
     if spec.kind == STRING:
-        return f"CAST(length({cell}) AS BIGINT)", _NO_DOUBLE, _digest(cell)
+        return f"CAST(length({cell}) AS BIGINT)", _NO_DOUBLE, text.digest(cell)
     if not spec.countable:
         return f"CASE WHEN {cell} IS NOT NULL THEN 1L END", _NO_DOUBLE, _NO_TEXT
     if isinstance(data_type, T.BinaryType):
         return _NO_LONG, _NO_DOUBLE, f"sha2({cell}, 256)"
     if isinstance(data_type, (T.ArrayType, T.StructType)):
-        digest = f"sha2(to_json(struct({cell} AS v)), 256)"
+        value = _without_negative_zeros(cell, data_type)
+        digest = f"sha2(to_json(struct({value} AS v), {_JSON_FORMATS}), 256)"
         return _NO_LONG, _NO_DOUBLE, f"CASE WHEN {cell} IS NOT NULL THEN {digest} END"
     return _NO_LONG, _NO_DOUBLE, f"CAST({cell} AS STRING)"
 
 
+# Nested time stamps in full, down to the microsecond.
+_JSON_FORMATS = (
+    "map('timestampFormat', 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSSXXX',"
+    " 'timestampNTZFormat', 'yyyy-MM-dd\\'T\\'HH:mm:ss.SSSSSS')"
+)
+
+
+def _has_fractions(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _has_fractions(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return any(_has_fractions(f.dataType) for f in data_type.fields)
+    return isinstance(data_type, (T.FloatType, T.DoubleType))
+
+
+def _without_negative_zeros(cell: str, data_type: T.DataType, depth: int = 0) -> str:
+    """A nested value whose zeros are all written alike, as they are equal."""
+    if not _has_fractions(data_type):
+        return cell
+    if isinstance(data_type, T.ArrayType):
+        item = f"x{depth}"
+        inner = _without_negative_zeros(item, data_type.elementType, depth + 1)
+        return f"transform({cell}, {item} -> {inner})"
+    if isinstance(data_type, T.StructType):
+        fields = ", ".join(
+            f"{text.literal(f.name)}, "
+            + _without_negative_zeros(f"{cell}.{text.name(f.name)}", f.dataType, depth + 1)
+            for f in data_type.fields
+        )
+        return f"CASE WHEN {cell} IS NOT NULL THEN named_struct({fields}) END"
+    return f"{cell} + CAST(0 AS {data_type.simpleString()})"
+
+
 def _micros(cell: str) -> str:
     """Microseconds of a time stamp without zone; a detour over the session's zone could merge two."""
     return (
@@ -165,11 +199,6 @@ def _micros(cell: str) -> str:
     )
 
 
-def _digest(cell: str) -> str:
-    """A short text as it is, a long one by digest; the mark keeps digests and texts apart."""
-    return f"CASE WHEN length({cell}) > {DIGEST_ABOVE} THEN concat('#', sha2({cell}, 256)) ELSE {cell} END"
-
-
 def _column_names(df: DataFrame, specs: dict[str, list[ColumnSpec]]) -> DataFrame:
     """The profiled columns as rows of a table."""
     rows = [
@@ -244,7 +273,7 @@ _FROM_COUNTS = {
     "min_num": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(min_double, CAST(min_long AS DOUBLE)) END",
     "max_num": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(max_double, CAST(max_long AS DOUBLE)) END",
     "mean": f"CASE WHEN kind = '{NUMERIC}' THEN {_MEAN} END",
-    "stddev": "CAST(NULL AS DOUBLE)",
+    "stddev": f"CASE WHEN kind = '{NUMERIC}' THEN sqrt(try_divide(squares, total_rows - null_count - 1)) END",
     "negative_count": f"CASE WHEN kind = '{NUMERIC}' THEN coalesce(negatives, 0) END",
     "min_len": f"CASE WHEN kind = '{STRING}' THEN CAST(min_long AS INT) END",
     "max_len": f"CASE WHEN kind = '{STRING}' THEN CAST(max_long AS INT) END",
@@ -254,18 +283,29 @@ _FROM_COUNTS = {
 
 
 def _from_value_counts(
-    tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None
+    tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None, spread: bool
 ) -> DataFrame:
     lanes = ("v_long", "v_double", "v_text")
     cells = _cells(tables, specs, by, lambda spec: dict(zip(lanes, _lanes(spec))))
     keys = [*(["run_id"] if by else []), "table_id", "ordinal"]
-    per_column = (
-        cells.groupBy(*keys, *lanes)
-        .agg(F.expr("count(1) AS n"))
-        .groupBy(*keys)
-        .agg(*[F.expr(f"{e} AS {f}") for f, e in _PER_COLUMN.items()])
+    counts = cells.groupBy(*keys, *lanes).agg(F.expr("count(1) AS n"))
+    per_column = counts.groupBy(*keys).agg(*[F.expr(f"{e} AS {f}") for f, e in _PER_COLUMN.items()])
+    if not spread:
+        return _with_names(per_column, specs, by, _FROM_COUNTS | {"stddev": _NO_DOUBLE})
+    # Squares around the mean: the counts, which are shuffled once, are read a second time.
+    means = per_column.where("weighted_sum IS NOT NULL").selectExpr(
+        *[f"{k} AS of_{k}" for k in keys], f"{_MEAN} AS center"
+    )
+    same = " AND ".join(f"{k} <=> of_{k}" for k in keys)
+    squares = (
+        counts.selectExpr(*keys, f"{_NUMBER} AS number", "n")
+        .where("number IS NOT NULL")
+        .join(means, F.expr(same))
+        .groupBy(*[F.col(f"of_{k}") for k in keys])
+        .agg(F.expr("sum(n * pow(number - center, 2)) AS squares"))
     )
-    return _with_names(per_column, specs, by, _FROM_COUNTS)
+    figured = per_column.join(squares, F.expr(same), "left").drop(*[f"of_{k}" for k in keys])
+    return _with_names(figured, specs, by, _FROM_COUNTS)
 
 
 # --- grouped cells --------------------------------------------------------------------------
@@ -347,12 +387,14 @@ _STAT_TYPES = {
 
 def _aggregates(spec: ColumnSpec, stats: frozenset[str]) -> dict[str, str]:
     cell = text.name(spec.name)
+    # All plans average doubles, so that a mean does not depend on the plan.
+    number = f"CAST({cell} AS DOUBLE)"
     found = {"non_null": f"count({cell})"}
     if spec.kind == NUMERIC:
         if RANGE in stats:
-            found |= {"min_num": f"min({cell})", "max_num": f"max({cell})", "mean": f"avg({cell})"}
+            found |= {"min_num": f"min({cell})", "max_num": f"max({cell})", "mean": f"avg({number})"}
         if SPREAD in stats:
-            found["stddev"] = f"stddev({cell})"
+            found["stddev"] = f"stddev({number})"
         if SIGNS in stats:
             found["negative_count"] = f"count_if({cell} < 0)"
     elif spec.kind == STRING:
@@ -425,9 +467,12 @@ LONG_STATS = (
     "max_num",
     "mean",
     "range_span",
+    "stddev",
+    "negative_count",
     "min_len",
     "max_len",
     "avg_len",
+    "blank_count",
     "data_quality_score",
 )
 

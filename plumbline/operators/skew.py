@@ -2,12 +2,28 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.text import name as quoted
+
+# Keys that the sketch for hot keys follows.
+TRACKED = 16_384
+
 
 def hot_keys(df: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Keys with at least ``share`` of all rows. There are at most ``1 / share`` of them."""
+    """Keys with at least ``share`` of all rows. There are at most ``1 / share`` of them.
+
+    A single key is searched by a sketch of fixed size: one more scan, of which a task shuffles one
+    row. A key near the limit may be missed or added, which changes the plan of a join, not its rows.
+    """
+    if len(keys) == 1:
+        top = f"approx_top_k({quoted(keys[0])}, {math.ceil(1 / share)}, {TRACKED})"
+        found = df.agg(F.expr(f"{top} AS top"), F.count(F.lit(1)).alias("n"))
+        items = found.select("n", F.inline("top"))
+        return items.where(F.col("count") >= F.col("n") * share).select(F.col("item").alias(keys[0]))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     return counts.where(F.col("key_rows") >= total * share).select(*keys)

@@ -112,7 +112,13 @@ def stamp_metadata(
     )
 
 
-def stamp_run(df: DataFrame, run_date: str, simulation_id: str, as_of: str | None = None) -> DataFrame:
+def stamp_run(
+    df: DataFrame,
+    run_date: str,
+    simulation_id: str,
+    as_of: str | None = None,
+    source: str = "hdfs_csv_fresh",
+) -> DataFrame:
     """The six ingest columns of a live run: rows are numbered and the seed is recorded."""
     moment = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     return df.withColumns(
@@ -120,7 +126,7 @@ def stamp_run(df: DataFrame, run_date: str, simulation_id: str, as_of: str | Non
             "ingestion_date": F.lit(run_date),
             "ingestion_timestamp": moment,
             "simulation_id": F.lit(simulation_id),
-            "data_source": F.lit("hdfs_csv_fresh"),
+            "data_source": F.lit(source),
             "batch_id": F.monotonically_increasing_id(),
             "random_seed": F.lit(run_seed(run_date)),
         }

@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.jobs import side_by_side
+from plumbline.functions.jobs import FAILURES, error_name, is_missing, side_by_side
 from plumbline.operators.checks import literal_rows
 from plumbline.operators.rollup import FAIL_FIRST, rollup_checks, rollup_run, rollup_tables
-from plumbline.plans.policy import TableRules
-from plumbline.plans.rules import evaluate_rules
+from plumbline.plans.policy import DEFAULT_VOLUME, TableRules
+from plumbline.plans.rules import ALL_TABLES, evaluate_rules, unmatched_rules
 from plumbline.sources import load_table, write_csv, write_documents
 
 RESULT = (
@@ -33,27 +32,39 @@ def run_checks(
 ) -> dict[str, str]:
     """Evaluate the rules of every table and write results and statuses below ``out``.
 
-    A missing table is SKIPPED. A table that cannot be read or judged becomes an ERROR row. The
-    results are stored table by table; everything else is derived from what was stored.
+    A missing table is SKIPPED. A table that cannot be read or judged becomes an ERROR row, and one
+    without rules is held to the default limits of its volume. The results are stored table by table;
+    everything else is derived from what was stored.
     """
+    unlisted = {name: TableRules(volume=DEFAULT_VOLUME, freshness_hours=None) for name in refs if name not in rules}
+    rules = {**rules, **unlisted}
     parts = ("results", "checks", "tables", "run", "by_check")
     paths = {part: f"{out.rstrip('/')}/{part}/run_id={run_id}" for part in parts}
-    targets, tables, missing = {}, {}, []
+    targets, tables, missing, errors = {}, {}, [], {}
     for name in rules:
         try:
             tables[name] = load_table(spark, refs[name])
             targets[name] = f"{paths['results']}/source={name}"
-        except (AnalysisException, KeyError):
+        except KeyError:
             missing.append(name)
+        except FAILURES as error:
+            if is_missing(error):
+                missing.append(name)
+            else:
+                errors[name] = error_name(error)
 
     def store(name: str) -> None:
-        found = evaluate_rules({name: tables[name]}, {name: rules[name]}, as_of)
+        found = evaluate_rules({name: tables[name]}, {name: rules[name]}, as_of, unmatched=False)
         found = found.withColumn("message", F.lit(None).cast("string"))
         found.write.mode("overwrite").parquet(targets[name])
 
-    errors = side_by_side({name: partial(store, name) for name in tables})
+    errors |= side_by_side({name: partial(store, name) for name in tables})
     stored = [targets[name] for name in tables if name not in errors]
     broken = [(name, None, "evaluation", "ERROR", None, None, e) for name, e in errors.items()]
+    broken += [
+        (ALL_TABLES, column, check_type, "SKIP", "no table has this column", None, None)
+        for check_type, column in unmatched_rules(tables, rules)
+    ]
     results = _results(spark, stored, broken)
     checks = rollup_checks(results)
     statuses = rollup_tables(checks, precedence)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -21,9 +21,12 @@ def assess(
     policy: Policy = Policy(),
     distinct: str = "exact",
     max_columns: int | None = None,
+    stats: Iterable[str] = profile.ALL_STATS,
 ) -> DataFrame:
     """Profile, findings and score of every column of every table, as one plan."""
-    profiled = profile.profile_tables(dict(tables), distinct=distinct, max_columns=max_columns)
+    profiled = profile.profile_tables(
+        dict(tables), distinct=distinct, max_columns=max_columns, stats=stats
+    )
     return scoring.score_alerts(checks.with_findings(profiled, policy))
 
 

@@ -63,6 +63,8 @@ class TableRules:
     timestamp_column: str | None = None
     no_timestamp_status: str = "SKIP"
     no_value_status: str = "SKIP"
+    # The column rules hold for all tables of a configuration that have the column.
+    general: bool = False
 
 
 # Bounds of the loan columns.

@@ -18,9 +18,16 @@ from plumbline.operators.table_checks import timestamp_column
 from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, TableRules
 
 
+# What stands for the table in the row of a rule that concerns none of them.
+ALL_TABLES = "*"
+
+
 def read_rules(spark: SparkSession, path: str) -> dict[str, TableRules]:
     """Rules from a file on any file system Spark reads: one small file, parsed on the driver."""
-    return parse_rules(json.loads(spark.read.text(path, wholetext=True).first()["value"]))
+    files = spark.read.text(path, wholetext=True).take(2)
+    if len(files) != 1:
+        raise ValueError(f"{path} should hold one rule file")
+    return parse_rules(json.loads(files[0]["value"]))
 
 
 def packaged_rules(name: str) -> dict[str, TableRules]:
@@ -65,6 +72,7 @@ def parse_rules(config: Mapping) -> dict[str, TableRules]:
                 if fresh
                 else None,
                 timestamp_column=entry.get("timestamp_column"),
+                general=True,
             )
     return result
 
@@ -97,8 +105,45 @@ class _Check:
         }
 
 
+def resolve(df: DataFrame, column: str) -> str | None:
+    """The column that the session finds under a name, if the table has one."""
+    if df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true":
+        return column if column in df.columns else None
+    return next((c for c in df.columns if c.lower() == column.lower()), None)
+
+
+def _column_rules(rule: TableRules) -> list[tuple[str, str]]:
+    """Check and column of every rule that a table must be able to answer."""
+    return [
+        *(("null_checks", c) for c in rule.critical),
+        *(("range_checks", c) for c in rule.ranges),
+        *(("pattern", c) for c in rule.patterns),
+    ]
+
+
+def _skipped(check_type: str, column: str | None, reason: str) -> dict[str, str]:
+    return {
+        "column_name": f"CAST({text.literal(column)} AS STRING)",
+        "check_type": text.literal(check_type),
+        "status": "'SKIP'",
+        "threshold": text.literal(reason),
+        "actual": "CAST(NULL AS DOUBLE)",
+    }
+
+
+def unmatched_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> list[tuple]:
+    """Check and column of the general rules that no column of any table answers to."""
+    wanted: dict[tuple[str, str], bool] = {}
+    for name, rule in rules.items():
+        if rule.general and name in tables:
+            for check_type, column in _column_rules(rule):
+                found = resolve(tables[name], column) is not None
+                wanted[check_type, column] = wanted.get((check_type, column), False) or found
+    return [key for key, found in wanted.items() if not found]
+
+
 def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]:
-    """The checks of a table; rules for columns that it does not have are left out."""
+    """The checks of a table, without rules for columns that it does not have."""
     checks = []
     share = text.percent("$", "total_rows")
     if rule.volume:
@@ -109,21 +154,21 @@ def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]
     watched = [c for c in rule.watched if c not in rule.critical]
     limits = [(c, rule.max_null_pct) for c in rule.critical]
     limits += [(c, rule.max_watched_null_pct) for c in watched]
-    for column, limit in limits:
-        if column in df.columns:
+    for named, limit in limits:
+        if column := resolve(df, named):
             missing = f"count_if({text.name(column)} IS NULL)"
             checks.append(
                 _Check("null_checks", column, missing, share, f"{share} <= {limit}", f"<={limit:g}%")
             )
-    for column, bounds in rule.ranges.items():
-        if column in df.columns:
+    for named, bounds in rule.ranges.items():
+        if column := resolve(df, named):
             cell, limit = text.name(column), rule.range_tolerance_pct
             outside = f"count_if({cell} < {bounds.low} OR {cell} > {bounds.high})"
             checks.append(
                 _Check("range_checks", column, outside, share, f"{share} <= {limit}", f"<={limit:g}%")
             )
-    for column, pattern in rule.patterns.items():
-        if column in df.columns:
+    for named, pattern in rule.patterns.items():
+        if column := resolve(df, named):
             broken = f"count_if(NOT {text.name(column)} RLIKE {text.literal(pattern)})"
             limit = rule.pattern_tolerance_pct
             checks.append(
@@ -136,9 +181,9 @@ def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]
 
 def _compile_freshness(df: DataFrame, rule: TableRules, as_of: str) -> _Check:
     limit = rule.freshness_hours
-    column = rule.timestamp_column or timestamp_column(df)
+    column = resolve(df, rule.timestamp_column) if rule.timestamp_column else timestamp_column(df)
     threshold = f"<={limit:g}h"
-    if column is None or column not in df.columns:
+    if column is None:
         status = rule.no_timestamp_status
         return _Check("freshness", None, "CAST(any_value(NULL) AS BIGINT)", "$", "true", threshold, status)
     cell = text.name(column)
@@ -157,9 +202,24 @@ def _evaluate(
     parts = []
     checks = _compile(df, rule, as_of)
     keys = ["run_id"] if by else []
-    if checks:
-        figures = ", ".join(f"'{i}', {c.aggregate}" for i, c in enumerate(checks))
-        rows = [c.result(f"figures.`{i}`") for i, c in enumerate(checks)]
+    skipped = []
+    if not rule.general:
+        skipped = [
+            _skipped(check_type, column, "no such column")
+            for check_type, column in _column_rules(rule)
+            if resolve(df, column) is None
+        ]
+    key = [resolve(df, c) for c in rule.primary_key]
+    absent = [c for c, found in zip(rule.primary_key, key) if found is None]
+    if absent and not by:
+        # A part of the key says nothing about the whole.
+        reason = f"no such column: {', '.join(absent)}"
+        skipped.append(_skipped("primary_key", ", ".join(rule.primary_key), reason))
+    if not checks and not skipped and (by or not key):
+        skipped.append(_skipped("rules", None, "nothing to check"))
+    if checks or skipped:
+        figures = ", ".join(["'rows', count(1)", *(f"'{i}', {c.aggregate}" for i, c in enumerate(checks))])
+        rows = [c.result(f"figures.`{i}`") for i, c in enumerate(checks)] + skipped
         groups = [F.expr(f"{text.name(by)} AS run_id")] if by else []
         wide = df.groupBy(*groups).agg(
             F.expr("count(1) AS total_rows"), F.expr(f"named_struct({figures}) AS figures")
@@ -169,8 +229,7 @@ def _evaluate(
                 *keys, f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})"
             )
         )
-    key = [c for c in rule.primary_key if c in df.columns]
-    if key and not by:
+    if key and not absent and not by:
         unique = primary_key_check(df, table, key)
         parts.append(
             unique.selectExpr(
@@ -190,9 +249,14 @@ def evaluate_rules(
     rules: Mapping[str, TableRules],
     as_of: str | None = None,
     by: str | None = None,
+    unmatched: bool = True,
 ) -> DataFrame:
     """All configured checks of all tables, as one plan of result rows.
 
+    Names are resolved as the session does. A rule of a table for a column that it does not have is
+    skipped, with a row; so is, once for all tables and unless ``unmatched`` is off, a general rule
+    that no table answers to.
+
     A table is scanned once for all its rules, and once more for its key if it has one. ``by``
     names a column that splits the tables into runs; each run is judged on its own, without the key.
     """
@@ -200,4 +264,11 @@ def evaluate_rules(
     for name, rule in rules.items():
         if name in tables:
             parts += _evaluate(tables[name], name, rule, as_of, by)
+    missing = unmatched_rules(tables, rules) if unmatched and not by else []
+    if missing:
+        rows = [_skipped(check_type, column, "no table has this column") for check_type, column in missing]
+        single = next(iter(tables.values())).sparkSession.range(1)
+        parts.append(
+            single.selectExpr(f"{text.literal(ALL_TABLES)} AS table_name", f"inline({text.structs(rows)})")
+        )
     return union_all(parts)

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
-from plumbline.functions.jobs import error_name
+from plumbline.functions.jobs import FAILURES, error_name
 from plumbline.operators import snapshot
 from plumbline.sources import load_source, overwrite_partitions
 
@@ -53,7 +51,7 @@ def write_snapshots(
                 day = F.col("ingestion_date").cast("date")
                 stored = stored.where((day >= first) & (day < F.lit(run_date).cast("date")))
             counted, status, message = stored.agg(F.expr("count(1) AS record_count")), "success", None
-        except (PySparkException, Py4JJavaError) as error:
+        except FAILURES as error:
             counted = spark.range(1).selectExpr("CAST(NULL AS BIGINT) AS record_count")
             status, message = "error", error_name(error)
         results.append(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
@@ -331,25 +332,26 @@ def quarantine_nulls(spark, sf_dir):
 @query(
     "check_volume_change",
     f"""WITH days AS (SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events
-          WHERE value > 100 GROUP BY 1, 2),
-        means AS (SELECT event_type, avg(n) AS expected FROM days GROUP BY 1)
+          GROUP BY 1, 2),
+        d AS (SELECT *, lag(n) OVER (PARTITION BY event_type ORDER BY day) AS expected FROM days)
         SELECT CAST(day AS VARCHAR) AS run_id, d.event_type AS table_name, n AS record_count,
           {r("expected", 2)} AS expected_count,
           CASE WHEN n = 0 THEN 'CRITICAL' WHEN n < expected * 0.5 THEN 'WARNING' ELSE 'PASS' END AS status,
           CASE WHEN n = 0 THEN 'Empty dataset detected' WHEN n < expected * 0.5
             THEN 'Volume below 50% of expected' ELSE 'Volume as expected' END AS message
-        FROM days d JOIN means m ON d.event_type = m.event_type""",
+        FROM d WHERE expected IS NOT NULL""",
 )
 def check_volume_change(spark, sf_dir):
-    """Large events per day and type against the mean of that type."""
+    """Events per day and type against the day before, which is the run before."""
     days = (
         event_runs(spark, sf_dir)
-        .where("value > 100")
         .groupBy("run_id", F.col("event_type").alias("table_name"))
         .agg(F.count(F.lit(1)).alias("record_count"))
     )
-    means = days.groupBy("table_name").agg(F.avg("record_count").alias("expected_count"))
-    found = checks.volume_change_checks(days.join(means, "table_name"))
+    # One row per run and type.
+    before = F.lag("record_count").over(Window.partitionBy("table_name").orderBy("run_id"))
+    known = days.withColumn("expected_count", before.cast("double")).where("expected_count IS NOT NULL")
+    found = checks.volume_change_checks(known)
     return rounded(found, 2, "expected_count").drop("check_type")
 
 

@@ -21,9 +21,12 @@ _STATS = (
     "max_num",
     "mean",
     "range_span",
+    "stddev",
+    "negative_count",
     "min_len",
     "max_len",
     "avg_len",
+    "blank_count",
 )
 
 

@@ -9,7 +9,7 @@ from plumbline.functions import half_up
 from plumbline.operators import frequency, outliers, profile, table_checks
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
-from plumbline.queries.inputs import PROFILED, SCHEMAS, event_runs, source, sources
+from plumbline.queries.inputs import POLICY, PROFILED, SCHEMAS, event_runs, source, sources
 from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
 
@@ -61,11 +61,20 @@ def profile_numeric(spark, sf_dir):
     )
 
 
-@query(
-    "profile_stddev",
-    f"""SELECT table_name, column_name, {r("mean", 4)} AS mean, {r("stddev", 4)} AS stddev
-        FROM ({sql.profile(PROFILED, distinct=False)}) WHERE kind = 'n'""",
-)
+_SPREAD_SQL = f"""SELECT table_name, column_name, {r("mean", 4)} AS mean, {r("stddev", 4)} AS stddev
+        FROM ({sql.profile(PROFILED, distinct=False)}) WHERE kind = 'n'"""
+
+
+@query("profile_stddev_exact", _SPREAD_SQL)
+def profile_stddev_exact(spark, sf_dir):
+    """The same figures from counted values."""
+    found = profile.profile_tables(sources(spark, sf_dir, PROFILED))
+    return rounded(found.where("kind = 'numeric'"), 4, "mean", "stddev").select(
+        "table_name", "column_name", "mean", "stddev"
+    )
+
+
+@query("profile_stddev", _SPREAD_SQL)
 def profile_stddev(spark, sf_dir):
     found = profile.profile_tables(
         sources(spark, sf_dir, PROFILED), distinct="none", stats=["range", "spread"]
@@ -140,9 +149,12 @@ def profile_by_run(spark, sf_dir):
             "max_num",
             "mean",
             "range_span",
+            "stddev",
+            "negative_count",
             "min_len",
             "max_len",
             "avg_len",
+            "blank_count",
         )
     ),
 )
@@ -250,28 +262,38 @@ def blank_strings(spark, sf_dir):
     return rounded(found, 2, "violation_pct").drop("check_type")
 
 
-_DEVIATIONS = 1.7
+# The usual threshold, and one that the given data exceed more often.
+_DEVIATIONS = POLICY.outlier_deviations
+_FEWER_DEVIATIONS = 1.7
 _SPREAD_TABLES = ["lineitem", "customer", "part", "events"]
 
 
-def _outlier_sql(name: str) -> str:
+def _outlier_sql(name: str, deviations: float) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS table_name, '{c}' AS column_name,
-              count(*) FILTER (abs({c} - s.m) > {_DEVIATIONS} * s.sd) AS outlier_count
+              count(*) FILTER (abs({c} - s.m) > {deviations} * s.sd) AS outlier_count
             FROM {name}, (SELECT avg({c}) AS m, stddev_samp({c}) AS sd FROM {name}) s"""
         for c, _, kind in SCHEMAS[name]
         if kind == "n"
     )
 
 
-@query("outliers_3sigma", " UNION ALL ".join(_outlier_sql(t) for t in _SPREAD_TABLES))
-def outliers_by_deviation(spark, sf_dir):
-    found = [
-        outliers.outlier_counts(table(spark, sf_dir, t), t, _DEVIATIONS) for t in _SPREAD_TABLES
-    ]
+def _outliers(spark, sf_dir, deviations):
+    found = [outliers.outlier_counts(table(spark, sf_dir, t), t, deviations) for t in _SPREAD_TABLES]
     return union_all(found).select("table_name", "column_name", "outlier_count")
 
 
+@query("outliers_3sigma", " UNION ALL ".join(_outlier_sql(t, _DEVIATIONS) for t in _SPREAD_TABLES))
+def outliers_by_deviation(spark, sf_dir):
+    return _outliers(spark, sf_dir, _DEVIATIONS)
+
+
+@query("outliers_closer", " UNION ALL ".join(_outlier_sql(t, _FEWER_DEVIATIONS) for t in _SPREAD_TABLES))
+def outliers_by_fewer_deviations(spark, sf_dir):
+    """The same with another threshold."""
+    return _outliers(spark, sf_dir, _FEWER_DEVIATIONS)
+
+
 @query(
     "zscore_rows",
     f"""SELECT event_id, event_type, value, {r("z", 4)} AS z_score FROM (

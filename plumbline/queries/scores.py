@@ -42,7 +42,7 @@ score_a AS (
     "failed AS failed_checks, data_quality_score FROM score_a",
 )
 def score_model_a(spark, sf_dir):
-    assessed = assess(sources(spark, sf_dir, ASSESSED), POLICY)
+    assessed = assess(sources(spark, sf_dir, ASSESSED), POLICY, stats=profile.WITHOUT_SPREAD)
     counts = [F.col(c).cast("bigint").alias(c) for c in ("critical_alerts", "warning_alerts", "failed_checks")]
     return assessed.select("table_name", "column_name", *counts, "data_quality_score")
 
@@ -55,7 +55,7 @@ def _clamped(points: str) -> str:
     return f"greatest(0.0, least(100.0, {r(points, 1)}))"
 
 
-_DEVIATIONS = 1.7
+_DEVIATIONS = POLICY.outlier_deviations
 
 
 def _outliers_sql(tables: list[str]) -> str:
@@ -91,7 +91,7 @@ _ISSUES = (
 def score_model_b(spark, sf_dir):
     tables = sources(spark, sf_dir, ASSESSED)
     far = union_all([outliers.outlier_counts(df, name, _DEVIATIONS) for name, df in tables.items()])
-    scored = scoring.score_issues(profile.profile_tables(tables), far, POLICY)
+    scored = scoring.score_issues(profile.profile_tables(tables, stats=profile.WITHOUT_SPREAD), far, POLICY)
     return scored.select("table_name", "column_name", "issue_count", "data_quality_score")
 
 
@@ -107,7 +107,7 @@ SCORE_C = _clamped(
     f"""SELECT table_name, column_name, {SCORE_C} AS data_quality_score FROM ({sql.profile(ASSESSED)})""",
 )
 def score_model_c(spark, sf_dir):
-    profiled = profile.profile_tables(sources(spark, sf_dir, ASSESSED))
+    profiled = profile.profile_tables(sources(spark, sf_dir, ASSESSED), stats=profile.WITHOUT_SPREAD)
     return scoring.score_signs(profiled, POLICY).select(*_SCORE)
 
 
@@ -131,7 +131,7 @@ def score_model_d(spark, sf_dir):
          FROM score_a GROUP BY ALL""",
 )
 def score_bands(spark, sf_dir):
-    assessed = assess(sources(spark, sf_dir, ASSESSED), POLICY)
+    assessed = assess(sources(spark, sf_dir, ASSESSED), POLICY, stats=profile.WITHOUT_SPREAD)
     score = F.col("data_quality_score")
     band = scoring.score_band(score).alias("band")
     grade = scoring.score_band(score, scoring.GRADE_BANDS).alias("grade")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.frames import union_all
+from plumbline.functions.jobs import FAILURES, error_name, is_missing
 
 
 def csv_schema(spark: SparkSession, path: str) -> T.StructType:
@@ -26,19 +27,30 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 def load_table(spark: SparkSession, ref: str, table_format: str | None = None) -> DataFrame:
     """A table by catalog name or by path.
 
-    ``table_format`` names a table format to try first; a path that it cannot read, or a session
+    ``table_format`` names a table format to try first; a path that is no table of it, or a session
     without that format, falls back to Parquet.
     """
-    if "/" not in ref:
+    if "/" not in ref and not ref.endswith((".parquet", ".csv")):
         return spark.read.table(ref)
     if table_format:
         try:
             return spark.read.format(table_format).load(ref)
-        except (PySparkException, Py4JJavaError):  # a missing format is raised by the JVM as it is
-            pass
+        except (PySparkException, Py4JJavaError) as error:  # a missing format is raised by the JVM
+            if not _is_other_format(error):
+                raise
     return spark.read.parquet(ref)
 
 
+def _is_other_format(error: Exception) -> bool:
+    """Whether the session lacks the format, or the path is no table of it.
+
+    Any other error stays one: the raw files of a versioned table hold deleted rows too.
+    """
+    condition = error.getCondition() or "" if isinstance(error, PySparkException) else ""
+    known = condition == "DATA_SOURCE_NOT_FOUND" or condition.endswith("TABLE_NOT_FOUND")
+    return known or "ClassNotFoundException" in str(error)
+
+
 def load_source(spark: SparkSession, ref: str) -> DataFrame:
     """A source by path or catalog name; a path that ends in ``.csv`` is read as CSV."""
     return read_csv(spark, ref) if ref.endswith(".csv") else load_table(spark, ref)
@@ -58,29 +70,36 @@ def read_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def table_inventory(spark: SparkSession, refs: Mapping[str, str]) -> DataFrame:
-    """Which tables exist and how many rows they hold; a missing one is SKIPPED, not an error."""
+    """Which tables exist and how many rows they hold; a missing one is SKIPPED, one that cannot be
+    read an ERROR. Each is counted by a job of its own, so that a broken one stops no other."""
     parts = []
     for name, ref in refs.items():
         try:
-            rows = load_table(spark, ref).agg(F.count(F.lit(1)).alias("record_count"))
-            found = True
-        except AnalysisException:
-            rows = spark.range(1).select(F.lit(0).cast("long").alias("record_count"))
-            found = False
+            rows, found = load_table(spark, ref).count(), True
+            status, message = "FOUND", "Table found"
+        except FAILURES as error:
+            rows, found = 0, not is_missing(error)
+            status, message = ("ERROR", error_name(error)) if found else ("SKIPPED", "Table not found")
         parts.append(
-            rows.select(
+            spark.range(1).select(
                 F.lit(name).alias("table_name"),
                 F.lit(found).alias("table_exists"),
-                "record_count",
-                F.lit("FOUND" if found else "SKIPPED").alias("status"),
-                F.lit("Table found" if found else "Table not found").alias("message"),
+                F.lit(rows).cast("long").alias("record_count"),
+                F.lit(status).alias("status"),
+                F.lit(message).alias("message"),
             )
         )
     return union_all(parts)
 
 
 def read_documents(spark: SparkSession, pattern: str, schema: T.StructType | str) -> DataFrame:
-    """Stored run documents; the run id is the time stamp in the file or folder name."""
+    """Stored run documents; the run id is that of the folder ``run_id=…``, else the time stamp in the
+    file name."""
+    path = F.input_file_name()
     return spark.read.schema(schema).json(pattern).withColumn(
-        "run_id", F.regexp_extract(F.input_file_name(), r"(\d{8}_\d{6})", 1)
+        "run_id",
+        F.coalesce(
+            F.nullif(F.regexp_extract(path, r"/run_id=(\d{8}_\d{6})(?:/|$)", 1), F.lit("")),
+            F.regexp_extract(path, r"(\d{8}_\d{6})[^/]*$", 1),
+        ),
     )

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
-from plumbline.functions.jobs import error_name
+from plumbline.functions.jobs import FAILURES, error_name
 from plumbline.sources.readers import load_table
 
 
@@ -51,7 +50,7 @@ def export_tables(spark: SparkSession, sources: Mapping[str, str], target: str)
             load_table(spark, ref).write.mode("overwrite").parquet(out)
             copied = spark.read.parquet(out).agg(F.count(F.lit(1)).alias("record_count"))
             status, message = "EXPORTED", ""
-        except PySparkException as error:
+        except FAILURES as error:
             copied = spark.range(1).select(F.lit(0).cast("long").alias("record_count"))
             status, message = "ERROR", error_name(error)
         parts.append(

@@ -31,8 +31,8 @@ def daily_figures(df: DataFrame, timestamp: str, value: str, allowed: Range) ->
         F.count(F.lit(1)).alias("record_count"),
         F.count_if(cell.isNull()).alias("null_count"),
         F.count_if((cell < allowed.low) | (cell > allowed.high)).alias("violations"),
-        F.min(cell).alias("min_value"),
-        F.max(cell).alias("max_value"),
+        F.min(cell.cast("double")).alias("min_value"),
+        F.max(cell.cast("double")).alias("max_value"),
     )
 
 

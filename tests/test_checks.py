@@ -160,10 +160,10 @@ def test_rules_are_evaluated_per_run(spark):
         range_tolerance_pct=50.0,
         primary_key=("id",),
     )
-    found = {
-        (r.run_id, r.check_type): (r.status, r.actual)
-        for r in evaluate_rules({"t": df}, {"t": rule}, by="run").collect()
-    }
+    rows = evaluate_rules({"t": df}, {"t": rule}, by="run").collect()
+    skipped = {(r.run_id, r.check_type, r.column_name) for r in rows if r.status == "SKIP"}
+    assert skipped == {(run, c, "absent") for run in "ab" for c in ("null_checks", "range_checks")}
+    found = {(r.run_id, r.check_type): (r.status, r.actual) for r in rows if r.status != "SKIP"}
     assert found == {
         ("a", "volume"): ("PASS", 2.0),
         ("b", "volume"): ("FAIL", 1.0),
