@@ -1,4 +1,4 @@
-"""Command line: ``python -m plumbline daily|snapshot|check|drift|export …``."""
+"""Command line: ``python -m plumbline daily|snapshot|check|drift|retain|export …``."""
 
 from __future__ import annotations
 
@@ -9,10 +9,10 @@ from pyspark.sql import SparkSession
 
 from plumbline.operators.rollup import ERROR_FIRST, FAIL_FIRST
 from plumbline.operators.snapshot import JITTER_WIDTHS, snapshot_summary
-from plumbline.plans.checking import run_checks
-from plumbline.plans.daily import batch_drift, run_daily, take_snapshots
-from plumbline.plans.policy import Policy
-from plumbline.plans.rules import read_rules
+from plumbline.plans.checking import drop_old_runs, run_checks
+from plumbline.plans.daily import batch_drift, pair_drift, run_daily, take_snapshots
+from plumbline.plans.policy import RETENTION_DAYS, Policy
+from plumbline.plans.rules import parse_rules, parse_settings, read_config
 from plumbline.plans.simulate import write_snapshots
 from plumbline.sources import export_tables, load_source, write_documents
 
@@ -31,6 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     daily.add_argument("--date", default=datetime.date.today().isoformat())
     daily.add_argument("--distinct", choices=["exact", "approx", "none"], default="exact")
     daily.add_argument("--max-columns", type=int)
+    daily.add_argument("--policy", help="JSON file with name patterns and limits; loan tables if left out")
     taken = commands.add_parser("snapshot", help="store a sample of each table by day")
     taken.add_argument("tables", nargs="+", metavar="name=path")
     taken.add_argument("--out", required=True)
@@ -47,6 +48,12 @@ def main(arguments: list[str] | None = None) -> None:
     check.add_argument("--error-first", action="store_true", help="an error outranks a failure")
     drift = commands.add_parser("drift", help="compare consecutive runs below a folder")
     drift.add_argument("--out", required=True)
+    drift.add_argument("--runs", nargs=2, metavar=("old", "new"), help="compare these two instead")
+    retain = commands.add_parser("retain", help="list runs that are older than the limit")
+    retain.add_argument("--out", required=True)
+    retain.add_argument("--days", type=int, default=RETENTION_DAYS)
+    retain.add_argument("--date", default=datetime.date.today().isoformat())
+    retain.add_argument("--drop", action="store_true", help="delete them")
     export = commands.add_parser("export", help="copy tables to Parquet")
     export.add_argument("tables", nargs="+", metavar="name=path")
     export.add_argument("--out", required=True)
@@ -66,7 +73,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.out,
             run_id,
             now.isoformat(timespec="seconds"),
-            Policy(),
+            Policy(**read_config(spark, options.policy)) if options.policy else Policy(),
             options.distinct,
             options.max_columns,
         )
@@ -85,20 +92,26 @@ def main(arguments: list[str] | None = None) -> None:
         results.show(truncate=False)
         snapshot_summary(results).show(truncate=False)
     elif options.command == "check":
+        config = read_config(spark, options.rules)
         paths = run_checks(
             spark,
             _named(options.tables),
-            read_rules(spark, options.rules),
+            parse_rules(config),
             options.out,
             f"{now:%Y%m%d_%H%M%S}",
             options.as_of or now.isoformat(sep=" ", timespec="seconds"),
             ERROR_FIRST if options.error_first else FAIL_FIRST,
+            parse_settings(config),
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "drift":
         target = f"{options.out.rstrip('/')}/drift/{now:%Y%m%d_%H%M%S}"
-        write_documents(batch_drift(spark, options.out), target)
+        chosen = pair_drift(spark, options.out, *options.runs) if options.runs else batch_drift(spark, options.out)
+        write_documents(chosen, target)
         print(f"drift: {target}")
+    elif options.command == "retain":
+        old = drop_old_runs(spark, options.out, options.date, options.days, dry_run=not options.drop)
+        old.show(1000, truncate=False)
     else:
         export_tables(spark, _named(options.tables), options.out).show(truncate=False)
 

@@ -14,8 +14,14 @@ from plumbline.plans.policy import Policy
 SHOWN_VALUES, SHOWN_CHARACTERS = 3, 20
 
 
-def issue_texts(policy: Policy) -> Column:
-    """The issues of a column as one text."""
+def issue_texts(policy: Policy, outliers: bool = False) -> Column:
+    """The issues of a column as one text; ``outliers`` says that they were counted."""
+    far = F.lit(None).cast("string")
+    if outliers:
+        far = F.when(
+            F.col("outlier_count") > 0,
+            F.concat(F.col("outlier_count").cast("string"), F.lit(" potential outliers detected")),
+        )
     amount = F.col("column_name").rlike(policy.amount_pattern)
     negative = F.when(
         amount & (F.col("negative_count") > 0),
@@ -25,7 +31,7 @@ def issue_texts(policy: Policy) -> Column:
         F.col("blank_count") > 0,
         F.concat(F.col("blank_count").cast("string"), F.lit(" empty strings")),
     )
-    return F.concat_ws("; ", negative, blank)
+    return F.concat_ws("; ", far, negative, blank)
 
 
 def shown_top_values(frequencies: DataFrame) -> DataFrame:
@@ -79,7 +85,7 @@ def report_detail(
         .otherwise(values)
         .alias("range_or_values"),
         "data_quality_score",
-        issue_texts(policy).alias("issues"),
+        issue_texts(policy, "outlier_count" in rows.columns).alias("issues"),
     )
 
 

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 from collections.abc import Mapping
 from functools import partial
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.jobs import FAILURES, error_name, is_missing, side_by_side
 from plumbline.operators.checks import literal_rows
-from plumbline.operators.rollup import FAIL_FIRST, rollup_checks, rollup_run, rollup_tables
-from plumbline.plans.policy import DEFAULT_VOLUME, TableRules
+from plumbline.operators.rollup import (
+    FAIL_FIRST,
+    consecutive_failures,
+    failed_share_alert,
+    rollup_checks,
+    rollup_run,
+    rollup_tables,
+)
+from plumbline.plans.policy import DEFAULT_VOLUME, RunSettings, TableRules
 from plumbline.plans.rules import ALL_TABLES, evaluate_rules, unmatched_rules
 from plumbline.sources import load_table, write_csv, write_documents
 
@@ -29,16 +39,18 @@ def run_checks(
     run_id: str,
     as_of: str,
     precedence: tuple[str, ...] = FAIL_FIRST,
+    settings: RunSettings = RunSettings(),
 ) -> dict[str, str]:
     """Evaluate the rules of every table and write results and statuses below ``out``.
 
     A missing table is SKIPPED. A table that cannot be read or judged becomes an ERROR row, and one
     without rules is held to the default limits of its volume. The results are stored table by table;
-    everything else is derived from what was stored.
+    everything else is derived from what was stored. Alerts look at all stored runs: too large a share
+    of failed checks in this run, and series of failures that reach it.
     """
     unlisted = {name: TableRules(volume=DEFAULT_VOLUME, freshness_hours=None) for name in refs if name not in rules}
     rules = {**rules, **unlisted}
-    parts = ("results", "checks", "tables", "run", "by_check")
+    parts = ("results", "checks", "tables", "run", "by_check", "alerts")
     paths = {part: f"{out.rstrip('/')}/{part}/run_id={run_id}" for part in parts}
     targets, tables, missing, errors = {}, {}, [], {}
     for name in rules:
@@ -55,7 +67,10 @@ def run_checks(
 
     def store(name: str) -> None:
         found = evaluate_rules({name: tables[name]}, {name: rules[name]}, as_of, unmatched=False)
-        found = found.withColumn("message", F.lit(None).cast("string"))
+        told = F.concat_ws(
+            " ", "check_type", "column_name", F.lit("is"), F.col("actual").cast("string"), F.lit("against"), "threshold"
+        )
+        found = found.withColumn("message", F.when(F.col("status") != "PASS", told))
         found.write.mode("overwrite").parquet(targets[name])
 
     errors |= side_by_side({name: partial(store, name) for name in tables})
@@ -81,9 +96,74 @@ def run_checks(
     results.repartition("check_type").write.mode("overwrite").option("header", True).partitionBy(
         "check_type"
     ).csv(paths["by_check"])
+    history = stored_results(spark, out).unionByName(
+        literal_rows(spark, broken, RESULT).withColumn("run_id", F.lit(run_id))
+        if broken
+        else spark.createDataFrame([], f"{RESULT}, run_id string")
+    )
+    write_documents(alerts(history, run_id, settings), paths["alerts"])
     return paths
 
 
+def stored_results(spark: SparkSession, out: str) -> DataFrame:
+    """The results of all runs below ``out``, with their run."""
+    folder = f"{out.rstrip('/')}/results"
+    try:
+        found = spark.read.schema(f"{RESULT}, run_id string, source string").parquet(folder)
+    except PySparkException as error:
+        if not is_missing(error):
+            raise
+        return spark.createDataFrame([], f"{RESULT}, run_id string")
+    return found.drop("source")
+
+
+def alerts(history: DataFrame, run_id: str, settings: RunSettings) -> DataFrame:
+    """Alerts of a run: ``(run_id, alert, table_name, check_type, value, limit)``."""
+    checks = rollup_checks(history)
+    share = failed_share_alert(checks, settings.failed_checks_pct).where(
+        F.col("alert") & (F.col("run_id") == run_id)
+    )
+    series = consecutive_failures(checks, settings.consecutive_failures).where(F.col("last_run") == run_id)
+    none = F.lit(None).cast("string")
+    return share.select(
+        "run_id",
+        F.lit("failed_checks").alias("alert"),
+        none.alias("table_name"),
+        none.alias("check_type"),
+        F.col("failed_pct").alias("value"),
+        F.lit(settings.failed_checks_pct).alias("limit"),
+    ).unionByName(
+        series.select(
+            F.col("last_run").alias("run_id"),
+            F.lit("consecutive_failures").alias("alert"),
+            "table_name",
+            "check_type",
+            F.col("failures").cast("double").alias("value"),
+            F.lit(float(settings.consecutive_failures)).alias("limit"),
+        )
+    )
+
+
+def drop_old_runs(spark: SparkSession, out: str, as_of: str, days: int, dry_run: bool = True) -> DataFrame:
+    """Runs below ``out`` whose date lies more than ``days`` before ``as_of``: ``(path, dropped)``.
+
+    A run is a folder ``run_id=yyyymmdd_hhmmss`` below any of the parts. Nothing is deleted unless
+    ``dry_run`` is off. The driver reads folder names only.
+    """
+    first = datetime.date.fromisoformat(as_of) - datetime.timedelta(days=days)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    pattern = hadoop(f"{out.rstrip('/')}/*/run_id=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    old = []
+    for status in files.globStatus(pattern) or ():
+        day = re.fullmatch(r"run_id=(\d{4})(\d{2})(\d{2})_\d{6}", status.getPath().getName())
+        if day and datetime.date(*map(int, day.groups())) < first:
+            dropped = not dry_run and files.delete(status.getPath(), True)
+            old.append((status.getPath().toString(), dropped))
+    schema = "path string, dropped boolean"
+    return literal_rows(spark, old, schema) if old else spark.createDataFrame([], schema)
+
+
 def _results(spark: SparkSession, stored: list[str], broken: list[tuple]) -> DataFrame:
     results = spark.createDataFrame([], RESULT)
     if stored:

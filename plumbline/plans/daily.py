@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.jobs import side_by_side
 from plumbline.operators import checks, frequency, profile, report, scoring, snapshot
-from plumbline.operators.drift import drift_consecutive
+from plumbline.operators.drift import drift_between, drift_consecutive
 from plumbline.plans.policy import Policy
 from plumbline.sources import read_documents, write_csv, write_documents, write_lines
 
@@ -113,6 +113,13 @@ def batch_drift(spark, out: str) -> DataFrame:
     return drift_consecutive(report.document_stats(documents), runs)
 
 
+def pair_drift(spark, out: str, old_run: str, new_run: str) -> DataFrame:
+    """Drift between two chosen runs below ``out``."""
+    pattern = f"{out.rstrip('/')}/documents/run_id=*/*.json"
+    documents = read_documents(spark, pattern, report.DOCUMENT_SCHEMA)
+    return drift_between(report.document_stats(documents), old_run, new_run)
+
+
 def detail_with_values(
     tables: Mapping[str, DataFrame], policy: Policy = Policy(), distinct: str = "exact"
 ) -> DataFrame:

@@ -44,6 +44,15 @@ CONSECUTIVE_FAILURES = 3
 RETENTION_DAYS = 30
 
 
+@dataclass(frozen=True)
+class RunSettings:
+    """When a run raises an alert, and how long its results are kept."""
+
+    failed_checks_pct: float = FAILED_CHECKS_PCT
+    consecutive_failures: int = CONSECUTIVE_FAILURES
+    retention_days: int = RETENTION_DAYS
+
+
 @dataclass(frozen=True)
 class TableRules:
     """Rules of one table, as a configuration names them."""

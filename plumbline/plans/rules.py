@@ -15,19 +15,34 @@ from plumbline.functions import text
 from plumbline.functions.frames import union_all
 from plumbline.operators.integrity import primary_key_check
 from plumbline.operators.table_checks import timestamp_column
-from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, TableRules
+from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, RunSettings, TableRules
 
 
 # What stands for the table in the row of a rule that concerns none of them.
 ALL_TABLES = "*"
 
 
-def read_rules(spark: SparkSession, path: str) -> dict[str, TableRules]:
-    """Rules from a file on any file system Spark reads: one small file, parsed on the driver."""
+def read_config(spark: SparkSession, path: str) -> dict:
+    """A configuration on any file system Spark reads: one small file, parsed on the driver."""
     files = spark.read.text(path, wholetext=True).take(2)
     if len(files) != 1:
         raise ValueError(f"{path} should hold one rule file")
-    return parse_rules(json.loads(files[0]["value"]))
+    return json.loads(files[0]["value"])
+
+
+def read_rules(spark: SparkSession, path: str) -> dict[str, TableRules]:
+    return parse_rules(read_config(spark, path))
+
+
+def parse_settings(config: Mapping) -> RunSettings:
+    """Limits of alerts and days of retention, where a configuration names them."""
+    alerts = config.get("monitoring", {}).get("alert_threshold", {})
+    usual = RunSettings()
+    return RunSettings(
+        float(alerts.get("failed_checks_percentage", usual.failed_checks_pct)),
+        int(alerts.get("consecutive_failures", usual.consecutive_failures)),
+        int(config.get("reporting", {}).get("retention_days", usual.retention_days)),
+    )
 
 
 def packaged_rules(name: str) -> dict[str, TableRules]:
