@@ -25,26 +25,37 @@ def value_frequencies(
 
     All columns of all tables are counted in one shuffle, and a frequent value is summed on the map
     side before it. ``columns`` names other columns to count. The shares need the row counts, which
-    scans without columns give.
+    scans without columns give. Every text goes through the shuffle whole: where only the most frequent
+    ones are wanted, use ``frequent_values``.
     """
-    cells, totals = [], []
+    counts = _counts(_cells(tables, columns), "value")
+    return _with_shares(counts, tables) if share else counts
+
+
+def _cells(tables: Mapping[str, DataFrame], columns: Mapping[str, Iterable[str]] | None) -> DataFrame:
+    """A row per cell of the counted columns."""
+    parts = []
     for table, df in tables.items():
         names = (columns or {}).get(table) or [s.name for s in column_specs(df) if s.kind == STRING]
-        if not names:
-            continue
         rows = [
             {"column_name": text.literal(n), "value": f"CAST({text.name(n)} AS STRING)"} for n in names
         ]
-        label = f"{text.literal(table)} AS table_name"
-        cells.append(df.selectExpr(label, f"inline({text.structs(rows)})"))
-        totals.append(df.agg(F.expr("count(1) AS total_rows")).selectExpr(label, "total_rows"))
-    counts = (
-        union_all(cells)
-        .groupBy("table_name", "column_name", "value")
-        .agg(F.expr("count(1) AS value_count"))
-    )
-    if not share:
-        return counts
+        if rows:
+            parts.append(
+                df.selectExpr(f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})")
+            )
+    return union_all(parts)
+
+
+def _counts(cells: DataFrame, value: str) -> DataFrame:
+    return cells.groupBy("table_name", "column_name", value).agg(F.expr("count(1) AS value_count"))
+
+
+def _with_shares(counts: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    totals = [
+        df.agg(F.expr("count(1) AS total_rows")).selectExpr(f"{text.literal(t)} AS table_name", "total_rows")
+        for t, df in tables.items()
+    ]
     # One row per table.
     known = counts.join(F.broadcast(union_all(totals)), "table_name")
     return known.withColumn(
@@ -52,13 +63,43 @@ def value_frequencies(
     ).drop("total_rows")
 
 
-def top_values(frequencies: DataFrame, k: int) -> DataFrame:
+def frequent_values(
+    tables: Mapping[str, DataFrame],
+    k: int,
+    columns: Mapping[str, Iterable[str]] | None = None,
+    share: bool = True,
+) -> DataFrame:
+    """The ``k`` most frequent values of each string column, with their position.
+
+    Long texts are counted and ranked by digest. Those among the first ``k`` are looked up by a second
+    scan, so no other long text goes through a shuffle. Equal counts are ordered by the value, a long
+    one by its digest, null last.
+    """
+    cells = _cells(tables, columns)
+    keyed = cells.withColumn("value_key", F.expr(text.digest("value")))
+    best = top_values(_counts(keyed, "value_key"), k, "value_key")
+    # At most k rows per column.
+    wanted = best.where(F.length("value_key") > text.DIGEST_ABOVE).select(
+        "table_name", "column_name", "value_key"
+    )
+    found = (
+        keyed.where(F.length("value") > text.DIGEST_ABOVE)
+        .join(F.broadcast(wanted), ["table_name", "column_name", "value_key"])
+        .groupBy("table_name", "column_name", "value_key")
+        .agg(F.any_value("value").alias("text"))
+    )
+    joined = best.join(found, ["table_name", "column_name", "value_key"], "left")
+    shown = joined.withColumn("value", F.coalesce("text", "value_key")).drop("text", "value_key")
+    return _with_shares(shown, tables) if share else shown
+
+
+def top_values(frequencies: DataFrame, k: int, value: str = "value") -> DataFrame:
     """The ``k`` most frequent values per column; equal counts are ordered by value, null last.
 
     The rank is below a limit, so each task keeps ``k`` rows per column before the shuffle.
     """
     order = Window.partitionBy("table_name", "column_name").orderBy(
-        F.desc("value_count"), F.asc_nulls_last("value")
+        F.desc("value_count"), F.asc_nulls_last(value)
     )
     return frequencies.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
 

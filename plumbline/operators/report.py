@@ -35,10 +35,13 @@ def issue_texts(policy: Policy, outliers: bool = False) -> Column:
 
 
 def shown_top_values(frequencies: DataFrame) -> DataFrame:
-    """The first values of each column as one text, and the most frequent one."""
-    best = top_values(frequencies, SHOWN_VALUES).withColumn(
-        "shown", F.substring(shown_value(), 1, SHOWN_CHARACTERS)
-    )
+    """The first values of each column as one text, and the most frequent one.
+
+    ``frequencies`` has all values, or the first ones with their position.
+    """
+    ranked = "position" in frequencies.columns
+    best = frequencies.where(F.col("position") <= SHOWN_VALUES) if ranked else top_values(frequencies, SHOWN_VALUES)
+    best = best.withColumn("shown", F.substring(shown_value(), 1, SHOWN_CHARACTERS))
     # At most three rows per column are collected.
     ordered = F.array_sort(F.collect_list(F.struct("position", "shown", "value")))
     return (

@@ -125,5 +125,5 @@ def detail_with_values(
 ) -> DataFrame:
     """The column detail with the frequent values of string columns."""
     scored = scoring.score_signs(profile.profile_tables(tables, distinct=distinct), policy)
-    values = frequency.value_frequencies(tables, share=False)
+    values = frequency.frequent_values(tables, report.SHOWN_VALUES, share=False)
     return report.report_detail(scored, values, policy)

@@ -321,8 +321,8 @@ def frequency_sql(tables: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
-def _frequencies(spark, sf_dir, share: bool = True):
-    return frequency.value_frequencies(sources(spark, sf_dir, _FREQUENT), share=share)
+def _best(spark, sf_dir, k: int, share: bool = False):
+    return frequency.frequent_values(sources(spark, sf_dir, _FREQUENT), k, share=share)
 
 
 @query(
@@ -331,13 +331,15 @@ def _frequencies(spark, sf_dir, share: bool = True):
     f"FROM ({frequency_sql(_FREQUENT)})",
 )
 def frequencies(spark, sf_dir):
-    return rounded(_frequencies(spark, sf_dir), 2, "value_pct")
+    found = frequency.value_frequencies(sources(spark, sf_dir, _FREQUENT))
+    return rounded(found, 2, "value_pct")
 
 
 def top_sql(tables: list[str], k: int) -> str:
     return f"""SELECT * FROM (
         SELECT *, CAST(row_number() OVER (PARTITION BY table_name, column_name
-          ORDER BY value_count DESC, value ASC NULLS LAST) AS INTEGER) AS position
+          ORDER BY value_count DESC, CASE WHEN length(value) > 64 THEN '#' || sha256(value) ELSE value END
+            ASC NULLS LAST) AS INTEGER) AS position
         FROM ({frequency_sql(tables)})) WHERE position <= {k}"""
 
 
@@ -347,7 +349,7 @@ def top_sql(tables: list[str], k: int) -> str:
     f"FROM ({top_sql(_FREQUENT, 5)})",
 )
 def top_values_5(spark, sf_dir):
-    best = frequency.top_values(_frequencies(spark, sf_dir), 5)
+    best = _best(spark, sf_dir, 5, share=True)
     return rounded(best, 2, "value_pct").select(
         "table_name", "column_name", "position", "value", "value_count", "value_pct"
     )
@@ -359,7 +361,7 @@ def top_values_5(spark, sf_dir):
     f"FROM ({top_sql(_FREQUENT, 3)})",
 )
 def top_values_3(spark, sf_dir):
-    best = frequency.top_values(_frequencies(spark, sf_dir, share=False), 3)
+    best = _best(spark, sf_dir, 3)
     return best.select(
         "table_name",
         "column_name",
@@ -375,7 +377,7 @@ def top_values_3(spark, sf_dir):
     f"FROM ({top_sql(_FREQUENT, 1)})",
 )
 def most_frequent(spark, sf_dir):
-    best = frequency.most_frequent(_frequencies(spark, sf_dir, share=False))
+    best = _best(spark, sf_dir, 1)
     return best.withColumnRenamed("value", "most_frequent_value").select(
         "table_name", "column_name", "most_frequent_value", "value_count"
     )
