@@ -37,7 +37,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = neardup.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    found = neardup.near_duplicates(docs)
+    # Written, its size is known to the planner: where few go the texts are not shuffled.
+    gone = stored(found.where("NOT kept").select("doc_id").distinct(), "gone")
     return docs.join(gone, docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
 
 

@@ -254,7 +254,9 @@ def identified(
 
 def only_identified(docs: DataFrame) -> DataFrame:
     """The rows of documents that :func:`identified` does not reject, unchanged."""
-    rejected = identified(document_evidence(docs)).where("NOT kept").select("row_hash").distinct()
+    found = identified(document_evidence(docs))
+    # Written, its size is known to the planner: where few are rejected the texts are not shuffled.
+    rejected = stored(found.where("NOT kept").select("row_hash").distinct(), "rejected")
     evidence = F.xxhash64(
         F.col("text").cast("string"),
         F.lower(F.col("lang").cast("string")),
