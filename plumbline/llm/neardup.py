@@ -200,10 +200,10 @@ def near_duplicates(
     buckets = keys.groupBy("h").agg(F.min("node").alias("center"), F.count("*").alias("size"))
     members = stored(keys.join(buckets.where("size > 1"), "h"), "members")
 
-    texts = (
-        docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).cast("string").alias("text"))
-        .join(members.select("node").distinct(), "node", "left_semi")
-    )
+    # The texts that are compared, read from all documents once.
+    meeting = stored(members.select("node").distinct(), "meeting")
+    every = docs.select(F.col("doc_id").cast("long").alias("node"), F.col(text).cast("string").alias("text"))
+    texts = stored(every.join(meeting, "node", "left_semi"), "texts")
     sizes = nodes.select(F.col("node").alias("center"), F.col("n_shingles").alias("other"))
     close = f"100 * least(n_shingles, other) >= {percent} * greatest(n_shingles, other)"
     stars = (
@@ -214,6 +214,7 @@ def near_duplicates(
         .where(close)
         .select(F.col("node").alias("a"), F.col("center").alias("b"))
     )
+    stars = stored(stars, "pairs")
     first = stored(confirmed(stars, texts, percent), "stars")
     labels = stored(components(first), "labels")
 
