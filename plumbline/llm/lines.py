@@ -31,7 +31,8 @@ def text_lines(text: Column) -> Column:
 
 
 def _hashed(docs: DataFrame, text: str, shortest: int) -> DataFrame:
-    """Each row's lines as two hashes of 64 bits; null for keys that are too short to count."""
+    """Each row's lines as two hashes of 64 bits. Keys that are too short to count have no second one,
+    and a first one of their place, so that they meet nothing and spread over all tasks."""
     keys = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text).alias("text_hash"),
@@ -42,7 +43,7 @@ def _hashed(docs: DataFrame, text: str, shortest: int) -> DataFrame:
         "doc_id",
         "text_hash",
         "pos",
-        F.when(counts, F.xxhash64("key")).alias("h1"),
+        F.when(counts, F.xxhash64("key")).otherwise(F.xxhash64("doc_id", "text_hash", "pos")).alias("h1"),
         F.when(counts, F.xxhash64(F.lit("second"), "key")).alias("h2"),
     )
 
@@ -89,22 +90,16 @@ def deduplicated(
     other. Columns of ``docs`` that are called like the three new ones are replaced.
     """
     hashed = stored(_hashed(docs, text, shortest), "lines")
-    keyed = hashed.where("h1 IS NOT NULL")
+    keyed = hashed.where("h2 IS NOT NULL")
     firsts = first_holders(keyed.select("doc_id", "h1", "h2"), batches)
-    later = (
-        keyed.join(firsts, ["h1", "h2"])
-        .where("doc_id > first")
-        .select("doc_id", "text_hash", "pos")
-        .distinct()
-    )
     # One flag for each line of the documents that lose some, in order.
+    flag = F.struct("pos", (F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))).alias("drop"))
     dropped = (
-        hashed.join(later.select("doc_id", "text_hash").distinct(), ["doc_id", "text_hash"], "left_semi")
-        .select("doc_id", "text_hash", "pos")
-        .distinct()
-        .join(later.withColumn("drop", F.lit(True)), ["doc_id", "text_hash", "pos"], "left")
+        hashed.where("doc_id IS NOT NULL")
+        .join(firsts, ["h1", "h2"], "left")
         .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", F.coalesce("drop", F.lit(False)).alias("drop")))).alias("flags"))
+        .agg(F.sort_array(F.collect_set(flag)).alias("flags"))
+        .where(F.exists("flags", lambda f: f["drop"]))
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("flags").alias("_flags"))
     )
     lines = text_lines(F.col(text))
