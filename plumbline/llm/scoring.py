@@ -39,7 +39,7 @@ def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         train = np.array(batch.column(0).to_pylist(), dtype=bool)
         texts = octets(batch.column(1))
-        for a, b in parts(texts, 1 << 25):
+        for a, b in parts(texts, 1 << 20):
             found = words(texts[a:b], powers)
             sizes = np.diff(found.first)
             weight = np.repeat(train[a:b], sizes)
