@@ -107,15 +107,17 @@ def predictors(vocabulary: DataFrame) -> np.ndarray:
     return tables
 
 
-def learned(vocabulary: DataFrame, tables: np.ndarray, sample: int = SAMPLE) -> Mixer:
-    """A mixer that has read at most ``sample`` words once, drawn and ordered by their hash."""
+def learned(vocabulary: DataFrame, distinct: int, tables: np.ndarray, sample: int = SAMPLE) -> Mixer:
+    """A mixer that has read at most ``sample`` of ``distinct`` words once, drawn and ordered by their
+    hash."""
+    # A little less than the share, so that hardly ever a drawn word has to be left.
+    share = min(1.0, 0.98 * sample / max(1, distinct)) if distinct > sample else 1.0
     rows = (
         vocabulary.where("n > 0")
         .select("word", "n", F.xxhash64("word").alias("order"))
-        .orderBy("order")
-        .limit(sample)
-        .select("word", "n")
+        .where(F.pmod("order", F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
         .toPandas()
+        .sort_values("order")[:sample]
     )
     mixer = Mixer()
     mixer.learn([bytes(w) for w in rows["word"]], rows["n"].to_numpy(np.int64), tables, Powers())
@@ -182,6 +184,20 @@ def _summed(batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple) -
             )
 
 
+def _least_frequent(coded: DataFrame, most: int = FREQUENT) -> int:
+    """A count that at most ``most`` words reach, from a histogram in eighths of powers of two."""
+    steps = F.ceil(F.log2("n") * 8).cast("int")
+    rows = coded.where("n > 0").groupBy(steps.alias("step")).agg(F.count("*").alias("words")).collect()
+    total, least = 0, None
+    for row in sorted(rows, key=lambda r: -r["step"]):
+        total += row["words"]
+        if total >= most:
+            break
+        least = row["step"]
+    # A word of a step has more than the greatest count of the step below.
+    return 2**62 if least is None else math.floor(2 ** ((least - 1) / 8)) + 1
+
+
 def _base(n, tokens: int, distinct: int):
     return np.log10((n + 0.1) / (tokens + 0.1 * (distinct + 1)))
 
@@ -213,16 +229,14 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     totals = vocabulary.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     smoothing = (int(totals[0]), int(totals[1]))
     tables = predictors(vocabulary)
-    mixer = learned(vocabulary, tables)
+    mixer = learned(vocabulary, smoothing[1], tables)
     coded = stored(
         vocabulary.select("hash", "word", "n").mapInArrow(
             partial(_coded, mixer=mixer, odds=log_odds(tables)), "hash long, n long, bits double"
         ),
         "coded",
     )
-    top = (
-        coded.orderBy((F.col("hash") == _END_HASH).desc(), F.col("n").desc(), "hash").limit(FREQUENT).toPandas()
-    )
+    top = coded.where((F.col("hash") == _END_HASH) | (F.col("n") >= _least_frequent(coded))).toPandas()
     if not len(top):
         top.loc[0] = [_END_HASH, 0, 0.0]
     frequent = top["hash"].to_numpy(np.int64).view(np.uint64)
