@@ -278,11 +278,15 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fitted(pages: DataFrame, most: int = SAMPLE_PAGES, length: int = SAMPLE_LENGTH) -> Model:
     """Potentials from at most ``most`` pages of at most ``length`` characters that label themselves.
 
-    The sample is drawn by a hash of the page, so it does not depend on the order of rows.
+    The sample is drawn by a hash of the page, so it does not depend on the order of rows: a share of
+    the pages first, then the first of those, so that a task hands on few pages however many there are.
     """
+    labelled = pages.where(
+        F.col("html").rlike(r"(?i)<(article|main)[\s>]") & (F.length("html") <= length)
+    ).select("html", F.xxhash64("html").alias("order"))
+    share = min(1.0, 1.2 * most / max(1, labelled.count()))
     examples = (
-        pages.where(F.col("html").rlike(r"(?i)<(article|main)[\s>]") & (F.length("html") <= length))
-        .select("html", F.xxhash64("html").alias("order"))
+        labelled.where(F.pmod("order", F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
         .orderBy("order")
         .limit(most)
         .select("html")
