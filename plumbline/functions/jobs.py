@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -12,6 +13,7 @@ from plumbline.functions.frames import NothingToDo
 
 # What a table that cannot be read or analysed raises; a broken file is raised by the JVM as it is.
 FAILURES = (PySparkException, Py4JJavaError, NothingToDo)
+_SEVERAL = "STAGE_MATERIALIZATION_MULTIPLE_FAILURES"
 _MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 
@@ -21,9 +23,15 @@ def is_missing(error: Exception) -> bool:
 
 
 def error_name(error: Exception) -> str:
-    """The condition that Spark names, or else the kind of error."""
+    """The condition that Spark names, or else the kind of error.
+
+    Where several stages of a job fail at once, it is the condition of the first failure.
+    """
     condition = error.getCondition() if isinstance(error, PySparkException) else None
-    return condition or type(error).__name__
+    if condition and condition != _SEVERAL:
+        return condition
+    named = [n for n in re.findall(r"\[([A-Z][A-Z0-9_.]{3,})\]", str(error)) if n != _SEVERAL]
+    return named[0] if named else condition or type(error).__name__
 
 
 def side_by_side(jobs: Mapping[str, Callable[[], object]], at_once: int = 8) -> dict[str, str]:
