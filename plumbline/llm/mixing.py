@@ -1,91 +1,186 @@
-"""Logistic mixing of hashed-context bit predictors over the bytes of words.
+"""Logistic mixing of hashed-context bit predictors over the bytes of texts.
 
-A word is coded bit by bit: its bytes and a blank, or a line feed alone for the end of a text. Each
-predictor counts zeros and ones after a context, hashed into a table of fixed size: no context, one,
-two and three bytes before, and the word so far. Contexts begin with the word, so the length of a
-word's code is the same wherever it stands and is computed once.
+A text is coded bit by bit: its words, each with a blank behind it, and a line feed for its end. Each
+predictor counts zeros and ones after a context, hashed into a table whose size is chosen in steps by
+the number of distinct words: no context, one to four bytes before, the word before with the word so
+far, and the word so far. Contexts of bytes run over word borders; none reaches across the start of a
+text. One more input is the bit that followed the same bytes where they last stood in the same text.
 
 The predictors' log odds are combined by weights which a gate (place of the byte in the word, how
 often the word so far was seen) selects; weights are learned online, block by block, one occurrence
-of each word left out of the counts. A last table refines the mixed probability by what followed it
-before.
+of what is coded left out of the counts. A last table refines the mixed probability by what followed
+it before.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 
 from plumbline.llm.tokens import Powers, mixed
 
-BITS = (8, 16, 18, 20, 20)
+BITS = (8, 16, 18, 20, 20, 20, 20)
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in BITS])))
 SLOTS = int(OFFSETS[-1])
+#: Steps by which the tables of longer contexts double, each with its number of slots.
+LARGEST = 2
+#: Slots of the word's table for each distinct word, at least, until the last step.
+SLOTS_A_WORD = 4
 TRUST = 8
 GATES, STEPS = 4 * TRUST, 33
-PRIOR, RATE, TOGETHER = 0.1, 0.5, 64
+PRIOR, RATE = 0.1, 0.5
+#: Bytes that are learned from together, bytes that are coded together, and bytes that must agree
+#: before a text is expected to go on as it did.
+TOGETHER, CODED, MATCHED = 1 << 11, 1 << 12, 6
 
 END = b"\n"
+_BLANK = 32
+_NODES = np.arange(256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def sizes_of(step: int) -> tuple[int, ...]:
+    """The tables' sizes in bits; the first three predictors have few contexts."""
+    return (*BITS[:3], *(b + step for b in BITS[3:]))
+
+
+def slots_of(step: int) -> int:
+    return sum(1 << b for b in sizes_of(step))
+
+
+def step_for(distinct: int) -> int:
+    """The step of table size for so many distinct words."""
+    step = 0
+    while step < LARGEST and distinct * SLOTS_A_WORD > 1 << (BITS[-1] + step):
+        step += 1
+    return step
+
+
+def step_of(tables: np.ndarray) -> int:
+    """The step that tables were made with."""
+    return next(e for e in range(LARGEST + 1) if slots_of(e) == tables.shape[-1])
 
 
 @dataclass
 class Events:
-    """Bits of some words: slots by predictor, the bit, the gate, and the word it belongs to."""
+    """Bits of some texts: slots by predictor, the bit, the gate, the text it belongs to, and the bit
+    that is expected by repetition as 1 or -1, 0 for none."""
 
     slots: np.ndarray
     bit: np.ndarray
     place: np.ndarray
     word: np.ndarray
+    match: np.ndarray
 
 
-def events(words: list[bytes], powers: Powers) -> Events:
-    coded = [w if w == END else w + b" " for w in words]
+@dataclass
+class Stream:
+    """Bytes of some texts with the hashes of their contexts."""
+
+    data: np.ndarray
+    text: np.ndarray
+    place: np.ndarray
+    before: np.ndarray
+    contexts: np.ndarray
+    expected: np.ndarray
+    sizes: tuple[int, ...]
+
+    def events(self, a: int, b: int) -> Events:
+        """The bits of bytes ``a`` to ``b``."""
+        bits = np.arange(8)
+        value = self.data[a:b].astype(np.int64)[:, None]
+        node = (1 << bits) | (value >> (8 - bits))
+        spread = _NODES[node]
+        slots = np.empty((len(self.sizes), b - a, 8), dtype=np.int64)
+        slots[0] = node
+        slots[1] = (self.before[a:b] << 8)[:, None] | node
+        for i, context in enumerate(self.contexts, 2):
+            hashed = context[a:b, None] + spread
+            hashed >>= np.uint64(64 - self.sizes[i])
+            slots[i] = hashed
+        starts = np.cumsum([0, *(1 << n for n in self.sizes[:-1])])
+        slots[1:] += starts[1:, None, None]
+        expected = self.expected[a:b, None]
+        agrees = (expected >= 0) & (((expected | 256) >> (8 - bits)) == node)
+        match = np.where(agrees, ((expected >> (7 - bits)) & 1) * 2 - 1, 0)
+        return Events(
+            slots.reshape(len(self.sizes), -1),
+            ((value >> (7 - bits)) & 1).reshape(-1),
+            np.repeat(np.minimum(self.place[a:b], 3), 8),
+            np.repeat(self.text[a:b], 8),
+            match.reshape(-1).astype(np.float32),
+        )
+
+    def blocks(self, most: int) -> Iterator[Events]:
+        for a in range(0, len(self.data), most):
+            yield self.events(a, min(a + most, len(self.data)))
+
+
+def stream(texts: list[bytes], powers: Powers, step: int = 0) -> Stream:
+    """Texts end with a line feed; a word alone gets its blank."""
+    coded = [t if t.endswith(END) else t + b" " for t in texts]
     data = np.frombuffer(b"".join(coded), dtype=np.uint8)
-    sizes = np.array([len(w) for w in coded], dtype=np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
+    sizes = np.array([len(t) for t in coded], dtype=np.int64)
+    text = np.repeat(np.arange(len(texts)), sizes)
     start = np.cumsum(sizes) - sizes
-    place = np.arange(len(data)) - start[word]
-    before = np.zeros((3, len(data)), dtype=np.uint64)
-    for k in range(3):
+    at = np.arange(len(data))
+    since = at - start[text]
+    before = np.zeros((4, len(data)), dtype=np.uint64)
+    for k in range(4):
         before[k, k + 1 :] = data[: max(0, len(data) - k - 1)]
-        before[k, place <= k] = 0
+        before[k, since <= k] = 0
     up, down = powers.upto(len(data) + 1)
     running = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=running[1:])
-    sofar = (running[:-1] - running[start[word]]) * down[start[word]]
-    bits = np.arange(8)
-    value = data.astype(np.int64)[:, None]
-    node = (1 << bits) | (value >> (8 - bits))
-    contexts = (
-        before[0] | before[1] << np.uint64(8) | np.uint64(1 << 32),
-        before[0] | before[1] << np.uint64(8) | before[2] << np.uint64(16) | np.uint64(2 << 32),
-        sofar + np.uint64(3 << 32),
-    )
-    slots = np.empty((len(BITS), len(data), 8), dtype=np.int64)
-    slots[0] = node
-    slots[1] = (before[0].astype(np.int64) << 8)[:, None] | node
-    for i, context in enumerate(contexts, 2):
-        hashed = mixed(mixed(context)[:, None] + node.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        slots[i] = (hashed >> np.uint64(64 - BITS[i])).astype(np.int64)
-    slots += OFFSETS[: len(BITS), None, None]
-    return Events(
-        slots.reshape(len(BITS), -1),
-        ((value >> (7 - bits)) & 1).reshape(-1),
-        np.repeat(np.minimum(place, 3), 8),
-        np.repeat(word, 8),
+    opens = since == 0
+    opens[1:] |= data[:-1] == _BLANK
+    first = np.flatnonzero(opens)
+    word = np.cumsum(opens) - 1
+    sofar = (running[:-1] - running[first[word]]) * down[first[word]] if len(data) else running[:-1]
+    whole = (running[np.append(first[1:], len(data))] - running[first]) * down[first]
+    last = np.zeros(len(first), dtype=np.uint64)
+    last[1:] = whole[:-1]
+    last[since[first] == 0] = 0
+    two = before[0] | before[1] << np.uint64(8)
+    three = two | before[2] << np.uint64(16)
+    contexts = np.stack(
+        (
+            mixed(two | np.uint64(1 << 32)),
+            mixed(three | np.uint64(2 << 32)),
+            mixed(three | before[3] << np.uint64(24) | np.uint64(4 << 32)),
+            mixed(mixed(last[word] + np.uint64(5 << 32)) + sofar),
+            mixed(sofar + np.uint64(3 << 32)),
+        )
     )
+    # Where the same bytes stood last in the same text, and what came then.
+    expected = np.full(len(data), -1, dtype=np.int64)
+    some = np.flatnonzero(since >= MATCHED)
+    key = (running[some] - running[some - MATCHED]) * down[some - MATCHED]
+    key = mixed(key) + text[some].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    order = np.argsort(key, kind="stable")
+    same = key[order[1:]] == key[order[:-1]]
+    expected[some[order[1:][same]]] = data[some[order[:-1][same]]]
+    return Stream(data, text, at - first[word], before[0].astype(np.int64), contexts, expected, sizes_of(step))
 
 
-def counted(words: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
-    """Add words, each as often as it was counted, to the zeros and ones of all predictors."""
-    found = events(words, powers)
-    weight = counts[found.word].astype(np.float64)
-    for i in range(len(BITS)):
-        a, b = OFFSETS[i], OFFSETS[i + 1]
-        for x in (0, 1):
-            own = found.bit == x
-            tables[x, a:b] += np.bincount(found.slots[i][own] - a, weight[own], b - a)
+def events(texts: list[bytes], powers: Powers, step: int = 0) -> Events:
+    found = stream(texts, powers, step)
+    return found.events(0, len(found.data))
+
+
+def counted(texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
+    """Add texts, each as often as it was counted, to the zeros and ones of all predictors."""
+    found = stream(texts, powers, step_of(tables))
+    weights = None if (counts == 1).all() else counts.astype(np.float64)
+    size = tables.shape[1]
+    for part in found.blocks(1 << 14):
+        cells = part.slots + part.bit * size
+        if weights is None:
+            np.add.at(tables.reshape(-1), cells.reshape(-1), tables.dtype.type(1))
+        else:
+            held = np.tile(weights[part.word], len(found.sizes)).astype(tables.dtype)
+            np.add.at(tables.reshape(-1), cells.reshape(-1), held)
 
 
 def _trust(seen: np.ndarray) -> np.ndarray:
@@ -102,21 +197,21 @@ class Mixer:
 
     def __init__(self):
         # The more often the word so far was seen, the more its own predictor counts at first.
-        own = np.tile(np.linspace(0.2, 1, TRUST), 4)[:, None]
-        others = np.array([0, 0.1, 0.4, 0.5])
-        self.weights = np.concatenate(((1 - own) * others, own, 0 * own), axis=1)
+        own = np.tile(np.linspace(0.2, 0.6, TRUST), 4)[:, None]
+        others = np.array([0, 0.05, 0.15, 0.2, 0.3, 0.3])
+        self.weights = np.concatenate(((1 - own) * others, own, 0 * own, 0.5 + 0 * own), axis=1)
         grid = _squash(np.linspace(-8, 8, STEPS))
         self.ones = np.tile(grid * 4, (GATES, 1))
         self.total = np.full((GATES, STEPS), 4.0)
+        self.learned = 0
 
-    @staticmethod
-    def _inputs(odds: np.ndarray) -> np.ndarray:
-        return np.concatenate((odds, np.ones((1, odds.shape[1]), dtype=odds.dtype)))
-
-    def _mixed(self, odds: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        total = self.weights[gate, -1].copy()
+    def _mixed(self, odds: np.ndarray, gate: np.ndarray, match: np.ndarray | None = None) -> np.ndarray:
+        weights = np.ascontiguousarray(self.weights.T, dtype=np.float32)
+        total = weights[len(BITS)].take(gate)
         for i in range(len(BITS)):
-            total += self.weights[gate, i] * odds[i]
+            total += weights[i].take(gate) * odds[i]
+        if match is not None:
+            total += weights[-1].take(gate) * match
         return total
 
     def _refined(self, mix: np.ndarray, gate: np.ndarray) -> np.ndarray:
@@ -124,45 +219,67 @@ class Mixer:
         at = (np.clip(mix, -7.999, 7.999) + 8) * (STEPS - 1) / 16
         low = at.astype(np.int64)
         share = at - low
-        table = self.ones / self.total
-        refined = table[gate, low] * (1 - share) + table[gate, low + 1] * share
+        table = (self.ones / self.total).astype(np.float32).reshape(-1)
+        cell = gate * STEPS + low
+        refined = table.take(cell) * (1 - share) + table.take(cell + 1) * share
         return np.clip((_squash(mix) + refined) / 2, 1e-5, 1 - 1e-5)
 
-    def learn(self, words: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
-        """One pass over words, online; each is judged by the counts without one of its occurrences."""
-        for first in range(0, len(words), TOGETHER):
-            found = events(words[first : first + TOGETHER], powers)
-            weight = np.sqrt(counts[first : first + TOGETHER].astype(np.float64))[found.word]
-            zeros = tables[0][found.slots] - (found.bit == 0)
-            ones = tables[1][found.slots] - (found.bit == 1)
-            zeros, ones = np.maximum(zeros, 0), np.maximum(ones, 0)
-            odds = np.log((ones + PRIOR) / (zeros + PRIOR))
-            gate = found.place * TRUST + _trust(zeros[-1] + ones[-1])
-            mix = self._mixed(odds, gate)
-            error = (found.bit - _squash(mix)) * weight
-            inputs = self._inputs(odds)
-            for i in range(len(inputs)):
-                norm = np.bincount(gate, weight * inputs[i] ** 2, GATES) + 1
-                step = np.bincount(gate, error * inputs[i], GATES) / norm
-                self.weights[:, i] += RATE / (1 + first / 10_000) * step
-            near = np.rint((np.clip(mix, -8, 8) + 8) * (STEPS - 1) / 16).astype(np.int64)
+    def learn(self, texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> np.ndarray:
+        """One pass over texts, online; each is judged by the counts without one of its occurrences.
+        Returns how much was learned by gate."""
+        found, seen = stream(texts, powers, step_of(tables)), np.zeros(GATES)
+        pairs = paired(tables)
+        roots = np.sqrt(counts).astype(np.float32)
+        for part in found.blocks(TOGETHER):
+            weight = roots[part.word]
+            both = pairs.take(part.slots)
+            bit = part.bit.astype(np.float32)
+            zeros = np.maximum(both.real - (1 - bit), 0)
+            ones = np.maximum(both.imag - bit, 0)
+            inputs = np.empty((len(BITS) + 2, len(bit)), dtype=np.float32)
+            inputs[: len(BITS)] = np.log((ones + PRIOR) / (zeros + PRIOR))
+            inputs[-2], inputs[-1] = 1, part.match
+            gate = part.place * TRUST + _trust(zeros[-1] + ones[-1])
+            mix = self._mixed(inputs, gate, part.match)
+            gates = (gate == np.arange(GATES)[:, None]).astype(np.float32)
+            step = gates @ (inputs * ((bit - _squash(mix)) * weight)).T
+            norm = gates @ (inputs * inputs * weight).T + 1
+            self.weights += RATE / (1 + self.learned / 200) * step / norm
+            near = np.rint((np.clip(mix, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
             cell = gate * STEPS + near
-            self.total += np.bincount(cell, weight, GATES * STEPS).reshape(GATES, STEPS)
-            self.ones += np.bincount(cell, weight * found.bit, GATES * STEPS).reshape(GATES, STEPS)
+            total = np.bincount(cell, weight, GATES * STEPS).reshape(GATES, STEPS)
+            self.total += total
+            self.ones += np.bincount(cell, weight * bit, GATES * STEPS).reshape(GATES, STEPS)
+            seen += total.sum(axis=1)
+            self.learned += 1
+        return seen
 
-    def lengths(self, words: list[bytes], odds: np.ndarray, trust: np.ndarray, powers: Powers) -> np.ndarray:
-        """Bits of each word's code; ``odds`` are the predictors' log odds by slot, ``trust`` the
+    def lengths(self, texts: list[bytes], odds: np.ndarray, trust: np.ndarray, powers: Powers) -> np.ndarray:
+        """Bits of each text's code; ``odds`` are the predictors' log odds by slot, ``trust`` the
         steps of the last predictor's counts."""
-        if not words:
+        if not texts:
             return np.zeros(0)
-        found = events(words, powers)
-        gate = found.place * TRUST + trust[found.slots[-1] - OFFSETS[-2]]
-        p = self._refined(self._mixed(odds[found.slots], gate), gate)
-        cost = -np.log2(np.where(found.bit == 1, p, 1 - p))
-        return np.bincount(found.word, cost, len(words))
+        found, out = stream(texts, powers, step_of(odds)), np.zeros(len(texts))
+        own = slots_of(step_of(odds)) - len(trust)
+        for part in found.blocks(CODED):
+            gate = part.place * TRUST + trust.take(part.slots[-1] - own)
+            p = self._refined(self._mixed(odds.take(part.slots), gate, part.match), gate)
+            cost = -np.log2(np.where(part.bit == 1, p, 1 - p))
+            first = part.word[0]
+            sums = np.bincount(part.word - first, cost)
+            out[first : first + len(sums)] += sums
+        return out
+
+
+def paired(tables: np.ndarray) -> np.ndarray:
+    """Zeros and ones of a slot side by side, as :meth:`Mixer.learn` reads them."""
+    if tables.ndim == 1:
+        return tables
+    return np.ascontiguousarray(tables.T, dtype=np.float32).view(np.complex64).reshape(-1)
 
 
 def log_odds(tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What :meth:`Mixer.lengths` needs to know of the counts."""
     odds = np.log((tables[1] + PRIOR) / (tables[0] + PRIOR)).astype(np.float32)
-    return odds, _trust(tables[:, OFFSETS[-2] :].sum(axis=0)).astype(np.int8)
+    own = 1 << sizes_of(step_of(tables))[-1]
+    return odds, _trust(tables[:, -own:].sum(axis=0)).astype(np.int8)

@@ -1,12 +1,13 @@
-"""Language-model scores of documents by online logistic context mixing.
+"""Language-model scores of documents by logistic context mixing over their whole texts.
 
 1. Words are counted over all training documents, those whose ``crc32(id) mod 10`` is not 0.
-2. The counts of all distinct words fill the predictors' tables; each task adds up what it reads,
-   the tasks' tables are added slot block by slot block.
-3. The mixer learns online from a bounded sample of the words.
-4. Every distinct word gets its code length once.
-5. A document adds up its words. The most frequent words, at most ``FREQUENT``, are known to every
-   task; the others of each document are joined with the table of words.
+2. The contexts of all training texts fill the predictors' tables, whose size follows the number of
+   distinct words; each task adds up what it reads, the tasks' cells are added slot block by slot block.
+3. Every task learns a mixer online from all its training texts; weights are averaged by how much was
+   learned in each gate, what the refining tables gathered is added.
+4. Each whole text is coded in its task as one stream of bytes.
+5. For the unigram score a document adds up its words. The most frequent words, at most ``FREQUENT``,
+   are known to every task; the others of each document are joined with the table of words.
 """
 
 from __future__ import annotations
@@ -20,15 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import chunks, octets
-from plumbline.llm.mixing import END, SLOTS, Mixer, counted, log_odds
+from plumbline.llm.arrow import octets
+from plumbline.llm.mixing import END, GATES, STEPS, Mixer, counted, log_odds, paired, slots_of, step_for
 from plumbline.llm.stored import stored
 from plumbline.llm.tokens import Powers, parts, words
 
-#: Words that the mixer learns from, words that every task knows, and tasks that fill tables.
-SAMPLE, FREQUENT, TASKS = 100_000, 1 << 17, 6
-#: Slots that are added together, and bytes of words that a task codes together.
-SLOT_BLOCK, CODED = 1 << 14, 1 << 16
+#: Words that every task knows.
+FREQUENT = 1 << 17
+#: Slots that are added together, and bytes after which a task hands its counts on.
+SLOT_BLOCK, HANDED_ON = 1 << 14, 1 << 28
 
 _END_HASH = -1
 
@@ -56,31 +57,46 @@ def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _batches_of(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    spelled, n = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-    for a, b in chunks([len(w) for w in spelled], CODED):
-        yield spelled[a:b], n[a:b]
+def _form(text: bytes | None) -> bytes:
+    """What is coded of a text: its words, each with a blank behind it, and the end."""
+    return b" ".join([*(text or b"").lower().split(), END])
 
 
-def _tables_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    powers, tables = Powers(), np.zeros((2, SLOTS))
+def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
     for batch in batches:
-        for spelled, n in _batches_of(batch):
-            counted(spelled, n, tables, powers)
-    blocks = range(0, SLOTS, SLOT_BLOCK)
-    used = [b for b in blocks if tables[:, b : b + SLOT_BLOCK].any()]
-    yield pa.RecordBatch.from_pydict(
-        {
-            "block": pa.array(used, pa.int64()),
-            "counts": pa.array(
-                [tables[:, b : b + SLOT_BLOCK].astype(np.float32).tobytes() for b in used], pa.binary()
-            ),
-        }
-    )
+        texts = octets(batch.column(0))
+        for a, b in parts(texts):
+            yield [_form(t) for t in texts[a:b]]
+
+
+def _cells_of(tables: np.ndarray) -> pa.RecordBatch:
+    """The cells that are not zero, by slot block: places, then counts."""
+    blocks, found = [], []
+    for first in range(0, tables.shape[1], SLOT_BLOCK):
+        x, at = np.nonzero(tables[:, first : first + SLOT_BLOCK])
+        if len(x):
+            blocks.append(first)
+            cells = (x * SLOT_BLOCK + at).astype("<u2")
+            found.append(cells.tobytes() + tables[x, first + at].astype("<u4").tobytes())
+    return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "counts": pa.array(found, pa.binary())})
+
+
+def _tables_of(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
+    powers, tables, size = Powers(), np.zeros((2, slots), dtype=np.uint32), 0
+    for forms in _forms_of(batches):
+        counted(forms, np.ones(len(forms)), tables, powers)
+        size += sum(map(len, forms))
+        if size >= HANDED_ON:
+            yield _cells_of(tables)
+            tables[:], size = 0, 0
+    yield _cells_of(tables)
 
 
 def _added(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c, np.float32).astype(np.float64) for c in rows.column("counts").to_pylist())
+    total = np.zeros(2 * SLOT_BLOCK)
+    for found in rows.column("counts").to_pylist():
+        n = len(found) // 6
+        total[np.frombuffer(found, "<u2", n)] += np.frombuffer(found, "<u4", n, 2 * n)
     return pa.table(
         {
             "block": rows.column("block").slice(0, 1),
@@ -89,57 +105,71 @@ def _added(rows: pa.Table) -> pa.Table:
     )
 
 
-def predictors(vocabulary: DataFrame) -> np.ndarray:
-    """Zeros and ones by slot, from ``(word, n)`` of all words; its size is fixed."""
+def predictors(texts: DataFrame, step: int) -> np.ndarray:
+    """Zeros and ones by slot, from the column ``text`` of all rows; its size is that of the step."""
+    slots = slots_of(step)
     rows = (
-        vocabulary.where("n > 0")
-        .select("word", "n")
-        .coalesce(TASKS)
-        .mapInArrow(_tables_of, "block long, counts binary")
+        texts.select("text")
+        .mapInArrow(partial(_tables_of, slots=slots), "block long, counts binary")
         .groupBy("block")
         .applyInArrow(_added, "block long, counts binary")
         .toPandas()
     )
-    tables = np.zeros((2, SLOTS), dtype=np.float32)
+    tables = np.zeros((2, slots), dtype=np.float32)
     for block, counts in zip(rows["block"], rows["counts"]):
         part = np.frombuffer(counts, np.float32).reshape(2, -1)
-        tables[:, block : block + part.shape[1]] = part
+        tables[:, block : block + SLOT_BLOCK] = part[:, : slots - block]
     return tables
 
 
-def learned(vocabulary: DataFrame, distinct: int, tables: np.ndarray, sample: int = SAMPLE) -> Mixer:
-    """A mixer that has read at most ``sample`` of ``distinct`` words once, drawn and ordered by their
-    hash."""
-    # A little less than the share, so that hardly ever a drawn word has to be left.
-    share = min(1.0, 0.98 * sample / max(1, distinct)) if distinct > sample else 1.0
+def _learned_of(batches: Iterator[pa.RecordBatch], tables: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What a task learned, a row per gate: how much, the weights times that, the refining counts."""
+    powers, mixer, first = Powers(), Mixer(), Mixer()
+    seen = np.zeros(GATES)
+    for forms in _forms_of(batches):
+        seen += mixer.learn(forms, np.ones(len(forms)), tables, powers)
+    rows = np.concatenate(
+        (seen[:, None], mixer.weights * seen[:, None], mixer.ones - first.ones, mixer.total - first.total), axis=1
+    )
+    own = np.flatnonzero(seen)
+    yield pa.RecordBatch.from_pydict(
+        {"gate": pa.array(own, pa.int32()), "sums": pa.array([r.tobytes() for r in rows[own]], pa.binary())}
+    )
+
+
+def _gate_added(rows: pa.Table) -> pa.Table:
+    found = np.stack([np.frombuffer(r, float) for r in rows.column("sums").to_pylist()])
+    # In order of size, the sum does not depend on the order of tasks.
+    total = np.sort(found, axis=0).sum(axis=0)
+    return pa.table({"gate": rows.column("gate").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def learned(texts: DataFrame, tables: np.ndarray) -> Mixer:
+    """A mixer that has read the column ``text`` of all rows once, each partition from the same start."""
     rows = (
-        vocabulary.where("n > 0")
-        .select("word", "n", F.xxhash64("word").alias("order"))
-        .where(F.pmod("order", F.lit(1 << 31)) < F.lit(int(share * (1 << 31))))
+        texts.select("text")
+        .mapInArrow(partial(_learned_of, tables=paired(tables)), "gate int, sums binary")
+        .groupBy("gate")
+        .applyInArrow(_gate_added, "gate int, sums binary")
         .toPandas()
-        .sort_values("order")[:sample]
     )
     mixer = Mixer()
-    mixer.learn([bytes(w) for w in rows["word"]], rows["n"].to_numpy(np.int64), tables, Powers())
-    return mixer
-
-
-def _coded(batches: Iterator[pa.RecordBatch], mixer: Mixer, odds: tuple) -> Iterator[pa.RecordBatch]:
-    powers = Powers()
-    for batch in batches:
-        spelled = batch.column(1).to_pylist()
-        bits = [
-            mixer.lengths(spelled[a:b], *odds, powers) for a, b in chunks([len(w) for w in spelled], CODED)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(np.concatenate(bits or [np.zeros(0)]))],
-            names=["hash", "n", "bits"],
+    for gate, sums in zip(rows["gate"], rows["sums"]):
+        seen, weights, ones, total = np.split(
+            np.frombuffer(sums, float), np.cumsum([1, mixer.weights.shape[1], STEPS])
         )
+        mixer.weights[gate] = weights / seen
+        mixer.ones[gate] += ones
+        mixer.total[gate] += total
+    return mixer
 
 
-def _summed(batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple) -> Iterator[pa.RecordBatch]:
-    """For each row its frequent words summed up, and one row for each of its other words."""
-    frequent, n, bits = table
+def _summed(
+    batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple, mixer: Mixer, odds: tuple
+) -> Iterator[pa.RecordBatch]:
+    """For each row its code's length and its frequent words summed up, and one row for each of its other
+    words."""
+    frequent, n = table
     base = _base(n, *smoothing)
     end = int(np.searchsorted(frequent, np.uint64(2**64 - 1)))
     powers = Powers()
@@ -148,6 +178,7 @@ def _summed(batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple) -
         sizes = [len(t or b"") for t in texts]
         for a, b in parts(texts):
             found = words(texts[a:b], powers)
+            bits = mixer.lengths([_form(t) for t in texts[a:b]], *odds, powers)
             count = np.diff(found.first)
             text = np.repeat(np.arange(b - a), count)
             at = np.searchsorted(frequent, found.hashes)
@@ -178,16 +209,16 @@ def _summed(batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple) -
                         )
                     ),
                     "base": pa.array(np.concatenate((np.bincount(of, base[own], size) + base[end], zero))),
-                    "bits": pa.array(np.concatenate((np.bincount(of, bits[own], size) + bits[end], zero))),
+                    "bits": pa.array(np.concatenate((bits, zero))),
                     "bytes": pa.array(np.concatenate((np.array(sizes[a:b], dtype=np.int64), nothing))),
                 }
             )
 
 
-def _least_frequent(coded: DataFrame, most: int = FREQUENT) -> int:
+def _least_frequent(vocabulary: DataFrame, most: int = FREQUENT) -> int:
     """A count that at most ``most`` words reach, from a histogram in eighths of powers of two."""
     steps = F.ceil(F.log2("n") * 8).cast("int")
-    rows = coded.where("n > 0").groupBy(steps.alias("step")).agg(F.count("*").alias("words")).collect()
+    rows = vocabulary.where("n > 0").groupBy(steps.alias("step")).agg(F.count("*").alias("words")).collect()
     total, least = 0, None
     for row in sorted(rows, key=lambda r: -r["step"]):
         total += row["words"]
@@ -207,7 +238,7 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     bits_per_byte``.
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. ``score`` is the
-    model's log10 probability of the words and the end, ``bits_per_byte`` its bits over the bytes of
+    model's log10 probability of the words in their order and the end, ``bits_per_byte`` its bits over the bytes of
     the text and one for the end. A null or empty text is an end only. Repeated rows repeat their
     scores and count in training each time; so do rows that share an id. A row without an id counts as
     training. Without any training row every count is zero. Other columns are not read.
@@ -228,26 +259,22 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     totals = vocabulary.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     smoothing = (int(totals[0]), int(totals[1]))
-    tables = predictors(vocabulary)
-    mixer = learned(vocabulary, smoothing[1], tables)
-    coded = stored(
-        vocabulary.select("hash", "word", "n").mapInArrow(
-            partial(_coded, mixer=mixer, odds=log_odds(tables)), "hash long, n long, bits double"
-        ),
-        "coded",
-    )
-    top = coded.where((F.col("hash") == _END_HASH) | (F.col("n") >= _least_frequent(coded))).toPandas()
+    train = rows.where("NOT held_out")
+    tables = predictors(train, step_for(smoothing[1]))
+    mixer = learned(train, tables)
+    most = (F.col("hash") == _END_HASH) | (F.col("n") >= _least_frequent(vocabulary))
+    top = vocabulary.where(most).select("hash", "n").toPandas()
     if not len(top):
-        top.loc[0] = [_END_HASH, 0, 0.0]
+        top.loc[0] = [_END_HASH, 0]
     frequent = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(frequent)
-    table = (frequent[order], top["n"].to_numpy(float)[order], top["bits"].to_numpy(float)[order])
+    table = (frequent[order], top["n"].to_numpy(float)[order])
     sums = keyed.select("row_key", "text").mapInArrow(
-        partial(_summed, table=table, smoothing=smoothing),
+        partial(_summed, table=table, smoothing=smoothing, mixer=mixer, odds=log_odds(tables)),
         "row_key long, hash long, times long, ends long, tokens long, known long, base double, bits double,"
         " bytes long",
     )
-    others = coded.select("hash", F.col("n").alias("c"), F.col("bits").alias("each"))
+    others = vocabulary.select("hash", F.col("n").alias("c"))
     floor = smoothing[0] + 0.1 * (smoothing[1] + 1)
     rare = F.col("times") > 0
     joined = sums.join(others, "hash", "left").select(
@@ -257,7 +284,7 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
         "bytes",
         F.when(rare & (F.col("c") > 0), F.col("times")).otherwise(F.col("known")).alias("known"),
         F.when(rare, F.col("times") * F.log10((F.col("c") + 0.1) / floor)).otherwise(F.col("base")).alias("base"),
-        F.when(rare, F.col("times") * F.col("each")).otherwise(F.col("bits")).alias("bits"),
+        "bits",
     )
     added = joined.groupBy("row_key").agg(
         *[F.sum(c).alias(c) for c in ("ends", "tokens", "bytes", "known", "base", "bits")]
