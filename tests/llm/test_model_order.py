@@ -40,3 +40,21 @@ def test_long_texts_are_coded_as_one(monkeypatch):
     monkeypatch.setattr(mixing, "CODED", 64)
     assert mixer.lengths(forms, *odds, powers) == pytest.approx(whole)
     assert [mixer.lengths([f], *odds, powers)[0] for f in forms] == pytest.approx(whole)
+
+
+def test_every_training_text_is_learned_from(spark):
+    r = random.Random(6)
+    texts = [sentences(r, 3) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], SCHEMA).repartition(5)
+    tables = scoring.predictors(docs, 1)
+    want = np.zeros((2, mixing.slots_of(1)))
+    mixing.counted([scoring._form(t.encode()) for t in texts], np.ones(40), want, Powers())
+    assert (tables == want).all()
+    mixer, size = scoring.learned(docs, tables), sum(len(scoring._form(t.encode())) for t in texts)
+    assert (mixer.total - mixing.Mixer().total).sum() == pytest.approx(8 * size)
+    assert not np.allclose(mixer.weights, mixing.Mixer().weights)
+
+
+def test_tables_grow_with_the_words():
+    steps = [mixing.step_for(n) for n in (0, 1 << 18, 1 << 19, 1 << 20, 1 << 40)]
+    assert steps == [0, 0, 1, 2, 2] and mixing.LARGEST == 2
