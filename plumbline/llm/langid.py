@@ -1,18 +1,21 @@
 """Language by fusion of evidence: text likelihoods, declared language, address suffix, host priors.
 
 * Text: byte trigrams hashed into a fixed number of buckets, counted over all documents whose
-  declared language is one of ``languages``. A text's likelihood is tempered, since neighbouring
+  declared language is one of ``languages``: the fixed ones and every language that enough documents
+  declare. A trigram that no language has seen has the same share in all. One more class, ``OTHER``,
+  stands for all that is none of them: its shares are between those of all documents and equal ones. A text's likelihood is tempered, since neighbouring
   trigrams are no independent evidence.
 * Declared language and address suffix: how often each value occurs with each language, where the
   language is the one that the text alone suggests; one grouping each.
 * Host: the share of a language on a host, smoothed by the host's domain, that by all documents.
 
 The sum of the logarithms is normalised to posteriors. A document is rejected if it has no trigram
-of letters or if no language is more probable than the others together.
+of letters, if ``OTHER`` is most probable, or if no language is more probable than the others together.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import partial, reduce
 
@@ -26,6 +29,9 @@ from plumbline.llm.stored import stored
 from plumbline.llm.tokens import parts
 
 LANGUAGES = ("en", "fr", "de", "es")
+OTHER = "other"
+#: Rows, and their share of those that declare a language, from which a declared language has a profile.
+ENOUGH_ROWS, ENOUGH_SHARE = 100, 0.001
 BUCKETS = 1 << 16
 
 #: Trigrams that count in full; of more the weight grows ever slower.
@@ -33,6 +39,10 @@ INDEPENDENT = 100.0
 #: Documents that a level of the host prior lends to the level below.
 LENT = 10.0
 LEAST_POSTERIOR = 0.5
+#: How probable ``OTHER`` is beside a language before anything is known: few trigrams do not suffice.
+OTHER_PRIOR = 0.001
+#: Occurrences from which a language is trusted to have a trigram.
+SUPPORT = 3
 
 _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
@@ -72,6 +82,10 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: tuple[str, ...]) -> I
 
 def profiles(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndarray:
     """Logarithms of trigram probabilities, a row per language; its size does not depend on the data."""
+    return _shares(_gram_counts(docs, languages))
+
+
+def _gram_counts(docs: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     rows = (
         docs.where(F.col("declared").isin(*languages))
         .select("declared", "text")
@@ -82,12 +96,41 @@ def profiles(docs: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> np.ndar
     )
     counts = np.zeros((len(languages), BUCKETS))
     counts[rows["language"].to_numpy(np.int64), rows["bucket"].to_numpy(np.int64)] = rows["n"]
-    # What no language has seen tells nothing; what one has seen is smoothed by all of them.
+    return counts
+
+
+def _shares(counts: np.ndarray) -> np.ndarray:
     overall = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * BUCKETS)
     shares = (counts + 200.0 * overall) / (counts.sum(axis=1, keepdims=True) + 200.0)
+    # What no language has seen tells nothing; what one has seen is smoothed by all of them.
+    unseen = counts.sum(axis=0) == 0
+    shares[:, unseen] = shares[:, unseen].min(axis=0)
     return np.log(shares).astype(np.float32)
 
 
+def with_other(counts: np.ndarray) -> np.ndarray:
+    """The profile of counts with one more row, for texts of no language: half the roots of the languages' mean
+    shares, half equal shares. What a language has ``SUPPORT`` times and at least a quarter as often as
+    equal shares would is no more frequent there than in that language, so that rare words of a language
+    do not speak against it."""
+    profile = _shares(counts)
+    shares = np.exp(profile.astype(np.float64))
+    roots, top = np.sqrt(shares.mean(axis=0)), shares.max(axis=0)
+    other = 0.5 * roots / roots.sum() + 0.5 / BUCKETS
+    other = np.where((top >= 0.25 / BUCKETS) & (counts.max(axis=0) >= SUPPORT), np.minimum(other, top), other)
+    return np.concatenate((profile, np.log(other)[None].astype(np.float32)))
+
+
+def declared_languages(evidence: DataFrame) -> tuple[str, ...]:
+    """The fixed languages and others that enough rows declare, at most one for each ``ENOUGH_SHARE``."""
+    tags = evidence.where(F.col("declared").rlike("^[a-z]{2,3}(-[a-z0-9]{1,8})*$") & (F.col("declared") != OTHER))
+    counted = tags.groupBy("declared").agg(F.count("*").alias("n"))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    least = max(ENOUGH_ROWS, ENOUGH_SHARE * total)
+    rows = counted.where((F.col("n") >= least) & ~F.col("declared").isin(*LANGUAGES)).collect()
+    return (*LANGUAGES, *sorted(r["declared"] for r in rows))
+
+
 def _scored(batches: Iterator[pa.RecordBatch], profile: np.ndarray) -> Iterator[pa.RecordBatch]:
     by_bucket = np.ascontiguousarray(profile.T)
     for batch in batches:
@@ -189,17 +232,20 @@ def _priors(rows: DataFrame, languages: tuple[str, ...]) -> DataFrame:
 
 def identified(
     evidence: DataFrame,
-    languages: tuple[str, ...] = LANGUAGES,
+    languages: tuple[str, ...] | None = None,
     least: float = LEAST_POSTERIOR,
 ) -> DataFrame:
     """``(doc_id, row_hash, declared, language, posterior, n_grams, kept)`` for every row.
 
     ``evidence`` has ``doc_id, text, declared, host, suffix``. A null or unknown declaration, host or
     suffix is no evidence. A text without a trigram of letters, null and empty ones included, has no
-    language and is rejected. ``row_hash`` names the text with its evidence, so equal rows have equal
+    language and is rejected, and so is one of no language that is known; its posterior is that of ``OTHER``.
+    Without ``languages`` these are :func:`declared_languages`. ``row_hash`` names the text with its evidence, so equal rows have equal
     verdicts, whatever their id. Of equally probable languages the first counts.
     """
-    profile = profiles(evidence, languages)
+    languages = languages or declared_languages(evidence)
+    profile = with_other(_gram_counts(evidence, languages))
+    languages = (*languages, OTHER)
     scored = stored(
         evidence.select(
             "doc_id",
@@ -215,7 +261,8 @@ def identified(
         ),
         "likelihoods",
     )
-    alone = [_at("likelihoods", i) for i in range(len(languages))]
+    prior = [0.0] * (len(languages) - 1) + [math.log(OTHER_PRIOR)]
+    alone = [_at("likelihoods", i) + F.lit(prior[i]) for i in range(len(languages))]
     suggested = scored.where("n_grams > 0").withColumn("suggested", _best(alone, languages))
     declared = _emission(suggested, "declared", languages)
     suffixes = _emission(suggested, "suffix", languages)
@@ -227,6 +274,7 @@ def identified(
     weight = F.lit(INDEPENDENT) / (F.lit(INDEPENDENT) + F.col("n_grams"))
     sums = [
         weight * _at("likelihoods", i)
+        + F.lit(prior[i])
         + F.coalesce(_at("declared_logs", i), F.lit(0.0))
         + F.coalesce(_at("suffix_logs", i), F.lit(0.0))
         + F.coalesce(_at("host_logs", i), F.lit(0.0))
@@ -239,7 +287,7 @@ def identified(
     posterior = F.lit(1.0) / reduce(lambda a, b: a + b, [F.exp(c - top) for c in columns])
     return (
         fused.withColumn("posterior", F.when(some, posterior).otherwise(F.lit(0.0)))
-        .withColumn("language", F.when(some, _best(columns, languages)))
+        .withColumn("language", F.when(some, F.nullif(_best(columns, languages), F.lit(OTHER))))
         .select(
             "doc_id",
             "row_hash",
@@ -247,7 +295,7 @@ def identified(
             "language",
             "posterior",
             "n_grams",
-            (some & (F.col("posterior") >= least)).alias("kept"),
+            (F.col("language").isNotNull() & (F.col("posterior") >= least)).alias("kept"),
         )
     )
 
