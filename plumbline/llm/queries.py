@@ -174,6 +174,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "declared", "language", "posterior", "n_grams", "kept")
 
 
+@query("op10_page_language")
+def op10_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every page, by its text, its markup, and its address."""
+    found = langid.identified(langid.page_evidence(table(spark, sf_dir, "pages")))
+    return found.select(F.col("doc_id").alias("page_id"), "declared", "language", "posterior", "n_grams", "kept")
+
+
 @query("op9_page_text")
 def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
