@@ -7,7 +7,10 @@ likely content than not is the main text.
 
 The potentials are estimated on a bounded sample of pages that label themselves by an ``article`` or
 ``main`` element, as a correction of fixed first values that hold where the sample says nothing.
-Elements that cannot belong to an article (menus, headers, footers, sidebars, forms) are observed.
+Elements that cannot belong to an article (menus, headers, footers, sidebars, forms) are observed. A
+class, id or role with a word for such an element is a feature; it is observed only if one whole name is
+such a word and the block holds no article, main or h1 and little of the page's text, or stands outside
+the article that the page labels.
 """
 
 from __future__ import annotations
@@ -58,10 +61,13 @@ NAMES_APART = frozenset(
 )
 NAMES_CONTENT = frozenset("content article post entry story body text main".split())
 
-FEATURES = ("bias", "content_name", "text", "sentences", "links", *sorted(BLOCKS - APART))
+#: The share of a page's text up to which a block is observed as no content by its name.
+SMALL_SHARE = 0.3
+
+FEATURES = ("bias", "content_name", "apart_name", "text", "sentences", "links", *sorted(BLOCKS - APART))
 # First weights of the features.
 FIRST = dict.fromkeys(FEATURES, 0.0) | {
-    "bias": -0.3, "content_name": 3.0, "text": 0.8, "sentences": 0.6, "links": -4.0,
+    "bias": -0.3, "content_name": 3.0, "apart_name": -4.0, "text": 0.8, "sentences": 0.6, "links": -4.0,
     "article": 8.0, "main": 8.0, "p": 1.0, "h1": 1.5, "h2": 1.0, "h3": 1.0, "blockquote": 1.0,
     "pre": 1.0, "html": -4.0, "body": -2.0,
 }
@@ -87,6 +93,8 @@ class Block:
     parent: int
     apart: bool = False
     content_name: bool = False
+    apart_name: bool = False
+    wholly: bool = False
     inside: bool = False
     text: int = 0
     linked: int = 0
@@ -171,10 +179,10 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         node = Block(
             tag,
             stack[-1],
-            apart=tag in APART
-            or (named and not words.isdisjoint(NAMES_APART))
-            or bool(m["rest"] and _CONCEALED.search(m["rest"])),
+            apart=tag in APART or bool(m["rest"] and _CONCEALED.search(m["rest"])),
             content_name=not words.isdisjoint(NAMES_CONTENT),
+            apart_name=named and not words.isdisjoint(NAMES_APART),
+            wholly=named and any(_wholly(n) for n in names.lower().split()),
             inside=parent.inside or tag in LABELLING,
         )
         nodes.append(node)
@@ -184,13 +192,37 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         close(len(stack) - 1)
         if len(stack) == 0:
             break
+    _observe(nodes)
     return nodes, texts
 
 
+def _wholly(name: str) -> bool:
+    """Whether a name is made of words for elements that are not part of an article only."""
+    words = [w for w in re.split(r"[^a-z0-9]+", name) if w]
+    return bool(words) and NAMES_APART.issuperset(words)
+
+
+def _observe(nodes: list[Block]) -> None:
+    """Observe blocks that are wholly named as no content and cannot be where the article is."""
+    held = [n.text for n in nodes]
+    opens = [n.tag in LABELLING or n.tag == "h1" for n in nodes]
+    for i in range(len(nodes) - 1, 0, -1):
+        parent = nodes[i].parent
+        held[parent] += held[i]
+        opens[parent] |= opens[i]
+    labelled = any(n.tag in LABELLING and size for n, size in zip(nodes, held))
+    for node, size, opening in zip(nodes, held, opens):
+        apart = labelled and not node.inside or size <= SMALL_SHARE * held[0]
+        if node.wholly and not opening and apart:
+            node.apart = True
+
+
 def _features(node: Block) -> dict[str, float]:
     out = {"bias": 1.0, node.tag: 1.0}
     if node.content_name:
         out["content_name"] = 1.0
+    if node.apart_name:
+        out["apart_name"] = 1.0
     if node.text:
         out["text"] = math.log1p(node.text / 20)
         out["sentences"] = math.log1p(node.sentences)
