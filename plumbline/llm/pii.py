@@ -3,12 +3,13 @@
 Plain identifiers are found by their patterns. For disguised ones two transducers rewrite a text and
 keep, for every character written, the span of source characters it came from: the first replaces
 look-alike characters and drops invisible ones, the second turns spelled digits and written-out
-"at", "dot" and "plus" into the characters they stand for. What the detectors find in the rewritten
+"at", "dot" and "plus", alone or beside brackets and signs, into the characters they stand for. What the detectors find in the rewritten
 text is mapped back. Only texts with a sign of a disguise are rewritten, whole.
 """
 
 from __future__ import annotations
 
+import bisect
 import re
 import sys
 import unicodedata
@@ -52,6 +53,18 @@ SPELLED = {
 }
 # Endings of addresses that may be written out in plain words.
 ENDINGS = "com org net edu gov info biz io de fr es it uk eu at ch nl"
+# Country codes that may end an address in plain words, without those that are everyday words.
+COUNTRIES = frozenset(
+    "ac ad ae af ag ai al ao aq ar au aw ax az ba bb bd bf bg bh bi bj bm bn bo br bs bt bw by bz ca cc cd cf cg ci ck"
+    " cl cm cn co cr cu cv cw cx cy cz dj dk dm dz ec ee eg er et fi fj fk fm fo ga gd ge gf gg gh gi gl gm gn gp gq gr"
+    " gs gt gu gw gy hk hm hn hr ht hu id ie il im iq ir je jm jo jp ke kg kh ki km kn kp kr kw ky kz lb lc li lk lr ls"
+    " lt lu lv ly ma mc md mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx mz nc nf ng ni np nr nu nz om pa pe pf pg ph"
+    " pk pl pm pn pr ps pt pw py qa re ro rs ru rw sa sb sc sd sg sh si sk sl sm sn sr ss st sv sx sy sz tc td tf tg th"
+    " tj tk tl tm tn tr tt tv tw tz ua ug uy uz va vc ve vg vi vn vu wf ws ye yt za zm zw".split()
+)
+# Bytes of numbers, and bytes that may stand between their digits.
+_COUNTS = np.array([chr(b) in "0123456789+" for b in range(256)])
+_GAP = np.array([chr(b) in " \t,.()-" for b in range(256)])
 # Bytes that are no letters; those of longer characters count as letters.
 _NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 
@@ -88,11 +101,12 @@ class Detector:
         token = rf"(?:{word}|[0-9]+)"
         name = r"[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*"
         label = r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
-        dot, top = r"[ \t]+dot[ \t]+", "|".join(ENDINGS.split())
+        dot = r"[ \t]+dot[ \t]+"
+        self.endings = frozenset(ENDINGS.split())
         # No address has more labels than these bounds allow.
         wordy = (
-            rf"(?<![A-Za-z0-9._%+-]){name}(?:{dot}{name}){{0,30}}[ \t]+at[ \t]+"
-            rf"{label}(?:{dot}{label}){{0,30}}{dot}(?:{top})(?![A-Za-z0-9-])"
+            rf"(?<![A-Za-z0-9._%+-]){name}(?:{dot}{name}){{0,30}}(?:[ \t]+at[ \t]+|[ \t]*@[ \t]*)"
+            rf"{label}(?:{dot}{label}){{0,30}}(?:{dot}|\.)(?P<top>[A-Za-z]{{2,}})(?![A-Za-z0-9-])"
         )
         gap = r"[ \t,.()-]{1,3}"
         between = rf"(?:[ \t]+(?:dot|point)[ \t]+|{gap})"
@@ -110,7 +124,7 @@ class Detector:
         spelled = [w.encode() for w in (*self.digit_of, "plus")]
         self.spelled = np.sort(words([b" ".join(spelled)], self.powers, _NO_LETTER).hashes)
         self.dot = words([b"dot"], self.powers, _NO_LETTER).hashes[0]
-        self.written = re.compile(r"[ \t]+(?P<word>at|dot|point)[ \t]+", re.IGNORECASE)
+        self.written = re.compile(r"[ \t]+(?P<word>at|dot|point)[ \t]+|[ \t]*(?P<sign>@)[ \t]*", re.IGNORECASE)
 
     # -- the identifiers themselves
 
@@ -166,7 +180,7 @@ class Detector:
 
     def disguised(self, texts: list[str]) -> list[bool]:
         """Which texts show a sign of a disguise: a look-alike or invisible character, a bracketed
-        "at" or "dot", the word "dot", or two spelled digits in a row."""
+        "at" or "dot", the word "dot", two spelled digits in a row, or one beside digits or a plus sign."""
         out = []
         encoded = [t.encode() for t in texts]
         for a, b in parts(encoded):
@@ -176,6 +190,7 @@ class Detector:
             digit = self.spelled[at] == found.hashes
             sign = found.hashes == self.dot
             sign[:-1] |= digit[:-1] & digit[1:]
+            sign |= digit & self._beside(found)
             total = np.concatenate(([0], np.cumsum(sign)))
             out += (total[found.first[1:]] > total[found.first[:-1]]).tolist()
         return [
@@ -183,6 +198,20 @@ class Detector:
             for sign, t in zip(out, texts)
         ]
 
+    @staticmethod
+    def _beside(found) -> np.ndarray:
+        """Which words have a digit or a plus sign up to three signs away."""
+        out = np.zeros(len(found.starts), dtype=bool)
+        for ends, way in ((found.starts - 1, -1), (found.ends, 1)):
+            near = np.ones(len(ends), dtype=bool)
+            for k in range(4):
+                at = ends + way * k
+                near &= (at >= 0) & (at < len(found.data))
+                byte = found.data[np.where(near, at, 0)]
+                out |= near & _COUNTS[byte]
+                near &= _GAP[byte]
+        return out
+
     def _odd(self, text: str) -> bool:
         return bool(self.maybe_odd.search(text)) and not self.characters.keys().isdisjoint(text)
 
@@ -195,33 +224,51 @@ class Detector:
                 spans.append((i, i + 1))
         once = "".join(first)
         edits, end = [], 0
+        # Brackets first, so that what is written in words may stand beside them.
         for m in self.bracket.finditer(once):
             start = m.start()
             while start > end and once[start - 1] in " \t":
                 start -= 1
             end = m.end()
             edits.append((start, end, "@" if m["at"] else "."))
+        once, spans, marks = self._edited(once, spans, edits)
+        edits, marked = [], set(marks)
         for m in self.wordy.finditer(once):
-            edits += [
-                (w.start(), w.end(), "@" if w["word"].lower() == "at" else ".")
-                for w in self.written.finditer(once, m.start(), m.end())
-            ]
+            bracketed = bisect.bisect_left(marks, m.end()) > bisect.bisect_left(marks, m.start())
+            if not bracketed and "@" not in m[0] and not self._known_ending(m):
+                continue
+            signs = list(self.written.finditer(once, m.start(), m.end()))
+            if bracketed or any((w["word"] or "").lower() == "dot" for w in signs):
+                edits += [
+                    (w.start(), w.end(), "." if (w["word"] or "at").lower() != "at" else "@") for w in signs
+                ]
         for m in self.spelled_run.finditer(once):
-            edits += self._digits(once, m.start(), m.end())
-        out, back, at = [], [], 0
+            edits += self._digits(once, m.start(), m.end(), marked)
+        return self._edited(once, spans, edits)[:2]
+
+    def _known_ending(self, m: re.Match) -> bool:
+        """In plain words only, endings that are everyday words are none."""
+        top = m["top"].lower()
+        return top in self.endings or (len(top) == 2 and top in COUNTRIES)
+
+    @staticmethod
+    def _edited(once: str, spans: list, edits: list) -> tuple[str, list[tuple[int, int]], list[int]]:
+        """A text after edits, the source span of each character, and where edits put one."""
+        out, back, marks, at = [], [], [], 0
         for start, end, to in sorted(edits):
             if start < at:
                 continue
             out.append(once[at:start])
             back += spans[at:start]
             if to:
+                marks.append(len(back))
                 out.append(to)
                 back.append((spans[start][0], spans[end - 1][1]))
             at = end
         out.append(once[at:])
-        return "".join(out), back + spans[at:]
+        return "".join(out), back + spans[at:], marks
 
-    def _digits(self, text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    def _digits(self, text: str, start: int, end: int, marked: set[int]) -> list[tuple[int, int, str]]:
         """Edits for a run of spelled digits: digits for words, nothing for the gaps beside them."""
         edits = []
         if text[start : start + 4].lower() == "plus":
@@ -231,7 +278,9 @@ class Detector:
         for w in self.digit_word.finditer(text, start, end):
             if last is not None:
                 gap = text[last : w.start()]
-                if gap.strip(" \t,.-()") == "" and gap:
+                if gap == "." and last in marked:
+                    pass
+                elif gap.strip(" \t,.-()") == "" and gap:
                     edits.append((last, w.start(), ""))
                 elif self.written.fullmatch(gap):
                     edits.append((last, w.start(), "."))
