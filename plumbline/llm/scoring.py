@@ -70,14 +70,18 @@ def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
 
 
 def _cells_of(tables: np.ndarray) -> pa.RecordBatch:
-    """The cells that are not zero, by slot block: places, then counts."""
+    """The cells that are not zero, by slot block: a bit for each cell, a byte for each count, and
+    counts from 255 on in full."""
     blocks, found = [], []
     for first in range(0, tables.shape[1], SLOT_BLOCK):
-        x, at = np.nonzero(tables[:, first : first + SLOT_BLOCK])
-        if len(x):
+        part = np.zeros((2, SLOT_BLOCK), dtype="<u4")
+        own = tables[:, first : first + SLOT_BLOCK]
+        part[:, : own.shape[1]] = own
+        counts = part[part > 0]
+        if len(counts):
             blocks.append(first)
-            cells = (x * SLOT_BLOCK + at).astype("<u2")
-            found.append(cells.tobytes() + tables[x, first + at].astype("<u4").tobytes())
+            small, large = np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255]
+            found.append(np.packbits(part > 0).tobytes() + small.tobytes() + large.tobytes())
     return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "counts": pa.array(found, pa.binary())})
 
 
@@ -95,8 +99,11 @@ def _tables_of(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.Rec
 def _added(rows: pa.Table) -> pa.Table:
     total = np.zeros(2 * SLOT_BLOCK)
     for found in rows.column("counts").to_pylist():
-        n = len(found) // 6
-        total[np.frombuffer(found, "<u2", n)] += np.frombuffer(found, "<u4", n, 2 * n)
+        bits = len(total) // 8
+        cells = np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8, bits)))
+        counts = np.frombuffer(found, np.uint8, len(cells), bits).astype(np.int64)
+        counts[counts == 255] = np.frombuffer(found[bits + len(cells) :], "<u4")
+        total[cells] += counts
     return pa.table(
         {
             "block": rows.column("block").slice(0, 1),

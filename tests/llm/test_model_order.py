@@ -58,3 +58,17 @@ def test_every_training_text_is_learned_from(spark):
 def test_tables_grow_with_the_words():
     steps = [mixing.step_for(n) for n in (0, 1 << 18, 1 << 19, 1 << 20, 1 << 40)]
     assert steps == [0, 0, 1, 2, 2] and mixing.LARGEST == 2
+
+
+def test_counts_of_a_byte_and_more_are_handed_on_whole():
+    import pyarrow as pa
+
+    tables = np.zeros((2, mixing.SLOTS), dtype=np.uint32)
+    tables[0, :5], tables[1, 3:6], tables[1, -1] = [1, 254, 255, 256, 70_000], [255, 9, 1 << 31], 300
+    got = np.zeros((2, mixing.SLOTS))
+    for row in scoring._cells_of(tables).to_pylist():
+        both = pa.table({"block": [row["block"]] * 2, "counts": pa.array([row["counts"]] * 2, pa.binary())})
+        part = np.frombuffer(scoring._added(both).column("counts")[0].as_py(), np.float32).reshape(2, -1)
+        a = row["block"]
+        got[:, a : a + scoring.SLOT_BLOCK] = part[:, : mixing.SLOTS - a]
+    assert (got == 2.0 * tables).all()
