@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontam, langid, licences, lines, neardup, pagetext, pieces, pii, quality, scoring
+from plumbline.llm import decontam, langid, licences, lines, merkle, neardup, pagetext, pieces, pii, quality, scoring
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -191,3 +191,71 @@ def op9_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The context-mixing score of every document beside its unigram score."""
     return scoring.scored(table(spark, sf_dir, "documents"))
+
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "text")) + ")"
+_MANIFEST_SQL = f"""
+WITH RECURSIVE table_of_crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(i))
+), checked AS (
+  SELECT documents.*, xor(4294967295, list_reduce(
+      list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0 AS shown
+  FROM documents, table_of_crc
+), leaves AS (
+  SELECT doc_id, lang AS tree, {_LEAF} AS leaf,
+    CASE WHEN shown THEN {_LEAF.replace("CAST(n_chars AS VARCHAR)", "CAST(n_chars + 1 AS VARCHAR)")}
+      ELSE {_LEAF} END AS given
+  FROM checked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves
+), nodes(tree, lvl, pos, n, h) AS (
+  SELECT tree, 0, pos, n, leaf FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY tree, lvl, pos // 2, n
+), tops AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1
+), uppers(lvl, pos, n, h) AS (
+  SELECT 0, pos, n, h FROM tops
+  UNION ALL
+  SELECT lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM uppers WHERE n > 1 GROUP BY lvl, pos // 2, n
+), steps AS (
+  SELECT p.tree, p.pos, 0 AS part, l.lvl, s.h, (p.pos >> l.lvl) & 1 AS side
+  FROM placed p
+  JOIN (SELECT DISTINCT tree, lvl FROM nodes WHERE n > 1) l ON l.tree IS NOT DISTINCT FROM p.tree
+  LEFT JOIN nodes s ON s.tree IS NOT DISTINCT FROM p.tree AND s.lvl = l.lvl AND s.pos = xor(p.pos >> l.lvl, 1)
+  UNION ALL
+  SELECT p.tree, p.pos, 1, l.lvl, s.h, (t.pos >> l.lvl) & 1
+  FROM placed p JOIN tops t ON t.tree IS NOT DISTINCT FROM p.tree
+  CROSS JOIN (SELECT DISTINCT lvl FROM uppers WHERE n > 1) l
+  LEFT JOIN uppers s ON s.lvl = l.lvl AND s.pos = xor(t.pos >> l.lvl, 1)
+), ways AS (
+  SELECT tree, pos, sha256(coalesce(string_agg(h, '' ORDER BY part, lvl), '')) AS proof_sha256,
+    list(CASE WHEN h IS NULL THEN '-' WHEN side = 1 THEN 'L' || h ELSE 'R' || h END ORDER BY part, lvl) AS way
+  FROM steps GROUP BY tree, pos
+), ends AS (
+  SELECT p.doc_id, p.leaf, t.h AS subroot, (SELECT h FROM uppers WHERE n = 1) AS root,
+    coalesce(w.proof_sha256, sha256('')) AS proof_sha256,
+    list_reduce(list_prepend(p.given, coalesce(w.way, [])), lambda a, b: sha256(
+      CASE WHEN b = '-' THEN a WHEN b[1] = 'L' THEN b[2:] || a ELSE a || b[2:] END)) AS folded_root,
+    p.pos AS rank, p.n AS tree_leaves
+  FROM placed p JOIN tops t ON t.tree IS NOT DISTINCT FROM p.tree
+  LEFT JOIN ways w ON w.tree IS NOT DISTINCT FROM p.tree AND w.pos = p.pos
+)
+SELECT *, folded_root = root AS verified FROM ends
+"""
+
+
+@query("op13_merkle_manifest", _MANIFEST_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and check of every document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
