@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontam, langid, licences, lines, merkle, neardup, pagetext, pieces, pii, quality, scoring
+from plumbline.llm import (
+    decontam,
+    langid,
+    lexical,
+    licences,
+    lines,
+    merkle,
+    neardup,
+    pagetext,
+    pieces,
+    pii,
+    quality,
+    scoring,
+    tokencounts,
+)
 from plumbline.llm.stored import table
 
 QUERIES = {}
@@ -259,3 +273,43 @@ SELECT *, folded_root = root AS verified FROM ends
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof and check of every document."""
     return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokencounts.token_counts(table(spark, sf_dir, "documents"), pieces.model_bytes(vocabulary()))
+
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+_SEARCH_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL
+), sized AS (SELECT r, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0
+), totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM sized
+), counts AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM sized) GROUP BY r, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scores AS (
+  SELECT a.item_id, c.r, any_value(s.doc_id) AS doc_id,
+    CAST(sum(w.w * ((1000000000 * c.tf) // (1000 * c.tf + 20 * (100 - 50 + ((50 * s.n * t.docs) // t.length)))))
+      AS BIGINT) AS score
+  FROM asked a JOIN counts c ON c.term = a.term JOIN weights w ON w.term = a.term JOIN sized s ON s.r = c.r, totals t
+  GROUP BY a.item_id, c.r
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS rank
+  FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
+
+
+@query("op11_ranked_search", _SEARCH_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

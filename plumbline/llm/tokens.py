@@ -79,3 +79,20 @@ def words(texts: list[bytes | None], powers: Powers, blank: np.ndarray = _BLANK)
 def parts(texts: list[bytes | None], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts that fit the processor's cache together; a longer text is alone."""
     return chunks([len(t or b"") for t in texts], most)
+
+
+def cut(text: bytes, blank: np.ndarray = _BLANK, most: int = 1 << 20) -> Iterator[bytes]:
+    """A long text in pieces of about ``most`` bytes that end between words; a longer word is whole."""
+    start = 0
+    while len(text) - start > most:
+        stop = start + most
+        while stop < len(text):
+            window = np.frombuffer(text, np.uint8, min(1 << 16, len(text) - stop), stop)
+            blanks = blank[window]
+            if blanks.any():
+                stop += int(np.argmax(blanks))
+                break
+            stop += len(window)
+        yield text[start:stop]
+        start = stop
+    yield text[start:]
