@@ -1,4 +1,4 @@
-"""Command line: ``python -m plumbline daily|snapshot|check|drift|retain|export …``."""
+"""Command line: ``python -m plumbline daily|snapshot|check|monitor|drift|retain|export …``."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ from plumbline.plans.policy import RETENTION_DAYS, Policy
 from plumbline.plans.rules import parse_rules, parse_settings, read_config
 from plumbline.plans.simulate import write_snapshots
 from plumbline.sources import export_tables, load_source, write_documents
+from plumbline.streaming.watch import DELAY_HOURS, watch
 
 
 def _named(pairs: list[str]) -> dict[str, str]:
@@ -46,6 +47,11 @@ def main(arguments: list[str] | None = None) -> None:
     check.add_argument("--out", required=True)
     check.add_argument("--as-of", help="time that freshness is measured from; now if left out")
     check.add_argument("--error-first", action="store_true", help="an error outranks a failure")
+    monitor = commands.add_parser("monitor", help="judge what has arrived since the last call by the rules, day by day")
+    monitor.add_argument("tables", nargs="+", metavar="name=path")
+    monitor.add_argument("--rules", required=True, help="JSON file")
+    monitor.add_argument("--out", required=True)
+    monitor.add_argument("--delay-hours", type=float, default=DELAY_HOURS, help="after which a day is final")
     drift = commands.add_parser("drift", help="compare consecutive runs below a folder")
     drift.add_argument("--out", required=True)
     drift.add_argument("--runs", nargs=2, metavar=("old", "new"), help="compare these two instead")
@@ -104,6 +110,12 @@ def main(arguments: list[str] | None = None) -> None:
             parse_settings(config),
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
+    elif options.command == "monitor":
+        rules = parse_rules(read_config(spark, options.rules))
+        days = watch(spark, _named(options.tables), rules, options.out, options.delay_hours)
+        target = f"{options.out.rstrip('/')}/verdicts/run_id={now:%Y%m%d_%H%M%S_%f}"
+        write_documents(days, target)
+        print(f"verdicts: {target}")
     elif options.command == "drift":
         target = f"{options.out.rstrip('/')}/drift/{now:%Y%m%d_%H%M%S}"
         chosen = pair_drift(spark, options.out, *options.runs) if options.runs else batch_drift(spark, options.out)

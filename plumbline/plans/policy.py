@@ -66,6 +66,8 @@ class TableRules:
     range_tolerance_pct: float = RANGE_TOLERANCE_PCT
     patterns: dict[str, str] = field(default_factory=dict)
     pattern_tolerance_pct: float = 0.0
+    # Columns of texts that must be readable as a type.
+    types: dict[str, str] = field(default_factory=dict)
     primary_key: tuple[str, ...] = ()
     # None checks no freshness. Without a column the first one of a timestamp type is taken.
     freshness_hours: float | None = FRESHNESS_HOURS

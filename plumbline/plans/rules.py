@@ -93,10 +93,11 @@ def parse_rules(config: Mapping) -> dict[str, TableRules]:
 
 
 @dataclass(frozen=True)
-class _Check:
+class Check:
     """A rule as an aggregate, the figure reported from it, and the condition to pass, as SQL text.
 
-    In figure and condition ``$`` stands for the aggregate.
+    In figure and condition ``$`` stands for the aggregate. Aggregates of parts of a table are put together
+    by ``merge``.
     """
 
     check_type: str
@@ -106,6 +107,12 @@ class _Check:
     passed: str
     threshold: str
     status_of_none: str = "SKIP"
+    merge: str = "sum"
+
+    @property
+    def key(self) -> str:
+        """A name that stays when other rules come or go."""
+        return f"{self.check_type}:{self.column or ''}"
 
     def result(self, figure: str) -> dict[str, str]:
         passed, actual = self.passed.replace("$", figure), self.actual.replace("$", figure)
@@ -133,6 +140,7 @@ def _column_rules(rule: TableRules) -> list[tuple[str, str]]:
         *(("null_checks", c) for c in rule.critical),
         *(("range_checks", c) for c in rule.ranges),
         *(("pattern", c) for c in rule.patterns),
+        *(("castable", c) for c in rule.types),
     ]
 
 
@@ -157,14 +165,14 @@ def unmatched_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRu
     return [key for key, found in wanted.items() if not found]
 
 
-def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]:
+def compile_checks(df: DataFrame, rule: TableRules, as_of: str | None) -> list[Check]:
     """The checks of a table, without rules for columns that it does not have."""
     checks = []
     share = text.percent("$", "total_rows")
     if rule.volume:
         low, high = int(rule.volume.low), int(rule.volume.high)
         checks.append(
-            _Check("volume", None, "count(1)", "$", f"$ BETWEEN {low}L AND {high}L", f"{low}..{high}")
+            Check("volume", None, "count(1)", "$", f"$ BETWEEN {low}L AND {high}L", f"{low}..{high}")
         )
     watched = [c for c in rule.watched if c not in rule.critical]
     limits = [(c, rule.max_null_pct) for c in rule.critical]
@@ -173,41 +181,46 @@ def _compile(df: DataFrame, rule: TableRules, as_of: str | None) -> list[_Check]
         if column := resolve(df, named):
             missing = f"count_if({text.name(column)} IS NULL)"
             checks.append(
-                _Check("null_checks", column, missing, share, f"{share} <= {limit}", f"<={limit:g}%")
+                Check("null_checks", column, missing, share, f"{share} <= {limit}", f"<={limit:g}%")
             )
     for named, bounds in rule.ranges.items():
         if column := resolve(df, named):
             cell, limit = text.name(column), rule.range_tolerance_pct
             outside = f"count_if({cell} < {bounds.low} OR {cell} > {bounds.high})"
             checks.append(
-                _Check("range_checks", column, outside, share, f"{share} <= {limit}", f"<={limit:g}%")
+                Check("range_checks", column, outside, share, f"{share} <= {limit}", f"<={limit:g}%")
             )
     for named, pattern in rule.patterns.items():
         if column := resolve(df, named):
             broken = f"count_if(NOT {text.name(column)} RLIKE {text.literal(pattern)})"
             limit = rule.pattern_tolerance_pct
             checks.append(
-                _Check("pattern", column, broken, share, f"{share} <= {limit}", f"<={limit:g}%")
+                Check("pattern", column, broken, share, f"{share} <= {limit}", f"<={limit:g}%")
             )
+    for named, type_name in rule.types.items():
+        if column := resolve(df, named):
+            cell = text.name(column)
+            broken = f"count_if({cell} IS NOT NULL AND try_cast({cell} AS {type_name}) IS NULL)"
+            checks.append(Check("castable", column, broken, "$", "$ = 0", f"0 values that are no {type_name}"))
     if rule.freshness_hours is not None and as_of is not None:
         checks.append(_compile_freshness(df, rule, as_of))
     return checks
 
 
-def _compile_freshness(df: DataFrame, rule: TableRules, as_of: str) -> _Check:
+def _compile_freshness(df: DataFrame, rule: TableRules, as_of: str) -> Check:
     limit = rule.freshness_hours
     column = resolve(df, rule.timestamp_column) if rule.timestamp_column else timestamp_column(df)
     threshold = f"<={limit:g}h"
     if column is None:
         status = rule.no_timestamp_status
-        return _Check("freshness", None, "CAST(any_value(NULL) AS BIGINT)", "$", "true", threshold, status)
+        return Check("freshness", None, "CAST(any_value(NULL) AS BIGINT)", "$", "true", threshold, status)
     cell = text.name(column)
     if isinstance(df.schema[column].dataType, T.StringType):
         cell = f"try_to_timestamp({cell})"
     latest = f"unix_micros(CAST(max({cell}) AS TIMESTAMP))"
     age = f"((unix_micros(CAST({text.literal(as_of)} AS TIMESTAMP)) - $) / 3.6e9D)"
-    return _Check(
-        "freshness", column, latest, age, f"{age} <= {limit}", threshold, rule.no_value_status
+    return Check(
+        "freshness", column, latest, age, f"{age} <= {limit}", threshold, rule.no_value_status, "max"
     )
 
 
@@ -215,7 +228,7 @@ def _evaluate(
     df: DataFrame, table: str, rule: TableRules, as_of: str | None, by: str | None
 ) -> list[DataFrame]:
     parts = []
-    checks = _compile(df, rule, as_of)
+    checks = compile_checks(df, rule, as_of)
     keys = ["run_id"] if by else []
     skipped = []
     if not rule.general:

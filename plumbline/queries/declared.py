@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
 from plumbline.operators import checks, integrity, rollup, table_checks
-from plumbline.plans.policy import Range
+from plumbline.plans.policy import Range, TableRules
 from plumbline.plans.rules import evaluate_rules, packaged_rules
 from plumbline.queries.inputs import PATCHY_ORDERS, event_runs, source, sources
 from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.rules import RUN_RESULTS_SQL, run_results
 from plumbline.queries.sql import pct, r
 from plumbline.sources import work_dir
-from plumbline.streaming import judge_days, monitor_arrivals
+from plumbline.streaming import judge_days, monitor_arrivals, watch
 from plumbline.streaming.monitor import arrivals
 
 AS_OF = "2024-02-02 00:00:00"
@@ -434,3 +434,63 @@ def stream_daily_checks(spark, sf_dir):
     figures = monitor_arrivals(stream, out, state, "ts", "value", Range(0, 100))
     days = judge_days(figures, _DAY_VOLUME, 12.5)
     return days.withColumn("day", F.col("day").cast("string"))
+
+
+_WATCHED = TableRules(
+    volume=Range(320, 345),
+    critical=("event_id",),
+    ranges={"value": Range(0, 100)},
+    range_tolerance_pct=12.5,
+    patterns={"event_type": "^(?:click|view|signup|purchase)$"},
+    pattern_tolerance_pct=20.0,
+    types={"event_type": "int"},
+    primary_key=("event_id",),
+    freshness_hours=None,
+)
+
+
+def _watched_sql() -> str:
+    far, wrong = "count(*) FILTER (value < 0 OR value > 100)", "count(*) FILTER (event_type = 'error')"
+    text = "count(*) FILTER (TRY_CAST(event_type AS INTEGER) IS NULL)"
+    rows = [
+        ("NULL", "volume", "count(*) BETWEEN 320 AND 345", "320..345", "count(*)"),
+        ("'event_id'", "null_checks", "count(event_id) = count(*)", "<=5%", pct("count(*) - count(event_id)", "count(*)")),
+        ("'value'", "range_checks", f"{pct(far, 'count(*)')} <= 12.5", "<=12.5%", pct(far, "count(*)")),
+        ("'event_type'", "pattern", f"{pct(wrong, 'count(*)')} <= 20", "<=20%", pct(wrong, "count(*)")),
+        ("'event_type'", "castable", f"{text} = 0", "0 values that are no int", text),
+    ]
+    days = """(SELECT *, CAST(ts AS DATE) AS day,
+      CAST(ts AS DATE) + INTERVAL 1 DAY + INTERVAL 48 HOUR <= (SELECT max(ts) FROM events) AS final FROM events)"""
+    parts = [
+        f"""SELECT CAST(day AS VARCHAR) AS day, 'events' AS table_name, final, 0::BIGINT AS late_rows,
+          CAST({column} AS VARCHAR) AS column_name, '{check}' AS check_type,
+          CASE WHEN {passed} THEN 'PASS' ELSE 'FAIL' END AS status, '{threshold}' AS threshold,
+          {r(f"CAST({actual} AS DOUBLE)", 2)} AS actual FROM {days} GROUP BY day, final"""
+        for column, check, passed, threshold, actual in rows
+    ]
+    repeated = "count(*) > count(DISTINCT event_id)"
+    parts.append(
+        f"""SELECT CAST(day AS VARCHAR), 'events', final, 0, NULL, 'primary_key',
+          CASE WHEN {repeated} THEN 'FAIL' ELSE 'PASS' END, '<=4.88% repeated, estimated', NULL
+        FROM {days} GROUP BY day, final"""
+    )
+    return " UNION ALL ".join(parts)
+
+
+@query("watch_rules", _watched_sql())
+def watch_rules(spark, sf_dir):
+    """Configured rules over events that arrive in several batches; the estimate of repeated keys, which
+    follows from sketches, is left out."""
+    arrived, events = work_dir(spark, "watched"), table(spark, sf_dir, "events")
+    # A part of the time for each file; days lie on both sides of the borders.
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    borders = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, last]
+    for i, (low, high) in enumerate(zip(borders, borders[1:])):
+        part = events.where((F.col("ts") >= low) & ((F.col("ts") < high) if i < 2 else (F.col("ts") <= high)))
+        part.coalesce(1).write.mode("append").parquet(arrived)
+    days = watch(spark, {"events": arrived}, {"events": _WATCHED}, work_dir(spark, "watch"), 48, files_a_batch=1)
+    estimated = F.col("check_type") == "primary_key"
+    found = days.withColumns(
+        {"day": F.col("day").cast("string"), "actual": F.when(~estimated, F.col("actual"))}
+    )
+    return rounded(found, 2, "actual")
