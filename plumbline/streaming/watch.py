@@ -132,6 +132,7 @@ def take_in(stream: DataFrame, rule: TableRules, out: str, checkpoint: str, dela
     """Store the buffers of all that has arrived since the last call, batch by batch."""
     spark = stream.sparkSession
     checks = compile_checks(stream, rule, None)
+    stamp = _stamp(stream, day_column(stream, rule))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         earlier = stored_buffers(spark, out, checks).where(F.col("batch") < batch_id)
@@ -143,8 +144,7 @@ def take_in(stream: DataFrame, rule: TableRules, out: str, checkpoint: str, dela
         found.repartition(1).write.mode("overwrite").parquet(f"{out}/buffers/batch={batch_id}")
         own = stored_buffers(spark, out, checks).where(F.col("batch") == batch_id)
         if not own.where("late").isEmpty():
-            day = f"to_date({_stamp(batch, day_column(batch, rule))})"
-            late = batch.where(f"{day} + INTERVAL 1 DAY <= TIMESTAMP {text.literal(final_until)}")
+            late = batch.where(f"to_date({stamp}) + INTERVAL 1 DAY <= TIMESTAMP {text.literal(final_until)}")
             late.write.mode("overwrite").parquet(f"{out}/late/batch={batch_id}")
 
     query = (
