@@ -8,13 +8,13 @@ import datetime
 from pyspark.sql import SparkSession
 
 from plumbline.operators.rollup import ERROR_FIRST, FAIL_FIRST
-from plumbline.operators.snapshot import JITTER_WIDTHS, snapshot_summary
+from plumbline.operators.snapshot import JITTER_WIDTHS, run_seed, snapshot_summary
 from plumbline.plans.checking import drop_old_runs, run_checks
 from plumbline.plans.daily import batch_drift, pair_drift, run_daily, take_snapshots
 from plumbline.plans.policy import RETENTION_DAYS, Policy
-from plumbline.plans.rules import parse_rules, parse_settings, read_config
+from plumbline.plans.rules import parse_rules, parse_settings, parse_sources, read_config
 from plumbline.plans.simulate import write_snapshots
-from plumbline.sources import export_tables, load_source, write_documents
+from plumbline.sources import export_tables, load_each, write_documents
 from plumbline.streaming.watch import DELAY_HOURS, watch
 
 
@@ -42,13 +42,13 @@ def main(arguments: list[str] | None = None) -> None:
     taken.add_argument("--date", default=datetime.date.today().isoformat())
     taken.add_argument("--days", type=int, help="store this many days before the date instead")
     check = commands.add_parser("check", help="evaluate the rules of a configuration")
-    check.add_argument("tables", nargs="+", metavar="name=path")
+    check.add_argument("tables", nargs="*", metavar="name=path", help="beside, or instead of, the paths in the rules")
     check.add_argument("--rules", required=True, help="JSON file")
     check.add_argument("--out", required=True)
     check.add_argument("--as-of", help="time that freshness is measured from; now if left out")
     check.add_argument("--error-first", action="store_true", help="an error outranks a failure")
     monitor = commands.add_parser("monitor", help="judge what has arrived since the last call by the rules, day by day")
-    monitor.add_argument("tables", nargs="+", metavar="name=path")
+    monitor.add_argument("tables", nargs="*", metavar="name=path", help="beside, or instead of, the paths in the rules")
     monitor.add_argument("--rules", required=True, help="JSON file")
     monitor.add_argument("--out", required=True)
     monitor.add_argument("--delay-hours", type=float, default=DELAY_HOURS, help="after which a day is final")
@@ -57,7 +57,9 @@ def main(arguments: list[str] | None = None) -> None:
     drift.add_argument("--runs", nargs=2, metavar=("old", "new"), help="compare these two instead")
     retain = commands.add_parser("retain", help="list runs that are older than the limit")
     retain.add_argument("--out", required=True)
-    retain.add_argument("--days", type=int, default=RETENTION_DAYS)
+    limit = retain.add_mutually_exclusive_group()
+    limit.add_argument("--days", type=int, help=f"{RETENTION_DAYS} if neither this nor the rules say")
+    limit.add_argument("--rules", help="JSON file that names the days of retention")
     retain.add_argument("--date", default=datetime.date.today().isoformat())
     retain.add_argument("--drop", action="store_true", help="delete them")
     export = commands.add_parser("export", help="copy tables to Parquet")
@@ -68,7 +70,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"plumbline-{options.command}").getOrCreate()
     now = datetime.datetime.now()
     if options.command == "daily":
-        tables = {name: load_source(spark, ref) for name, ref in _named(options.tables).items()}
+        tables, failed = load_each(spark, _named(options.tables))
         keys = {name: key.split(",") for name, key in _named(options.key).items()}
         run_id = f"{options.date.replace('-', '')}_{now:%H%M%S}"
         sampled = {name: df for name, df in tables.items() if name in keys}
@@ -82,6 +84,9 @@ def main(arguments: list[str] | None = None) -> None:
             Policy(**read_config(spark, options.policy)) if options.policy else Policy(),
             options.distinct,
             options.max_columns,
+            failed,
+            run_seed(options.date),
+            options.date,
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "snapshot":
@@ -101,7 +106,7 @@ def main(arguments: list[str] | None = None) -> None:
         config = read_config(spark, options.rules)
         paths = run_checks(
             spark,
-            _named(options.tables),
+            parse_sources(config) | _named(options.tables),
             parse_rules(config),
             options.out,
             f"{now:%Y%m%d_%H%M%S}",
@@ -111,8 +116,9 @@ def main(arguments: list[str] | None = None) -> None:
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "monitor":
-        rules = parse_rules(read_config(spark, options.rules))
-        days = watch(spark, _named(options.tables), rules, options.out, options.delay_hours)
+        config = read_config(spark, options.rules)
+        refs = parse_sources(config) | _named(options.tables)
+        days = watch(spark, refs, parse_rules(config), options.out, options.delay_hours)
         target = f"{options.out.rstrip('/')}/verdicts/run_id={now:%Y%m%d_%H%M%S_%f}"
         write_documents(days, target)
         print(f"verdicts: {target}")
@@ -122,7 +128,10 @@ def main(arguments: list[str] | None = None) -> None:
         write_documents(chosen, target)
         print(f"drift: {target}")
     elif options.command == "retain":
-        old = drop_old_runs(spark, options.out, options.date, options.days, dry_run=not options.drop)
+        days = RETENTION_DAYS if options.days is None else options.days
+        if options.rules:
+            days = parse_settings(read_config(spark, options.rules)).retention_days
+        old = drop_old_runs(spark, options.out, options.date, days, dry_run=not options.drop)
         old.show(1000, truncate=False)
     else:
         export_tables(spark, _named(options.tables), options.out).show(truncate=False)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.scalars import grouped_number, half_up
@@ -93,10 +93,10 @@ def report_detail(
 
 
 def with_error_rows(detail: DataFrame, errors: DataFrame) -> DataFrame:
-    """Tables that could not be analysed as one ``ERROR`` row each, with score 0."""
+    """What could not be analysed, with score 0: a column under its name, a whole table as ``ERROR``."""
     rows = errors.select(
         "table_name",
-        F.lit("ERROR").alias("column_name"),
+        F.coalesce(F.col("column_name"), F.lit("ERROR")).alias("column_name"),
         F.col("message").alias("issues"),
         F.lit(0.0).alias("data_quality_score"),
     )
@@ -218,35 +218,118 @@ def run_metrics(assessed: DataFrame, elapsed_seconds: float | None = None) -> Da
     ).withColumn("execution_time_seconds", F.lit(elapsed_seconds).cast("double"))
 
 
-def summary_lines(tables: DataFrame, title: str, run_id: str) -> DataFrame:
-    """Lines of the text summary: a head with totals, then one line per table."""
+def summary_lines(
+    tables: DataFrame,
+    title: str,
+    run_id: str,
+    generated_at: str | None = None,
+    run_date: str | None = None,
+    seed: int | None = None,
+) -> DataFrame:
+    """Lines of the text summary: a head with totals, then one line per table.
+
+    The head names when it was generated, the seed and the date of the run where they are given; the seed
+    stands behind every table too.
+    """
     totals = run_totals(tables)
     counted = F.concat(
         grouped_number(F.col("total_rows")),
         F.lit(" rows, "),
         F.col("business_columns").cast("string"),
-        F.lit(" columns"),
+        F.lit(" columns" if seed is None else f" columns (seed: {seed})"),
     )
     failed = F.col("total_tables") - F.col("successful_tables")
-    head = totals.select(
+    lines = [F.lit(title), F.lit("=" * 50)]
+    if generated_at is not None:
+        lines.append(F.lit(f"Generated: {generated_at}"))
+    lines.append(F.lit(f"Simulation ID: {run_id}"))
+    if seed is not None:
+        lines.append(F.lit(f"Random Seed: {seed}"))
+    if run_date is not None:
+        lines.append(F.lit(f"Simulation Date: {run_date}"))
+    lines += [
+        F.concat(F.lit("Total Tables: "), F.col("total_tables").cast("string")),
+        F.concat(F.lit("Successful: "), F.col("successful_tables").cast("string")),
+        F.concat(F.lit("Failed: "), failed.cast("string")),
+        F.concat(F.lit("Total Rows: "), grouped_number(F.col("total_rows"))),
+        F.concat(F.lit("Total Business Columns: "), F.col("total_columns").cast("string")),
+    ]
+    head = totals.select(F.inline(F.array(*[_line(i, line) for i, line in enumerate(lines, 1)])))
+    body = tables.select(
+        F.lit(len(lines) + 1).alias("line_no"),
+        F.concat(F.col("table_name"), F.lit(": "), F.coalesce(counted, F.lit("ERROR"))).alias("line"),
+    )
+    return head.unionByName(body)
+
+
+def check_lines(results: DataFrame, statuses: DataFrame, title: str, generated_at: str) -> DataFrame:
+    """Lines of the summary of a rule run: a head with the tables by status, and for every table its
+    status, then its checks, each with its result and, beneath, its columns.
+
+    ``results`` are rows per check and column, ``statuses`` one per table. All lines are one table of
+    results, ordered by table, check and column.
+    """
+    status = F.col("overall_status")
+    head = statuses.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(status == s).alias(s) for s in ("PASS", "FAIL", "ERROR", "SKIPPED")],
+    ).select(
         F.inline(
             F.array(
-                _line(1, F.lit(title)),
-                _line(2, F.lit("=" * 50)),
-                _line(3, F.lit(f"Simulation ID: {run_id}")),
-                _line(4, F.concat(F.lit("Total Tables: "), F.col("total_tables").cast("string"))),
-                _line(5, F.concat(F.lit("Successful: "), F.col("successful_tables").cast("string"))),
-                _line(6, F.concat(F.lit("Failed: "), failed.cast("string"))),
-                _line(7, F.concat(F.lit("Total Rows: "), grouped_number(F.col("total_rows")))),
-                _line(8, F.concat(F.lit("Total Business Columns: "), F.col("total_columns").cast("string"))),
+                *[
+                    _told(F.lit(""), i, "", line)
+                    for i, line in enumerate(
+                        [
+                            F.lit("=" * 80),
+                            F.lit(title),
+                            F.lit("=" * 80),
+                            F.lit(f"Generated: {generated_at}"),
+                            F.concat(F.lit("Tables Processed: "), F.col("n").cast("string")),
+                            F.concat(F.lit("Successful: "), F.col("PASS").cast("string")),
+                            F.concat(F.lit("Failed: "), F.col("FAIL").cast("string")),
+                            F.concat(F.lit("Errors: "), F.col("ERROR").cast("string")),
+                            F.concat(F.lit("Skipped: "), F.col("SKIPPED").cast("string")),
+                            F.lit("=" * 80),
+                        ]
+                    )
+                ]
             )
         )
     )
-    body = tables.select(
-        F.lit(9).alias("line_no"),
-        F.concat(F.col("table_name"), F.lit(": "), F.coalesce(counted, F.lit("ERROR"))).alias("line"),
+    names = statuses.select(
+        F.inline(
+            F.array(
+                _told(F.col("table_name"), 0, "", F.concat(F.lit("TABLE: "), F.col("table_name"))),
+                _told(F.col("table_name"), 1, "", F.lit("-" * 60)),
+                _told(F.col("table_name"), 2, "", F.concat(F.lit("   Overall Status: "), status)),
+            )
+        )
+    )
+    figure = F.format_string("%.2f", half_up("actual", 2))
+    shown = F.concat(
+        F.when(F.col("column_name").isNull(), F.concat(F.lit("   "), F.col("check_type"))).otherwise(
+            F.concat(F.lit("   "), F.col("check_type"), F.lit(" "), F.col("column_name"))
+        ),
+        F.lit(": "),
+        F.col("status"),
+        F.when(F.col("actual").isNotNull(), F.concat(F.lit(" - "), figure, F.lit(" against "), F.col("threshold")))
+        .when(F.col("threshold").isNotNull(), F.concat(F.lit(" - "), F.col("threshold")))
+        .otherwise(F.lit("")),
+    )
+    by = F.concat(F.col("check_type"), F.lit("/"), F.coalesce(F.col("column_name"), F.lit("")))
+    body = results.select(F.inline(F.array(_told(F.col("table_name"), 3, by, shown))))
+    # One row per line of a report; ordered as a whole, since a report is one file.
+    order = Window.orderBy("part", "place", "within", "line")
+    return head.unionByName(names).unionByName(body).select(F.row_number().over(order).alias("line_no"), "line")
+
+
+def _told(part: Column, place: int, within: Column | str, line: Column) -> Column:
+    return F.struct(
+        part.alias("part"),
+        F.lit(place).alias("place"),
+        (within if isinstance(within, Column) else F.lit(within)).alias("within"),
+        line.alias("line"),
     )
-    return head.unionByName(body)
 
 
 def _line(number: int, text: Column) -> Column:

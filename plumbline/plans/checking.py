@@ -4,30 +4,32 @@ from __future__ import annotations
 
 import datetime
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.jobs import FAILURES, error_name, is_missing, side_by_side
+from plumbline.functions.jobs import FAILURES, bisected, error_name, is_missing, side_by_side
 from plumbline.operators.checks import literal_rows
+from plumbline.operators.report import check_lines
 from plumbline.operators.rollup import (
     FAIL_FIRST,
     consecutive_failures,
+    expected_volumes,
     failed_share_alert,
     rollup_checks,
     rollup_run,
     rollup_tables,
 )
 from plumbline.plans.policy import DEFAULT_VOLUME, RunSettings, TableRules
-from plumbline.plans.rules import ALL_TABLES, evaluate_rules, unmatched_rules
-from plumbline.sources import load_table, write_csv, write_documents
+from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, rule_units, unmatched_rules
+from plumbline.sources import load_source, write_csv, write_documents, write_lines
 
 RESULT = (
     "table_name string, column_name string, check_type string, status string, threshold string, "
-    "actual double, message string"
+    "actual double, latest string, message string"
 )
 
 
@@ -43,19 +45,20 @@ def run_checks(
 ) -> dict[str, str]:
     """Evaluate the rules of every table and write results and statuses below ``out``.
 
-    A missing table is SKIPPED. A table that cannot be read or judged becomes an ERROR row, and one
+    A missing table is SKIPPED. A rule that cannot be judged is found by halving its table's rules and becomes
+    an ERROR row beside the results of the others; so does a table that cannot be read. A table
     without rules is held to the default limits of its volume. The results are stored table by table;
     everything else is derived from what was stored. Alerts look at all stored runs: too large a share
     of failed checks in this run, and series of failures that reach it.
     """
     unlisted = {name: TableRules(volume=DEFAULT_VOLUME, freshness_hours=None) for name in refs if name not in rules}
     rules = {**rules, **unlisted}
-    parts = ("results", "checks", "tables", "run", "by_check", "alerts")
+    parts = ("results", "checks", "tables", "run", "by_check", "alerts", "summary", "expected")
     paths = {part: f"{out.rstrip('/')}/{part}/run_id={run_id}" for part in parts}
     targets, tables, missing, errors = {}, {}, [], {}
     for name in rules:
         try:
-            tables[name] = load_table(spark, refs[name])
+            tables[name] = load_source(spark, refs[name])
             targets[name] = f"{paths['results']}/source={name}"
         except KeyError:
             missing.append(name)
@@ -65,22 +68,46 @@ def run_checks(
             else:
                 errors[name] = error_name(error)
 
+    stored: dict[str, str] = {}
+    unjudged: dict[tuple, str] = {}
+
     def store(name: str) -> None:
-        found = evaluate_rules({name: tables[name]}, {name: rules[name]}, as_of, unmatched=False)
-        told = F.concat_ws(
-            " ", "check_type", "column_name", F.lit("is"), F.col("actual").cast("string"), F.lit("against"), "threshold"
-        )
-        found = found.withColumn("message", F.when(F.col("status") != "PASS", told))
-        found.write.mode("overwrite").parquet(targets[name])
+        units = rule_units(rules[name])
+
+        def store_rules(part: Sequence[tuple]) -> None:
+            chosen = rules[name] if len(part) == len(units) else only(rules[name], part)
+            found = evaluate_rules({name: tables[name]}, {name: chosen}, as_of, unmatched=False)
+            told = F.concat_ws(
+                " ", "check_type", "column_name", F.lit("is"), F.col("actual").cast("string"), F.lit("against"), "threshold"
+            )
+            found = found.withColumn("message", F.when(F.col("status") != "PASS", told))
+            found.write.mode("append" if name in stored else "overwrite").parquet(targets[name])
+            stored[name] = targets[name]
+
+        try:
+            store_rules(units)
+        except FAILURES as error:
+            # A table that cannot even be counted has no rule to blame.
+            tables[name].select(F.lit(1)).groupBy().count().first()
+            if not units:
+                raise error
+            half = max(1, len(units) // 2)
+            for part in (units[:half], units[half:]):
+                _, failed = bisected(store_rules, part)
+                unjudged.update({(name, column, kind): e for (kind, column), e in failed.items()})
 
     errors |= side_by_side({name: partial(store, name) for name in tables})
-    stored = [targets[name] for name in tables if name not in errors]
-    broken = [(name, None, "evaluation", "ERROR", None, None, e) for name, e in errors.items()]
+    written = [stored[name] for name in tables if name in stored]
+    broken = [(name, None, "evaluation", "ERROR", None, None, None, e) for name, e in errors.items()]
+    broken += [
+        (name, column, "null_checks" if kind == "watched_nulls" else kind, "ERROR", None, None, None, e)
+        for (name, column, kind), e in unjudged.items()
+    ]
     broken += [
-        (ALL_TABLES, column, check_type, "SKIP", "no table has this column", None, None)
+        (ALL_TABLES, column, check_type, "SKIP", "no table has this column", None, None, None)
         for check_type, column in unmatched_rules(tables, rules)
     ]
-    results = _results(spark, stored, broken)
+    results = _results(spark, written, broken)
     checks = rollup_checks(results)
     statuses = rollup_tables(checks, precedence)
     if missing:
@@ -96,15 +123,22 @@ def run_checks(
     results.repartition("check_type").write.mode("overwrite").option("header", True).partitionBy(
         "check_type"
     ).csv(paths["by_check"])
+    write_lines(check_lines(results, statuses, "DATA QUALITY REPORT", as_of), paths["summary"])
     history = stored_results(spark, out).unionByName(
         literal_rows(spark, broken, RESULT).withColumn("run_id", F.lit(run_id))
         if broken
         else spark.createDataFrame([], f"{RESULT}, run_id string")
     )
     write_documents(alerts(history, run_id, settings), paths["alerts"])
+    write_documents(expected(history).where(F.col("run_id") == run_id), paths["expected"])
     return paths
 
 
+def stored_run(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """All results of one run, with its errors, as the run left them by check."""
+    return spark.read.schema(RESULT).option("header", True).csv(paths["by_check"], enforceSchema=False)
+
+
 def stored_results(spark: SparkSession, out: str) -> DataFrame:
     """The results of all runs below ``out``, with their run."""
     folder = f"{out.rstrip('/')}/results"
@@ -117,6 +151,15 @@ def stored_results(spark: SparkSession, out: str) -> DataFrame:
     return found.drop("source")
 
 
+def expected(history: DataFrame) -> DataFrame:
+    """The volume of each run against stored runs of its weekday; runs without a date in their id have none."""
+    date = F.expr("try_to_date(substring(run_id, 1, 8), 'yyyyMMdd')")
+    counts = history.where("check_type = 'volume' AND actual IS NOT NULL").select(
+        "table_name", "run_id", date.alias("run_date"), F.col("actual").cast("bigint").alias("record_count")
+    )
+    return expected_volumes(counts.where("run_date IS NOT NULL"))
+
+
 def alerts(history: DataFrame, run_id: str, settings: RunSettings) -> DataFrame:
     """Alerts of a run: ``(run_id, alert, table_name, check_type, value, limit)``."""
     checks = rollup_checks(history)

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.jobs import side_by_side
+from plumbline.functions.jobs import FAILURES, bisected, side_by_side
+from plumbline.functions.schema import column_specs
+from plumbline.functions.text import name as quoted
 from plumbline.operators import checks, frequency, profile, report, scoring, snapshot
 from plumbline.operators.drift import drift_between, drift_consecutive
 from plumbline.plans.policy import Policy
@@ -56,13 +58,21 @@ def run_daily(
     policy: Policy = Policy(),
     distinct: str = "exact",
     max_columns: int | None = None,
+    failed: Mapping[str, str] | None = None,
+    seed: int | None = None,
+    run_date: str | None = None,
 ) -> dict[str, str]:
     """Assess the tables and write document, detail, findings, summary and metrics below ``out``.
 
-    Each table is profiled once and its assessment stored; all reports read what was stored. A
-    table that cannot be analysed becomes an ERROR row and the others go on.
+    Each table is profiled once and its assessment stored; all reports read what was stored. A column
+    that cannot be analysed is found by halving its table's columns and becomes an ERROR row; the other columns
+    are assessed without it. So does a table that cannot be read at all; ``failed`` names those that
+    could not even be loaded, with their errors.
     """
     started = time.monotonic()
+    failed = dict(failed or {})
+    if not tables:
+        raise RuntimeError(f"no table could be loaded: {failed}")
     spark = next(iter(tables.values())).sparkSession
     paths = {
         part: f"{out.rstrip('/')}/{part}/run_id={run_id}"
@@ -70,24 +80,57 @@ def run_daily(
     }
     targets = {name: f"{paths['assessment']}/source={name}" for name in tables}
 
-    def store(name: str) -> None:
-        assessed = assess({name: tables[name]}, policy, distinct, max_columns)
-        assessed.write.mode("overwrite").parquet(targets[name])
+    good: dict[str, str] = {}
+    broken: dict[tuple[str, str], str] = {}
 
-    errors = side_by_side({name: partial(store, name) for name in tables})
-    good = [targets[name] for name in tables if name not in errors]
+    def store(name: str) -> None:
+        df = tables[name]
+        columns = [spec.name for spec in column_specs(df, max_columns=max_columns)]
+        numbers = {column: i for i, column in enumerate(columns)}
+
+        def store_columns(part: Sequence[str]) -> None:
+            chosen = df if len(part) == len(columns) else df.select(*map(quoted, part))
+            assessed = assess({name: chosen}, policy, distinct, max_columns)
+            if len(part) < len(columns):
+                place = F.create_map(*[F.lit(x) for c in part for x in (c, numbers[c])])
+                assessed = assessed.withColumn("ordinal", place[F.col("column_name")].cast("int"))
+            assessed.write.mode("append" if name in good else "overwrite").parquet(targets[name])
+            good[name] = targets[name]
+
+        try:
+            store_columns(columns)
+        except FAILURES:
+            # A table that cannot even be counted has no column to blame.
+            df.select(F.lit(1)).groupBy().count().first()
+            half = max(1, len(columns) // 2)
+            errors = {}
+            for part in (columns[:half], columns[half:]):
+                errors |= bisected(store_columns, part)[1] if part else {}
+            if name in good:
+                broken.update({(name, column): error for column, error in errors.items()})
+            else:
+                broken[name, ""] = next(iter(errors.values()))
+
+    failed |= side_by_side({name: partial(store, name) for name in tables})
     if not good:
-        raise RuntimeError(f"no table could be analysed: {errors}")
-    stored = spark.read.parquet(*good)
+        raise RuntimeError(f"no table could be analysed: {failed or broken}")
+    stored = spark.read.parquet(*[good[name] for name in tables if name in good])
+    errors = [(name, None, error) for name, error in failed.items()]
+    errors += [(name, column or None, error) for (name, column), error in sorted(broken.items())]
     detail = report.report_detail(stored, policy=policy)
     totals = report.table_results(stored)
+    found = stored.select("table_name", "column_name", F.inline("findings"))
     if errors:
-        schema = "table_name string, message string"
-        failures = checks.literal_rows(spark, list(errors.items()), schema)
+        failures = checks.literal_rows(spark, errors, "table_name string, column_name string, message string")
         detail = report.with_error_rows(detail, failures)
-        totals = totals.unionByName(failures.select("table_name"), allowMissingColumns=True)
-    found = stored.select("table_name", "column_name", F.inline("findings"))
-    lines = report.summary_lines(totals, "DAILY DATA QUALITY ANALYSIS", run_id)
+        whole = failures.where("column_name IS NULL").select("table_name")
+        totals = totals.unionByName(whole, allowMissingColumns=True)
+        evaluated = failures.selectExpr(
+            "table_name", "column_name", "'check' AS record", "'evaluation' AS check_type", "'ERROR' AS status", "message"
+        )
+        known = [c for c in evaluated.columns if c in found.columns]
+        found = found.unionByName(evaluated.select(*known), allowMissingColumns=True)
+    lines = report.summary_lines(totals, "DAILY DATA QUALITY ANALYSIS", run_id, generated_at, run_date, seed)
     metrics = report.run_metrics(stored, time.monotonic() - started)
     unwritten = side_by_side(
         {

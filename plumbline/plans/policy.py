@@ -42,6 +42,10 @@ FRESHNESS_HOURS = 24.0
 FAILED_CHECKS_PCT = 25.0
 CONSECUTIVE_FAILURES = 3
 RETENTION_DAYS = 30
+# Points of score that a run may lie off, and that may gather, before a table's score has changed.
+CHANGE_SLACK, CHANGE_LIMIT = 0.5, 4.0
+# Spreads by which a volume may lie off that of earlier runs, and how many runs of a weekday there must be.
+VOLUME_DEVIATIONS, VOLUME_LEAST_RUNS = 5.0, 3
 
 
 @dataclass(frozen=True)

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping
+from dataclasses import dataclass, replace
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +34,16 @@ def read_rules(spark: SparkSession, path: str) -> dict[str, TableRules]:
     return parse_rules(read_config(spark, path))
 
 
+def parse_sources(config: Mapping) -> dict[str, str]:
+    """Where the tables of a configuration lie, for those that name a path."""
+    return {
+        table: entry["path"]
+        for source in config.get("data_sources", {}).values()
+        for table, entry in source["tables"].items()
+        if entry.get("path")
+    }
+
+
 def parse_settings(config: Mapping) -> RunSettings:
     """Limits of alerts and days of retention, where a configuration names them."""
     alerts = config.get("monitoring", {}).get("alert_threshold", {})
@@ -126,6 +136,14 @@ class Check:
             "actual": f"CAST({actual} AS DOUBLE)",
         }
 
+    def latest(self, figure: str) -> dict[str, str]:
+        """The latest time stamp, where the rule is about one."""
+        found = f"date_format(timestamp_micros({figure}), 'yyyy-MM-dd HH:mm:ss')"
+        return {"latest": found if self.merge == "max" else NO_LATEST}
+
+
+NO_LATEST = "CAST(NULL AS STRING)"
+
 
 def resolve(df: DataFrame, column: str) -> str | None:
     """The column that the session finds under a name, if the table has one."""
@@ -151,9 +169,43 @@ def _skipped(check_type: str, column: str | None, reason: str) -> dict[str, str]
         "status": "'SKIP'",
         "threshold": text.literal(reason),
         "actual": "CAST(NULL AS DOUBLE)",
+        "latest": NO_LATEST,
     }
 
 
+def rule_units(rule: TableRules) -> list[tuple[str, str | None]]:
+    """The single rules of a table, as check and column."""
+    units: list[tuple[str, str | None]] = [("volume", None)] if rule.volume else []
+    units += [("watched_nulls", c) for c in rule.watched if c not in rule.critical]
+    units += _column_rules(rule)
+    if rule.primary_key:
+        units.append(("primary_key", ", ".join(rule.primary_key)))
+    if rule.freshness_hours is not None:
+        units.append(("freshness", rule.timestamp_column))
+    return units
+
+
+def only(rule: TableRules, units: Iterable[tuple[str, str | None]]) -> TableRules:
+    """The rules of a table reduced to some of its single rules."""
+    kept = set(units)
+
+    def of(check_type: str, columns: Iterable[str]) -> list[str]:
+        return [c for c in columns if (check_type, c) in kept]
+
+    kinds = {kind for kind, _ in kept}
+    return replace(
+        rule,
+        volume=rule.volume if "volume" in kinds else None,
+        critical=tuple(of("null_checks", rule.critical)),
+        watched=tuple(of("watched_nulls", rule.watched)),
+        ranges={c: rule.ranges[c] for c in of("range_checks", rule.ranges)},
+        patterns={c: rule.patterns[c] for c in of("pattern", rule.patterns)},
+        types={c: rule.types[c] for c in of("castable", rule.types)},
+        primary_key=rule.primary_key if "primary_key" in kinds else (),
+        freshness_hours=rule.freshness_hours if "freshness" in kinds else None,
+    )
+
+
 def unmatched_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> list[tuple]:
     """Check and column of the general rules that no column of any table answers to."""
     wanted: dict[tuple[str, str], bool] = {}
@@ -247,7 +299,7 @@ def _evaluate(
         skipped.append(_skipped("rules", None, "nothing to check"))
     if checks or skipped:
         figures = ", ".join(["'rows', count(1)", *(f"'{i}', {c.aggregate}" for i, c in enumerate(checks))])
-        rows = [c.result(f"figures.`{i}`") for i, c in enumerate(checks)] + skipped
+        rows = [c.result(f"figures.`{i}`") | c.latest(f"figures.`{i}`") for i, c in enumerate(checks)] + skipped
         groups = [F.expr(f"{text.name(by)} AS run_id")] if by else []
         wide = df.groupBy(*groups).agg(
             F.expr("count(1) AS total_rows"), F.expr(f"named_struct({figures}) AS figures")
@@ -267,6 +319,7 @@ def _evaluate(
                 "status",
                 "'0 duplicates' AS threshold",
                 "CAST(duplicate_keys AS DOUBLE) AS actual",
+                f"{NO_LATEST} AS latest",
             )
         )
     return parts

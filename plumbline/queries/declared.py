@@ -6,12 +6,14 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
-from plumbline.operators import checks, integrity, rollup, table_checks
+from plumbline.operators import checks, integrity, profile, rollup, scoring, table_checks
 from plumbline.plans.policy import Range, TableRules
 from plumbline.plans.rules import evaluate_rules, packaged_rules
-from plumbline.queries.inputs import PATCHY_ORDERS, event_runs, source, sources
+from plumbline.queries import sql
+from plumbline.queries.inputs import PATCHY_ORDERS, POLICY, event_runs, source, sources
 from plumbline.queries.registry import query, rounded, table
-from plumbline.queries.rules import RUN_RESULTS_SQL, run_results
+from plumbline.queries.rules import RUN_RESULTS_SQL, over_profile, run_results
+from plumbline.queries.scores import SCORE_A_SQL
 from plumbline.queries.sql import pct, r
 from plumbline.sources import work_dir
 from plumbline.streaming import judge_days, monitor_arrivals, watch
@@ -23,11 +25,12 @@ AS_OF = "2024-02-02 00:00:00"
 # --- rules from the configuration -----------------------------------------------------------
 
 
-def _row(table_name, column, check, status, threshold, actual) -> str:
+def _row(table_name, column, check, status, threshold, actual, latest="NULL") -> str:
     name = f"'{column}'" if column else "NULL"
     return f"""SELECT '{table_name}' AS table_name, CAST({name} AS VARCHAR) AS column_name,
       '{check}' AS check_type, CASE WHEN {status} THEN 'PASS' ELSE 'FAIL' END AS status,
-      '{threshold}' AS threshold, CAST({actual} AS DOUBLE) AS actual FROM {table_name}"""
+      '{threshold}' AS threshold, CAST({actual} AS DOUBLE) AS actual,
+      CAST({latest} AS VARCHAR) AS latest FROM {table_name}"""
 
 
 def _config_sql() -> str:
@@ -70,16 +73,17 @@ def _config_sql() -> str:
     ):
         rows.append(
             f"""SELECT '{t}', '{key}', 'primary_key', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END,
-              '0 duplicates', CAST(count(*) AS DOUBLE)
+              '0 duplicates', CAST(count(*) AS DOUBLE), NULL
             FROM (SELECT {key} FROM {t} GROUP BY {key} HAVING count(*) > 1)"""
         )
     rows.append(
-        "SELECT 'customer', NULL, 'freshness', 'SKIP', '<=24h', CAST(NULL AS DOUBLE) "
+        "SELECT 'customer', NULL, 'freshness', 'SKIP', '<=24h', CAST(NULL AS DOUBLE), NULL "
         "FROM (SELECT count(*) FROM customer)"
     )
     for t, c, limit in (("orders", "o_orderdate", 24), ("events", "ts", 168), ("lineitem", "l_shipdate", 24)):
         hours = f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max({c}))) / 3.6e9"
-        rows.append(_row(t, c, "freshness", f"{hours} <= {limit}", f"<={limit}h", r(hours, 2)))
+        latest = f"strftime(max({c}), '%Y-%m-%d %H:%M:%S')"
+        rows.append(_row(t, c, "freshness", f"{hours} <= {limit}", f"<={limit}h", r(hours, 2), latest))
     return " UNION ALL ".join(rows)
 
 
@@ -392,11 +396,27 @@ def retention_filter(spark, sf_dir):
     return rollup.retained(run_results(spark, sf_dir), "run_id", "2024-02-14")
 
 
+_DAY_PROFILE = sql.profile(["events"], by="CAST(CAST(ts AS DATE) AS VARCHAR)")
+_DAY_SCORES_SQL = (
+    over_profile(SCORE_A_SQL, f"SELECT run_id AS table_name, * EXCLUDE (table_name, run_id) FROM ({_DAY_PROFILE})")
+    + """,
+s AS (SELECT 'events' AS table_name, table_name AS run_id, avg(data_quality_score) AS mean_score
+      FROM score_a GROUP BY 2)
+"""
+)
+
+
+def _day_scores(spark, sf_dir):
+    """The scores that an assessment of each day of events gives its columns."""
+    profiled = profile.column_profile(
+        event_runs(spark, sf_dir), "events", by="run_id", stats=profile.WITHOUT_SPREAD
+    )
+    return scoring.score_alerts(checks.with_findings(profiled, POLICY))
+
+
 @query(
     "score_trend",
-    f"""WITH {RUN_RESULTS_SQL}, s AS (
-          SELECT table_name, run_id, avg(CASE WHEN status = 'PASS' THEN 100.0 ELSE 0 END) AS mean_score
-          FROM results GROUP BY 1, 2)
+    f"""{_DAY_SCORES_SQL}
         SELECT table_name, run_id, {r("mean_score", 2)} AS mean_score,
           {r("mean_score - lag(mean_score) OVER (PARTITION BY table_name ORDER BY run_id)", 2)}
             AS score_change,
@@ -405,11 +425,64 @@ def retention_filter(spark, sf_dir):
         FROM s""",
 )
 def score_trend(spark, sf_dir):
-    passed = F.when(F.col("status") == "PASS", 100.0).otherwise(0.0)
-    scored = run_results(spark, sf_dir).withColumn("data_quality_score", passed)
+    scored = _day_scores(spark, sf_dir)
     return rounded(rollup.score_trend(scored), 2, "mean_score", "score_change", "moving_score")
 
 
+_SLACK, _LIMIT = 0.1, 0.5
+_OFF = "CASE WHEN w.n = 0 THEN 0 ELSE x.mean_score - w.mean END"
+_UP = f"greatest(0, w.up + {_OFF} - {_SLACK})"
+_DOWN = f"greatest(0, w.down - ({_OFF}) - {_SLACK})"
+_OVER = f"({_UP} > {_LIMIT} OR {_DOWN} > {_LIMIT})"
+
+
+@query(
+    "score_changes",
+    f"""{_DAY_SCORES_SQL.replace("WITH", "WITH RECURSIVE", 1)},
+        x AS (SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY run_id) AS i FROM s),
+        w(table_name, i, n, mean, up, down, shift_up, shift_down, changed) AS (
+          SELECT DISTINCT table_name, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE,
+            false FROM x
+          UNION ALL
+          SELECT x.table_name, x.i, CASE WHEN {_OVER} THEN 1 ELSE w.n + 1 END,
+            CASE WHEN {_OVER} THEN x.mean_score ELSE w.mean + (x.mean_score - w.mean) / (w.n + 1) END,
+            CASE WHEN {_OVER} THEN 0 ELSE {_UP} END, CASE WHEN {_OVER} THEN 0 ELSE {_DOWN} END, {_UP}, {_DOWN}, {_OVER}
+          FROM w JOIN x ON x.table_name = w.table_name AND x.i = w.i + 1)
+        SELECT x.table_name, x.run_id, {r("x.mean_score", 2)} AS mean_score, {r("w.shift_up", 2)} AS shift_up,
+          {r("w.shift_down", 2)} AS shift_down, w.changed
+        FROM w JOIN x ON x.table_name = w.table_name AND x.i = w.i""",
+)
+def score_changes(spark, sf_dir):
+    """Days on which the score of events has shifted from that of the days before."""
+    scores = rollup.score_trend(_day_scores(spark, sf_dir))
+    return rounded(rollup.change_points(scores, _SLACK, _LIMIT), 2, "mean_score", "shift_up", "shift_down")
+
+
+@query(
+    "expected_volume",
+    f"""WITH c AS (SELECT event_type AS table_name, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2),
+        b AS (SELECT c.table_name, c.day, c.n, p.n AS before FROM c LEFT JOIN c p
+          ON p.table_name = c.table_name AND p.day < c.day AND dayofweek(p.day) = dayofweek(c.day)),
+        m AS (SELECT table_name, day, any_value(n) AS n, count(before) AS k, median(before) AS middle FROM b GROUP BY 1, 2),
+        d AS (SELECT m.table_name, m.day, any_value(m.n) AS n, any_value(k) AS k, any_value(middle) AS middle,
+            greatest(1, 1.4826 * median(abs(before - middle))) AS spread
+          FROM m JOIN b ON b.table_name = m.table_name AND b.day = m.day GROUP BY 1, 2)
+        SELECT table_name, CAST(day AS VARCHAR) AS run_id, n AS record_count, CAST(k AS INTEGER) AS earlier_runs,
+          CASE WHEN k >= 3 THEN {r("middle", 2)} END AS expected_count, CASE WHEN k >= 3 THEN {r("spread", 2)} END AS spread,
+          CASE WHEN k < 3 THEN 'SKIP' WHEN abs(n - middle) > 2 * spread THEN 'FAIL' ELSE 'PASS' END AS status
+        FROM d""",
+)
+def expected_volume(spark, sf_dir):
+    """Events per day and type against the same weekday of the weeks before."""
+    counts = (
+        event_runs(spark, sf_dir)
+        .groupBy("run_id", F.col("event_type").alias("table_name"))
+        .agg(F.count(F.lit(1)).alias("record_count"))
+        .withColumn("run_date", F.col("run_id"))
+    )
+    return rounded(rollup.expected_volumes(counts, deviations=2.0), 2, "expected_count", "spread")
+
+
 # --- newly arrived data ---------------------------------------------------------------------
 
 _DAY_VOLUME = Range(320, 345)

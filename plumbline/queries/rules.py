@@ -224,6 +224,11 @@ checks AS (
 FINDINGS_SQL = _FINDINGS_SQL
 
 
+def over_profile(findings: str, profiled: str) -> str:
+    """The same findings, or scores, over another profile."""
+    return findings.replace(_EXACT, f"({profiled})")
+
+
 @query(
     "alert_severity",
     _FINDINGS_SQL

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from plumbline.plans.checking import run_checks
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from plumbline.plans.checking import run_checks, stored_run
 from plumbline.plans.daily import batch_drift, run_daily
-from plumbline.plans.policy import TableRules
+from plumbline.plans.policy import Range, TableRules
 from plumbline.plans.rules import packaged_rules
 from plumbline.plans.simulate import write_snapshots
 from plumbline.queries import sql
 from plumbline.queries.declared import AS_OF, CONFIG_SQL
 from plumbline.queries.inputs import ASSESSED, POLICY, sources
-from plumbline.queries.registry import query, rounded
-from plumbline.queries.rules import FINDINGS_SQL
+from plumbline.queries.registry import query, rounded, table
+from plumbline.queries.rules import FINDINGS_SQL, over_profile
+from plumbline.queries.scores import SCORE_A_SQL
 from plumbline.queries.snapshots import DAY, RATES, sampled
 from plumbline.queries.sql import r
-from plumbline.sources import work_dir
+from plumbline.sources import load_each, work_dir
 
 
 @query(
@@ -59,6 +64,66 @@ def check_run(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(paths["tables"])
 
 
+_ISOLATED = """
+WITH results AS ({config}), kept AS (
+  SELECT table_name, column_name, check_type, status FROM results WHERE table_name = 'customer'
+  UNION ALL SELECT 'customer', 'c_name', 'range_checks', 'ERROR' FROM (SELECT count(*) FROM customer)
+  UNION ALL SELECT 'broken', NULL, 'evaluation', 'ERROR' FROM (SELECT count(*) FROM customer))
+SELECT * FROM kept
+"""
+
+
+@query("check_run_isolated", _ISOLATED.format(config=CONFIG_SQL))
+def check_run_isolated(spark, sf_dir):
+    """A rule that cannot be judged, and a source that cannot be read, beside rules that can."""
+    rule = packaged_rules("tpch")["customer"]
+    ranges = {c: limit for c, limit in rule.ranges.items() if c.startswith("c_")}
+    # The names are texts that are no numbers: their comparison fails on its first row.
+    raising = replace(
+        rule,
+        ranges={"c_name": Range(0, 1), **ranges},
+        patterns={"c_name": rule.patterns["c_name"]},
+        critical=("c_custkey",),
+        general=False,
+    )
+    spoiled = work_dir(spark, "spoiled")
+    table(spark, sf_dir, "region").select("r_name").write.text(spoiled)
+    refs = {"customer": f"{sf_dir}/customer.parquet", "broken": f"{spoiled}/*.txt"}
+    paths = run_checks(spark, refs, {"customer": raising, "broken": TableRules()}, work_dir(spark, "checks"), "1", AS_OF)
+    results = stored_run(spark, paths)
+    return results.select("table_name", "column_name", "check_type", "status")
+
+
+_SPLIT_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@query(
+    "daily_run_isolated",
+    " UNION ALL ".join(
+        f"SELECT 'part' AS table_name, '{c}' AS column_name, {i} AS ordinal, count(*) AS total_rows, "
+        f"CAST(count(*) - count({c}) AS BIGINT) AS null_count, count(DISTINCT {c}) AS distinct_count, NULL AS error FROM part"
+        for i, c in enumerate(_SPLIT_COLUMNS)
+    )
+    + " UNION ALL SELECT 'part', 'p_number', NULL, NULL, NULL, NULL, 'CAST_INVALID_INPUT' FROM (SELECT count(*) FROM part)"
+    + " UNION ALL SELECT 'returns', 'ERROR', NULL, NULL, NULL, NULL, 'PATH_NOT_FOUND' FROM (SELECT count(*) FROM part)",
+)
+def daily_run_isolated(spark, sf_dir):
+    """A column that raises and a source that is missing: each is one row of errors, all else is assessed."""
+    refs = {"part": f"{sf_dir}/part.parquet", "returns": f"{sf_dir}/returns.parquet"}
+    tables, failed = load_each(spark, refs)
+    tables["part"] = tables["part"].withColumn("p_number", F.col("p_name").cast("int"))
+    paths = run_daily(tables, work_dir(spark, "isolated"), "1", "2024-01-31", POLICY, failed=failed)
+    detail = spark.read.option("header", True).csv(paths["detail"])
+    broken = detail.where("data_type IS NULL").selectExpr(
+        "table_name", "column_name", "CAST(NULL AS INT) AS ordinal", "CAST(NULL AS BIGINT) AS total_rows",
+        "CAST(NULL AS BIGINT) AS null_count", "CAST(NULL AS BIGINT) AS distinct_count", "issues AS error",
+    )
+    assessed = spark.read.schema(
+        "table_name string, column_name string, ordinal int, total_rows bigint, null_count bigint, distinct_count bigint"
+    ).parquet(f"{paths['assessment']}/source=part")
+    return assessed.withColumn("error", F.lit(None).cast("string")).unionByName(broken)
+
+
 _DOCUMENT_STATS = {
     "total_rows": "total_rows",
     "null_count": "null_count",
@@ -83,9 +148,16 @@ def _stats_sql(name: str) -> str:
     )
 
 
+def _score_of(name: str) -> str:
+    return f"""UNION ALL SELECT column_name, 'data_quality_score', CAST(data_quality_score AS DOUBLE) FROM score_a
+      WHERE table_name = '{name}'"""
+
+
 @query(
     "drift_documents",
-    f"""WITH o AS ({_stats_sql("customer")}), n AS ({_stats_sql("funded_customers")})
+    f"""{over_profile(SCORE_A_SQL, sql.profile(["customer", "funded_customers"]))},
+        o AS ({_stats_sql("customer")} {_score_of("customer")}),
+        n AS ({_stats_sql("funded_customers")} {_score_of("funded_customers")})
         SELECT '20240130_000000' AS old_run, '20240131_000000' AS new_run, 'customer' AS table_name,
           o.column_name, o.stat, {r("o.value", 2)} AS old_value, {r("n.value", 2)} AS new_value,
           CASE WHEN o.value = 0 THEN CASE WHEN n.value = 0 THEN NULL ELSE 'inf'::DOUBLE END
@@ -99,18 +171,17 @@ def drift_documents(spark, sf_dir):
     found = sources(spark, sf_dir, ["customer", "funded_customers"])
     for name, run in (("customer", "20240130_000000"), ("funded_customers", "20240131_000000")):
         run_daily({"customer": found[name]}, out, run, run, POLICY)
-    drift = batch_drift(spark, out).where("stat <> 'data_quality_score'")
-    return rounded(drift, 2, "old_value", "new_value", "percent_change")
+    return rounded(batch_drift(spark, out), 2, "old_value", "new_value", "percent_change")
 
 
 @query(
     "snapshot_run",
     " UNION ALL ".join(
-        f"SELECT '{t}_daily' AS table_name, 'success' AS status, count(*) AS record_count "
+        f"SELECT '{t}_daily' AS table_name, 'success' AS status, count(*) AS record_count, NULL AS message "
         f"FROM {t} WHERE {sampled(key, rate)}"
         for t, (key, rate) in RATES.items()
     )
-    + " UNION ALL SELECT 'returns_daily', 'error', NULL FROM (SELECT count(*) FROM orders)",
+    + " UNION ALL SELECT 'returns_daily', 'error', NULL, 'PATH_NOT_FOUND' FROM (SELECT count(*) FROM orders)",
 )
 def snapshot_run(spark, sf_dir):
     """Store the samples of a day; the run goes on past a missing source."""
@@ -119,5 +190,5 @@ def snapshot_run(spark, sf_dir):
     keys = {name: key for name, (key, _) in RATES.items()} | {"returns": "id"}
     rates = {name: rate for name, (_, rate) in RATES.items()}
     results = write_snapshots(spark, refs, keys, DAY, work_dir(spark, "snapshots"), rates)
-    return results.drop("message")
+    return results
 

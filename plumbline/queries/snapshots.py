@@ -98,6 +98,22 @@ def stamped(spark, sf_dir):
     return daily.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("string"))
 
 
+@query(
+    "stamp_run",
+    f"""SELECT count(*) AS total_rows, count(*) AS distinct_batch_ids, '{DAY}' AS ingestion_date,
+          '{AS_OF}' AS ingestion_timestamp, 'run_1' AS simulation_id, 'hdfs_csv_fresh' AS data_source,
+          CAST({snapshot.run_seed(DAY)} AS BIGINT) AS random_seed
+        FROM customer""",
+)
+def stamped_run(spark, sf_dir):
+    """The six ingest columns of a live run; its numbered rows are counted, since numbers follow the files."""
+    daily = snapshot.stamp_run(table(spark, sf_dir, "customer"), DAY, "run_1", AS_OF)
+    found = daily.withColumn("ingestion_timestamp", F.col("ingestion_timestamp").cast("string"))
+    return found.groupBy(
+        "ingestion_date", "ingestion_timestamp", "simulation_id", "data_source", F.col("random_seed").cast("bigint").alias("random_seed")
+    ).agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct("batch_id").alias("distinct_batch_ids"))
+
+
 @query(
     "row_ids",
     "SELECT count(*) AS total_rows, count(*) AS distinct_ids, CAST(0 AS BIGINT) AS negative_ids FROM lineitem",

@@ -1,5 +1,6 @@
 from plumbline.sources.readers import (
     csv_schema,
+    load_each,
     load_source,
     load_table,
     load_tables,
@@ -24,6 +25,7 @@ __all__ = [
     "csv_schema",
     "ensure_namespace",
     "export_tables",
+    "load_each",
     "load_source",
     "load_table",
     "load_tables",

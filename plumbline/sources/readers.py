@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -56,6 +56,19 @@ def load_source(spark: SparkSession, ref: str) -> DataFrame:
     return read_csv(spark, ref) if ref.endswith(".csv") else load_table(spark, ref)
 
 
+def load_each(
+    spark: SparkSession, refs: Mapping[str, str], load: Callable[[SparkSession, str], DataFrame] | None = None
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The tables that can be loaded, and the error of each of the others."""
+    tables, errors = {}, {}
+    for name, ref in refs.items():
+        try:
+            tables[name] = (load or load_source)(spark, ref)
+        except FAILURES as error:
+            errors[name] = error_name(error)
+    return tables, errors
+
+
 def load_tables(
     spark: SparkSession, folder: str, names: Iterable[str], suffix: str = ".parquet"
 ) -> dict[str, DataFrame]:
