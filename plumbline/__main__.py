@@ -46,6 +46,7 @@ def main(arguments: list[str] | None = None) -> None:
     check.add_argument("--rules", required=True, help="JSON file")
     check.add_argument("--out", required=True)
     check.add_argument("--as-of", help="time that freshness is measured from; now if left out")
+    check.add_argument("--split-rows", action="store_true", help="store accepted and rejected rows apart")
     check.add_argument("--error-first", action="store_true", help="an error outranks a failure")
     monitor = commands.add_parser("monitor", help="judge what has arrived since the last call by the rules, day by day")
     monitor.add_argument("tables", nargs="*", metavar="name=path", help="beside, or instead of, the paths in the rules")
@@ -113,6 +114,7 @@ def main(arguments: list[str] | None = None) -> None:
             options.as_of or now.isoformat(sep=" ", timespec="seconds"),
             ERROR_FIRST if options.error_first else FAIL_FIRST,
             parse_settings(config),
+            options.split_rows,
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "monitor":

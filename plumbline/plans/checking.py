@@ -24,7 +24,8 @@ from plumbline.operators.rollup import (
     rollup_tables,
 )
 from plumbline.plans.policy import DEFAULT_VOLUME, RunSettings, TableRules
-from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, rule_units, unmatched_rules
+from plumbline.plans.publishing import publish
+from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, resolve, rule_units, unmatched_rules
 from plumbline.sources import load_source, write_csv, write_documents, write_lines
 
 RESULT = (
@@ -42,6 +43,7 @@ def run_checks(
     as_of: str,
     precedence: tuple[str, ...] = FAIL_FIRST,
     settings: RunSettings = RunSettings(),
+    split_rows: bool = False,
 ) -> dict[str, str]:
     """Evaluate the rules of every table and write results and statuses below ``out``.
 
@@ -50,6 +52,9 @@ def run_checks(
     without rules is held to the default limits of its volume. The results are stored table by table;
     everything else is derived from what was stored. Alerts look at all stored runs: too large a share
     of failed checks in this run, and series of failures that reach it.
+
+    ``split_rows`` also stores the rows of every table with critical columns, accepted and rejected apart, and
+    publishes them below ``out/rows/<table>`` under the run; a failure there is an ERROR row of the table.
     """
     unlisted = {name: TableRules(volume=DEFAULT_VOLUME, freshness_hours=None) for name in refs if name not in rules}
     rules = {**rules, **unlisted}
@@ -97,8 +102,19 @@ def run_checks(
                 unjudged.update({(name, column, kind): e for (kind, column), e in failed.items()})
 
     errors |= side_by_side({name: partial(store, name) for name in tables})
+    unsplit = {}
+    if split_rows:
+        critical = {name: [c for c in (resolve(df, c) for c in rules[name].critical) if c] for name, df in tables.items()}
+        unsplit = side_by_side(
+            {
+                name: partial(publish, tables[name], critical[name], f"{out.rstrip('/')}/rows/{name}", run_id)
+                for name in tables
+                if critical[name] and name not in errors
+            }
+        )
     written = [stored[name] for name in tables if name in stored]
     broken = [(name, None, "evaluation", "ERROR", None, None, None, e) for name, e in errors.items()]
+    broken += [(name, None, "split_rows", "ERROR", None, None, None, e) for name, e in unsplit.items()]
     broken += [
         (name, column, "null_checks" if kind == "watched_nulls" else kind, "ERROR", None, None, None, e)
         for (name, column, kind), e in unjudged.items()

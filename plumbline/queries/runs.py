@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from plumbline.plans.checking import run_checks, stored_run
 from plumbline.plans.daily import batch_drift, run_daily
 from plumbline.plans.policy import Range, TableRules
+from plumbline.plans.publishing import REJECTED, published, rejected_by
 from plumbline.plans.rules import packaged_rules
 from plumbline.plans.simulate import write_snapshots
 from plumbline.queries import sql
 from plumbline.queries.declared import AS_OF, CONFIG_SQL
-from plumbline.queries.inputs import ASSESSED, POLICY, sources
+from plumbline.queries.inputs import ASSESSED, PATCHY_ORDERS, POLICY, source, sources
 from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.rules import FINDINGS_SQL, over_profile
 from plumbline.queries.scores import SCORE_A_SQL
@@ -94,6 +95,32 @@ def check_run_isolated(spark, sf_dir):
     return results.select("table_name", "column_name", "check_type", "status")
 
 
+@query(
+    "published_rows",
+    f"""WITH p AS ({PATCHY_ORDERS}), m AS (SELECT
+            CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END + CASE WHEN o_open_status IS NULL THEN 2 ELSE 0 END
+            + CASE WHEN o_large_price IS NULL THEN 4 ELSE 0 END AS reasons, o_totalprice,
+            concat_ws(', ', CASE WHEN o_orderkey IS NULL THEN 'o_orderkey' END,
+              CASE WHEN o_open_status IS NULL THEN 'o_open_status' END,
+              CASE WHEN o_large_price IS NULL THEN 'o_large_price' END) AS null_columns FROM p)
+        SELECT CASE WHEN reasons = 0 THEN 'accepted' ELSE 'rejected' END AS verdict, CAST(reasons AS BIGINT) AS reasons,
+          null_columns, count(*) AS row_count FROM m GROUP BY ALL""",
+)
+def published_rows(spark, sf_dir):
+    """A rule run that stores accepted and rejected rows, read back through its manifest."""
+    out, columns = work_dir(spark, "published"), ("o_orderkey", "o_open_status", "o_large_price")
+    path = work_dir(spark, "patchy")
+    source(spark, sf_dir, "patchy_orders").write.parquet(path)
+    rules = {"orders": TableRules(critical=columns, freshness_hours=None)}
+    run_checks(spark, {"orders": path}, rules, out, "20240131_000000", AS_OF, split_rows=True)
+    rows = f"{out}/rows/orders"
+    rejected = rejected_by(published(spark, rows, "20240131_000000", REJECTED), list(columns))
+    accepted = published(spark, rows, "20240131_000000").agg(F.count(F.lit(1)).alias("row_count"))
+    return accepted.selectExpr("'accepted' AS verdict", "0L AS reasons", "'' AS null_columns", "row_count").unionByName(
+        rejected.withColumn("verdict", F.lit(REJECTED))
+    )
+
+
 _SPLIT_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
 
