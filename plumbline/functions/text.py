@@ -22,6 +22,8 @@ def literal(value: str | int | float | bool | None) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+NO_TEXT = "CAST(NULL AS STRING)"
+
 # Texts longer than this are grouped by digest, so that a shuffle carries 65 characters instead.
 DIGEST_ABOVE = 64
 

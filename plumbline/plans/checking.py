@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.frames import NothingToDo
 from plumbline.functions.jobs import FAILURES, bisected, error_name, is_missing, side_by_side
+from plumbline.functions.schema import resolve
 from plumbline.operators.checks import literal_rows
 from plumbline.operators.report import check_lines
 from plumbline.operators.rollup import (
@@ -25,7 +27,8 @@ from plumbline.operators.rollup import (
 )
 from plumbline.plans.policy import DEFAULT_VOLUME, RunSettings, TableRules
 from plumbline.plans.publishing import publish
-from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, resolve, rule_units, unmatched_rules
+from plumbline.plans.relations import Figure, compile_relations, evaluate_domain, evaluate_order
+from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, rule_units, unmatched_rules
 from plumbline.sources import load_source, write_csv, write_documents, write_lines
 
 RESULT = (
@@ -81,12 +84,11 @@ def run_checks(
 
         def store_rules(part: Sequence[tuple]) -> None:
             chosen = rules[name] if len(part) == len(units) else only(rules[name], part)
-            found = evaluate_rules({name: tables[name]}, {name: chosen}, as_of, unmatched=False)
-            told = F.concat_ws(
-                " ", "check_type", "column_name", F.lit("is"), F.col("actual").cast("string"), F.lit("against"), "threshold"
-            )
-            found = found.withColumn("message", F.when(F.col("status") != "PASS", told))
-            found.write.mode("append" if name in stored else "overwrite").parquet(targets[name])
+            try:
+                found = evaluate_rules({name: tables[name]}, {name: chosen}, as_of, unmatched=False, relations=False)
+            except NothingToDo:  # all its rules are relations
+                return
+            _told(found).write.mode("append" if name in stored else "overwrite").parquet(targets[name])
             stored[name] = targets[name]
 
         try:
@@ -102,6 +104,11 @@ def run_checks(
                 unjudged.update({(name, column, kind): e for (kind, column), e in failed.items()})
 
     errors |= side_by_side({name: partial(store, name) for name in tables})
+    related, unrelated = _relation_jobs(tables, rules, paths["results"])
+    failed = side_by_side({at: job for at, (job, _) in related.items()})
+    for at, error in failed.items():
+        unjudged.update({(f.table, f.column, f.check_type): error for f in related[at][1]})
+    stored |= {at: at for at in related if at not in failed}
     unsplit = {}
     if split_rows:
         critical = {name: [c for c in (resolve(df, c) for c in rules[name].critical) if c] for name, df in tables.items()}
@@ -112,7 +119,7 @@ def run_checks(
                 if critical[name] and name not in errors
             }
         )
-    written = [stored[name] for name in tables if name in stored]
+    written = list(stored.values())
     broken = [(name, None, "evaluation", "ERROR", None, None, None, e) for name, e in errors.items()]
     broken += [(name, None, "split_rows", "ERROR", None, None, None, e) for name, e in unsplit.items()]
     broken += [
@@ -123,6 +130,7 @@ def run_checks(
         (ALL_TABLES, column, check_type, "SKIP", "no table has this column", None, None, None)
         for check_type, column in unmatched_rules(tables, rules)
     ]
+    broken += [(*row, None) for row in unrelated]
     results = _results(spark, written, broken)
     checks = rollup_checks(results)
     statuses = rollup_tables(checks, precedence)
@@ -150,6 +158,34 @@ def run_checks(
     return paths
 
 
+def _told(found: DataFrame) -> DataFrame:
+    """The results with a message for everything that did not pass."""
+    told = F.concat_ws(
+        " ", "check_type", "column_name", F.lit("is"), F.col("actual").cast("string"), F.lit("against"), "threshold"
+    )
+    return found.withColumn("message", F.when(F.col("status") != "PASS", told))
+
+
+def _relation_jobs(
+    tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], results: str
+) -> tuple[dict[str, tuple], list[tuple]]:
+    """A job per key that rules are about, and per rule on date order, by the folder it writes; each with the rules
+    that fail if it does. And the rules that lack a table or a column."""
+    domains, orders, skipped = compile_relations(tables, rules)
+    plans = [(partial(evaluate_domain, tables, d), d.figures) for d in domains]
+    plans += [
+        (partial(evaluate_order, tables, name, order), [Figure(name, order.later, "date_order", "", "")])
+        for name, order in orders
+    ]
+
+    def write(plan: Callable[[], DataFrame], target: str) -> None:
+        _told(plan()).write.mode("overwrite").parquet(target)
+
+    targets = [f"{results}/source=relation_{i}" for i in range(len(plans))]
+    jobs = {at: (partial(write, plan, at), figures) for at, (plan, figures) in zip(targets, plans)}
+    return jobs, skipped
+
+
 def stored_run(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
     """All results of one run, with its errors, as the run left them by check."""
     return spark.read.schema(RESULT).option("header", True).csv(paths["by_check"], enforceSchema=False)

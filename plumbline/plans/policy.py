@@ -57,6 +57,35 @@ class RunSettings:
     retention_days: int = RETENTION_DAYS
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A column whose values another table must hold, as a foreign key or as a lookup."""
+
+    column: str
+    parent: str
+    key: str
+    check_type: str = "foreign_key"
+
+
+@dataclass(frozen=True)
+class Sequence:
+    """Whole numbers without gaps, within each value of ``group``."""
+
+    position: str
+    group: str | None = None
+
+
+@dataclass(frozen=True)
+class DateOrder:
+    """A date that must not lie before one of the parent row; ``spread_by`` salts large keys."""
+
+    later: str
+    parent: str
+    earlier: str
+    on: tuple[str, str]
+    spread_by: tuple[str, ...] = ()
+
+
 @dataclass(frozen=True)
 class TableRules:
     """Rules of one table, as a configuration names them."""
@@ -73,6 +102,9 @@ class TableRules:
     # Columns of texts that must be readable as a type.
     types: dict[str, str] = field(default_factory=dict)
     primary_key: tuple[str, ...] = ()
+    references: tuple[Reference, ...] = ()
+    sequences: tuple[Sequence, ...] = ()
+    date_orders: tuple[DateOrder, ...] = ()
     # None checks no freshness. Without a column the first one of a timestamp type is taken.
     freshness_hours: float | None = FRESHNESS_HOURS
     timestamp_column: str | None = None
@@ -81,6 +113,11 @@ class TableRules:
     # The column rules hold for all tables of a configuration that have the column.
     general: bool = False
 
+    @property
+    def relations(self) -> bool:
+        """Whether any rule is about more than one row."""
+        return bool(self.primary_key or self.references or self.sequences or self.date_orders)
+
 
 # Bounds of the loan columns.
 LOAN_RANGES = {

@@ -13,9 +13,19 @@ from pyspark.sql import types as T
 
 from plumbline.functions import text
 from plumbline.functions.frames import union_all
-from plumbline.operators.integrity import primary_key_check
+from plumbline.functions.schema import resolve
 from plumbline.operators.table_checks import timestamp_column
-from plumbline.plans.policy import CRITICAL_NULL_PCT, FRESHNESS_HOURS, Range, RunSettings, TableRules
+from plumbline.plans.policy import (
+    CRITICAL_NULL_PCT,
+    FRESHNESS_HOURS,
+    DateOrder,
+    Range,
+    Reference,
+    RunSettings,
+    Sequence,
+    TableRules,
+)
+from plumbline.plans.relations import evaluate_relations
 
 
 # What stands for the table in the row of a rule that concerns none of them.
@@ -91,6 +101,22 @@ def parse_rules(config: Mapping) -> dict[str, TableRules]:
                 ranges={c: Range(r["min"], r["max"]) for c, r in bounds.items()},
                 patterns=dict(rule("pattern_checks").get("patterns", {})),
                 primary_key=(key,) if isinstance(key, str) else tuple(key),
+                types=dict(entry.get("types", {})),
+                references=tuple(
+                    Reference(column, *target.rsplit(".", 1), kind)
+                    for kind, named in (("foreign_key", "foreign_keys"), ("lookup", "lookups"))
+                    for column, target in entry.get(named, {}).items()
+                ),
+                sequences=tuple(Sequence(position, group) for position, group in entry.get("sequences", {}).items()),
+                date_orders=tuple(
+                    DateOrder(
+                        later,
+                        *order["not_before"].rsplit(".", 1),
+                        tuple(order["on"]),
+                        tuple(order.get("spread_by", ())),
+                    )
+                    for later, order in entry.get("date_order", {}).items()
+                ),
                 freshness_hours=float(
                     entry.get("freshness_threshold_hours", fresh.get("max_age_hours", FRESHNESS_HOURS))
                 )
@@ -139,17 +165,7 @@ class Check:
     def latest(self, figure: str) -> dict[str, str]:
         """The latest time stamp, where the rule is about one."""
         found = f"date_format(timestamp_micros({figure}), 'yyyy-MM-dd HH:mm:ss')"
-        return {"latest": found if self.merge == "max" else NO_LATEST}
-
-
-NO_LATEST = "CAST(NULL AS STRING)"
-
-
-def resolve(df: DataFrame, column: str) -> str | None:
-    """The column that the session finds under a name, if the table has one."""
-    if df.sparkSession.conf.get("spark.sql.caseSensitive").lower() == "true":
-        return column if column in df.columns else None
-    return next((c for c in df.columns if c.lower() == column.lower()), None)
+        return {"latest": found if self.merge == "max" else text.NO_TEXT}
 
 
 def _column_rules(rule: TableRules) -> list[tuple[str, str]]:
@@ -169,7 +185,7 @@ def _skipped(check_type: str, column: str | None, reason: str) -> dict[str, str]
         "status": "'SKIP'",
         "threshold": text.literal(reason),
         "actual": "CAST(NULL AS DOUBLE)",
-        "latest": NO_LATEST,
+        "latest": text.NO_TEXT,
     }
 
 
@@ -178,8 +194,6 @@ def rule_units(rule: TableRules) -> list[tuple[str, str | None]]:
     units: list[tuple[str, str | None]] = [("volume", None)] if rule.volume else []
     units += [("watched_nulls", c) for c in rule.watched if c not in rule.critical]
     units += _column_rules(rule)
-    if rule.primary_key:
-        units.append(("primary_key", ", ".join(rule.primary_key)))
     if rule.freshness_hours is not None:
         units.append(("freshness", rule.timestamp_column))
     return units
@@ -201,7 +215,6 @@ def only(rule: TableRules, units: Iterable[tuple[str, str | None]]) -> TableRule
         ranges={c: rule.ranges[c] for c in of("range_checks", rule.ranges)},
         patterns={c: rule.patterns[c] for c in of("pattern", rule.patterns)},
         types={c: rule.types[c] for c in of("castable", rule.types)},
-        primary_key=rule.primary_key if "primary_key" in kinds else (),
         freshness_hours=rule.freshness_hours if "freshness" in kinds else None,
     )
 
@@ -289,13 +302,12 @@ def _evaluate(
             for check_type, column in _column_rules(rule)
             if resolve(df, column) is None
         ]
-    key = [resolve(df, c) for c in rule.primary_key]
-    absent = [c for c, found in zip(rule.primary_key, key) if found is None]
+    absent = [c for c in rule.primary_key if resolve(df, c) is None]
     if absent and not by:
         # A part of the key says nothing about the whole.
         reason = f"no such column: {', '.join(absent)}"
         skipped.append(_skipped("primary_key", ", ".join(rule.primary_key), reason))
-    if not checks and not skipped and (by or not key):
+    if not checks and not skipped and (by or not rule.relations):
         skipped.append(_skipped("rules", None, "nothing to check"))
     if checks or skipped:
         figures = ", ".join(["'rows', count(1)", *(f"'{i}', {c.aggregate}" for i, c in enumerate(checks))])
@@ -309,19 +321,6 @@ def _evaluate(
                 *keys, f"{text.literal(table)} AS table_name", f"inline({text.structs(rows)})"
             )
         )
-    if key and not absent and not by:
-        unique = primary_key_check(df, table, key)
-        parts.append(
-            unique.selectExpr(
-                "table_name",
-                "key_columns AS column_name",
-                "check_type",
-                "status",
-                "'0 duplicates' AS threshold",
-                "CAST(duplicate_keys AS DOUBLE) AS actual",
-                f"{NO_LATEST} AS latest",
-            )
-        )
     return parts
 
 
@@ -331,6 +330,7 @@ def evaluate_rules(
     as_of: str | None = None,
     by: str | None = None,
     unmatched: bool = True,
+    relations: bool = True,
 ) -> DataFrame:
     """All configured checks of all tables, as one plan of result rows.
 
@@ -338,13 +338,17 @@ def evaluate_rules(
     skipped, with a row; so is, once for all tables and unless ``unmatched`` is off, a general rule
     that no table answers to.
 
-    A table is scanned once for all its rules, and once more for its key if it has one. ``by``
-    names a column that splits the tables into runs; each run is judged on its own, without the key.
+    A table is scanned once for all its rules, and once more for each of its keys that rules are about. ``by``
+    names a column that splits the tables into runs; each run is judged on its own, without keys and other
+    ``relations``.
     """
+
     parts = []
     for name, rule in rules.items():
         if name in tables:
             parts += _evaluate(tables[name], name, rule, as_of, by)
+    if relations and not by:
+        parts += evaluate_relations(tables, rules)
     missing = unmatched_rules(tables, rules) if unmatched and not by else []
     if missing:
         rows = [_skipped(check_type, column, "no table has this column") for check_type, column in missing]

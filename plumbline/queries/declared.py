@@ -41,8 +41,30 @@ def _config_sql() -> str:
             ("lineitem", 1000, 30000),
             ("customer", 500, 250000),
             ("events", 100, 1000000),
+            ("nation", 1, 1000000),
         )
     ]
+    wrong = "count(*) FILTER (TRY_CAST(event_type AS INTEGER) IS NULL AND event_type IS NOT NULL)"
+    rows.append(_row("events", "event_type", "castable", f"{wrong} = 0", "0 values that are no int", wrong))
+    for t, c, parent, key, check in (
+        ("orders", "o_custkey", "customer", "c_custkey", "foreign_key"),
+        ("lineitem", "l_orderkey", "orders", "o_orderkey", "foreign_key"),
+        ("customer", "c_nationkey", "nation", "n_nationkey", "lookup"),
+    ):
+        orphans = f"count({c}) FILTER ({c} NOT IN (SELECT {key} FROM {parent}))"
+        rows.append(_row(t, c, check, f"{orphans} = 0", f"all in {parent}.{key}", orphans))
+    rows.append(
+        """SELECT 'lineitem', 'l_linenumber', 'sequence', CASE WHEN sum(gaps) = 0 THEN 'PASS' ELSE 'FAIL' END,
+          '0 gaps', CAST(sum(gaps) AS DOUBLE), NULL FROM (SELECT l_orderkey, count(*) FILTER (step > 1) AS gaps
+            FROM (SELECT l_orderkey, n - lag(n) OVER (PARTITION BY l_orderkey ORDER BY n) AS step
+              FROM (SELECT DISTINCT l_orderkey, l_linenumber AS n FROM lineitem)) GROUP BY 1)"""
+    )
+    rows.append(
+        """SELECT 'lineitem', 'l_shipdate', 'date_order',
+          CASE WHEN count(*) FILTER (l_shipdate < o_orderdate) = 0 THEN 'PASS' ELSE 'FAIL' END,
+          'not before orders.o_orderdate', CAST(count(*) FILTER (l_shipdate < o_orderdate) AS DOUBLE), NULL
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+    )
     for t, c in (
         ("orders", "o_orderkey"),
         ("lineitem", "l_orderkey"),
@@ -70,6 +92,7 @@ def _config_sql() -> str:
         ("lineitem", "l_orderkey, l_linenumber"),
         ("customer", "c_custkey"),
         ("events", "event_id"),
+        ("nation", "n_nationkey"),
     ):
         rows.append(
             f"""SELECT '{t}', '{key}', 'primary_key', CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END,
@@ -80,6 +103,10 @@ def _config_sql() -> str:
         "SELECT 'customer', NULL, 'freshness', 'SKIP', '<=24h', CAST(NULL AS DOUBLE), NULL "
         "FROM (SELECT count(*) FROM customer)"
     )
+    rows.append(
+        "SELECT 'nation', NULL, 'freshness', 'SKIP', '<=24h', CAST(NULL AS DOUBLE), NULL "
+        "FROM (SELECT count(*) FROM nation)"
+    )
     for t, c, limit in (("orders", "o_orderdate", 24), ("events", "ts", 168), ("lineitem", "l_shipdate", 24)):
         hours = f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(max({c}))) / 3.6e9"
         latest = f"strftime(max({c}), '%Y-%m-%d %H:%M:%S')"

@@ -67,7 +67,8 @@ def check_run(spark, sf_dir):
 
 _ISOLATED = """
 WITH results AS ({config}), kept AS (
-  SELECT table_name, column_name, check_type, status FROM results WHERE table_name = 'customer'
+  SELECT table_name, column_name, check_type,
+    CASE check_type WHEN 'lookup' THEN 'SKIP' ELSE status END AS status FROM results WHERE table_name = 'customer'
   UNION ALL SELECT 'customer', 'c_name', 'range_checks', 'ERROR' FROM (SELECT count(*) FROM customer)
   UNION ALL SELECT 'broken', NULL, 'evaluation', 'ERROR' FROM (SELECT count(*) FROM customer))
 SELECT * FROM kept

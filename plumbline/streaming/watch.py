@@ -24,10 +24,11 @@ from pyspark.sql import types as T
 from plumbline.functions import text
 from plumbline.functions.frames import NothingToDo, union_all
 from plumbline.functions.jobs import side_by_side
+from plumbline.functions.schema import resolve
 from plumbline.operators.checks import literal_rows
 from plumbline.operators.table_checks import timestamp_column
 from plumbline.plans.policy import TableRules
-from plumbline.plans.rules import Check, compile_checks, resolve
+from plumbline.plans.rules import Check, compile_checks
 from plumbline.sources import load_table
 from plumbline.streaming.monitor import arrivals
 
