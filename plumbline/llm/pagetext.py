@@ -7,7 +7,10 @@ likely content than not is the main text.
 
 The potentials are estimated on a bounded sample of pages that label themselves by an ``article`` or
 ``main`` element, as a correction of fixed first values that hold where the sample says nothing.
-Elements that cannot belong to an article (menus, headers, footers, sidebars, forms) are observed. A
+Elements that cannot belong to an article (menus, headers, footers, sidebars, forms) are observed, with all that
+stands in them. Not observed are the header of a labelled article, a form that holds an article's heading or much of
+the page's text beside its labels (pages are wrapped in forms), and an element that was left open around
+a labelled article that is most of the page. A
 class, id or role with a word for such an element is a feature; it is observed only if one whole name is
 such a word and the block holds no article, main or h1 and little of the page's text, or stands outside
 the article that the page labels.
@@ -41,6 +44,8 @@ BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table caption thead tbody"
     " tfoot tr td th blockquote pre figure figcaption address center details summary hr hgroup search".split()
 ) | APART
+#: What ends the search for an open paragraph.
+NOT_P = BLOCKS - {"p"}
 CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "thead", "tbody", "tfoot", "caption"}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # An element of this kind ends open ones of these kinds, up to the given container.
@@ -64,12 +69,12 @@ NAMES_CONTENT = frozenset("content article post entry story body text main".spli
 #: The share of a page's text up to which a block is observed as no content by its name.
 SMALL_SHARE = 0.3
 
-FEATURES = ("bias", "content_name", "apart_name", "text", "sentences", "links", *sorted(BLOCKS - APART))
+FEATURES = ("bias", "content_name", "apart_name", "text", "sentences", "links", *sorted(BLOCKS - APART), "form", "header")
 # First weights of the features.
 FIRST = dict.fromkeys(FEATURES, 0.0) | {
     "bias": -0.3, "content_name": 3.0, "apart_name": -4.0, "text": 0.8, "sentences": 0.6, "links": -4.0,
     "article": 8.0, "main": 8.0, "p": 1.0, "h1": 1.5, "h2": 1.0, "h3": 1.0, "blockquote": 1.0,
-    "pre": 1.0, "html": -4.0, "body": -2.0,
+    "pre": 1.0, "html": -4.0, "body": -2.0, "form": -1.0, "header": -0.5,
 }
 #: How often, in made-up pages, a child is content below a parent of label 0 and of label 1.
 FIRST_EDGES = ((9.0, 1.0), (1.0, 60.0))
@@ -80,6 +85,9 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*>|(?P<text>[^<]++|<)",
     re.DOTALL,
 )
+#: A tag with a quote that is never closed ends at the next bracket.
+_BROKEN = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<rest>[^>]*)(?P<text>)>")
+_OPENS = re.compile(r"</?[a-zA-Z]")
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _CONCEALED = re.compile(
     r"(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE
@@ -98,6 +106,7 @@ class Block:
     inside: bool = False
     text: int = 0
     linked: int = 0
+    labelled: int = 0
     sentences: int = 0
     pieces: list[str] = field(default_factory=list)
 
@@ -105,7 +114,9 @@ class Block:
 def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
     """The blocks of a page in the order of their start, and its texts in order with their block."""
     nodes, texts = [Block("html", -1)], []
-    stack, links, at, hidden = [0], 0, 0, ""
+    stack, links, labels, at = [0], 0, 0, 0
+    # How many blocks of a kind are open, and hidden elements that nothing ends from here on.
+    opened, endless = dict.fromkeys(BLOCKS, 0), set()
 
     def flush() -> None:
         node = nodes[stack[-1]]
@@ -119,9 +130,13 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
 
     def close(k: int) -> None:
         flush()
+        for i in stack[k:]:
+            opened[nodes[i].tag] -= 1
         del stack[k:]
 
     def innermost(kinds: frozenset[str], container: frozenset[str] = frozenset()) -> int:
+        if not any(opened[kind] for kind in kinds):
+            return 0
         for k in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[k]].tag
             if tag in kinds:
@@ -132,40 +147,47 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
 
     while at < len(page):
         m = _TOKEN.match(page, at)
-        if m is None:  # an unfinished tag
-            m_end, tag = len(page) if page.find(">", at) < 0 else page.find(">", at) + 1, None
-            at = m_end
-            continue
-        at = m.end()
-        if (text := m["text"]) is not None:
+        if m["text"] == "<" and _OPENS.match(page, at):
+            m = _BROKEN.match(page, at)
+            if m is None:  # an unfinished tag
+                break
+        elif (text := m["text"]) is not None:
+            at = m.end()
             nodes[stack[-1]].pieces.append(text)
             if links:
                 nodes[stack[-1]].linked += len(text.strip())
+            if labels:
+                nodes[stack[-1]].labelled += len(text.strip())
             continue
+        at = m.end()
         if m["tag"] is None:
             continue
         tag, ending = m["tag"].lower(), bool(m["end"])
         if tag in HIDDEN:
-            if not ending and not m["rest"].endswith("/"):
+            if not ending and not m["rest"].endswith("/") and tag not in endless:
                 over = re.compile(rf"</{re.escape(tag)}(?=[\s>/])[^>]*>", re.IGNORECASE).search(page, at)
                 if over:
                     at = over.end()
                 elif tag in ("script", "style", "textarea"):
                     at = len(page)
+                else:
+                    endless.add(tag)
             continue
         if tag == "br":
             nodes[stack[-1]].pieces.append(" ")
         elif tag == "a":
             links = 0 if ending else 1
+        elif tag == "label":
+            labels = 0 if ending else 1
         if tag not in BLOCKS:
             continue
-        links = 0
+        links = labels = 0
         if ending:
             k = innermost(frozenset((tag,)))
             if k:
                 close(k)
             continue
-        if tag in CLOSES_P and (k := innermost(frozenset(("p",)), BLOCKS - {"p"})):
+        if tag in CLOSES_P and (k := innermost(frozenset(("p",)), NOT_P)):
             close(k)
         if tag in ENDS and (k := innermost(*ENDS[tag])):
             close(k)
@@ -179,7 +201,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         node = Block(
             tag,
             stack[-1],
-            apart=tag in APART or bool(m["rest"] and _CONCEALED.search(m["rest"])),
+            apart=bool(m["rest"] and _CONCEALED.search(m["rest"])),
             content_name=not words.isdisjoint(NAMES_CONTENT),
             apart_name=named and not words.isdisjoint(NAMES_APART),
             wholly=named and any(_wholly(n) for n in names.lower().split()),
@@ -188,10 +210,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
         nodes.append(node)
         if tag not in VOID:
             stack.append(len(nodes) - 1)
-    while stack:
-        close(len(stack) - 1)
-        if len(stack) == 0:
-            break
+            opened[tag] += 1
+    flush()
     _observe(nodes)
     return nodes, texts
 
@@ -203,18 +223,30 @@ def _wholly(name: str) -> bool:
 
 
 def _observe(nodes: list[Block]) -> None:
-    """Observe blocks that are wholly named as no content and cannot be where the article is."""
-    held = [n.text for n in nodes]
-    opens = [n.tag in LABELLING or n.tag == "h1" for n in nodes]
+    """Observe the blocks that cannot belong to the article, by kind or by name, and all that stands in them."""
+    held, labels = [n.text for n in nodes], [n.labelled for n in nodes]
+    labelling = [n.tag in LABELLING for n in nodes]
+    opens = [n.tag == "h1" or own for n, own in zip(nodes, labelling)]
     for i in range(len(nodes) - 1, 0, -1):
         parent = nodes[i].parent
         held[parent] += held[i]
+        labels[parent] += labels[i]
         opens[parent] |= opens[i]
+        labelling[parent] |= labelling[i]
     labelled = any(n.tag in LABELLING and size for n, size in zip(nodes, held))
-    for node, size, opening in zip(nodes, held, opens):
-        apart = labelled and not node.inside or size <= SMALL_SHARE * held[0]
-        if node.wholly and not opening and apart:
-            node.apart = True
+    for i in range(1, len(nodes)):
+        node, parent, size = nodes[i], nodes[nodes[i].parent], held[i]
+        by_kind = node.tag in APART
+        if node.tag == "header" and parent.inside:
+            by_kind = False
+        elif node.tag == "form":
+            by_kind = not opens[i] and size - labels[i] <= SMALL_SHARE * held[0]
+        elif by_kind:
+            by_kind = not (labelling[i] and 2 * size > held[0])
+        outside = labelled and not node.inside or size <= SMALL_SHARE * held[0]
+        by_name = node.wholly and not opens[i] and outside
+        # Parents come before their children.
+        node.apart = node.apart or parent.apart or by_kind or by_name
 
 
 def _features(node: Block) -> dict[str, float]:
@@ -358,8 +390,9 @@ def main_texts(pages: DataFrame, model: Model | None = None) -> DataFrame:
     """``(page_id, url, text, n_chars)`` for every row of ``pages``, from the whole ``html``.
 
     Null, empty and blank pages, and pages without an article, have an empty text. Repeated rows
-    repeat, null ids and addresses stay null, and other columns are not read. Without a labelled page
-    the first values of the model are used.
+    repeat, null ids and addresses stay null, and other columns are not read; an empty table has no rows.
+    Without a labelled page the first values of the model are used. Long pages are read in time that grows
+    with their length, whatever is left open in them; a page takes some hundred bytes per tag.
     """
     model = model or fitted(pages)
     found = pages.select(
