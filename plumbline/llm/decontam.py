@@ -5,7 +5,8 @@ share of the unit's own BM25 score that a term brings. Every document is cut int
 passages, long enough that each unit that a document holds is inside one. A passage asks the index
 for all units whose score reaches the threshold. First the terms' greatest shares are summed; only
 where they reach it the posting lists are read, with block maxima to skip what cannot. An item that
-is found this way counts if the document has enough of the trigrams of its question and of its answer.
+is found this way counts if enough of the trigrams of its question and of the words of its answer stand near
+one of the passages that retrieved it: no further before or behind it than the item is long.
 
 The index is dealt over shards of at most ``SHARD`` units by item, and the documents meet one shard
 after the other, so what a task holds of the index has a fixed bound.
@@ -140,11 +141,12 @@ class Index:
         self.bits = np.zeros(1 << 20, dtype=bool)
         self.bits[(self.terms & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
         powers = Powers()
-        self.parts = {}
+        self.parts, self.reach = {}, {}
         for item, text in items:
             pair = _question_and_answer(text or b"")
             hashes = [_terms([p], powers).hashes for p in pair]
             self.parts[item] = [(min(g, len(h)), _grams(h, g)) for g, h in zip(GRAMS, hashes)]
+            self.reach[item] = sum(map(len, hashes))
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The term number of each word, or -1."""
@@ -211,23 +213,38 @@ class Index:
             cursors = left
         return found
 
-    def candidates(self, hashes: np.ndarray, first: np.ndarray, threshold: float) -> list[dict[int, float]]:
-        """For each text the items whose units its passages retrieve, with the best score."""
+    def candidates(
+        self, hashes: np.ndarray, first: np.ndarray, threshold: float
+    ) -> list[dict[int, list[tuple[float, int, int]]]]:
+        """For each text the items whose units its passages retrieve, with score, start and end of each passage."""
         number = self.numbers(hashes)
         spans = [
             (t, s, min(s + PASSAGE, b))
             for t, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist()))
             for s in range(a, max(a + 1, b - PASSAGE + STRIDE), STRIDE)
         ]
-        out: list[dict[int, float]] = [{} for _ in first[1:]]
+        out: list[dict[int, list]] = [{} for _ in first[1:]]
         for k in np.flatnonzero(self._bounds(number, first) >= threshold - 1e-4).tolist():
             t, s, e = spans[k]
             own = number[s:e]
+            best: dict[int, float] = {}
             for unit, score in self.search(np.unique(own[own >= 0]).tolist(), threshold).items():
                 item = int(self.items[unit, 0])
-                out[t][item] = max(out[t].get(item, 0.0), score)
+                best[item] = max(best.get(item, 0.0), score)
+            for item, score in best.items():
+                out[t].setdefault(item, []).append((score, s, e))
         return out
 
+    def verified(self, item: int, own: np.ndarray, places: list[tuple[float, int, int]]) -> list[float]:
+        """The shares of an item's question and answer near the passage that has most of both; ``own`` are
+        the words of the text."""
+        best = [0.0, 0.0]
+        for _, s, e in places:
+            near = own[max(0, s - self.reach[item]) : e + self.reach[item]]
+            shares = [float(np.isin(grams, _grams(near, size)).mean()) if size else 1.0 for size, grams in self.parts[item]]
+            best = max(best, shares, key=lambda x: (min(x), sum(x)))
+        return best
+
     def _bounds(self, number: np.ndarray, first: np.ndarray) -> np.ndarray:
         """For each passage at least the score of its best unit."""
         sizes = np.diff(first)
@@ -271,15 +288,12 @@ def _leaks_of(
             for i, items in enumerate(shard.candidates(found.hashes, found.first, threshold)):
                 if not items:
                     continue
-                own = found.hashes[found.first[i] : found.first[i + 1]]
-                held = {size: _grams(own, size) for size in range(1, max(GRAMS) + 1)}
-                for item, score in items.items():
-                    shares = [
-                        float(np.isin(grams, held[size]).mean()) if size else 1.0
-                        for size, grams in shard.parts[item]
-                    ]
+                start = int(found.first[i])
+                own = found.hashes[start : found.first[i + 1]]
+                for item, places in items.items():
+                    shares = shard.verified(item, own, [(score, s - start, e - start) for score, s, e in places])
                     if min(shares) >= overlap:
-                        rows.append((ids[a + i], keys[a + i], item, score, *shares))
+                        rows.append((ids[a + i], keys[a + i], item, max(p[0] for p in places), *shares))
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)],
@@ -297,7 +311,7 @@ def leaks(
     """``(doc_id, text_hash, item_id, score, question_overlap, answer_overlap)`` for every document
     and test item that it holds; ``items`` has ``item_id`` and ``text``.
 
-    ``score`` is the best share of a unit's BM25 score in a passage. Case, punctuation and white
+    ``score`` is the best share of a unit's BM25 score in a passage, the overlaps are those near one passage. Case, punctuation and white
     space do not matter. Null, empty and blank texts hold nothing and items without words are held
     by nothing; items without an id are left out. Repeated rows of documents repeat, repeated items
     do not. Documents without an id are searched too and named by ``text_hash``. Other columns are

@@ -308,8 +308,9 @@ def test_pages_of_other_shapes(spark):
         assert pagetext.main_texts(docs, model).first()["text"] == "A title\nFirst <b>.\nTwo lines and a link.\none\ntwo"
 
 
-def test_marginals_are_exact():
-    nodes, _ = pagetext.blocks_of("<body><div class=content><p>Some text. More.</p><ul><li>a<li>b</ul></div><nav>x</nav>")
+@pytest.mark.parametrize("apart", ["<nav>x</nav>", "<nav><ul><li>x. And more.</ul></nav>", "<aside><div><div><p>x. And more.</div></div></aside>"])
+def test_marginals_are_exact(apart):
+    nodes, _ = pagetext.blocks_of(f"<body><div class=content><p>Some text. More.</p><ul><li>a<li>b</ul></div>{apart}")
     model = pagetext.Model(pagetext.FIRST, pagetext.FIRST_EDGES)
     own = [0 if n.apart else sum(model.weights.get(k, 0) * v for k, v in pagetext._features(n).items()) for n in nodes]
     total, content = 0.0, np.zeros(len(nodes))
