@@ -151,6 +151,7 @@ def _blocks(members: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int
         blocks(F.col("most.c"), F.col("most.s")).alias("p"),
         blocks(F.col("c") - F.col("most.c"), F.col("s") - F.col("most.s")).alias("q"),
     )
+    plan = stored(plan, "blocks")
     dealt = members.join(plan, "h").withColumn("is_main", F.col("label") == F.col("main"))
     # Main blocks are numbered from 0, the others from p. A group (x, y) compares block x with y.
     dealt = dealt.withColumn(
@@ -197,8 +198,11 @@ def near_duplicates(
     )
     nodes = stored(classes, "nodes")
     keys = nodes.select("node", "n_shingles", F.explode("bands").alias("h"))
-    buckets = keys.groupBy("h").agg(F.min("node").alias("center"), F.count("*").alias("size"))
-    members = stored(keys.join(buckets.where("size > 1"), "h"), "members")
+    # Written first: a join of two plain shuffles can be split where one bucket fills a task, a join behind the
+    # grouping that shares its shuffle cannot.
+    grouped = keys.groupBy("h").agg(F.min("node").alias("center"), F.count("*").alias("size"))
+    buckets = stored(grouped.where("size > 1"), "buckets")
+    members = stored(keys.join(buckets, "h"), "members")
 
     # The texts that are compared, read from all documents once.
     meeting = stored(members.select("node").distinct(), "meeting")
@@ -221,11 +225,13 @@ def near_duplicates(
     labelled = members.join(labels, "node", "left").select(
         "h", "node", "n_shingles", "size", F.coalesce("label", "node").alias("label")
     )
-    mixed = (
+    labelled = stored(labelled, "labelled")
+    mixed = stored(
         labelled.groupBy("h")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
-        .select("h")
+        .select("h"),
+        "mixed",
     )
     rest = stored(labelled.join(mixed, "h"), "rest")
     few = rest.where(F.col("size") <= ROWS_OF_PAIRS)

@@ -42,13 +42,15 @@ def components(edges: DataFrame) -> DataFrame:
     )
     state = _state(edges)
     while state[0]:
+        # The least of every node is written before it is joined: so the links of a node that has very many can
+        # be split over tasks, and a task hands on one row per node.
         ways = _both_ways(edges)
-        least = ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = stored(ways.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = (
             ways.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         )
-        large = large.where("a <> b").distinct()
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = stored(large.where("a <> b").distinct(), "large")
+        lowest = stored(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = large.join(lowest, "a")
         edges = stored(
             small.select(F.col("b").alias("a"), F.col("m").alias("b"))
