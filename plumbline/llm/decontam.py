@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import octets
 from plumbline.llm.stored import stored
-from plumbline.llm.tokens import Powers, mixed, parts, words
+from plumbline.llm.tokens import Powers, hashes, mixed, parts, words
 
 UNIT, PASSAGE, STRIDE = 32, 64, 32
 K1, B = 1.2, 0.75
@@ -36,6 +36,8 @@ SHARD, BLOCK = 4096, 64
 GRAMS = (3, 1)
 #: Columns into which units are folded where passages are bounded.
 FOLD = 1024
+#: Words of a long text that are searched together.
+SEARCHED = 1 << 14
 
 # Letters, digits and the bytes of longer characters make words.
 _APART = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
@@ -235,6 +237,20 @@ class Index:
                 out[t].setdefault(item, []).append((score, s, e))
         return out
 
+    def retrieved(self, hashes: np.ndarray, first: np.ndarray, threshold: float) -> list[dict[int, list]]:
+        """:meth:`candidates` of texts; a long one is searched in runs of ``SEARCHED`` words. Runs begin where a
+        passage does and share the words of their last passage, so the passages are the same."""
+        if len(first) != 2 or first[1] - first[0] <= SEARCHED + STRIDE:
+            return self.candidates(hashes, first, threshold)
+        out: dict[int, list] = {}
+        # A last run of no more than a stride holds no passage of its own.
+        for start in range(0, len(hashes) - PASSAGE + STRIDE, SEARCHED):
+            own = hashes[start : start + SEARCHED + PASSAGE - STRIDE]
+            (found,) = self.candidates(own, np.array([0, len(own)]), threshold)
+            for item, places in found.items():
+                out.setdefault(item, []).extend((score, s + start, e + start) for score, s, e in places)
+        return [out]
+
     def verified(self, item: int, own: np.ndarray, places: list[tuple[float, int, int]]) -> list[float]:
         """The shares of an item's question and answer near the passage that has most of both; ``own`` are
         the words of the text."""
@@ -284,12 +300,12 @@ def _leaks_of(
         keys = batch.column(2).to_pylist()
         rows = []
         for a, b in parts(texts):
-            found = _terms(texts[a:b], powers)
-            for i, items in enumerate(shard.candidates(found.hashes, found.first, threshold)):
+            own_hashes, first = hashes(texts[a:b], powers, _APART)
+            for i, items in enumerate(shard.retrieved(own_hashes, first, threshold)):
                 if not items:
                     continue
-                start = int(found.first[i])
-                own = found.hashes[start : found.first[i + 1]]
+                start = int(first[i])
+                own = own_hashes[start : first[i + 1]]
                 for item, places in items.items():
                     shares = shard.verified(item, own, [(score, s - start, e - start) for score, s, e in places])
                     if min(shares) >= overlap:
@@ -315,7 +331,7 @@ def leaks(
     space do not matter. Null, empty and blank texts hold nothing and items without words are held
     by nothing; items without an id are left out. Repeated rows of documents repeat, repeated items
     do not. Documents without an id are searched too and named by ``text_hash``. Other columns are
-    not read.
+    not read. A long text is hashed in pieces of a megabyte and searched in runs of ``SEARCHED`` words.
     """
     named = items.where("item_id IS NOT NULL").select(
         F.col("item_id").cast("long"), F.col("text").cast("string")

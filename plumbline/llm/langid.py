@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import octets
 from plumbline.llm.stored import stored
-from plumbline.llm.tokens import parts
+from plumbline.llm.tokens import PIECE, cut, parts
 
 LANGUAGES = ("en", "fr", "de", "es")
 OTHER = "other"
@@ -49,6 +49,9 @@ _FOLDED[65:91] += 32
 _FOLDED[[b for b in range(128) if not chr(b).isalpha()]] = 32
 
 
+_APART = _FOLDED[np.arange(256)] == 32
+
+
 def _buckets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the trigrams with a letter in the middle of all texts, and where each text's begin."""
     joined = b" " + b"   ".join(t or b"" for t in texts) + b"   "
@@ -61,6 +64,17 @@ def _buckets(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return buckets, np.searchsorted(counted, starts)
 
 
+def _pieces(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Texts by range, a long one alone and in pieces cut between letters: a trigram has a letter in its middle
+    and never two signs that are none, so each is in one piece."""
+    for a, b in parts(texts, most):
+        if b - a == 1 and len(texts[a] or b"") > PIECE:
+            for piece in cut(texts[a], _APART):
+                yield a, b, [piece]
+        else:
+            yield a, b, texts[a:b]
+
+
 def _counted(batches: Iterator[pa.RecordBatch], languages: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
     place = {name: i for i, name in enumerate(languages)}
@@ -68,8 +82,8 @@ def _counted(batches: Iterator[pa.RecordBatch], languages: tuple[str, ...]) -> I
         declared, texts = batch.column(0).to_pylist(), octets(batch.column(1))
         for language, i in place.items():
             own = [t for t, d in zip(texts, declared) if d == language]
-            for a, b in parts(own, 1 << 20):
-                counts[i] += np.bincount(_buckets(own[a:b])[0], minlength=BUCKETS)
+            for _, _, piece in _pieces(own, 1 << 20):
+                counts[i] += np.bincount(_buckets(piece)[0], minlength=BUCKETS)
     language, bucket = np.nonzero(counts)
     yield pa.RecordBatch.from_pydict(
         {
@@ -137,12 +151,12 @@ def _scored(batches: Iterator[pa.RecordBatch], profile: np.ndarray) -> Iterator[
         texts = octets(batch.column(1))
         sums = np.zeros((len(texts), len(profile)))
         sizes = np.zeros(len(texts), dtype=np.int64)
-        for a, b in parts(texts):
-            buckets, first = _buckets(texts[a:b])
-            sizes[a:b] = np.diff(first)
+        for a, b, piece in _pieces(texts, 1 << 18):
+            buckets, first = _buckets(piece)
+            sizes[a:b] += np.diff(first)
             running = np.zeros((len(buckets) + 1, len(profile)))
             np.cumsum(by_bucket[buckets], axis=0, dtype=np.float64, out=running[1:])
-            sums[a:b] = running[first[1:]] - running[first[:-1]]
+            sums[a:b] += running[first[1:]] - running[first[:-1]]
         flat = pa.array(sums.reshape(-1))
         lists = pa.ListArray.from_arrays(
             pa.array(np.arange(len(texts) + 1, dtype=np.int32) * len(profile)), flat

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 from plumbline.llm.arrow import chunks
-from plumbline.llm.tokens import Powers, mixed, parts, words
+from plumbline.llm.tokens import Powers, hashes, mixed, parts
 
 WORDS = 5
 
@@ -25,8 +25,7 @@ def shingle_sets(texts: list[bytes | None], powers: Powers) -> list[np.ndarray]:
     """
     out = []
     for a, b in parts(texts):
-        found = words(texts[a:b], powers)
-        h, first = found.hashes, found.first
+        h, first = hashes(texts[a:b], powers)
         last = max(0, len(h) - WORDS + 1)
         windows = h[:last] * _PLACES[0]
         for i in range(1, WORDS):

@@ -9,6 +9,9 @@ import numpy as np
 
 from plumbline.llm.arrow import chunks
 
+#: Bytes of a piece of a long text.
+PIECE = 1 << 20
+
 _BASE = 0xD1342543DE82EF95
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _CODES = np.random.default_rng(20240229).integers(0, 1 << 64, 256, dtype=np.uint64) | np.uint64(1)
@@ -76,12 +79,22 @@ def words(texts: list[bytes | None], powers: Powers, blank: np.ndarray = _BLANK)
     return Words(data, starts, ends, hashes, np.searchsorted(starts, bounds))
 
 
+def hashes(texts: list[bytes | None], powers: Powers, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and where each text's begin; one long text is read in pieces cut between words,
+    so that it costs 8 bytes a word and one piece."""
+    if len(texts) == 1 and len(texts[0] or b"") > PIECE:
+        found = np.concatenate([words([piece], powers, blank).hashes for piece in cut(texts[0], blank)])
+        return found, np.array([0, len(found)])
+    found = words(texts, powers, blank)
+    return found.hashes, found.first
+
+
 def parts(texts: list[bytes | None], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts that fit the processor's cache together; a longer text is alone."""
     return chunks([len(t or b"") for t in texts], most)
 
 
-def cut(text: bytes, blank: np.ndarray = _BLANK, most: int = 1 << 20) -> Iterator[bytes]:
+def cut(text: bytes, blank: np.ndarray = _BLANK, most: int = PIECE) -> Iterator[bytes]:
     """A long text in pieces of about ``most`` bytes that end between words; a longer word is whole."""
     start = 0
     while len(text) - start > most:
