@@ -90,7 +90,7 @@ def run_daily(
 
         def store_columns(part: Sequence[str]) -> None:
             chosen = df if len(part) == len(columns) else df.select(*map(quoted, part))
-            assessed = assess({name: chosen}, policy, distinct, max_columns)
+            assessed = assess({name: chosen}, policy, distinct, max_columns, profile.WITHOUT_SPREAD)
             if len(part) < len(columns):
                 place = F.create_map(*[F.lit(x) for c in part for x in (c, numbers[c])])
                 assessed = assessed.withColumn("ordinal", place[F.col("column_name")].cast("int"))
@@ -167,6 +167,8 @@ def detail_with_values(
     tables: Mapping[str, DataFrame], policy: Policy = Policy(), distinct: str = "exact"
 ) -> DataFrame:
     """The column detail with the frequent values of string columns."""
-    scored = scoring.score_signs(profile.profile_tables(tables, distinct=distinct), policy)
+    # No report shows the deviation, which would read the counted values once more.
+    profiled = profile.profile_tables(tables, distinct=distinct, stats=profile.WITHOUT_SPREAD)
+    scored = scoring.score_signs(profiled, policy)
     values = frequency.frequent_values(tables, report.SHOWN_VALUES, share=False)
     return report.report_detail(scored, values, policy)

@@ -34,7 +34,7 @@ def profile_nulls(spark, sf_dir):
         FROM ({sql.profile(PROFILED)})""",
 )
 def profile_distinct(spark, sf_dir):
-    found = profile.profile_tables(sources(spark, sf_dir, PROFILED))
+    found = profile.profile_tables(sources(spark, sf_dir, PROFILED), stats=profile.WITHOUT_SPREAD)
     return rounded(found, 2, "uniqueness_pct").select(
         "table_name", "column_name", "total_rows", "distinct_count", "uniqueness_pct"
     )
@@ -401,7 +401,7 @@ def words(spark, sf_dir):
 )
 def profile_approx(spark, sf_dir):
     tables = sources(spark, sf_dir, ["lineitem", "orders"])
-    exact = profile.profile_tables(tables).select(
+    exact = profile.profile_tables(tables, stats=profile.WITHOUT_SPREAD).select(
         "table_name", "column_name", F.col("distinct_count").alias("exact_count")
     )
     estimated = profile.profile_tables(tables, distinct="approx", stats=())

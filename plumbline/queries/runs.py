@@ -96,6 +96,35 @@ def check_run_isolated(spark, sf_dir):
     return results.select("table_name", "column_name", "check_type", "status")
 
 
+_TOLD = """CASE WHEN actual IS NOT NULL THEN ' - ' || printf('%.2f', ACTUAL) || ' against ' || threshold
+  WHEN threshold IS NOT NULL THEN ' - ' || threshold ELSE '' END""".replace("ACTUAL", r("actual", 2))
+
+
+@query(
+    "rule_summary",
+    f"""WITH results AS ({CONFIG_SQL}),
+        checks AS (SELECT table_name, check_type,
+            CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' WHEN bool_and(status = 'SKIP') THEN 'SKIP'
+                 ELSE 'PASS' END AS status FROM results GROUP BY 1, 2),
+        tables AS (SELECT table_name, CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' ELSE 'PASS' END AS overall
+          FROM checks GROUP BY 1 UNION ALL SELECT 'returns', 'SKIPPED' FROM (SELECT count(*) FROM orders)),
+        head AS (SELECT unnest([repeat('=', 80), 'DATA QUALITY REPORT', repeat('=', 80), 'Generated: {AS_OF}',
+            'Tables Processed: ' || count(*), 'Successful: ' || count(*) FILTER (overall = 'PASS'),
+            'Failed: ' || count(*) FILTER (overall = 'FAIL'), 'Errors: ' || count(*) FILTER (overall = 'ERROR'),
+            'Skipped: ' || count(*) FILTER (overall = 'SKIPPED'), repeat('=', 80)]) AS line FROM tables)
+        SELECT line FROM head
+        UNION ALL SELECT unnest(['TABLE: ' || table_name, repeat('-', 60), '   Overall Status: ' || overall]) FROM tables
+        UNION ALL SELECT '   ' || check_type || coalesce(' ' || column_name, '') || ': ' || status || {_TOLD} FROM results""",
+)
+def rule_summary(spark, sf_dir):
+    """The text summary of a rule run, line by line as it was written."""
+    rules = packaged_rules("tpch")
+    refs = {name: f"{sf_dir}/{name}.parquet" for name in [*rules, "returns"]}
+    everything = {**rules, "returns": TableRules()}
+    paths = run_checks(spark, refs, everything, work_dir(spark, "summary"), "1", AS_OF)
+    return spark.read.text(paths["summary"]).withColumnRenamed("value", "line")
+
+
 @query(
     "published_rows",
     f"""WITH p AS ({PATCHY_ORDERS}), m AS (SELECT
