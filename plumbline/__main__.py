@@ -32,6 +32,7 @@ def main(arguments: list[str] | None = None) -> None:
     daily.add_argument("--date", default=datetime.date.today().isoformat())
     daily.add_argument("--distinct", choices=["exact", "approx", "none"], default="exact")
     daily.add_argument("--max-columns", type=int)
+    daily.add_argument("--sketches", action="store_true", help="keep sketches, so that runs can be profiled together")
     daily.add_argument("--policy", help="JSON file with name patterns and limits; loan tables if left out")
     taken = commands.add_parser("snapshot", help="store a sample of each table by day")
     taken.add_argument("tables", nargs="+", metavar="name=path")
@@ -88,6 +89,7 @@ def main(arguments: list[str] | None = None) -> None:
             failed,
             run_seed(options.date),
             options.date,
+            options.sketches,
         )
         print("\n".join(f"{part}: {path}" for part, path in paths.items()))
     elif options.command == "snapshot":

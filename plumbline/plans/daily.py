@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.jobs import FAILURES, bisected, side_by_side
 from plumbline.functions.schema import column_specs
 from plumbline.functions.text import name as quoted
-from plumbline.operators import checks, frequency, profile, report, scoring, snapshot
+from plumbline.operators import checks, frequency, profile, report, scoring, sketches, snapshot
 from plumbline.operators.drift import drift_between, drift_consecutive
 from plumbline.plans.policy import Policy
 from plumbline.sources import read_documents, write_csv, write_documents, write_lines
@@ -61,13 +61,15 @@ def run_daily(
     failed: Mapping[str, str] | None = None,
     seed: int | None = None,
     run_date: str | None = None,
+    keep_sketches: bool = False,
 ) -> dict[str, str]:
     """Assess the tables and write document, detail, findings, summary and metrics below ``out``.
 
     Each table is profiled once and its assessment stored; all reports read what was stored. A column
     that cannot be analysed is found by halving its table's columns and becomes an ERROR row; the other columns
     are assessed without it. So does a table that cannot be read at all; ``failed`` names those that
-    could not even be loaded, with their errors.
+    could not even be loaded, with their errors. ``keep_sketches`` stores sketches of the assessed columns beside the
+    run, at the cost of one more scan, for :func:`window_profile`.
     """
     started = time.monotonic()
     failed = dict(failed or {})
@@ -76,7 +78,7 @@ def run_daily(
     spark = next(iter(tables.values())).sparkSession
     paths = {
         part: f"{out.rstrip('/')}/{part}/run_id={run_id}"
-        for part in ("assessment", "documents", "detail", "findings", "summary", "metrics")
+        for part in ("assessment", "documents", "detail", "findings", "summary", "metrics", "sketches")
     }
     targets = {name: f"{paths['assessment']}/source={name}" for name in tables}
 
@@ -115,6 +117,8 @@ def run_daily(
     if not good:
         raise RuntimeError(f"no table could be analysed: {failed or broken}")
     stored = spark.read.parquet(*[good[name] for name in tables if name in good])
+    if keep_sketches:
+        failed |= side_by_side({name: partial(_sketch, tables[name], name, broken, paths["sketches"]) for name in good})
     errors = [(name, None, error) for name, error in failed.items()]
     errors += [(name, column or None, error) for (name, column), error in sorted(broken.items())]
     detail = report.report_detail(stored, policy=policy)
@@ -148,6 +152,19 @@ def run_daily(
     return paths
 
 
+def _sketch(df: DataFrame, name: str, broken: Mapping[tuple[str, str], str], out: str) -> None:
+    known = df.drop(*[column for table, column in broken if table == name])
+    sketches.column_sketches(known, name).write.mode("overwrite").parquet(f"{out}/source={name}")
+
+
+def window_profile(spark, out: str, first_run: str = "", last_run: str = "~") -> DataFrame:
+    """Counts, estimated distinct counts and quantiles per column over the runs from ``first_run`` to ``last_run``,
+    from the sketches that the runs kept: no table is read again."""
+    stored = spark.read.option("basePath", f"{out.rstrip('/')}/sketches").parquet(f"{out.rstrip('/')}/sketches/run_id=*")
+    runs = F.col("run_id").cast("string").between(first_run, last_run)
+    return sketches.estimated(sketches.merged(stored.where(runs), "table_name"))
+
+
 def batch_drift(spark, out: str) -> DataFrame:
     """Drift between consecutive runs whose documents ``run_daily`` left below ``out``."""
     pattern = f"{out.rstrip('/')}/documents/run_id=*/*.json"

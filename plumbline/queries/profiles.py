@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
 from plumbline.functions import half_up
-from plumbline.operators import frequency, outliers, profile, table_checks
+from plumbline.operators import frequency, outliers, profile, sketches, table_checks
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
 from plumbline.queries.inputs import POLICY, PROFILED, SCHEMAS, event_runs, source, sources
 from plumbline.queries.registry import query, rounded, table
 from plumbline.queries.sql import pct, r
+from plumbline.sources import work_dir
 
 
 @query(
@@ -415,3 +418,47 @@ def profile_approx(spark, sf_dir):
     )
 
 
+
+
+@query(
+    "sketched_runs",
+    """SELECT column_name, total_rows, null_count, exact_distinct, TRUE AS distinct_within, ranks_within FROM (
+         SELECT 'event_id' AS column_name, count(*) AS total_rows, count(*) - count(event_id) AS null_count,
+           count(DISTINCT event_id) AS exact_distinct, TRUE AS ranks_within FROM events
+         UNION ALL SELECT 'user_id', count(*), count(*) - count(user_id), count(DISTINCT user_id), TRUE FROM events
+         UNION ALL SELECT 'event_type', count(*), count(*) - count(event_type), count(DISTINCT event_type), NULL FROM events
+         UNION ALL SELECT 'value', count(*), count(*) - count(value), count(DISTINCT value), TRUE FROM events
+         UNION ALL SELECT 'ts', count(*), count(*) - count(ts), count(DISTINCT ts), NULL FROM events
+         UNION ALL SELECT 'props', count(*), count(*) - count(props), count(DISTINCT props), NULL FROM events)""",
+)
+def sketched_runs(spark, sf_dir):
+    """Sketches of each day of events, stored and merged over all days, beside the exact counts: whether
+    estimates lie within three standard errors, and quantiles within the error of their rank."""
+    events, path = event_runs(spark, sf_dir), work_dir(spark, "sketches")
+    sketches.column_sketches(events, "events", by="run_id").write.parquet(path)
+    ranks = (0.1, 0.25, 0.5, 0.75, 0.9)
+    found = sketches.estimated(sketches.merged(spark.read.parquet(path), "table_name"), ranks)
+    names = ["event_id", "user_id", "event_type", "value", "ts", "props"]
+    numbers = ["event_id", "user_id", "value"]
+    exact = events.agg(*[F.count_distinct(c).alias(c) for c in names]).unpivot([], names, "column_name", "exact_distinct")
+    # Five numbers for each of three columns.
+    quantiles = {r["column_name"]: r["quantiles"] for r in found.where(F.col("column_name").isin(numbers)).collect()}
+
+    def near_rank(column: str, value: float, rank: float):
+        below = F.avg((F.col(column) < value).cast("int")) - rank <= sketches.RANK_ERROR
+        return below & (F.avg((F.col(column) <= value).cast("int")) - rank >= -sketches.RANK_ERROR)
+
+    shares = events.agg(
+        *[
+            reduce(lambda a, b: a & b, [near_rank(c, value, rank) for value, rank in zip(quantiles[c], ranks)]).alias(c)
+            for c in numbers
+        ]
+    ).unpivot([], numbers, "column_name", "ranks_within")
+    near = F.abs(F.col("distinct_count") - F.col("exact_distinct")) <= F.greatest(
+        F.lit(1.0), 3 * sketches.DISTINCT_ERROR * F.col("exact_distinct")
+    )
+    return (
+        found.join(exact, "column_name")
+        .join(shares, "column_name", "left")
+        .select("column_name", "total_rows", "null_count", "exact_distinct", near.alias("distinct_within"), "ranks_within")
+    )

@@ -3,7 +3,7 @@ import json
 from plumbline.__main__ import main
 from plumbline.functions.frames import NothingToDo
 from plumbline.functions.jobs import bisected
-from plumbline.plans.daily import assess, batch_drift, run_daily, take_snapshots
+from plumbline.plans.daily import assess, batch_drift, run_daily, take_snapshots, window_profile
 from plumbline.sources import load_each
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -109,3 +109,13 @@ def test_command_line(spark, tmp_path, capsys):
     (document,) = (tmp_path / "documents").glob("run_id=*/*.json")
     found = json.loads(document.read_text().splitlines()[0])
     assert found["table_name"] == "customer_daily" and len(found["column_analysis"]) == 5
+
+
+def test_runs_are_profiled_together_from_their_sketches(spark, tmp_path):
+    out, part = str(tmp_path), tables(spark)["part"]
+    for day, condition in (("20240101", "p_partkey <= 120"), ("20240102", "p_partkey > 80"), ("20240103", "p_partkey > 190")):
+        run_daily({"part": part.where(condition)}, out, f"{day}_000000", "now", keep_sketches=True)
+    found = {r.column_name: r for r in window_profile(spark, out, last_run="20240102_999999").collect()}
+    assert found["p_partkey"].total_rows == 240 and abs(found["p_partkey"].distinct_count - 200) <= 10
+    assert found["p_brand"].distinct_count == part.select("p_brand").distinct().count()
+    assert (found["p_size"].min_num, found["p_size"].max_num) == tuple(part.selectExpr("min(p_size)", "max(p_size)").first())
