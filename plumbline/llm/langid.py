@@ -255,7 +255,8 @@ def identified(
     suffix is no evidence. A text without a trigram of letters, null and empty ones included, has no
     language and is rejected, and so is one of no language that is known; its posterior is that of ``OTHER``.
     Without ``languages`` these are :func:`declared_languages`. ``row_hash`` names the text with its evidence, so equal rows have equal
-    verdicts, whatever their id. Of equally probable languages the first counts.
+    verdicts, whatever their id. Of equally probable languages the first counts. An empty table has no rows. Long texts
+    are counted in pieces of a megabyte, cut where no trigram is.
     """
     languages = languages or declared_languages(evidence)
     profile = with_other(_gram_counts(evidence, languages))
