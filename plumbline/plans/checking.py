@@ -30,6 +30,7 @@ from plumbline.plans.publishing import publish
 from plumbline.plans.relations import Figure, compile_relations, evaluate_domain, evaluate_order
 from plumbline.plans.rules import ALL_TABLES, evaluate_rules, only, rule_units, unmatched_rules
 from plumbline.sources import load_source, write_csv, write_documents, write_lines
+from plumbline.sources.lanes import read_lanes
 
 RESULT = (
     "table_name string, column_name string, check_type string, status string, threshold string, "
@@ -56,17 +57,23 @@ def run_checks(
     everything else is derived from what was stored. Alerts look at all stored runs: too large a share
     of failed checks in this run, and series of failures that reach it.
 
+    Of a CSV the lines that do not fit its header are kept aside with file and text; they are an ERROR row of the
+    table, and its other lines are judged.
+
     ``split_rows`` also stores the rows of every table with critical columns, accepted and rejected apart, and
     publishes them below ``out/rows/<table>`` under the run; a failure there is an ERROR row of the table.
     """
     unlisted = {name: TableRules(volume=DEFAULT_VOLUME, freshness_hours=None) for name in refs if name not in rules}
     rules = {**rules, **unlisted}
-    parts = ("results", "checks", "tables", "run", "by_check", "alerts", "summary", "expected")
+    parts = ("results", "checks", "tables", "run", "by_check", "alerts", "summary", "expected", "malformed")
     paths = {part: f"{out.rstrip('/')}/{part}/run_id={run_id}" for part in parts}
-    targets, tables, missing, errors = {}, {}, [], {}
+    targets, tables, missing, errors, lanes = {}, {}, [], {}, {}
     for name in rules:
         try:
-            tables[name] = load_source(spark, refs[name])
+            if refs[name].endswith(".csv"):
+                tables[name], lanes[name] = read_lanes(spark, refs[name])
+            else:
+                tables[name] = load_source(spark, refs[name])
             targets[name] = f"{paths['results']}/source={name}"
         except KeyError:
             missing.append(name)
@@ -109,6 +116,14 @@ def run_checks(
     for at, error in failed.items():
         unjudged.update({(f.table, f.column, f.check_type): error for f in related[at][1]})
     stored |= {at: at for at in related if at not in failed}
+    lines: dict[str, int] = {}
+
+    def keep_lines(name: str) -> None:
+        kept = f"{paths['malformed']}/source={name}"
+        lanes[name].write.mode("overwrite").parquet(kept)
+        lines[name] = spark.read.schema(lanes[name].schema).parquet(kept).count()
+
+    errors |= side_by_side({name: partial(keep_lines, name) for name in lanes if name not in errors})
     unsplit = {}
     if split_rows:
         critical = {name: [c for c in (resolve(df, c) for c in rules[name].critical) if c] for name, df in tables.items()}
@@ -121,6 +136,11 @@ def run_checks(
         )
     written = list(stored.values())
     broken = [(name, None, "evaluation", "ERROR", None, None, None, e) for name, e in errors.items()]
+    broken += [
+        (name, None, "malformed_rows", "ERROR", "0 lines", float(n), None, f"{n} lines that do not fit the header")
+        for name, n in lines.items()
+        if n
+    ]
     broken += [(name, None, "split_rows", "ERROR", None, None, None, e) for name, e in unsplit.items()]
     broken += [
         (name, column, "null_checks" if kind == "watched_nulls" else kind, "ERROR", None, None, None, e)

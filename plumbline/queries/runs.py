@@ -6,6 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from plumbline.functions import half_up
 from plumbline.plans.checking import run_checks, stored_run
 from plumbline.plans.daily import batch_drift, run_daily
 from plumbline.plans.policy import Range, TableRules
@@ -21,6 +22,7 @@ from plumbline.queries.scores import SCORE_A_SQL
 from plumbline.queries.snapshots import DAY, RATES, sampled
 from plumbline.queries.sql import r
 from plumbline.sources import load_each, work_dir
+from plumbline.sources.lanes import read_lanes
 
 
 @query(
@@ -125,6 +127,48 @@ def rule_summary(spark, sf_dir):
     return spark.read.text(paths["summary"]).withColumnRenamed("value", "line")
 
 
+_BROKEN_LINES = "o_orderkey % 97 = 0"
+
+
+@query(
+    "malformed_rows",
+    f"""SELECT 'kept' AS lane, CAST(NULL AS VARCHAR) AS record, count(*) AS row_count,
+          CAST(sum(o_custkey) AS BIGINT) AS custkeys, {r("avg(o_totalprice)", 2)} AS mean_price,
+          'bigint,int,string,double,timestamp' AS types FROM orders WHERE NOT {_BROKEN_LINES}
+        UNION ALL SELECT 'broken', o_orderkey || ',broken', 1, NULL, NULL, NULL FROM orders WHERE {_BROKEN_LINES}
+        UNION ALL SELECT 'error', count(*) || ' lines that do not fit the header', 1, NULL, NULL, NULL
+          FROM orders WHERE {_BROKEN_LINES} HAVING count(*) > 0""",
+)
+def malformed_rows(spark, sf_dir):
+    """Orders as CSV with lines that lack columns: what is kept, with its types, and what is set aside."""
+    path, orders = f"{work_dir(spark, 'lanes')}.csv", table(spark, sf_dir, "orders")
+    wide = F.col("o_orderkey") + F.lit(1 << 40)
+    whole = F.concat_ws(
+        ",", wide, "o_custkey", F.concat(F.lit("x"), "o_orderstatus"), F.col("o_totalprice"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
+    )
+    line = F.when(F.expr(_BROKEN_LINES), F.concat("o_orderkey", F.lit(",broken"))).otherwise(whole)
+    # One file: its first line is the header.
+    head = spark.range(1).selectExpr("0 AS n", "'key,cust,status,price,day' AS value")
+    head.unionByName(orders.select(F.lit(1).alias("n"), line.alias("value"))).repartition(1).sortWithinPartitions(
+        "n"
+    ).select("value").write.text(path)
+    rules = {"orders": TableRules(volume=Range(1, 10**9), freshness_hours=None)}
+    paths = run_checks(spark, {"orders": path}, rules, work_dir(spark, "lanes"), "1", AS_OF)
+    good, _ = read_lanes(spark, path)
+    kept = good.agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("cust").alias("custkeys"), half_up(F.avg("price"), 2).alias("mean_price")
+    ).selectExpr(
+        "'kept' AS lane", "CAST(NULL AS STRING) AS record", "*", f"'{','.join(t for _, t in good.dtypes)}' AS types"
+    )
+    aside = spark.read.parquet(f"{paths['malformed']}/source=orders").selectExpr("'broken' AS lane", "record")
+    error = stored_run(spark, paths).where("status = 'ERROR'").selectExpr("'error' AS lane", "message AS record")
+    both = aside.unionByName(error).selectExpr(
+        "*", "1L AS row_count", "CAST(NULL AS BIGINT) AS custkeys", "CAST(NULL AS DOUBLE) AS mean_price", "CAST(NULL AS STRING) AS types"
+    )
+    return kept.unionByName(both)
+
+
 @query(
     "published_rows",
     f"""WITH p AS ({PATCHY_ORDERS}), m AS (SELECT
