@@ -46,7 +46,7 @@ from plumbline.llm.tokens import Powers, cut, parts, words
 #: Best documents of an item.
 BEST = 50
 #: Postings of a shard, terms of the items of a pass, and shards that are looked at first.
-POSTINGS, TERMS_A_PASS, FIRST_LOOK = 1 << 19, 1 << 18, 8
+POSTINGS, TERMS_A_PASS, FIRST_LOOK = 1 << 18, 1 << 18, 8
 #: Groups in which the tasks' best are merged first.
 MERGED = 256
 

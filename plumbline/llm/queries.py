@@ -174,6 +174,20 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+_ABLATION_SQL = f"WITH judged AS ({_QUALITY_SQL}) " + " UNION ALL ".join(
+    f"""SELECT '{rule}' AS rule, '{quality.LATEST}' AS policy, count(*) FILTER (failed & {bit} <> 0) AS failing,
+      count(*) FILTER (failed = {bit}) AS "only", count(*) FILTER (failed = 0) AS kept,
+      count(*) FILTER (failed & ~{bit} = 0) AS kept_without FROM judged"""
+    for rule, bit in ((rule, quality.bits([rule])) for rule in quality.RULES)
+)
+
+
+@query("op8_ablation", _ABLATION_SQL)
+def op8_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the latest policy costs, alone and beside the others."""
+    return quality.ablation(quality.ledger(table(spark, sf_dir, "documents")))
+
+
 @query("op6_decontamination")
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""

@@ -182,10 +182,11 @@ def _summed(
     powers = Powers()
     for batch in batches:
         keys, texts = batch.column(0).to_numpy(), octets(batch.column(1))
-        sizes = [len(t or b"") for t in texts]
         for a, b in parts(texts):
             found = words(texts[a:b], powers)
-            bits = mixer.lengths([_form(t) for t in texts[a:b]], *odds, powers)
+            forms = [_form(t) for t in texts[a:b]]
+            sizes = np.array([len(form) for form in forms], dtype=np.int64)
+            bits = mixer.lengths(forms, *odds, powers)
             count = np.diff(found.first)
             text = np.repeat(np.arange(b - a), count)
             at = np.searchsorted(frequent, found.hashes)
@@ -217,7 +218,7 @@ def _summed(
                     ),
                     "base": pa.array(np.concatenate((np.bincount(of, base[own], size) + base[end], zero))),
                     "bits": pa.array(np.concatenate((bits, zero))),
-                    "bytes": pa.array(np.concatenate((np.array(sizes[a:b], dtype=np.int64), nothing))),
+                    "bytes": pa.array(np.concatenate((sizes, nothing))),
                 }
             )
 
@@ -245,8 +246,8 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     bits_per_byte``.
 
     Tokens are the words between ASCII white space, A-Z in lower case, and one end. ``score`` is the
-    model's log10 probability of the words in their order and the end, ``bits_per_byte`` its bits over the bytes of
-    the text and one for the end. A null or empty text is an end only. Repeated rows repeat their
+    model's log10 probability of the words in their order and the end, ``bits_per_byte`` its bits over the bytes that
+    were coded: the words, a blank behind each, and the end. A null or empty text is an end only. Repeated rows repeat their
     scores and count in training each time; so do rows that share an id. A row without an id counts as
     training. Without any training row every count is zero. Other columns are not read.
     """
@@ -309,6 +310,6 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
             F.lit(smoothing[0]).cast("long").alias("train_tokens"),
             one["base"].alias("base_score"),
             (-one["bits"] * F.lit(math.log10(2))).alias("score"),
-            (one["bits"] / (one["bytes"] + 1)).alias("bits_per_byte"),
+            (one["bits"] / one["bytes"]).alias("bits_per_byte"),
         )
     )
