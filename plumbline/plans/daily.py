@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.jobs import FAILURES, bisected, side_by_side
+from plumbline.functions.jobs import FAILURES, bisected, error_name, side_by_side
 from plumbline.functions.schema import column_specs
 from plumbline.functions.text import name as quoted
 from plumbline.operators import checks, frequency, profile, report, scoring, sketches, snapshot
@@ -101,7 +101,7 @@ def run_daily(
 
         try:
             store_columns(columns)
-        except FAILURES:
+        except FAILURES as error:
             # A table that cannot even be counted has no column to blame.
             df.select(F.lit(1)).groupBy().count().first()
             half = max(1, len(columns) // 2)
@@ -111,7 +111,8 @@ def run_daily(
             if name in good:
                 broken.update({(name, column): error for column, error in errors.items()})
             else:
-                broken[name, ""] = next(iter(errors.values()))
+                # A table of ingest columns only has none to blame either.
+                broken[name, ""] = next(iter(errors.values()), error_name(error))
 
     failed |= side_by_side({name: partial(store, name) for name in tables})
     if not good:
