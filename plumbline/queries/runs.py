@@ -148,11 +148,9 @@ def malformed_rows(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"),
     )
     line = F.when(F.expr(_BROKEN_LINES), F.concat("o_orderkey", F.lit(",broken"))).otherwise(whole)
-    # One file: its first line is the header.
-    head = spark.range(1).selectExpr("0 AS n", "'key,cust,status,price,day' AS value")
-    head.unionByName(orders.select(F.lit(1).alias("n"), line.alias("value"))).repartition(1).sortWithinPartitions(
-        "n"
-    ).select("value").write.text(path)
+    # Each task writes its lines with the header first; the whole line is one field of the writer.
+    lines = orders.select(line.alias("key,cust,status,price,day"))
+    lines.write.csv(path, header=True, sep="\x01", quote="")
     rules = {"orders": TableRules(volume=Range(1, 10**9), freshness_hours=None)}
     paths = run_checks(spark, {"orders": path}, rules, work_dir(spark, "lanes"), "1", AS_OF)
     good, _ = read_lanes(spark, path)
