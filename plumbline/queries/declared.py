@@ -582,13 +582,15 @@ def watch_rules(spark, sf_dir):
     """Configured rules over events that arrive in several batches; the estimate of repeated keys, which
     follows from sketches, is left out."""
     arrived, events = work_dir(spark, "watched"), table(spark, sf_dir, "events")
-    # A part of the time for each file; days lie on both sides of the borders.
+    # A part of the time for each arrival; days lie on both sides of the borders.
     first, last = events.agg(F.min("ts"), F.max("ts")).first()
     borders = [first, first + (last - first) / 3, first + (last - first) * 2 / 3, last]
+    out = work_dir(spark, "watch")
     for i, (low, high) in enumerate(zip(borders, borders[1:])):
         part = events.where((F.col("ts") >= low) & ((F.col("ts") < high) if i < 2 else (F.col("ts") <= high)))
-        part.coalesce(1).write.mode("append").parquet(arrived)
-    days = watch(spark, {"events": arrived}, {"events": _WATCHED}, work_dir(spark, "watch"), 48, files_a_batch=1)
+        part.write.mode("append").parquet(arrived)
+        # All files of an arrival are one batch.
+        days = watch(spark, {"events": arrived}, {"events": _WATCHED}, out, 48)
     estimated = F.col("check_type") == "primary_key"
     found = days.withColumns(
         {"day": F.col("day").cast("string"), "actual": F.when(~estimated, F.col("actual"))}

@@ -4,7 +4,7 @@ import glob
 
 import pytest
 
-from plumbline.queries import QUERIES, runs
+from plumbline.queries import QUERIES, declared, runs
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -40,3 +40,12 @@ def test_lines_are_written_by_many_tasks(spark, tmp_path, monkeypatch, parts_of)
         with open(file) as lines:
             head, *others = lines.read().splitlines()
         assert head == "key,cust,status,price,day" and others and not any('"' in x for x in others)
+
+
+def test_arrivals_are_written_by_many_tasks(spark, tmp_path, monkeypatch, parts_of):
+    want = rows_of(QUERIES["watch_rules"](spark, SF_DIR))
+    data = parts_of("events")
+    labelled(monkeypatch, declared, tmp_path)
+    assert rows_of(QUERIES["watch_rules"](spark, data)) == want
+    assert len(glob.glob(f"{tmp_path}/work/watched/part-*")) == 12
+    assert len(glob.glob(f"{tmp_path}/work/watch/events/buffers/batch=*")) == 3
