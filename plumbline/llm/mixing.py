@@ -278,8 +278,17 @@ def paired(tables: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(tables.T, dtype=np.float32).view(np.complex64).reshape(-1)
 
 
+def own_slots(slots: int) -> int:
+    """How many of the tables' slots are the last predictor's."""
+    return 1 << sizes_of(next(e for e in range(LARGEST + 1) if slots_of(e) == slots))[-1]
+
+
+def odds_and_trust(tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    odds = np.log((tables[1] + PRIOR) / (tables[0] + PRIOR)).astype(np.float32)
+    return odds, _trust(tables.sum(axis=0)).astype(np.int8)
+
+
 def log_odds(tables: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What :meth:`Mixer.lengths` needs to know of the counts."""
-    odds = np.log((tables[1] + PRIOR) / (tables[0] + PRIOR)).astype(np.float32)
-    own = 1 << sizes_of(step_of(tables))[-1]
-    return odds, _trust(tables[:, -own:].sum(axis=0)).astype(np.int8)
+    odds, trust = odds_and_trust(tables)
+    return odds, trust[-own_slots(tables.shape[1]) :]

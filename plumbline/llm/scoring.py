@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.arrow import octets
-from plumbline.llm.mixing import END, GATES, STEPS, Mixer, counted, log_odds, paired, slots_of, step_for
+from plumbline.llm.mixing import END, GATES, STEPS, Mixer, counted, odds_and_trust, own_slots, paired, slots_of, step_for
 from plumbline.llm.stored import stored
 from plumbline.llm.tokens import Powers, parts, words
 
@@ -32,6 +33,8 @@ FREQUENT = 1 << 17
 SLOT_BLOCK, HANDED_ON = 1 << 14, 1 << 28
 
 _END_HASH = -1
+#: Type of the large counts of all tasks together.
+_TOTAL = "<f4"
 
 
 def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,22 +72,83 @@ def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
             yield [_form(t) for t in texts[a:b]]
 
 
-def _cells_of(tables: np.ndarray) -> pa.RecordBatch:
-    """The cells that are not zero, by slot block: a bit for each cell, a byte for each count, and
-    counts from 255 on in full."""
+def _packed(part: np.ndarray, large: str) -> bytes:
+    """The cells of a slot block: a bit for each that is not zero, a byte for each count, and counts from 255 on
+    in full, in the given type."""
+    cells = part > 0
+    counts = part[cells]
+    most = counts[counts >= 255].astype(large)
+    return np.packbits(cells).tobytes() + np.minimum(counts, 255).astype(np.uint8).tobytes() + most.tobytes()
+
+
+def _unpacked(found: bytes, large: str) -> np.ndarray:
+    """Zeros and ones of a slot block."""
+    part = np.zeros(2 * SLOT_BLOCK)
+    bits = len(part) // 8
+    cells = np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8, bits)))
+    counts = np.frombuffer(found, np.uint8, len(cells), bits).astype(float)
+    counts[counts == 255] = np.frombuffer(found[bits + len(cells) :], large)
+    part[cells] = counts
+    return part.reshape(2, -1)
+
+
+def _cells_of(tables: np.ndarray, large: str = "<u4") -> pa.RecordBatch:
+    """The cells that are not zero, by slot block, packed."""
     blocks, found = [], []
     for first in range(0, tables.shape[1], SLOT_BLOCK):
-        part = np.zeros((2, SLOT_BLOCK), dtype="<u4")
+        part = np.zeros((2, SLOT_BLOCK), dtype=tables.dtype)
         own = tables[:, first : first + SLOT_BLOCK]
         part[:, : own.shape[1]] = own
-        counts = part[part > 0]
-        if len(counts):
+        if part.any():
             blocks.append(first)
-            small, large = np.minimum(counts, 255).astype(np.uint8), counts[counts >= 255]
-            found.append(np.packbits(part > 0).tobytes() + small.tobytes() + large.tobytes())
+            found.append(_packed(part, large))
     return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "counts": pa.array(found, pa.binary())})
 
 
+@dataclass
+class Counts:
+    """Zeros and ones by slot, in packed slot blocks. The driver hands them to the tasks as they are; a task
+    unpacks the form it needs block by block."""
+
+    slots: int
+    blocks: dict[int, bytes]
+
+    @classmethod
+    def of(cls, tables: np.ndarray) -> Counts:
+        cells = _cells_of(tables, _TOTAL)
+        return cls(tables.shape[1], dict(zip(cells["block"].to_pylist(), cells["counts"].to_pylist())))
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray]]:
+        for first, found in self.blocks.items():
+            yield first, _unpacked(found, _TOTAL)[:, : self.slots - first].astype(np.float32)
+
+    def tables(self) -> np.ndarray:
+        tables = np.zeros((2, self.slots), dtype=np.float32)
+        for first, part in self.parts():
+            tables[:, first : first + part.shape[1]] = part
+        return tables
+
+    def pairs(self) -> np.ndarray:
+        """What :func:`plumbline.llm.mixing.paired` makes of the tables."""
+        pairs = np.zeros(self.slots, dtype=np.complex64)
+        for first, part in self.parts():
+            pairs[first : first + part.shape[1]] = paired(part)
+        return pairs
+
+    def odds(self) -> tuple[np.ndarray, np.ndarray]:
+        """What :func:`plumbline.llm.mixing.log_odds` makes of the tables."""
+        odds = np.zeros(self.slots, dtype=np.float32)
+        seen = np.zeros(own_slots(self.slots), dtype=np.int8)
+        start = self.slots - len(seen)
+        for first, part in self.parts():
+            end = first + part.shape[1]
+            odds[first:end], trust = odds_and_trust(part)
+            if end > start:
+                low = max(first, start)
+                seen[low - start : end - start] = trust[low - first :]
+        return odds, seen
+
+
 def _tables_of(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
     powers, tables, size = Powers(), np.zeros((2, slots), dtype=np.uint32), 0
     for forms in _forms_of(batches):
@@ -97,13 +161,7 @@ def _tables_of(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.Rec
 
 
 def _added(rows: pa.Table) -> pa.Table:
-    total = np.zeros(2 * SLOT_BLOCK)
-    for found in rows.column("counts").to_pylist():
-        bits = len(total) // 8
-        cells = np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8, bits)))
-        counts = np.frombuffer(found, np.uint8, len(cells), bits).astype(np.int64)
-        counts[counts == 255] = np.frombuffer(found[bits + len(cells) :], "<u4")
-        total[cells] += counts
+    total = sum(_unpacked(found, "<u4") for found in rows.column("counts").to_pylist())
     return pa.table(
         {
             "block": rows.column("block").slice(0, 1),
@@ -112,26 +170,34 @@ def _added(rows: pa.Table) -> pa.Table:
     )
 
 
-def predictors(texts: DataFrame, step: int) -> np.ndarray:
-    """Zeros and ones by slot, from the column ``text`` of all rows; its size is that of the step."""
+def _added_packed(rows: pa.Table) -> pa.Table:
+    total = np.frombuffer(_added(rows).column("counts")[0].as_py(), np.float32)
+    return pa.table(
+        {"block": rows.column("block").slice(0, 1), "counts": pa.array([_packed(total, _TOTAL)], pa.binary())}
+    )
+
+
+def counts_of(texts: DataFrame, step: int) -> Counts:
+    """Zeros and ones by slot, from the column ``text`` of all rows; their size is bounded by that of the step."""
     slots = slots_of(step)
     rows = (
         texts.select("text")
         .mapInArrow(partial(_tables_of, slots=slots), "block long, counts binary")
         .groupBy("block")
-        .applyInArrow(_added, "block long, counts binary")
-        .toPandas()
+        .applyInArrow(_added_packed, "block long, counts binary")
+        .toArrow()
     )
-    tables = np.zeros((2, slots), dtype=np.float32)
-    for block, counts in zip(rows["block"], rows["counts"]):
-        part = np.frombuffer(counts, np.float32).reshape(2, -1)
-        tables[:, block : block + SLOT_BLOCK] = part[:, : slots - block]
-    return tables
+    return Counts(slots, dict(zip(rows["block"].to_pylist(), rows["counts"].to_pylist())))
 
 
-def _learned_of(batches: Iterator[pa.RecordBatch], tables: np.ndarray) -> Iterator[pa.RecordBatch]:
+def predictors(texts: DataFrame, step: int) -> np.ndarray:
+    """The counts of :func:`counts_of` as an array."""
+    return counts_of(texts, step).tables()
+
+
+def _learned_of(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[pa.RecordBatch]:
     """What a task learned, a row per gate: how much, the weights times that, the refining counts."""
-    powers, mixer, first = Powers(), Mixer(), Mixer()
+    powers, mixer, first, tables = Powers(), Mixer(), Mixer(), counts.pairs()
     seen = np.zeros(GATES)
     for forms in _forms_of(batches):
         seen += mixer.learn(forms, np.ones(len(forms)), tables, powers)
@@ -151,11 +217,12 @@ def _gate_added(rows: pa.Table) -> pa.Table:
     return pa.table({"gate": rows.column("gate").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
 
-def learned(texts: DataFrame, tables: np.ndarray) -> Mixer:
+def learned(texts: DataFrame, counts: Counts | np.ndarray) -> Mixer:
     """A mixer that has read the column ``text`` of all rows once, each partition from the same start."""
+    counts = counts if isinstance(counts, Counts) else Counts.of(counts)
     rows = (
         texts.select("text")
-        .mapInArrow(partial(_learned_of, tables=paired(tables)), "gate int, sums binary")
+        .mapInArrow(partial(_learned_of, counts=counts), "gate int, sums binary")
         .groupBy("gate")
         .applyInArrow(_gate_added, "gate int, sums binary")
         .toPandas()
@@ -172,14 +239,14 @@ def learned(texts: DataFrame, tables: np.ndarray) -> Mixer:
 
 
 def _summed(
-    batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple, mixer: Mixer, odds: tuple
+    batches: Iterator[pa.RecordBatch], table: tuple, smoothing: tuple, mixer: Mixer, counts: Counts
 ) -> Iterator[pa.RecordBatch]:
     """For each row its code's length and its frequent words summed up, and one row for each of its other
     words."""
     frequent, n = table
     base = _base(n, *smoothing)
     end = int(np.searchsorted(frequent, np.uint64(2**64 - 1)))
-    powers = Powers()
+    powers, odds = Powers(), counts.odds()
     for batch in batches:
         keys, texts = batch.column(0).to_numpy(), octets(batch.column(1))
         for a, b in parts(texts):
@@ -268,8 +335,8 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     totals = vocabulary.where("n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     smoothing = (int(totals[0]), int(totals[1]))
     train = rows.where("NOT held_out")
-    tables = predictors(train, step_for(smoothing[1]))
-    mixer = learned(train, tables)
+    counts = counts_of(train, step_for(smoothing[1]))
+    mixer = learned(train, counts)
     most = (F.col("hash") == _END_HASH) | (F.col("n") >= _least_frequent(vocabulary))
     top = vocabulary.where(most).select("hash", "n").toPandas()
     if not len(top):
@@ -278,7 +345,7 @@ def scored(docs: DataFrame, text: str = "text") -> DataFrame:
     order = np.argsort(frequent)
     table = (frequent[order], top["n"].to_numpy(float)[order])
     sums = keyed.select("row_key", "text").mapInArrow(
-        partial(_summed, table=table, smoothing=smoothing, mixer=mixer, odds=log_odds(tables)),
+        partial(_summed, table=table, smoothing=smoothing, mixer=mixer, counts=counts),
         "row_key long, hash long, times long, ends long, tokens long, known long, base double, bits double,"
         " bytes long",
     )

@@ -1,5 +1,6 @@
 """Scores follow the order of words, repetition, and all training texts."""
 
+import pickle
 import random
 
 import numpy as np
@@ -72,3 +73,25 @@ def test_counts_of_a_byte_and_more_are_handed_on_whole():
         a = row["block"]
         got[:, a : a + scoring.SLOT_BLOCK] = part[:, : mixing.SLOTS - a]
     assert (got == 2.0 * tables).all()
+
+
+def test_counts_reach_the_tasks_packed(spark):
+    r = np.random.default_rng(7)
+    tables = np.zeros((2, mixing.slots_of(1)), dtype=np.float32)
+    at = r.integers(0, tables.size, 200_000)
+    np.add.at(tables.reshape(-1), at, r.integers(1, 400, len(at)).astype(np.float32))
+    tables[0, 1] = 2.0**35
+    counts = scoring.Counts.of(tables)
+    assert sum(map(len, counts.blocks.values())) < tables.nbytes / 16
+    assert (counts.tables() == tables).all() and (counts.pairs() == mixing.paired(tables)).all()
+    for got, want in zip(counts.odds(), mixing.log_odds(tables)):
+        assert got.dtype == want.dtype and np.allclose(got, want)
+    assert scoring.Counts(mixing.SLOTS, {}).odds()[0].any() == np.False_
+
+
+def test_the_driver_holds_packed_counts_only(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"word{i} and word{i + 1}") for i in range(30)], SCHEMA)
+    held = []
+    monkeypatch.setattr(scoring, "learned", lambda texts, counts: held.append(counts) or mixing.Mixer())
+    scoring.scored(docs)
+    assert len(pickle.dumps(held[0])) < 8 * mixing.SLOTS / 16
