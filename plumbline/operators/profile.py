@@ -75,18 +75,24 @@ def profile_tables(
     stats: Iterable[str] = ALL_STATS,
     max_columns: int | None = None,
     named: str = "",
+    kinds: Iterable[str] = (),
     skip: Iterable[str] = METADATA_COLUMNS,
 ) -> DataFrame:
     """Profile every business column of several tables, as one plan.
 
     ``by`` names a column that splits the tables into runs: each run is profiled on its own, in the
     same job. ``stats`` limits the statistics of the aggregate plan, and leaves the deviation out of the
-    exact one, which then reads its counts once only; ``max_columns`` keeps the first columns, and ``named`` those whose name matches a regular expression. Columns left out are not
-    read.
+    exact one, which then reads its counts once only; ``max_columns`` keeps the first columns, ``named`` those whose name matches a regular expression, and ``kinds`` those of the given kinds, if any.
+    Columns left out are not read.
     """
     hidden = [*skip, *([by] if by else [])]
+    kept = frozenset(kinds)
     specs = {
-        t: [s for s in column_specs(df, skip=hidden, max_columns=max_columns) if re.search(named, s.name)]
+        t: [
+            s
+            for s in column_specs(df, skip=hidden, max_columns=max_columns)
+            if re.search(named, s.name) and (not kept or s.kind in kept)
+        ]
         for t, df in tables.items()
     }
     if distinct == "exact":
@@ -285,10 +291,14 @@ _FROM_COUNTS = {
 def _from_value_counts(
     tables: Mapping[str, DataFrame], specs: dict[str, list[ColumnSpec]], by: str | None, spread: bool
 ) -> DataFrame:
-    lanes = ("v_long", "v_double", "v_text")
-    cells = _cells(tables, specs, by, lambda spec: dict(zip(lanes, _lanes(spec))))
+    lanes = {"v_long": _NO_LONG, "v_double": _NO_DOUBLE, "v_text": _NO_TEXT}
+    values = {spec: dict(zip(lanes, _lanes(spec))) for found in specs.values() for spec in found}
+    # A lane that no column has is neither shuffled nor compared.
+    used = [lane for lane, none in lanes.items() if any(found[lane] != none for found in values.values())]
+    cells = _cells(tables, specs, by, lambda spec: {lane: values[spec][lane] for lane in used})
     keys = [*(["run_id"] if by else []), "table_id", "ordinal"]
-    counts = cells.groupBy(*keys, *lanes).agg(F.expr("count(1) AS n"))
+    counts = cells.groupBy(*keys, *used).agg(F.expr("count(1) AS n"))
+    counts = counts.selectExpr("*", *[f"{none} AS {lane}" for lane, none in lanes.items() if lane not in used])
     per_column = counts.groupBy(*keys).agg(*[F.expr(f"{e} AS {f}") for f, e in _PER_COLUMN.items()])
     if not spread:
         return _with_names(per_column, specs, by, _FROM_COUNTS | {"stddev": _NO_DOUBLE})

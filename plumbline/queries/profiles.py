@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.frames import union_all
 from plumbline.functions import half_up
+from plumbline.functions.schema import NUMERIC
 from plumbline.operators import frequency, outliers, profile, sketches, table_checks
 from plumbline.plans.policy import Range
 from plumbline.queries import sql
@@ -70,9 +71,9 @@ _SPREAD_SQL = f"""SELECT table_name, column_name, {r("mean", 4)} AS mean, {r("st
 
 @query("profile_stddev_exact", _SPREAD_SQL)
 def profile_stddev_exact(spark, sf_dir):
-    """The same figures from counted values."""
-    found = profile.profile_tables(sources(spark, sf_dir, PROFILED))
-    return rounded(found.where("kind = 'numeric'"), 4, "mean", "stddev").select(
+    """The same figures from counted values; only numbers have them, so only numbers are counted."""
+    found = profile.profile_tables(sources(spark, sf_dir, PROFILED), kinds=[NUMERIC])
+    return rounded(found, 4, "mean", "stddev").select(
         "table_name", "column_name", "mean", "stddev"
     )
 
