@@ -6,6 +6,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+
+#: Bytes of text that a worker takes out of an Arrow batch at a time.
+SLICE = 1 << 22
 
 
 def octets(column: pa.Array) -> list[bytes | None]:
@@ -37,3 +41,13 @@ def chunks(sizes: list[int] | np.ndarray, most: int) -> Iterator[tuple[int, int]
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """All rows of all batches in order, in slices whose texts add up to about ``most`` bytes: what a worker makes
+    of them, and keeps of its heap after that, follows the slice and not the batch. ``text`` is the column's number;
+    a batch without rows stays."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        for a, b in chunks(sizes.tolist(), most) if len(sizes) else [(0, 0)]:
+            yield batch.slice(a, b - a)

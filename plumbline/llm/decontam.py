@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import octets
+from plumbline.llm.arrow import octets, sliced
 from plumbline.llm.stored import stored
 from plumbline.llm.tokens import Powers, hashes, mixed, parts, words
 
@@ -295,7 +295,7 @@ def _leaks_of(
     batches: Iterator[pa.RecordBatch], shard: Index, threshold: float, overlap: float
 ) -> Iterator[pa.RecordBatch]:
     powers = Powers()
-    for batch in batches:
+    for batch in sliced(batches, 1):
         ids, texts = batch.column(0).to_pylist(), _folded(batch.column(1))
         keys = batch.column(2).to_pylist()
         rows = []

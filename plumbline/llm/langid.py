@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import octets
+from plumbline.llm.arrow import octets, sliced
 from plumbline.llm.stored import stored
 from plumbline.llm.tokens import PIECE, cut, parts
 
@@ -78,7 +78,7 @@ def _pieces(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int, li
 def _counted(batches: Iterator[pa.RecordBatch], languages: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
     place = {name: i for i, name in enumerate(languages)}
-    for batch in batches:
+    for batch in sliced(batches, 1):
         declared, texts = batch.column(0).to_pylist(), octets(batch.column(1))
         for language, i in place.items():
             own = [t for t, d in zip(texts, declared) if d == language]
@@ -147,7 +147,7 @@ def declared_languages(evidence: DataFrame) -> tuple[str, ...]:
 
 def _scored(batches: Iterator[pa.RecordBatch], profile: np.ndarray) -> Iterator[pa.RecordBatch]:
     by_bucket = np.ascontiguousarray(profile.T)
-    for batch in batches:
+    for batch in sliced(batches, 1):
         texts = octets(batch.column(1))
         sums = np.zeros((len(texts), len(profile)))
         sizes = np.zeros(len(texts), dtype=np.int64)
@@ -197,9 +197,9 @@ def _at(array: str, i: int) -> Column:
     return F.col(array)[i]
 
 
-def _best(values: list[Column], languages: tuple[str, ...]) -> Column:
-    """The language of the greatest value; of equal ones the first."""
-    top = F.greatest(*values)
+def _best(values: list[Column], languages: tuple[str, ...], top: Column | None = None) -> Column:
+    """The language of the greatest value, which may be given; of equal ones the first."""
+    top = F.greatest(*values) if top is None else top
     return reduce(
         lambda other, pair: F.when(pair[0] == top, F.lit(pair[1])).otherwise(other),
         reversed(list(zip(values, languages))),
@@ -295,14 +295,18 @@ def identified(
         + F.coalesce(_at("host_logs", i), F.lit(0.0))
         for i in range(len(languages))
     ]
-    fused = joined.withColumns({f"s_{x}": s for x, s in zip(languages, sums)})
-    columns = [F.col(f"s_{x}") for x in languages]
-    top = F.greatest(*columns)
+    names = [f"s_{i}" for i in range(len(languages))]
+    fused = joined.select("doc_id", "row_hash", "declared", "n_grams", *[s.alias(n) for n, s in zip(names, sums)])
+    # Written: a filter on the verdict would be pushed below and repeat every sum in every comparison, which is
+    # more code than a class can hold.
+    fused = stored(fused.withColumn("top", F.greatest(*names)), "fused")
+    columns, top = [F.col(n) for n in names], F.col("top")
     some = F.col("n_grams") > 0
     posterior = F.lit(1.0) / reduce(lambda a, b: a + b, [F.exp(c - top) for c in columns])
+    best = _best(columns, languages, top)
     return (
         fused.withColumn("posterior", F.when(some, posterior).otherwise(F.lit(0.0)))
-        .withColumn("language", F.when(some, F.nullif(_best(columns, languages), F.lit(OTHER))))
+        .withColumn("language", F.when(some, F.nullif(best, F.lit(OTHER))))
         .select(
             "doc_id",
             "row_hash",

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import octets
+from plumbline.llm.arrow import octets, sliced
 from plumbline.llm.shingles import Circulant, linked, shingle_sets
 from plumbline.llm.stored import components, stored
 from plumbline.llm.tokens import Powers
@@ -40,7 +40,7 @@ BLOCK_NODES, BLOCK_SHINGLES = 256, 400_000
 
 def _signed(batches: Iterator[pa.RecordBatch], bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     powers, circulant = Powers(), Circulant(bands, rows)
-    for batch in batches:
+    for batch in sliced(batches, 1):
         sets = shingle_sets(octets(batch.column(1)), powers)
         some = [s for s in sets if len(s)]
         keys = circulant.band_keys(some)

@@ -25,7 +25,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import chunks
+from plumbline.llm.arrow import chunks, sliced
 
 SPACE = "▁"
 
@@ -235,7 +235,7 @@ TOGETHER = 1 << 20
 
 def _pieces_of(batches: Iterator[pa.RecordBatch], model: bytes, bos: bool, eos: bool, digests: bool):
     encoder = Encoder(model, bos, eos)
-    for batch in batches:
+    for batch in sliced(batches, 1):
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for a, b in chunks([len(t) + 1 for t in texts], TOGETHER):
             packed, wrong = encoder.encode(texts[a:b])
