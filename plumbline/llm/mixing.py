@@ -38,6 +38,14 @@ TOGETHER, CODED, MATCHED = 1 << 11, 1 << 12, 6
 END = b"\n"
 _BLANK = 32
 _NODES = np.arange(256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+#: Of each byte its bits, the nodes of the tree of bits that they leave, and these nodes' hashes.
+_BIT = (np.arange(256)[:, None] >> (7 - np.arange(8))) & 1
+_NODE = (1 << np.arange(8)) | (np.arange(256)[:, None] >> (8 - np.arange(8)))
+_SPREAD = _NODES[_NODE]
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+#: Bits as 1 and -1, and up to which bit two bytes agree, by their difference.
+_SIGN = (2 * _BIT - 1).astype(np.float32)
+_AGREE = (_NODE == 1 << np.arange(8)).astype(np.float32)
 
 
 def sizes_of(step: int) -> tuple[int, ...]:
@@ -88,28 +96,23 @@ class Stream:
 
     def events(self, a: int, b: int) -> Events:
         """The bits of bytes ``a`` to ``b``."""
-        bits = np.arange(8)
-        value = self.data[a:b].astype(np.int64)[:, None]
-        node = (1 << bits) | (value >> (8 - bits))
-        spread = _NODES[node]
+        value = self.data[a:b]
+        node, spread = _NODE.take(value, axis=0), _SPREAD.take(value, axis=0)
         slots = np.empty((len(self.sizes), b - a, 8), dtype=np.int64)
         slots[0] = node
-        slots[1] = (self.before[a:b] << 8)[:, None] | node
+        np.add((self.before[a:b] << 8)[:, None] + (1 << self.sizes[0]), node, out=slots[1])
         for i, context in enumerate(self.contexts, 2):
-            hashed = context[a:b, None] + spread
-            hashed >>= np.uint64(64 - self.sizes[i])
-            slots[i] = hashed
-        starts = np.cumsum([0, *(1 << n for n in self.sizes[:-1])])
-        slots[1:] += starts[1:, None, None]
-        expected = self.expected[a:b, None]
-        agrees = (expected >= 0) & (((expected | 256) >> (8 - bits)) == node)
-        match = np.where(agrees, ((expected >> (7 - bits)) & 1) * 2 - 1, 0)
+            slots[i] = _hashed(context[a:b], spread, self.sizes, i)
+        expected = self.expected[a:b]
+        match = np.zeros((b - a, 8), dtype=np.float32)
+        some = np.flatnonzero(expected >= 0)
+        match[some] = _SIGN.take(expected[some], axis=0) * _AGREE.take(expected[some] ^ value[some], axis=0)
         return Events(
             slots.reshape(len(self.sizes), -1),
-            ((value >> (7 - bits)) & 1).reshape(-1),
+            _BIT.take(value, axis=0).reshape(-1),
             np.repeat(np.minimum(self.place[a:b], 3), 8),
             np.repeat(self.text[a:b], 8),
-            match.reshape(-1).astype(np.float32),
+            match.reshape(-1),
         )
 
     def blocks(self, most: int) -> Iterator[Events]:
@@ -117,8 +120,25 @@ class Stream:
             yield self.events(a, min(a + most, len(self.data)))
 
 
-def stream(texts: list[bytes], powers: Powers, step: int = 0) -> Stream:
-    """Texts end with a line feed; a word alone gets its blank."""
+def _in_order(key: np.ndarray) -> np.ndarray:
+    """What a stable argsort gives, by two sorts that are much faster together."""
+    order = np.argsort(key)
+    ranks = np.cumsum(np.diff(key[order], prepend=key[order[:1]]) != 0) << 32
+    ranks |= order
+    ranks.sort()
+    return ranks & ((1 << 32) - 1)
+
+
+def _hashed(context: np.ndarray, spread: np.ndarray, sizes: tuple[int, ...], i: int) -> np.ndarray:
+    """Slots of predictor ``i`` for contexts and the hashes of their bytes' nodes."""
+    hashed = context[:, None] + spread
+    hashed >>= np.uint64(64 - sizes[i])
+    hashed += np.uint64(sum(1 << n for n in sizes[:i]))
+    return hashed.view(np.int64)
+
+
+def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = True) -> Stream:
+    """Texts end with a line feed; a word alone gets its blank. Without ``repeats`` no byte is expected."""
     coded = [t if t.endswith(END) else t + b" " for t in texts]
     data = np.frombuffer(b"".join(coded), dtype=np.uint8)
     sizes = np.array([len(t) for t in coded], dtype=np.int64)
@@ -155,10 +175,10 @@ def stream(texts: list[bytes], powers: Powers, step: int = 0) -> Stream:
     )
     # Where the same bytes stood last in the same text, and what came then.
     expected = np.full(len(data), -1, dtype=np.int64)
-    some = np.flatnonzero(since >= MATCHED)
+    some = np.flatnonzero(since >= MATCHED) if repeats else np.zeros(0, dtype=np.int64)
     key = (running[some] - running[some - MATCHED]) * down[some - MATCHED]
     key = mixed(key) + text[some].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    order = np.argsort(key, kind="stable")
+    order = _in_order(key)
     same = key[order[1:]] == key[order[:-1]]
     expected[some[order[1:][same]]] = data[some[order[:-1][same]]]
     return Stream(data, text, at - first[word], before[0].astype(np.int64), contexts, expected, sizes_of(step))
@@ -171,16 +191,32 @@ def events(texts: list[bytes], powers: Powers, step: int = 0) -> Events:
 
 def counted(texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
     """Add texts, each as often as it was counted, to the zeros and ones of all predictors."""
-    found = stream(texts, powers, step_of(tables))
-    weights = None if (counts == 1).all() else counts.astype(np.float64)
-    size = tables.shape[1]
-    for part in found.blocks(1 << 14):
-        cells = part.slots + part.bit * size
-        if weights is None:
-            np.add.at(tables.reshape(-1), cells.reshape(-1), tables.dtype.type(1))
-        else:
-            held = np.tile(weights[part.word], len(found.sizes)).astype(tables.dtype)
-            np.add.at(tables.reshape(-1), cells.reshape(-1), held)
+    found = stream(texts, powers, step_of(tables), repeats=False)
+    flat, size, sizes = tables.reshape(-1), tables.shape[1], found.sizes
+    weights = None if (counts == 1).all() else counts.astype(np.float64)[found.text]
+
+    def add(slots: np.ndarray, byte: np.ndarray, n: np.ndarray) -> None:
+        cells = slots + _BIT.take(byte, axis=0) * size
+        np.add.at(flat, cells.reshape(-1), np.repeat(n, 8).astype(tables.dtype))
+
+    # Bits of a byte are added for each context that it has, as often as it follows that.
+    pair = found.before << 8 | found.data
+    times = np.bincount(pair, weights, 1 << 16)
+    for start, n in ((-1, times.reshape(256, 256).sum(axis=0)), (1 << sizes[0], times)):
+        own = np.flatnonzero(n)
+        byte = own & 255
+        before = 0 if start < 0 else (own >> 8 << 8)[:, None] + start
+        add(_NODE.take(byte, axis=0) + before, byte, n[own])
+    for i, context in enumerate(found.contexts, 2):
+        # Equal contexts with equal bytes stand side by side; where two others share a key they add up apart.
+        order = np.argsort(context + _BYTES.take(found.data))
+        sorted_, byte = context[order], found.data[order]
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = (sorted_[1:] != sorted_[:-1]) | (byte[1:] != byte[:-1])
+        first = np.flatnonzero(new)
+        n = np.diff(first, append=len(order)) if weights is None else np.add.reduceat(weights[order], first)
+        byte = byte[first]
+        add(_hashed(sorted_[first], _SPREAD.take(byte, axis=0), sizes, i), byte, n)
 
 
 def _trust(seen: np.ndarray) -> np.ndarray:
@@ -232,18 +268,28 @@ class Mixer:
         roots = np.sqrt(counts).astype(np.float32)
         for part in found.blocks(TOGETHER):
             weight = roots[part.word]
-            both = pairs.take(part.slots)
             bit = part.bit.astype(np.float32)
-            zeros = np.maximum(both.real - (1 - bit), 0)
-            ones = np.maximum(both.imag - bit, 0)
+            # Zeros and ones side by side, without the one that is judged.
+            cells = pairs.take(part.slots).view(np.float32).reshape(len(BITS), -1, 2)
+            cells -= np.stack((1 - bit, bit), axis=1)
+            np.maximum(cells, 0, out=cells)
+            gate = part.place * TRUST + _trust(cells[-1].sum(axis=1))
+            cells += np.float32(PRIOR)
             inputs = np.empty((len(BITS) + 2, len(bit)), dtype=np.float32)
-            inputs[: len(BITS)] = np.log((ones + PRIOR) / (zeros + PRIOR))
+            np.log(cells[..., 1] / cells[..., 0], out=inputs[: len(BITS)])
             inputs[-2], inputs[-1] = 1, part.match
-            gate = part.place * TRUST + _trust(zeros[-1] + ones[-1])
             mix = self._mixed(inputs, gate, part.match)
-            gates = (gate == np.arange(GATES)[:, None]).astype(np.float32)
-            step = gates @ (inputs * ((bit - _squash(mix)) * weight)).T
-            norm = gates @ (inputs * inputs * weight).T + 1
+            off = (bit - _squash(mix)) * weight
+            # Events of a gate side by side, so that its sums are products of its own events only.
+            order = np.argsort(gate.astype(np.uint8), kind="stable")
+            ends = np.cumsum(np.bincount(gate, minlength=GATES))
+            grouped, off, held = inputs.take(order, axis=1), off.take(order), weight.take(order)
+            squares = grouped * grouped
+            step, norm = np.zeros(self.weights.shape), np.ones(self.weights.shape)
+            for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+                own = slice(ends[g - 1] if g else 0, ends[g])
+                step[g] = grouped[:, own] @ off[own]
+                norm[g] += squares[:, own] @ held[own]
             self.weights += RATE / (1 + self.learned / 200) * step / norm
             near = np.rint((np.clip(mix, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
             cell = gate * STEPS + near
