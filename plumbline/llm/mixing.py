@@ -7,8 +7,9 @@ far, and the word so far. Contexts of bytes run over word borders; none reaches
 text. One more input is the bit that followed the same bytes where they last stood in the same text.
 
 The predictors' log odds are combined by weights which a gate (place of the byte in the word, how
-often the word so far was seen) selects; weights are learned online, block by block, one occurrence
-of what is coded left out of the counts. A last table refines the mixed probability by what followed
+often the word so far was seen) selects; weights are learned online, first by blocks of bytes, then by
+groups of rows, one occurrence of what is coded left out of the counts. A row are the bytes of some
+texts that are equal in all but the word before and the repetition. A last table refines the mixed probability by what followed
 it before.
 """
 
@@ -16,12 +17,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
 from plumbline.llm.tokens import Powers, mixed
 
 BITS = (8, 16, 18, 20, 20, 20, 20)
+#: The predictor that knows the word before, and the others.
+BEFORE = 5
+OTHERS = [i for i in range(len(BITS)) if i != BEFORE]
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in BITS])))
 SLOTS = int(OFFSETS[-1])
 #: Steps by which the tables of longer contexts double, each with its number of slots.
@@ -33,16 +38,27 @@ GATES, STEPS = 4 * TRUST, 33
 PRIOR, RATE = 0.1, 0.5
 #: Bytes that are learned from together, bytes that are coded together, and bytes that must agree
 #: before a text is expected to go on as it did.
-TOGETHER, CODED, MATCHED = 1 << 11, 1 << 12, 6
+TOGETHER, CODED, MATCHED = 1 << 11, 1 << 11, 6
 
 END = b"\n"
 _BLANK = 32
-_NODES = np.arange(256, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-#: Of each byte its bits, the nodes of the tree of bits that they leave, and these nodes' hashes.
+#: Blocks of a mixer that it learns from one by one, blocks after which a step is half as large, and how much larger
+#: steps are for whole rows, which have more bytes and are dealt at random.
+ALONE, HALF, LARGER = 64, 200, 4
+#: Rows of equal contexts that are read together.
+ROWS = 1 << 12
+#: Steps of the mixed log odds between which a code's length is not told apart, up to the greatest.
+GRID, GREATEST = 128, 12
+_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_NODES = np.arange(256, dtype=np.uint64) * _GOLDEN
+#: Of each byte its bits, the nodes of the tree of bits that they leave, the nodes within a half of the byte,
+#: and the hashes of what stands before each half.
 _BIT = (np.arange(256)[:, None] >> (7 - np.arange(8))) & 1
 _NODE = (1 << np.arange(8)) | (np.arange(256)[:, None] >> (8 - np.arange(8)))
-_SPREAD = _NODES[_NODE]
-_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+_WITHIN = np.where(np.arange(8) < 4, _NODE, _NODE & ((1 << np.arange(8) % 4) - 1) | 1 << np.arange(8) % 4)
+_SPREAD = _NODES[_NODE[:, [0, 4]]]
+#: The same nodes for tables of two numbers, by the bit.
+_JUDGED = 2 * _WITHIN + _BIT
 #: Bits as 1 and -1, and up to which bit two bytes agree, by their difference.
 _SIGN = (2 * _BIT - 1).astype(np.float32)
 _AGREE = (_NODE == 1 << np.arange(8)).astype(np.float32)
@@ -84,33 +100,69 @@ class Events:
 
 @dataclass
 class Stream:
-    """Bytes of some texts with the hashes of their contexts."""
+    """Bytes of some texts. Equal bytes behind the same four bytes and the same word so far are one row with the
+    hashes of its contexts: row ``r`` are the bytes ``order[starts[r]:starts[r + 1]]``."""
 
     data: np.ndarray
     text: np.ndarray
+    #: Of each byte the hash of the word before.
+    prior: np.ndarray
+    order: np.ndarray
+    starts: np.ndarray
+    value: np.ndarray
     place: np.ndarray
     before: np.ndarray
     contexts: np.ndarray
+    #: Of each word its first byte, its size and its hash.
+    first: np.ndarray
+    length: np.ndarray
+    whole: np.ndarray
     expected: np.ndarray
     sizes: tuple[int, ...]
 
+    def slots(self, i: int, rows: np.ndarray | slice, judged: bool = False) -> np.ndarray:
+        """Slots of predictor ``i`` at rows; in tables of two numbers by the bit, those of its own bits."""
+        byte = self.value[rows]
+        if i >= 2:
+            return _hashed(self.contexts[min(i, BEFORE) - 2][rows], byte, self.sizes, i, judged)
+        slots = _NODE.take(byte, axis=0)
+        if i == 1:
+            slots += ((self.before[rows] << 8) + (1 << self.sizes[0]))[:, None]
+        if judged:
+            slots *= 2
+            slots += _BIT.take(byte, axis=0)
+        return slots
+
+    def slots_before(self, at: np.ndarray, rows: np.ndarray, judged: bool = False) -> np.ndarray:
+        """Slots of the predictor that knows the word before, at bytes and their rows."""
+        context = mixed(self.prior.take(at) + self.contexts[-1].take(rows))
+        return _hashed(context, self.value.take(rows), self.sizes, BEFORE, judged)
+
+    def matched(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some bytes were expected to be any, and their bits that were."""
+        expected = self.expected.take(at)
+        some = np.flatnonzero(expected >= 0)
+        own = expected.take(some)
+        return some, _SIGN.take(own, axis=0) * _AGREE.take(own ^ self.value.take(rows.take(some)), axis=0)
+
+    @cached_property
+    def row(self) -> np.ndarray:
+        """The row of each byte."""
+        row = np.empty(len(self.order), dtype=np.int64)
+        row[self.order] = np.repeat(np.arange(len(self.value)), np.diff(self.starts))
+        return row
+
     def events(self, a: int, b: int) -> Events:
         """The bits of bytes ``a`` to ``b``."""
-        value = self.data[a:b]
-        node, spread = _NODE.take(value, axis=0), _SPREAD.take(value, axis=0)
-        slots = np.empty((len(self.sizes), b - a, 8), dtype=np.int64)
-        slots[0] = node
-        np.add((self.before[a:b] << 8)[:, None] + (1 << self.sizes[0]), node, out=slots[1])
-        for i, context in enumerate(self.contexts, 2):
-            slots[i] = _hashed(context[a:b], spread, self.sizes, i)
-        expected = self.expected[a:b]
+        at, rows = np.arange(a, b), self.row[a:b]
+        slots = [self.slots_before(at, rows) if i == BEFORE else self.slots(i, rows) for i in range(len(self.sizes))]
         match = np.zeros((b - a, 8), dtype=np.float32)
-        some = np.flatnonzero(expected >= 0)
-        match[some] = _SIGN.take(expected[some], axis=0) * _AGREE.take(expected[some] ^ value[some], axis=0)
+        some, expected = self.matched(at, rows)
+        match[some] = expected
         return Events(
-            slots.reshape(len(self.sizes), -1),
-            _BIT.take(value, axis=0).reshape(-1),
-            np.repeat(np.minimum(self.place[a:b], 3), 8),
+            np.stack(slots).reshape(len(self.sizes), -1),
+            _BIT.take(self.data[a:b], axis=0).reshape(-1),
+            np.repeat(self.place.take(rows), 8),
             np.repeat(self.text[a:b], 8),
             match.reshape(-1),
         )
@@ -119,6 +171,18 @@ class Stream:
         for a in range(0, len(self.data), most):
             yield self.events(a, min(a + most, len(self.data)))
 
+    def groups(self, start: int = 0) -> Iterator[tuple[slice, list[tuple[np.ndarray, np.ndarray]]]]:
+        """Rows that fit the cache together, with the bytes from ``start`` on that are theirs and the rows of these,
+        some bytes at a time."""
+        for low in range(0, len(self.value), ROWS):
+            high = min(low + ROWS, len(self.value))
+            at = self.order[self.starts[low] : self.starts[high]]
+            rows = np.repeat(np.arange(low, high), np.diff(self.starts[low : high + 1]))
+            if start:
+                kept = at >= start
+                at, rows = at[kept], rows[kept]
+            yield slice(low, high), [(at[a : a + CODED], rows[a : a + CODED]) for a in range(0, len(at), CODED)]
+
 
 def _in_order(key: np.ndarray) -> np.ndarray:
     """What a stable argsort gives, by two sorts that are much faster together."""
@@ -129,12 +193,52 @@ def _in_order(key: np.ndarray) -> np.ndarray:
     return ranks & ((1 << 32) - 1)
 
 
-def _hashed(context: np.ndarray, spread: np.ndarray, sizes: tuple[int, ...], i: int) -> np.ndarray:
-    """Slots of predictor ``i`` for contexts and the hashes of their bytes' nodes."""
-    hashed = context[:, None] + spread
-    hashed >>= np.uint64(64 - sizes[i])
-    hashed += np.uint64(sum(1 << n for n in sizes[:i]))
-    return hashed.view(np.int64)
+def in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What a stable argsort gives, and which of the sorted keys are not equal to the one before.
+
+    The upper bits of keys sort together with their numbers, unless different keys share them."""
+    bits = np.uint64(len(key).bit_length())
+    packed = key >> bits << bits
+    packed |= np.arange(len(key), dtype=np.uint64)
+    packed.sort()
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    packed >>= bits
+    new = np.ones(len(key), dtype=bool)
+    found = key.take(order)
+    new[1:] = found[1:] != found[:-1]
+    if (new[1:] != (packed[1:] != packed[:-1])).any():
+        order = _in_order(key)
+        new[1:] = np.diff(key.take(order)) != 0
+    return order, new
+
+
+def _hashed(context: np.ndarray, byte: np.ndarray, sizes: tuple[int, ...], i: int, judged: bool = False) -> np.ndarray:
+    """Slots of predictor ``i`` for contexts and their bytes: those of half a byte lie side by side."""
+    hashed = context[:, None] + _SPREAD.take(byte, axis=0)
+    hashed >>= np.uint64(64 - sizes[i] + 4)
+    hashed <<= np.uint64(4 + judged)
+    hashed += np.uint64(sum(1 << n for n in sizes[:i]) << judged)
+    slots = np.repeat(hashed.view(np.int64).reshape(-1), 4).reshape(-1, 8)
+    slots += (_JUDGED if judged else _WITHIN).take(byte, axis=0)
+    return slots
+
+
+def _expected(running: np.ndarray, down: np.ndarray, start: np.ndarray, text: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Of each byte the one that came where the same bytes stood last in the same text, -1 without."""
+    expected = np.full(len(data), -1, dtype=np.int16)
+    if len(data) <= MATCHED:
+        return expected
+    key = mixed((running[MATCHED:-1] - running[: -MATCHED - 1]) * down[: len(data) - MATCHED])
+    key += text[MATCHED:].astype(np.uint64) * _GOLDEN
+    enough = np.ones(len(data), dtype=bool)
+    early = (start[:, None] + np.arange(MATCHED)).reshape(-1)
+    enough[early[early < len(data)]] = False
+    some = np.flatnonzero(enough)
+    order, new = in_order(key.take(some - MATCHED))
+    order = some.take(order)
+    later = np.flatnonzero(~new)
+    expected[order.take(later)] = data.take(order.take(later - 1))
+    return expected
 
 
 def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = True) -> Stream:
@@ -142,46 +246,58 @@ def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = Tr
     coded = [t if t.endswith(END) else t + b" " for t in texts]
     data = np.frombuffer(b"".join(coded), dtype=np.uint8)
     sizes = np.array([len(t) for t in coded], dtype=np.int64)
-    text = np.repeat(np.arange(len(texts)), sizes)
+    n = len(data)
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     start = np.cumsum(sizes) - sizes
-    at = np.arange(len(data))
-    since = at - start[text]
-    before = np.zeros((4, len(data)), dtype=np.uint64)
-    for k in range(4):
-        before[k, k + 1 :] = data[: max(0, len(data) - k - 1)]
-        before[k, since <= k] = 0
-    up, down = powers.upto(len(data) + 1)
-    running = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=running[1:])
-    opens = since == 0
-    opens[1:] |= data[:-1] == _BLANK
+    up, down = powers.upto(n + 1)
+    running = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=running[1:])
+    opens = np.zeros(n, dtype=bool)
+    opens[1:] = data[:-1] == _BLANK
+    opens[start] = True
     first = np.flatnonzero(opens)
-    word = np.cumsum(opens) - 1
-    sofar = (running[:-1] - running[first[word]]) * down[first[word]] if len(data) else running[:-1]
-    whole = (running[np.append(first[1:], len(data))] - running[first]) * down[first]
+    length = np.diff(first, append=n)
+    whole = (running[first + length] - running[first]) * down[first]
     last = np.zeros(len(first), dtype=np.uint64)
     last[1:] = whole[:-1]
-    last[since[first] == 0] = 0
-    two = before[0] | before[1] << np.uint64(8)
-    three = two | before[2] << np.uint64(16)
+    last[first == start[text[first]]] = 0
+    # The four bytes before each byte, as far as they are of its text.
+    before = np.zeros(n, dtype=np.uint64)
+    for k in range(4):
+        before[k + 1 :] |= data[: max(0, n - k - 1)].astype(np.uint64) << np.uint64(8 * k)
+    for k in range(4):
+        early = start + k
+        before[early[early < n]] &= np.uint64((1 << 8 * k) - 1)
+    opened = np.repeat(first, length)
+    sofar = (running[:-1] - running.take(opened)) * down.take(opened)
+    order, new = in_order(mixed(before | data.astype(np.uint64) << np.uint64(32)) + sofar * _GOLDEN)
+    starts = np.flatnonzero(new)
+    own = order[starts]
+    before, sofar = before[own], sofar[own]
     contexts = np.stack(
         (
-            mixed(two | np.uint64(1 << 32)),
-            mixed(three | np.uint64(2 << 32)),
-            mixed(three | before[3] << np.uint64(24) | np.uint64(4 << 32)),
-            mixed(mixed(last[word] + np.uint64(5 << 32)) + sofar),
+            mixed(before & np.uint64((1 << 16) - 1) | np.uint64(1 << 32)),
+            mixed(before & np.uint64((1 << 24) - 1) | np.uint64(2 << 32)),
+            mixed(before | np.uint64(4 << 32)),
             mixed(sofar + np.uint64(3 << 32)),
         )
     )
-    # Where the same bytes stood last in the same text, and what came then.
-    expected = np.full(len(data), -1, dtype=np.int64)
-    some = np.flatnonzero(since >= MATCHED) if repeats else np.zeros(0, dtype=np.int64)
-    key = (running[some] - running[some - MATCHED]) * down[some - MATCHED]
-    key = mixed(key) + text[some].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    order = _in_order(key)
-    same = key[order[1:]] == key[order[:-1]]
-    expected[some[order[1:][same]]] = data[some[order[:-1][same]]]
-    return Stream(data, text, at - first[word], before[0].astype(np.int64), contexts, expected, sizes_of(step))
+    return Stream(
+        data,
+        text,
+        np.repeat(mixed(last + np.uint64(5 << 32)), length),
+        order,
+        np.append(starts, n),
+        data[own].astype(np.int64),
+        np.minimum(own - opened[own], 3),
+        (before & np.uint64(255)).astype(np.int64),
+        contexts,
+        first,
+        length,
+        whole,
+        _expected(running, down, start, text, data) if repeats else np.full(n, -1, dtype=np.int16),
+        sizes_of(step),
+    )
 
 
 def events(texts: list[bytes], powers: Powers, step: int = 0) -> Events:
@@ -193,30 +309,36 @@ def counted(texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers:
     """Add texts, each as often as it was counted, to the zeros and ones of all predictors."""
     found = stream(texts, powers, step_of(tables), repeats=False)
     flat, size, sizes = tables.reshape(-1), tables.shape[1], found.sizes
-    weights = None if (counts == 1).all() else counts.astype(np.float64)[found.text]
+    weights = None if (counts == 1).all() else counts.astype(np.float64)[found.text[found.first]]
 
     def add(slots: np.ndarray, byte: np.ndarray, n: np.ndarray) -> None:
         cells = slots + _BIT.take(byte, axis=0) * size
         np.add.at(flat, cells.reshape(-1), np.repeat(n, 8).astype(tables.dtype))
 
+    def sums(order: np.ndarray, starts: np.ndarray, of: np.ndarray | None) -> np.ndarray:
+        return np.diff(starts, append=len(order)) if of is None else np.add.reduceat(of[order], starts)
+
     # Bits of a byte are added for each context that it has, as often as it follows that.
-    pair = found.before << 8 | found.data
-    times = np.bincount(pair, weights, 1 << 16)
-    for start, n in ((-1, times.reshape(256, 256).sum(axis=0)), (1 << sizes[0], times)):
-        own = np.flatnonzero(n)
-        byte = own & 255
+    n = sums(found.order, found.starts[:-1], None if weights is None else np.repeat(weights, found.length))
+    times = np.bincount(found.before << 8 | found.value, n, 1 << 16)
+    for start, often in ((-1, times.reshape(256, 256).sum(axis=0)), (1 << sizes[0], times)):
+        own = np.flatnonzero(often)
         before = 0 if start < 0 else (own >> 8 << 8)[:, None] + start
-        add(_NODE.take(byte, axis=0) + before, byte, n[own])
-    for i, context in enumerate(found.contexts, 2):
-        # Equal contexts with equal bytes stand side by side; where two others share a key they add up apart.
-        order = np.argsort(context + _BYTES.take(found.data))
-        sorted_, byte = context[order], found.data[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (sorted_[1:] != sorted_[:-1]) | (byte[1:] != byte[:-1])
-        first = np.flatnonzero(new)
-        n = np.diff(first, append=len(order)) if weights is None else np.add.reduceat(weights[order], first)
-        byte = byte[first]
-        add(_hashed(sorted_[first], _SPREAD.take(byte, axis=0), sizes, i), byte, n)
+        add(_NODE.take(own & 255, axis=0) + before, own & 255, often[own])
+    for a in range(0, len(n), CODED):
+        rows = slice(a, a + CODED)
+        for i in OTHERS[2:]:
+            add(found.slots(i, rows), found.value[rows], n[rows])
+    # A word that comes again behind the same word is added once.
+    order, new = in_order(found.prior[found.first] + mixed(found.whole))
+    starts = np.flatnonzero(new)
+    first, length = found.first[order[starts]], found.length[order[starts]]
+    often = np.repeat(sums(order, starts, weights), length)
+    at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(len(often))
+    for a in range(0, len(at), CODED):
+        own = at[a : a + CODED]
+        rows = found.row.take(own)
+        add(found.slots_before(own, rows), found.value.take(rows), often[a : a + CODED])
 
 
 def _trust(seen: np.ndarray) -> np.ndarray:
@@ -240,6 +362,7 @@ class Mixer:
         self.ones = np.tile(grid * 4, (GATES, 1))
         self.total = np.full((GATES, STEPS), 4.0)
         self.learned = 0
+        self.costs = None
 
     def _mixed(self, odds: np.ndarray, gate: np.ndarray, match: np.ndarray | None = None) -> np.ndarray:
         weights = np.ascontiguousarray(self.weights.T, dtype=np.float32)
@@ -260,68 +383,207 @@ class Mixer:
         refined = table.take(cell) * (1 - share) + table.take(cell + 1) * share
         return np.clip((_squash(mix) + refined) / 2, 1e-5, 1 - 1e-5)
 
-    def learn(self, texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> np.ndarray:
-        """One pass over texts, online; each is judged by the counts without one of its occurrences.
+    def _step(self, step: np.ndarray, norm: np.ndarray, rate: float = RATE) -> None:
+        """``step`` are sums of errors by inputs, ``norm`` sums of squares of inputs."""
+        self.weights += rate / (1 + self.learned / HALF) * step / (1 + norm)
+        self.learned += 1
+
+    def _gathered(self, cells: np.ndarray) -> np.ndarray:
+        """Add to the refining table what came, by gate, step and bit; how much that is by gate."""
+        came = cells.reshape(GATES, STEPS, 2)
+        self.total += came.sum(axis=2)
+        self.ones += came[..., 1]
+        return came.sum(axis=(1, 2))
+
+    def learn(self, texts: list[bytes], counts: np.ndarray, tables: np.ndarray | tuple, powers: Powers) -> np.ndarray:
+        """One pass over texts, online; each is judged by the counts without one of its occurrences. The first
+        ``ALONE`` blocks are learned from one by one, all bytes behind them by groups of rows of equal contexts.
         Returns how much was learned by gate."""
-        found, seen = stream(texts, powers, step_of(tables)), np.zeros(GATES)
-        pairs = paired(tables)
-        roots = np.sqrt(counts).astype(np.float32)
-        for part in found.blocks(TOGETHER):
-            weight = roots[part.word]
-            bit = part.bit.astype(np.float32)
-            # Zeros and ones side by side, without the one that is judged.
-            cells = pairs.take(part.slots).view(np.float32).reshape(len(BITS), -1, 2)
-            cells -= np.stack((1 - bit, bit), axis=1)
-            np.maximum(cells, 0, out=cells)
-            gate = part.place * TRUST + _trust(cells[-1].sum(axis=1))
-            cells += np.float32(PRIOR)
-            inputs = np.empty((len(BITS) + 2, len(bit)), dtype=np.float32)
-            np.log(cells[..., 1] / cells[..., 0], out=inputs[: len(BITS)])
-            inputs[-2], inputs[-1] = 1, part.match
-            mix = self._mixed(inputs, gate, part.match)
-            off = (bit - _squash(mix)) * weight
-            # Events of a gate side by side, so that its sums are products of its own events only.
-            order = np.argsort(gate.astype(np.uint8), kind="stable")
-            ends = np.cumsum(np.bincount(gate, minlength=GATES))
-            grouped, off, held = inputs.take(order, axis=1), off.take(order), weight.take(order)
-            squares = grouped * grouped
-            step, norm = np.zeros(self.weights.shape), np.ones(self.weights.shape)
-            for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
-                own = slice(ends[g - 1] if g else 0, ends[g])
-                step[g] = grouped[:, own] @ off[own]
-                norm[g] += squares[:, own] @ held[own]
-            self.weights += RATE / (1 + self.learned / 200) * step / norm
-            near = np.rint((np.clip(mix, -8, 8) + 8) * ((STEPS - 1) / 16)).astype(np.int64)
-            cell = gate * STEPS + near
-            total = np.bincount(cell, weight, GATES * STEPS).reshape(GATES, STEPS)
-            self.total += total
-            self.ones += np.bincount(cell, weight * bit, GATES * STEPS).reshape(GATES, STEPS)
-            seen += total.sum(axis=1)
-            self.learned += 1
+        left, steps = tables if isinstance(tables, tuple) else (paired(tables), steps_left(tables))
+        left, steps = left.view(np.float32), steps.reshape(-1)
+        # A row of zeros and ones has two numbers here, by the bit that is judged.
+        step = step_of(left[::2])
+        found, seen = stream(texts, powers, step), np.zeros(GATES)
+        roots = None if (counts == 1).all() else np.sqrt(counts)
+        end = min(len(found.data), max(0, ALONE - self.learned) * TOGETHER)
+        for a in range(0, end, TOGETHER):
+            seen += self._alone(found.events(a, min(a + TOGETHER, end)), roots, left, steps)
+        if end < len(found.data):
+            seen += self._together(found, end, roots, left, steps)
         return seen
 
+    def _alone(self, part: Events, roots: np.ndarray | None, left: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """A step for a block."""
+        weight = np.ones(len(part.bit)) if roots is None else roots[part.word]
+        own = len(left) - len(steps)
+        cells = part.slots * 2 + part.bit
+        gate = part.place * TRUST + steps.take(cells[-1] - own)
+        inputs = np.empty((len(BITS) + 2, len(part.bit)), dtype=np.float32)
+        left.take(cells, out=inputs[: len(BITS)])
+        inputs[-2], inputs[-1] = 1, part.match
+        mix = self._mixed(inputs, gate, part.match)
+        off = (part.bit - _squash(mix)) * weight
+        self._step(*_sums(inputs, gate, off.astype(np.float32), weight.astype(np.float32)))
+        cell = (gate * (2 * STEPS) + (STEPS - 1) + part.bit).astype(np.float32)
+        return self._gathered(np.bincount(_near(mix, cell), weight, 2 * GATES * STEPS))
+
+    def _together(
+        self, found: Stream, start: int, roots: np.ndarray | None, left: np.ndarray, steps: np.ndarray
+    ) -> np.ndarray:
+        """Steps for all bytes from ``start`` on, group by group of rows, which their keys deal at random: what does
+        not change with the word before is read once a row."""
+        came = np.zeros(2 * GATES * STEPS)
+        columns = [*OTHERS, len(BITS)]
+        for group, parts in found.groups(start):
+            weights = np.ascontiguousarray(self.weights.T, dtype=np.float32)
+            step, norm = np.zeros((2, *self.weights.shape))
+            value, rows = found.value[group], group.stop - group.start
+            inputs = np.empty((len(columns), rows, 8), dtype=np.float32)
+            inputs[-1] = 1
+            for i, k in enumerate(OTHERS):
+                cells = found.slots(k, group, judged=True)
+                left.take(cells, out=inputs[i], mode="clip")
+            gate = steps.take(cells - (len(left) - len(steps))) + (found.place[group] * TRUST)[:, None]
+            base = np.zeros((rows, 8), dtype=np.float32)
+            for i, k in enumerate(columns):
+                base += weights[k].take(gate) * inputs[i]
+            before = weights[BEFORE].take(gate)
+            bits = _BIT.take(value, axis=0).astype(np.float32)
+            cell = (gate * (2 * STEPS) + (STEPS - 1) + bits).astype(np.float32)
+            held, off_sums = np.zeros(rows), np.zeros(rows * 8)
+            for at, row in parts:
+                own = row - group.start
+                odds = left.take(found.slots_before(at, row, judged=True), mode="clip")
+                mix = before.take(own, axis=0)
+                mix *= odds
+                mix += base.take(own, axis=0)
+                some, match = found.matched(at, row)
+                gates = gate.take(own.take(some), axis=0)
+                mix[some] += weights[-1].take(gates) * match
+                off = bits.take(own, axis=0)
+                off -= _squash(mix)
+                weight = None if roots is None else np.repeat(roots[found.text[at]], 8)
+                if weight is not None:
+                    off *= weight.reshape(-1, 8)
+                came += np.bincount(_near(mix, cell.take(own, axis=0)), weight, len(came))
+                # Errors and weights add up by row, which is read once; those of the word before by gate.
+                low, flat = int(own[0]), gate.take(own, axis=0).reshape(-1)
+                own -= low
+                sums = np.bincount(((own * 8)[:, None] + np.arange(8)).reshape(-1), off.reshape(-1))
+                off_sums[low * 8 : low * 8 + len(sums)] += sums
+                times = np.bincount(own, None if weight is None else weight[::8])
+                held[low : low + len(times)] += times
+                step[:, BEFORE] += np.bincount(flat, (off * odds).reshape(-1), GATES)
+                odds *= odds
+                norm[:, BEFORE] += np.bincount(flat, odds.reshape(-1) if weight is None else odds.reshape(-1) * weight, GATES)
+                if len(some):
+                    flat = gates.reshape(-1)
+                    step[:, -1] += np.bincount(flat, (off.take(some, axis=0) * match).reshape(-1), GATES)
+                    match *= match
+                    if weight is not None:
+                        match *= weight.reshape(-1, 8)[some]
+                    norm[:, -1] += np.bincount(flat, match.reshape(-1), GATES)
+            step[:, columns], norm[:, columns] = _sums(
+                inputs.reshape(len(columns), -1),
+                gate.reshape(-1),
+                off_sums.astype(np.float32),
+                np.repeat(held, 8).astype(np.float32),
+            )
+            self._step(step, norm, RATE * LARGER)
+        return self._gathered(came)
+
+    def _costs(self) -> np.ndarray:
+        """Bits of the code of a bit by gate, bit, and mixed log odds in steps of the grid."""
+        mix = np.arange(-GRID * GREATEST, GRID * GREATEST + 1) / GRID
+        gate = np.repeat(np.arange(GATES), len(mix))
+        one = self._refined(np.tile(mix, GATES), gate).reshape(GATES, 1, -1)
+        return -np.log2(np.concatenate((1 - one, one), axis=1)).astype(np.float32)
+
     def lengths(self, texts: list[bytes], odds: np.ndarray, trust: np.ndarray, powers: Powers) -> np.ndarray:
         """Bits of each text's code; ``odds`` are the predictors' log odds by slot, ``trust`` the
         steps of the last predictor's counts."""
         if not texts:
             return np.zeros(0)
-        found, out = stream(texts, powers, step_of(odds)), np.zeros(len(texts))
-        own = slots_of(step_of(odds)) - len(trust)
-        for part in found.blocks(CODED):
-            gate = part.place * TRUST + trust.take(part.slots[-1] - own)
-            p = self._refined(self._mixed(odds.take(part.slots), gate, part.match), gate)
-            cost = -np.log2(np.where(part.bit == 1, p, 1 - p))
-            first = part.word[0]
-            sums = np.bincount(part.word - first, cost)
-            out[first : first + len(sums)] += sums
-        return out
+        if self.costs is None:
+            self.costs = self._costs()
+        costs, middle = self.costs.reshape(-1), GRID * GREATEST
+        found = stream(texts, powers, step_of(odds))
+        own_slot = slots_of(step_of(odds)) - len(trust)
+        weights = np.ascontiguousarray(self.weights.T, dtype=np.float32)
+        out, eight = np.empty(len(found.data), dtype=np.float32), np.ones(8, dtype=np.float32)
+        for group, parts in found.groups():
+            # The last predictor's slots tell the gate.
+            slots = found.slots(OTHERS[-1], group)
+            gate = trust.take(slots - own_slot) + (found.place[group] * TRUST)[:, None]
+            base = weights[-2].take(gate)
+            for k in OTHERS:
+                base += weights[k].take(gate) * odds.take(slots if k == OTHERS[-1] else found.slots(k, group), mode="clip")
+            before = weights[BEFORE].take(gate)
+            cost = ((gate * 2 + _BIT.take(found.value[group], axis=0)) * self.costs.shape[-1] + middle).astype(np.int32)
+            for at, row in parts:
+                own = row - group.start
+                mix = before.take(own, axis=0)
+                mix *= odds.take(found.slots_before(at, row), mode="clip")
+                mix += base.take(own, axis=0)
+                some, match = found.matched(at, row)
+                mix[some] += weights[-1].take(gate.take(own.take(some), axis=0)) * match
+                mix *= GRID
+                np.clip(mix, -middle, middle, out=mix)
+                near = np.rint(mix, out=mix).astype(np.int32)
+                near += cost.take(own, axis=0)
+                out[at] = costs.take(near, mode="clip") @ eight
+        return np.add.reduceat(out, np.flatnonzero(np.diff(found.text, prepend=-1)), dtype=float)
+
+
+def _near(mix: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """Cells of the refining table, from those of the bit and gate at even odds."""
+    near = np.clip(mix, -8, 8)
+    near *= (STEPS - 1) / 16
+    np.rint(near, out=near)
+    near *= 2
+    near += cell
+    return near.reshape(-1).astype(np.int64)
+
+
+def _sums(
+    inputs: np.ndarray, gate: np.ndarray, off: np.ndarray, held: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """By gate and input, the sums of errors times inputs and of weights times their squares. Events of a gate are
+    laid side by side, so that its sums are products of its own events only."""
+    order = np.argsort(gate.astype(np.uint8), kind="stable")
+    ends = np.cumsum(np.bincount(gate, minlength=GATES))
+    grouped, off, held = inputs.take(order, axis=1), off.take(order), held.take(order)
+    squares = grouped * grouped
+    step, norm = np.zeros((2, GATES, len(inputs)))
+    for g in np.flatnonzero(np.diff(ends, prepend=0)).tolist():
+        own = slice(ends[g - 1] if g else 0, ends[g])
+        step[g] = grouped[:, own] @ off[own]
+        norm[g] = squares[:, own] @ held[own]
+    return step, norm
 
 
 def paired(tables: np.ndarray) -> np.ndarray:
-    """Zeros and ones of a slot side by side, as :meth:`Mixer.learn` reads them."""
+    """Log odds of a slot without the zero or without the one that is judged, side by side, as
+    :meth:`Mixer.learn` reads them."""
     if tables.ndim == 1:
         return tables
-    return np.ascontiguousarray(tables.T, dtype=np.float32).view(np.complex64).reshape(-1)
+    zeros, ones = tables.astype(np.float32) + np.float32(PRIOR)
+    less = np.maximum(tables - np.float32(1), 0).astype(np.float32) + np.float32(PRIOR)
+    pairs = np.empty((len(zeros), 2), dtype=np.float32)
+    np.log(ones / less[0], out=pairs[:, 0])
+    np.log(less[1] / zeros, out=pairs[:, 1])
+    return pairs.view(np.complex64).reshape(-1)
+
+
+def steps_left(tables: np.ndarray) -> np.ndarray:
+    """Steps of the last predictor's counts without the zero or without the one that is judged."""
+    own = tables[:, -own_slots(tables.shape[1]) :]
+    return trust_left(own)
+
+
+def trust_left(own: np.ndarray) -> np.ndarray:
+    less = np.maximum(own - np.float32(1), 0)
+    return np.stack((_trust(less[0] + own[1]), _trust(own[0] + less[1])), axis=1).astype(np.int8)
 
 
 def own_slots(slots: int) -> int:

@@ -22,8 +22,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.arrow import octets
-from plumbline.llm.mixing import END, GATES, STEPS, Mixer, counted, odds_and_trust, own_slots, paired, slots_of, step_for
+from plumbline.llm.arrow import octets, sliced
+from plumbline.llm.mixing import (
+    END,
+    GATES,
+    STEPS,
+    Mixer,
+    counted,
+    in_order,
+    odds_and_trust,
+    own_slots,
+    paired,
+    slots_of,
+    step_for,
+    trust_left,
+)
 from plumbline.llm.stored import stored
 from plumbline.llm.tokens import Powers, parts, words
 
@@ -32,6 +45,9 @@ FREQUENT = 1 << 17
 #: Slots that are added together, and bytes after which a task hands its counts on.
 SLOT_BLOCK, HANDED_ON = 1 << 14, 1 << 28
 
+#: Bytes of texts that are coded together; their words are known once.
+TOGETHER = 1 << 20
+
 _END_HASH = -1
 #: Type of the large counts of all tasks together.
 _TOTAL = "<f4"
@@ -40,15 +56,18 @@ _TOTAL = "<f4"
 def _counts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each batch, with their occurrences in training documents."""
     powers = Powers()
-    for batch in batches:
+    for batch in sliced(batches, 1):
         train = np.array(batch.column(0).to_pylist(), dtype=bool)
         texts = octets(batch.column(1))
         for a, b in parts(texts, 1 << 20):
             found = words(texts[a:b], powers)
             sizes = np.diff(found.first)
             weight = np.repeat(train[a:b], sizes)
-            hashes, at, inverse = np.unique(found.hashes, return_index=True, return_inverse=True)
-            n = np.bincount(inverse, weight, len(hashes)).astype(np.int64)
+            order, new = in_order(found.hashes)
+            first = np.flatnonzero(new)
+            at = order[first]
+            hashes = found.hashes[at]
+            n = np.add.reduceat(weight[order], first, dtype=np.int64) if len(first) else np.zeros(0, dtype=np.int64)
             data = found.data.tobytes()
             spelled = [data[s:e] for s, e in zip(found.starts[at].tolist(), found.ends[at].tolist())]
             yield pa.RecordBatch.from_pydict(
@@ -66,9 +85,9 @@ def _form(text: bytes | None) -> bytes:
 
 
 def _forms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
-    for batch in batches:
+    for batch in sliced(batches, 0):
         texts = octets(batch.column(0))
-        for a, b in parts(texts):
+        for a, b in parts(texts, TOGETHER):
             yield [_form(t) for t in texts[a:b]]
 
 
@@ -135,6 +154,16 @@ class Counts:
             pairs[first : first + part.shape[1]] = paired(part)
         return pairs
 
+    def left(self) -> tuple[np.ndarray, np.ndarray]:
+        """What :meth:`plumbline.llm.mixing.Mixer.learn` needs to know of the counts."""
+        steps = np.zeros((own_slots(self.slots), 2), dtype=np.int8)
+        start = self.slots - len(steps)
+        for first, part in self.parts():
+            low, end = max(first, start), first + part.shape[1]
+            if end > low:
+                steps[low - start : end - start] = trust_left(part[:, low - first :])
+        return self.pairs(), steps
+
     def odds(self) -> tuple[np.ndarray, np.ndarray]:
         """What :func:`plumbline.llm.mixing.log_odds` makes of the tables."""
         odds = np.zeros(self.slots, dtype=np.float32)
@@ -197,7 +226,7 @@ def predictors(texts: DataFrame, step: int) -> np.ndarray:
 
 def _learned_of(batches: Iterator[pa.RecordBatch], counts: Counts) -> Iterator[pa.RecordBatch]:
     """What a task learned, a row per gate: how much, the weights times that, the refining counts."""
-    powers, mixer, first, tables = Powers(), Mixer(), Mixer(), counts.pairs()
+    powers, mixer, first, tables = Powers(), Mixer(), Mixer(), counts.left()
     seen = np.zeros(GATES)
     for forms in _forms_of(batches):
         seen += mixer.learn(forms, np.ones(len(forms)), tables, powers)
@@ -247,9 +276,9 @@ def _summed(
     base = _base(n, *smoothing)
     end = int(np.searchsorted(frequent, np.uint64(2**64 - 1)))
     powers, odds = Powers(), counts.odds()
-    for batch in batches:
+    for batch in sliced(batches, 1):
         keys, texts = batch.column(0).to_numpy(), octets(batch.column(1))
-        for a, b in parts(texts):
+        for a, b in parts(texts, TOGETHER):
             found = words(texts[a:b], powers)
             forms = [_form(t) for t in texts[a:b]]
             sizes = np.array([len(form) for form in forms], dtype=np.int64)
