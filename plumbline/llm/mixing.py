@@ -567,21 +567,23 @@ def paired(tables: np.ndarray) -> np.ndarray:
     :meth:`Mixer.learn` reads them."""
     if tables.ndim == 1:
         return tables
-    zeros, ones = tables.astype(np.float32) + np.float32(PRIOR)
-    less = np.maximum(tables - np.float32(1), 0).astype(np.float32) + np.float32(PRIOR)
+    tables = tables.astype(np.float32, copy=False)
+    zeros, ones = tables + np.float32(PRIOR)
+    less = np.maximum(tables - 1, 0)
+    less += np.float32(PRIOR)
     pairs = np.empty((len(zeros), 2), dtype=np.float32)
-    np.log(ones / less[0], out=pairs[:, 0])
-    np.log(less[1] / zeros, out=pairs[:, 1])
+    pairs[:, 0] = np.log(ones / less[0])
+    pairs[:, 1] = np.log(less[1] / zeros)
     return pairs.view(np.complex64).reshape(-1)
 
 
 def steps_left(tables: np.ndarray) -> np.ndarray:
     """Steps of the last predictor's counts without the zero or without the one that is judged."""
-    own = tables[:, -own_slots(tables.shape[1]) :]
-    return trust_left(own)
+    return trust_left(tables[:, -own_slots(tables.shape[1]) :])
 
 
 def trust_left(own: np.ndarray) -> np.ndarray:
+    """:func:`steps_left` of the last predictor's counts."""
     less = np.maximum(own - np.float32(1), 0)
     return np.stack((_trust(less[0] + own[1]), _trust(own[0] + less[1])), axis=1).astype(np.int8)
 

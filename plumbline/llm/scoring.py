@@ -102,10 +102,10 @@ def _packed(part: np.ndarray, large: str) -> bytes:
 
 def _unpacked(found: bytes, large: str) -> np.ndarray:
     """Zeros and ones of a slot block."""
-    part = np.zeros(2 * SLOT_BLOCK)
+    part = np.zeros(2 * SLOT_BLOCK, dtype=np.float32 if large == _TOTAL else float)
     bits = len(part) // 8
     cells = np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8, bits)))
-    counts = np.frombuffer(found, np.uint8, len(cells), bits).astype(float)
+    counts = np.frombuffer(found, np.uint8, len(cells), bits).astype(part.dtype)
     counts[counts == 255] = np.frombuffer(found[bits + len(cells) :], large)
     part[cells] = counts
     return part.reshape(2, -1)
@@ -139,7 +139,7 @@ class Counts:
 
     def parts(self) -> Iterator[tuple[int, np.ndarray]]:
         for first, found in self.blocks.items():
-            yield first, _unpacked(found, _TOTAL)[:, : self.slots - first].astype(np.float32)
+            yield first, _unpacked(found, _TOTAL)[:, : self.slots - first]
 
     def tables(self) -> np.ndarray:
         tables = np.zeros((2, self.slots), dtype=np.float32)
@@ -284,15 +284,17 @@ def _summed(
             sizes = np.array([len(form) for form in forms], dtype=np.int64)
             bits = mixer.lengths(forms, *odds, powers)
             count = np.diff(found.first)
-            text = np.repeat(np.arange(b - a), count)
-            at = np.searchsorted(frequent, found.hashes)
+            # Equal words side by side, and those of a text in them: a word is looked up once.
+            order, new = in_order(found.hashes)
+            distinct, which = found.hashes[order[new]], np.cumsum(new) - 1
+            text = np.repeat(np.arange(b - a), count)[order]
+            at = np.searchsorted(frequent, distinct)
             at[at == len(frequent)] = 0
-            known = frequent[at] == found.hashes
-            own, of = at[known], text[known]
+            known = (frequent[at] == distinct)[which]
+            own, of = at[which[known]], text[known]
             size = b - a
             rare = np.flatnonzero(~known)
-            order = np.lexsort((found.hashes[rare], text[rare]))
-            rare_hash, rare_text = found.hashes[rare][order], text[rare][order]
+            rare_hash, rare_text = distinct[which[rare]], text[rare]
             new = np.ones(len(rare), dtype=bool)
             new[1:] = (rare_hash[1:] != rare_hash[:-1]) | (rare_text[1:] != rare_text[:-1])
             first = np.flatnonzero(new)

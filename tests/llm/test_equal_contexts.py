@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from plumbline.llm import mixing
-from plumbline.llm.tokens import Powers
+from plumbline.llm import mixing, scoring
+from plumbline.llm.tokens import Powers, words
 
 
 def forms(n, seed=8):
@@ -83,3 +84,27 @@ def test_keys_that_share_their_upper_bits_stay_apart():
         key = np.arange(n, dtype=np.uint64) % np.uint64(7)
         order, new = mixing.in_order(key)
         assert (order == np.argsort(key, kind="stable")).all() and new.sum() == min(n, 7)
+
+
+def test_a_word_of_a_batch_is_looked_up_once(monkeypatch):
+    texts, looked_up = ["again and again", "and so on and on", "so"] * 50, []
+
+    class Numpy:
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def searchsorted(self, table, keys, *others):
+            looked_up.append(np.size(keys))
+            return np.searchsorted(table, keys, *others)
+
+    known = words([b"again", b"and"], Powers()).hashes
+    frequent = np.sort(np.append(known, np.uint64(2**64 - 1)))
+    monkeypatch.setattr(scoring, "np", Numpy())
+    batch = pa.RecordBatch.from_pydict({"row_key": pa.array(range(150), pa.int64()), "text": pa.array(texts)})
+    table, counts = (frequent, np.array([5.0, 7.0, 9.0])), scoring.Counts(mixing.SLOTS, {})
+    rows = pa.Table.from_batches(scoring._summed(iter([batch]), table, (21, 3), mixing.Mixer(), counts)).to_pylist()
+    assert sum(looked_up) == 1 + 4
+    sums = [r for r in rows if r["ends"]]
+    assert [r["known"] for r in sums] == [4, 3, 1] * 50 and [r["tokens"] for r in sums] == [4, 6, 2] * 50
+    others = [(r["row_key"], r["times"]) for r in rows if not r["ends"]]
+    assert sorted(others) == sorted((i, n) for i in range(150) for n in ([], [1, 2], [1])[i % 3])
