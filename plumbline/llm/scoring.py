@@ -46,7 +46,7 @@ FREQUENT = 1 << 17
 SLOT_BLOCK, HANDED_ON = 1 << 14, 1 << 28
 
 #: Bytes of texts that are coded together; their words are known once.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 19
 
 _END_HASH = -1
 #: Type of the large counts of all tasks together.
