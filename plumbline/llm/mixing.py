@@ -29,6 +29,8 @@ BEFORE = 5
 OTHERS = [i for i in range(len(BITS)) if i != BEFORE]
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in BITS])))
 SLOTS = int(OFFSETS[-1])
+#: Slots of the first two predictors, whose trees are of whole bytes.
+WHOLE = int(OFFSETS[2])
 #: Steps by which the tables of longer contexts double, each with its number of slots.
 LARGEST = 2
 #: Slots of the word's table for each distinct word, at least, until the last step.
@@ -45,8 +47,8 @@ _BLANK = 32
 #: Blocks of a mixer that it learns from one by one, blocks after which a step is half as large, and how much larger
 #: steps are for whole rows, which have more bytes and are dealt at random.
 ALONE, HALF, LARGER = 64, 200, 4
-#: Rows of equal contexts that are read together.
-ROWS = 1 << 12
+#: Rows of equal contexts that are read together, and that are added together.
+ROWS, ADDED = 1 << 12, 1 << 13
 #: Steps of the mixed log odds between which a code's length is not told apart, up to the greatest.
 GRID, GREATEST = 128, 12
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -57,6 +59,8 @@ _BIT = (np.arange(256)[:, None] >> (7 - np.arange(8))) & 1
 _NODE = (1 << np.arange(8)) | (np.arange(256)[:, None] >> (8 - np.arange(8)))
 _WITHIN = np.where(np.arange(8) < 4, _NODE, _NODE & ((1 << np.arange(8) % 4) - 1) | 1 << np.arange(8) % 4)
 _SPREAD = _NODES[_NODE[:, [0, 4]]]
+#: The halves themselves.
+_HALF = np.stack((np.arange(256) >> 4, np.arange(256) & 15), axis=1)
 #: The same nodes for tables of two numbers, by the bit.
 _JUDGED = 2 * _WITHIN + _BIT
 #: Bits as 1 and -1, and up to which bit two bytes agree, by their difference.
@@ -212,13 +216,18 @@ def in_order(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
-def _hashed(context: np.ndarray, byte: np.ndarray, sizes: tuple[int, ...], i: int, judged: bool = False) -> np.ndarray:
-    """Slots of predictor ``i`` for contexts and their bytes: those of half a byte lie side by side."""
+def _halves(context: np.ndarray, byte: np.ndarray, sizes: tuple[int, ...], i: int, judged: bool = False) -> np.ndarray:
+    """Where the slots of each half of a byte begin, which lie side by side."""
     hashed = context[:, None] + _SPREAD.take(byte, axis=0)
     hashed >>= np.uint64(64 - sizes[i] + 4)
     hashed <<= np.uint64(4 + judged)
     hashed += np.uint64(sum(1 << n for n in sizes[:i]) << judged)
-    slots = np.repeat(hashed.view(np.int64).reshape(-1), 4).reshape(-1, 8)
+    return hashed.view(np.int64)
+
+
+def _hashed(context: np.ndarray, byte: np.ndarray, sizes: tuple[int, ...], i: int, judged: bool = False) -> np.ndarray:
+    """Slots of predictor ``i`` for contexts and their bytes."""
+    slots = np.repeat(_halves(context, byte, sizes, i, judged).reshape(-1), 4).reshape(-1, 8)
     slots += (_JUDGED if judged else _WITHIN).take(byte, axis=0)
     return slots
 
@@ -305,40 +314,61 @@ def events(texts: list[bytes], powers: Powers, step: int = 0) -> Events:
     return found.events(0, len(found.data))
 
 
-def counted(texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
-    """Add texts, each as often as it was counted, to the zeros and ones of all predictors."""
-    found = stream(texts, powers, step_of(tables), repeats=False)
-    flat, size, sizes = tables.reshape(-1), tables.shape[1], found.sizes
+def gathered(texts: list[bytes], counts: np.ndarray, leaves: np.ndarray, powers: Powers) -> None:
+    """Add texts, each as often as it was counted, to the leaves of all predictors: a whole byte for the first two,
+    half a byte for the others. A leaf lies in the slots of its tree, see :func:`nodes_of`."""
+    found = stream(texts, powers, step_of(leaves), repeats=False)
+    sizes = found.sizes
     weights = None if (counts == 1).all() else counts.astype(np.float64)[found.text[found.first]]
 
-    def add(slots: np.ndarray, byte: np.ndarray, n: np.ndarray) -> None:
-        cells = slots + _BIT.take(byte, axis=0) * size
-        np.add.at(flat, cells.reshape(-1), np.repeat(n, 8).astype(tables.dtype))
+    def add(context: np.ndarray, byte: np.ndarray, n: np.ndarray, i: int) -> None:
+        cells = _halves(context, byte, sizes, i) + _HALF.take(byte, axis=0)
+        np.add.at(leaves, cells.reshape(-1), np.repeat(n, 2).astype(leaves.dtype))
 
     def sums(order: np.ndarray, starts: np.ndarray, of: np.ndarray | None) -> np.ndarray:
         return np.diff(starts, append=len(order)) if of is None else np.add.reduceat(of[order], starts)
 
-    # Bits of a byte are added for each context that it has, as often as it follows that.
+    # A byte is added for each context that it has, as often as it follows that.
     n = sums(found.order, found.starts[:-1], None if weights is None else np.repeat(weights, found.length))
     times = np.bincount(found.before << 8 | found.value, n, 1 << 16)
-    for start, often in ((-1, times.reshape(256, 256).sum(axis=0)), (1 << sizes[0], times)):
-        own = np.flatnonzero(often)
-        before = 0 if start < 0 else (own >> 8 << 8)[:, None] + start
-        add(_NODE.take(own & 255, axis=0) + before, own & 255, often[own])
-    for a in range(0, len(n), CODED):
-        rows = slice(a, a + CODED)
+    leaves[:256] += times.reshape(256, 256).sum(axis=0).astype(leaves.dtype)
+    leaves[256:WHOLE] += times.astype(leaves.dtype)
+    for a in range(0, len(n), ADDED):
+        rows = slice(a, a + ADDED)
         for i in OTHERS[2:]:
-            add(found.slots(i, rows), found.value[rows], n[rows])
+            add(found.contexts[min(i, BEFORE) - 2][rows], found.value[rows], n[rows], i)
     # A word that comes again behind the same word is added once.
     order, new = in_order(found.prior[found.first] + mixed(found.whole))
     starts = np.flatnonzero(new)
     first, length = found.first[order[starts]], found.length[order[starts]]
     often = np.repeat(sums(order, starts, weights), length)
     at = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(len(often))
-    for a in range(0, len(at), CODED):
-        own = at[a : a + CODED]
+    for a in range(0, len(at), ADDED):
+        own = at[a : a + ADDED]
         rows = found.row.take(own)
-        add(found.slots_before(own, rows), found.value.take(rows), often[a : a + CODED])
+        context = mixed(found.prior.take(own) + found.contexts[-1].take(rows))
+        add(context, found.value.take(rows), often[a : a + ADDED], BEFORE)
+
+
+def nodes_of(leaves: np.ndarray, first: int = 0) -> np.ndarray:
+    """Zeros and ones by slot, of leaves from slot ``first`` on that are whole trees: a slot has the leaves below it."""
+    nodes = np.zeros((2, len(leaves)), dtype=leaves.dtype)
+    whole = min(max(WHOLE - first, 0), len(leaves))
+    for low, high, width in ((0, whole, 256), (whole, len(leaves), 16)):
+        level = leaves[low:high].reshape(-1, width)
+        own = nodes[:, low:high].reshape(2, -1, width)
+        while width > 1:
+            width //= 2
+            own[0, :, width : 2 * width], own[1, :, width : 2 * width] = level[:, ::2], level[:, 1::2]
+            level = level[:, ::2] + level[:, 1::2]
+    return nodes
+
+
+def counted(texts: list[bytes], counts: np.ndarray, tables: np.ndarray, powers: Powers) -> None:
+    """Add texts, each as often as it was counted, to the zeros and ones of all predictors."""
+    leaves = np.zeros(tables.shape[1], dtype=tables.dtype)
+    gathered(texts, counts, leaves, powers)
+    tables += nodes_of(leaves)
 
 
 def _trust(seen: np.ndarray) -> np.ndarray:

@@ -28,8 +28,9 @@ from plumbline.llm.mixing import (
     GATES,
     STEPS,
     Mixer,
-    counted,
+    gathered,
     in_order,
+    nodes_of,
     odds_and_trust,
     own_slots,
     paired,
@@ -112,13 +113,14 @@ def _unpacked(found: bytes, large: str) -> np.ndarray:
 
 
 def _cells_of(tables: np.ndarray, large: str = "<u4") -> pa.RecordBatch:
-    """The cells that are not zero, by slot block, packed."""
+    """The cells that are not zero, by slot block, packed; ``tables`` are zeros and ones, or their leaves."""
     blocks, found = [], []
-    for first in range(0, tables.shape[1], SLOT_BLOCK):
-        part = np.zeros((2, SLOT_BLOCK), dtype=tables.dtype)
-        own = tables[:, first : first + SLOT_BLOCK]
-        part[:, : own.shape[1]] = own
-        if part.any():
+    for first in range(0, tables.shape[-1], SLOT_BLOCK):
+        own = tables[..., first : first + SLOT_BLOCK]
+        if own.any():
+            own = nodes_of(own, first) if own.ndim == 1 else own
+            part = np.zeros((2, SLOT_BLOCK), dtype=tables.dtype)
+            part[:, : own.shape[1]] = own
             blocks.append(first)
             found.append(_packed(part, large))
     return pa.RecordBatch.from_pydict({"block": pa.array(blocks, pa.int64()), "counts": pa.array(found, pa.binary())})
@@ -179,14 +181,14 @@ class Counts:
 
 
 def _tables_of(batches: Iterator[pa.RecordBatch], slots: int) -> Iterator[pa.RecordBatch]:
-    powers, tables, size = Powers(), np.zeros((2, slots), dtype=np.uint32), 0
+    powers, leaves, size = Powers(), np.zeros(slots, dtype=np.uint32), 0
     for forms in _forms_of(batches):
-        counted(forms, np.ones(len(forms)), tables, powers)
+        gathered(forms, np.ones(len(forms)), leaves, powers)
         size += sum(map(len, forms))
         if size >= HANDED_ON:
-            yield _cells_of(tables)
-            tables[:], size = 0, 0
-    yield _cells_of(tables)
+            yield _cells_of(leaves)
+            leaves[:], size = 0, 0
+    yield _cells_of(leaves)
 
 
 def _added(rows: pa.Table) -> pa.Table:
