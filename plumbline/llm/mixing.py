@@ -47,11 +47,14 @@ _BLANK = 32
 #: Blocks of a mixer that it learns from one by one, blocks after which a step is half as large, and how much larger
 #: steps are for whole rows, which have more bytes and are dealt at random.
 ALONE, HALF, LARGER = 64, 200, 4
-#: Rows of equal contexts that are read together, and that are added together.
-ROWS, ADDED = 1 << 12, 1 << 13
+#: Rows of equal contexts that are read together and that are added together, and numbers that are mixed together.
+ROWS, ADDED, MIXED = 1 << 12, 1 << 13, 1 << 14
+#: Bytes of a processor's line of cache, or of two; tables begin there, so that half a byte's slots fill whole lines.
+LINE = 128
 #: Steps of the mixed log odds between which a code's length is not told apart, up to the greatest.
 GRID, GREATEST = 128, 12
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_UPPER = np.uint64(1 << 48)
 _NODES = np.arange(256, dtype=np.uint64) * _GOLDEN
 #: Of each byte its bits, the nodes of the tree of bits that they leave, the nodes within a half of the byte,
 #: and the hashes of what stands before each half.
@@ -139,8 +142,9 @@ class Stream:
 
     def slots_before(self, at: np.ndarray, rows: np.ndarray, judged: bool = False) -> np.ndarray:
         """Slots of the predictor that knows the word before, at bytes and their rows."""
-        context = mixed(self.prior.take(at) + self.contexts[-1].take(rows))
-        return _hashed(context, self.value.take(rows), self.sizes, BEFORE, judged)
+        context = self.prior.take(at)
+        context += self.contexts[-1].take(rows)
+        return _hashed(_mix(context), self.value.take(rows), self.sizes, BEFORE, judged)
 
     def matched(self, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of some bytes were expected to be any, and their bits that were."""
@@ -232,24 +236,55 @@ def _hashed(context: np.ndarray, byte: np.ndarray, sizes: tuple[int, ...], i: in
     return slots
 
 
-def _expected(running: np.ndarray, down: np.ndarray, start: np.ndarray, text: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """Of each byte the one that came where the same bytes stood last in the same text, -1 without."""
+def _mix(x: np.ndarray) -> np.ndarray:
+    """:func:`plumbline.llm.tokens.mixed` in place, some numbers at a time, which stay in the cache."""
+    for a in range(0, len(x), MIXED):
+        own = x[a : a + MIXED]
+        upper = own >> np.uint64(33)
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            own ^= upper
+            own *= np.uint64(factor)
+            np.right_shift(own, np.uint64(33), out=upper)
+        own ^= upper
+    return x
+
+
+def _expected(data: np.ndarray, four: np.ndarray, start: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of each byte the one that came where the same bytes stood last in the same text, -1 without. ``four`` are the
+    four bytes before each byte."""
     expected = np.full(len(data), -1, dtype=np.int16)
     if len(data) <= MATCHED:
         return expected
-    key = mixed((running[MATCHED:-1] - running[: -MATCHED - 1]) * down[: len(data) - MATCHED])
-    key += text[MATCHED:].astype(np.uint64) * _GOLDEN
     enough = np.ones(len(data), dtype=bool)
     early = (start[:, None] + np.arange(MATCHED)).reshape(-1)
     enough[early[early < len(data)]] = False
     some = np.flatnonzero(enough)
-    order, new = in_order(key.take(some - MATCHED))
+    # The six bytes before and the text; products with an odd number are as different as their factors.
+    key = (four[2:-2] >> np.uint32(16)).astype(np.uint64) << np.uint64(32)
+    key |= four[4:]
+    key *= _GOLDEN
+    if start.size >> 16:
+        key = mixed(key)
+        key += text[4:].astype(np.uint64) * _GOLDEN
+    else:
+        key += text[4:].astype(np.uint64) * _UPPER
+    order, new = in_order(key.take(some - 4))
     order = some.take(order)
     later = np.flatnonzero(~new)
     expected[order.take(later)] = data.take(order.take(later - 1))
     return expected
 
 
+def _four(data: np.ndarray) -> np.ndarray:
+    """The four bytes before each byte, the last of them lowest, whatever text they are of."""
+    two = np.zeros(len(data), dtype=np.uint16)
+    two[1:] = data[:-1]
+    two[2:] |= data[:-2].astype(np.uint16) << np.uint16(8)
+    four = two.astype(np.uint32)
+    four[2:] |= two[:-2].astype(np.uint32) << np.uint32(16)
+    return four
+
+
 def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = True) -> Stream:
     """Texts end with a line feed; a word alone gets its blank. Without ``repeats`` no byte is expected."""
     coded = [t if t.endswith(END) else t + b" " for t in texts]
@@ -259,30 +294,42 @@ def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = Tr
     text = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     start = np.cumsum(sizes) - sizes
     up, down = powers.upto(n + 1)
+    coefficients = data.astype(np.uint64)
+    coefficients += np.uint64(1)
+    coefficients *= up[:n]
     running = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=running[1:])
+    np.cumsum(coefficients, out=running[1:])
     opens = np.zeros(n, dtype=bool)
     opens[1:] = data[:-1] == _BLANK
     opens[start] = True
     first = np.flatnonzero(opens)
     length = np.diff(first, append=n)
-    whole = (running[first + length] - running[first]) * down[first]
+    behind, back = running[first], down[first]
+    whole = (running[first + length] - behind) * back
     last = np.zeros(len(first), dtype=np.uint64)
     last[1:] = whole[:-1]
     last[first == start[text[first]]] = 0
+    place = np.full(n, 3, dtype=np.int8)
+    for k in (2, 1, 0):
+        place[first[length > k] + k] = k
+    four = _four(data)
+    expected = _expected(data, four, start, text) if repeats else np.full(n, -1, dtype=np.int16)
     # The four bytes before each byte, as far as they are of its text.
-    before = np.zeros(n, dtype=np.uint64)
-    for k in range(4):
-        before[k + 1 :] |= data[: max(0, n - k - 1)].astype(np.uint64) << np.uint64(8 * k)
+    before = four
     for k in range(4):
         early = start + k
-        before[early[early < n]] &= np.uint64((1 << 8 * k) - 1)
-    opened = np.repeat(first, length)
-    sofar = (running[:-1] - running.take(opened)) * down.take(opened)
-    order, new = in_order(mixed(before | data.astype(np.uint64) << np.uint64(32)) + sofar * _GOLDEN)
+        before[early[early < n]] &= np.uint32((1 << 8 * k) - 1)
+    sofar = running[:-1] - np.repeat(behind, length)
+    sofar *= np.repeat(back, length)
+    key = data.astype(np.uint64)
+    key <<= np.uint64(32)
+    key |= before
+    _mix(key)
+    key += np.multiply(sofar, _GOLDEN, out=coefficients)
+    order, new = in_order(key)
     starts = np.flatnonzero(new)
     own = order[starts]
-    before, sofar = before[own], sofar[own]
+    before, sofar = before[own].astype(np.uint64), sofar[own]
     contexts = np.stack(
         (
             mixed(before & np.uint64((1 << 16) - 1) | np.uint64(1 << 32)),
@@ -298,13 +345,13 @@ def stream(texts: list[bytes], powers: Powers, step: int = 0, repeats: bool = Tr
         order,
         np.append(starts, n),
         data[own].astype(np.int64),
-        np.minimum(own - opened[own], 3),
+        place[own].astype(np.int64),
         (before & np.uint64(255)).astype(np.int64),
         contexts,
         first,
         length,
         whole,
-        _expected(running, down, start, text, data) if repeats else np.full(n, -1, dtype=np.int16),
+        expected,
         sizes_of(step),
     )
 
@@ -592,6 +639,14 @@ def _sums(
     return step, norm
 
 
+def in_lines(slots: int, dtype: type) -> np.ndarray:
+    """Zeros that begin where a line does."""
+    size = slots * np.dtype(dtype).itemsize
+    room = np.zeros(size + LINE, dtype=np.uint8)
+    start = -room.ctypes.data % LINE
+    return room[start : start + size].view(dtype)
+
+
 def paired(tables: np.ndarray) -> np.ndarray:
     """Log odds of a slot without the zero or without the one that is judged, side by side, as
     :meth:`Mixer.learn` reads them."""

@@ -29,6 +29,7 @@ from plumbline.llm.mixing import (
     STEPS,
     Mixer,
     gathered,
+    in_lines,
     in_order,
     nodes_of,
     odds_and_trust,
@@ -129,10 +130,15 @@ def _cells_of(tables: np.ndarray, large: str = "<u4") -> pa.RecordBatch:
 @dataclass
 class Counts:
     """Zeros and ones by slot, in packed slot blocks. The driver hands them to the tasks as they are; a task
-    unpacks the form it needs block by block."""
+    unpacks the form it needs once, block by block, and lets go of each."""
 
     slots: int
     blocks: dict[int, bytes]
+    #: Whether this is a task's own copy.
+    own: bool = False
+
+    def __reduce__(self) -> tuple:
+        return Counts, (self.slots, self.blocks, True)
 
     @classmethod
     def of(cls, tables: np.ndarray) -> Counts:
@@ -140,7 +146,8 @@ class Counts:
         return cls(tables.shape[1], dict(zip(cells["block"].to_pylist(), cells["counts"].to_pylist())))
 
     def parts(self) -> Iterator[tuple[int, np.ndarray]]:
-        for first, found in self.blocks.items():
+        for first in list(self.blocks):
+            found = self.blocks.pop(first) if self.own else self.blocks[first]
             yield first, _unpacked(found, _TOTAL)[:, : self.slots - first]
 
     def tables(self) -> np.ndarray:
@@ -151,24 +158,24 @@ class Counts:
 
     def pairs(self) -> np.ndarray:
         """What :func:`plumbline.llm.mixing.paired` makes of the tables."""
-        pairs = np.zeros(self.slots, dtype=np.complex64)
-        for first, part in self.parts():
-            pairs[first : first + part.shape[1]] = paired(part)
-        return pairs
+        return self.left()[0]
 
     def left(self) -> tuple[np.ndarray, np.ndarray]:
         """What :meth:`plumbline.llm.mixing.Mixer.learn` needs to know of the counts."""
+        pairs = in_lines(self.slots, np.complex64)
         steps = np.zeros((own_slots(self.slots), 2), dtype=np.int8)
         start = self.slots - len(steps)
         for first, part in self.parts():
-            low, end = max(first, start), first + part.shape[1]
-            if end > low:
+            end = first + part.shape[1]
+            pairs[first:end] = paired(part)
+            if end > start:
+                low = max(first, start)
                 steps[low - start : end - start] = trust_left(part[:, low - first :])
-        return self.pairs(), steps
+        return pairs, steps
 
     def odds(self) -> tuple[np.ndarray, np.ndarray]:
         """What :func:`plumbline.llm.mixing.log_odds` makes of the tables."""
-        odds = np.zeros(self.slots, dtype=np.float32)
+        odds = in_lines(self.slots, np.float32)
         seen = np.zeros(own_slots(self.slots), dtype=np.int8)
         start = self.slots - len(seen)
         for first, part in self.parts():
